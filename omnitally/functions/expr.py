@@ -101,3 +101,12 @@ def external_id(gid: str | Column, vendor: str = "shopify") -> Column:
 def surrogate_id(*cols: str | Column) -> Column:
     """Repeatable key from a natural key (same on retry, unlike uuid())."""
     return F.sha2(F.concat_ws("|", *[col_(c).cast("string") for c in cols]), 256)
+
+
+def ratio_dp(num: str | Column, den: str | Column, dp: int) -> Column:
+    """num / den (integers) rounded half-up to ``dp`` decimals; 0 when den <= 0."""
+    n = col_(num).cast("bigint") * (10 ** dp)
+    d = col_(den).cast("bigint")
+    out = f"decimal(18,{dp})"
+    scaled = half_up(n, d).cast("decimal(18,0)") * F.lit(10 ** -dp if dp else 1).cast(f"decimal({dp + 1},{dp})")
+    return F.when(d > 0, scaled.cast(out)).otherwise(F.lit(0).cast(out))

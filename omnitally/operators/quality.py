@@ -86,3 +86,22 @@ def orphan_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
 __all__ = ["reconcile", "reconcile_summary", "mismatch_actions", "fee_discrepancy", "customer_identity",
            "duplicate_keys", "orphan_lines", "MONEY"]
+
+
+DATE_RE = r"^\d{4}-\d{2}-\d{2}$"
+EMAIL_RE = r"^[^\s@]+@[^\s@]+\.[^\s@]+$"
+
+
+def validate_requests(r: DataFrame, channels: list[str]) -> DataFrame:
+    """dates 'yyyy-MM-dd', channel in the enum, every recipient an e-mail address.
+
+    Returns the rows with ``valid`` and the first failing rule as ``reason`` (null when
+    valid), so a batch splits into accepted and quarantined rows without failing (I10).
+    """
+    ok_start = F.col("start_date").rlike(DATE_RE)
+    ok_end = F.col("end_date").rlike(DATE_RE)
+    ok_channel = F.col("channel").isin(channels)
+    ok_emails = F.forall("recipients", lambda x: x.rlike(EMAIL_RE))
+    reason = F.when(~ok_start, F.lit("start_date")).when(~ok_end, F.lit("end_date")) \
+        .when(~ok_channel, F.lit("channel")).when(~ok_emails, F.lit("recipients"))
+    return r.withColumn("reason", reason).withColumn("valid", ok_start & ok_end & ok_channel & ok_emails)

@@ -89,7 +89,8 @@ FACT_EVENT = """
 fact_event AS (
   SELECT event_id AS id, event_type, ts AS starts_at, ts + INTERVAL 2 HOUR AS ends_at,
          CAST(user_id % 6 + 1 AS INTEGER) AS attendees,
-         CAST(value AS DECIMAL(14,2)) AS revenue, CAST(0 AS DECIMAL(14,2)) AS add_on_sales, user_id
+         CAST(value AS DECIMAL(14,2)) AS revenue, CAST(0 AS DECIMAL(14,2)) AS add_on_sales,
+         ts - to_days(CAST(user_id % 30 AS INTEGER)) AS updated_at, user_id
   FROM events
 )"""
 

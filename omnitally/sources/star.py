@@ -133,6 +133,8 @@ def fact_event(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("user_id") % 6 + 1).cast("int").alias("attendees"),
         F.col("value").cast(MONEY).alias("revenue"),
         F.lit(0).cast(MONEY).alias("add_on_sales"),
+        # booked (last updated) some days before it starts
+        F.expr("timestampadd(DAY, -cast(user_id % 30 as int), ts)").alias("updated_at"),
         F.col("user_id"),
     )
 

@@ -161,12 +161,16 @@ def shop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat order events (REST form) with lower-case / missing fields to normalise."""
-    lines = _lines(spark, sf_dir).groupBy("l_orderkey").agg(F.collect_list(F.struct(
+    return shop_events_from(_orders(spark, sf_dir), _lines(spark, sf_dir))
+
+
+def shop_events_from(o: DataFrame, lines: DataFrame) -> DataFrame:
+    """Order event records from order rows and (line x part) rows."""
+    lines = lines.groupBy("l_orderkey").agg(F.collect_list(F.struct(
         F.col("l_linenumber").cast("bigint").alias("id"), F.col("p_name").alias("name"), _sku().alias("sku"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("p_retailprice").cast(MONEY).cast("string").alias("price"),
         F.col("l_partkey").alias("product_id"), F.col("p_type").alias("product_type"))).alias("line_items"))
-    o = _orders(spark, sf_dir)
     j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
     key, st = F.col("o_custkey"), F.col("o_orderstatus")
     txn = F.struct(F.when(key % 4 == 0, F.lit(None).cast("string")).otherwise(F.lit("sale")).alias("kind"),

@@ -9,7 +9,7 @@ from omnitally.functions.expr import MONEY_SUM, cents, ratio_2dp
 from omnitally.operators import period as P
 from omnitally.plans import sql as S
 from omnitally.plans.catalog import register
-from omnitally.plans.q_core import kpi_table
+from omnitally.plans.store import kpi_view
 from omnitally.sources import star
 
 AS_OF = star.ORDER_AS_OF  # 2001-06-15, a Friday
@@ -32,7 +32,7 @@ FROM kpi WHERE {where}"""
 
 
 def _dense(spark, sf_dir):
-    return kpi_table(spark, sf_dir, dense=True).drop("top_items", "top_categories")
+    return kpi_view(spark, sf_dir, dense=True).drop("top_items", "top_categories")
 
 
 @register("kpi_today", _agg_sql(f"date = DATE '{AS_OF}'"))

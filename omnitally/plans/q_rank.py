@@ -11,7 +11,7 @@ from omnitally.operators import period as P
 from omnitally.operators import rank as R
 from omnitally.plans import sql as S
 from omnitally.plans.catalog import register
-from omnitally.plans.q_core import kpi_table
+from omnitally.plans.store import kpi_view
 from omnitally.plans.q_period import AS_OF, RANGE, WEEK_CUR, WEEK_PREV
 from omnitally.sources import star
 
@@ -20,7 +20,7 @@ _IN_RANGE = f"date BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'"
 
 
 def _kpi(spark, sf_dir, arrays=False):
-    k = kpi_table(spark, sf_dir, dense=True)
+    k = kpi_view(spark, sf_dir, dense=True)
     k = k if arrays else k.drop("top_items", "top_categories")
     return P.in_period(k, *RANGE)
 
@@ -131,7 +131,7 @@ SELECT date, CAST(SUM(sales) AS DECIMAL(18,2)) AS revenue, CAST(SUM(txns) AS BIG
 FROM kpi WHERE {_IN_RANGE} AND channel_id = '1' GROUP BY date""")
 def q_daily_trend_channel(spark, sf_dir):
     """Revenue and orders by date for one channel."""
-    k = P.in_period(kpi_table(spark, sf_dir, dense=True).drop("top_items", "top_categories"), *RANGE, channel="1")
+    k = P.in_period(kpi_view(spark, sf_dir, dense=True).drop("top_items", "top_categories"), *RANGE, channel="1")
     return k.groupBy("date").agg(F.sum("sales").cast(MONEY_SUM).alias("revenue"),
                                  F.sum("txns").cast("bigint").alias("orders"))
 
@@ -192,7 +192,7 @@ SELECT 'weekly' AS period, DATE '{WEEK_CUR[0]}' AS start_date, DATE '{WEEK_CUR[1
 FROM cur, prev""")
 def q_report_summary(spark, sf_dir):
     """Report metadata + summary (weekly report ending on as_of, with growth)."""
-    kpi = kpi_table(spark, sf_dir, dense=True).drop("top_items", "top_categories")
+    kpi = kpi_view(spark, sf_dir, dense=True).drop("top_items", "top_categories")
     cur = P.period_aggregates(P.in_period(kpi, *WEEK_CUR))
     g = P.period_growth(kpi, *WEEK_CUR, *WEEK_PREV)
     both = cur.select(F.lit(1).alias("k"), "units").join(g.select(F.lit(1).alias("k"), "*"), "k")

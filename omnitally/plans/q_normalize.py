@@ -39,7 +39,7 @@ _BUYER = "' Buyer' || CAST(o_custkey AS VARCHAR) || '@Shop.Example '"
 PAY_CTE = f"""
 pay AS (
   SELECT l.*, 'SQ' || CAST(l.l_orderkey AS VARCHAR) AS order_id,
-         'PAY' || {_LINE_KEY} AS payment_id,
+         'PAY' || {_LINE_KEY} || '-' || CAST({_CENTS} AS VARCHAR) AS payment_id,
          strftime(l.l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS created,
          {_CENTS} AS amt,
          l.l_linestatus = 'F' AS done,

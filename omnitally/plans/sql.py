@@ -61,7 +61,8 @@ fact_order AS (
 
 FACT_ORDER_LINE = """
 fact_order_line AS (
-  SELECT concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) AS id,
+  SELECT concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+                   CAST(CAST(l.l_extendedprice AS DECIMAL(14,2)) * 100 AS BIGINT)) AS id,
          l.l_orderkey AS order_id,
          CASE WHEN l.l_partkey % 13 = 0 THEN NULL ELSE 'P' || CAST(l.l_partkey AS VARCHAR) END AS sku,
          p.p_name AS product_title,

@@ -241,7 +241,7 @@ def pos_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     amt = _cents(F.col("l_extendedprice"))
     created = iso(F.col("l_shipdate"))
     return j.select(
-        F.concat(F.lit("PAY"), _line_key()).alias("id"),
+        F.concat(F.lit("PAY"), _line_key(), F.lit("-"), amt.cast("string")).alias("id"),
         F.concat(F.lit("SQ"), F.col("l_orderkey").cast("string")).alias("orderId"),
         F.col("location").alias("locationId"), created.alias("createdAt"), created.alias("updatedAt"),
         _minor(amt).alias("amountMoney"),

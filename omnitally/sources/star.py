@@ -95,7 +95,9 @@ def fact_order_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part", "p_partkey", "p_name", "p_type")
     j = li.join(p, li.l_partkey == p.p_partkey, "left")
     return j.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+        # (order, line number) is not unique in the input; the price completes the key.
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                    (F.col("l_extendedprice").cast(MONEY) * 100).cast("bigint")).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.when(F.col("l_partkey") % 13 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("P"), F.col("l_partkey").cast("string"))).alias("sku"),

@@ -110,3 +110,12 @@ def ratio_dp(num: str | Column, den: str | Column, dp: int) -> Column:
     out = f"decimal(18,{dp})"
     scaled = half_up(n, d).cast("decimal(18,0)") * F.lit(10 ** -dp if dp else 1).cast(f"decimal({dp + 1},{dp})")
     return F.when(d > 0, scaled.cast(out)).otherwise(F.lit(0).cast(out))
+
+
+def merge_json(raw: str | Column, fields: dict[str, Column]) -> Column:
+    """Object spread-merge: add/replace top-level keys of a JSON object (values as text).
+    ``{...raw, k: v}`` becomes ``to_json(map_concat(from_json(raw), map(k, v)))``; later
+    keys win, so the new fields replace existing ones."""
+    base = F.coalesce(F.from_json(col_(raw), "map<string,string>"), F.create_map().cast("map<string,string>"))
+    extra = F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v.cast("string"))])
+    return F.to_json(F.map_concat(F.map_filter(base, lambda k, _: ~k.isin(list(fields))), extra))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from omnitally.functions.expr import MONEY, minor_to_money
+from omnitally.functions.expr import MONEY, merge_json, minor_to_money
 from omnitally.operators import normalize as N
 from omnitally.operators.upsert import latest_version
 
@@ -41,13 +41,19 @@ def apply_payments(orders: DataFrame, payment_versions: DataFrame) -> DataFrame:
 
 
 def apply_cancellations(events: DataFrame, cancellations: DataFrame) -> DataFrame:
-    """Revenue and add-ons set to 0 for cancelled bookings; attendees kept."""
-    c = cancellations.select(F.col("id").alias("cid")).distinct()
+    """Revenue and add-ons set to 0 for cancelled bookings; attendees kept. When both
+    sides carry ``raw_json`` / (``cancelled_at``, ``reason``), the raw payload is flagged."""
+    extra = [c for c in ("cancelled_at", "reason") if c in cancellations.columns]
+    c = cancellations.select(F.col("id").alias("cid"), *extra).dropDuplicates(["cid"])
     j = events.join(c, events.id == c.cid, "left")
     cancelled = F.col("cid").isNotNull()
-    return j.select("id", F.when(cancelled, F.lit(0).cast(MONEY)).otherwise(F.col("revenue")).alias("revenue"),
-                    F.when(cancelled, F.lit(0).cast(MONEY)).otherwise(F.col("add_on_sales")).alias("add_on_sales"),
-                    "attendees", cancelled.alias("cancelled"))
+    out = [F.col("id"), F.when(cancelled, F.lit(0).cast(MONEY)).otherwise(F.col("revenue")).alias("revenue"),
+           F.when(cancelled, F.lit(0).cast(MONEY)).otherwise(F.col("add_on_sales")).alias("add_on_sales"),
+           "attendees", cancelled.alias("cancelled")]
+    if "raw_json" in events.columns and extra:
+        flagged = merge_json("raw_json", {"cancelled": F.lit("true"), **{k: F.col(k) for k in extra}})
+        out.append(F.when(cancelled, flagged).otherwise(F.col("raw_json")).alias("raw_json"))
+    return j.select(*out)
 
 
 def apply_completions(events: DataFrame, completions: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ identities (P1-P12, A9, J5, J6). Column expressions only; no Python UDFs."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from omnitally.functions.expr import MONEY, customer_hash, external_id, minor_to_money, pii_hash
@@ -150,9 +150,14 @@ def pos_tenders(payments: DataFrame) -> DataFrame:
 
 
 def last_payment(payments: DataFrame) -> DataFrame:
-    """The last payment per order wins, any status (reconcile's payment map)."""
-    w = Window.partitionBy("orderId").orderBy(F.col("createdAt").desc(), F.col("id").desc())
-    return payments.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") == 1).drop("rn")
+    """The last payment per order wins, any status (reconcile's payment map).
+
+    A grouped ``max_by`` (combined map-side) rather than a window, so an order with a
+    huge number of payments is reduced in every task before the shuffle.
+    """
+    cols = [c for c in payments.columns if c != "orderId"]
+    return payments.filter(F.col("orderId").isNotNull()).groupBy("orderId") \
+        .agg(F.max_by(F.struct(*cols), F.struct("createdAt", "id")).alias("_p")).select("orderId", "_p.*")
 
 
 # --- booking -----------------------------------------------------------------------------

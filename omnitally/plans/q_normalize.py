@@ -406,16 +406,19 @@ def q_all_orders(spark, sf_dir):
 
 @register("raw_payload")
 def q_raw_payload(spark, sf_dir):
-    """Source payload kept beside the fact ({order, payments, fees}) as JSON text."""
+    """Source payload kept beside the facts. pos keeps {order, payments, fees}: the
+    order record (with its fee total) and each payment record are retained as JSON rows
+    keyed by the order id, so no order's payments are ever gathered into one value."""
     o = L.pos_orders(spark, sf_dir)
     p = L.pos_payments(spark, sf_dir)
-    plist = p.groupBy("orderId").agg(F.collect_list(F.struct("*")).alias("payments"))
-    per = N.payments_per_order(p)
-    j = o.join(plist, o.id == plist.orderId, "left").join(per, o.id == per.order_id, "left")
-    return j.select(F.concat(F.lit("pos_order_"), o.id).alias("id"),
-                    F.to_json(F.struct(F.struct(*[o[c] for c in o.columns]).alias("order"),
-                                       F.coalesce("payments", F.array()).alias("payments"),
-                                       minor_to_money(F.coalesce("fee_cents", F.lit(0))).alias("fees"))).alias("raw_json"))
+    per = N.payments_per_order(p).select("order_id", "fee_cents")
+    orders = o.join(per, o.id == per.order_id, "left").select(
+        F.lit("order").alias("record_type"), F.col("id"), F.col("id").alias("order_id"),
+        F.to_json(F.struct(F.struct(*[o[c] for c in o.columns]).alias("order"),
+                           minor_to_money(F.coalesce("fee_cents", F.lit(0))).alias("fees"))).alias("raw_json"))
+    payments = p.select(F.lit("payment").alias("record_type"), "id", F.col("orderId").alias("order_id"),
+                        F.to_json(F.struct("*")).alias("raw_json"))
+    return orders.unionByName(payments)
 
 
 # --- reconciliation ------------------------------------------------------------------------

@@ -197,3 +197,18 @@ def test_invariants_on_tables(spark, sf_small):
         *star.CELL, (F.col("pos") + 1).alias("item_rank"), "i.sku").toPandas()
     m = exact.merge(stored, on=["date", "channel_id", "location_id", "item_rank"], how="outer", indicator=True)
     assert (m["_merge"] == "both").all() and (m.sku_x == m.sku_y).all()
+
+
+def test_cancellation_flags_raw_payload(spark):
+    import json
+    ev = spark.createDataFrame([("b1", D("10.00"), D("2.00"), 3, '{"guests": "3", "cancelled": "false"}'),
+                                ("b2", D("5.00"), D("0.00"), 1, None)],
+                               "id string, revenue decimal(14,2), add_on_sales decimal(14,2), attendees int, raw_json string")
+    c = spark.createDataFrame([("b1", "2024-01-02T00:00:00Z", "weather"), ("zz", "2024-01-02T00:00:00Z", "x")],
+                              "id string, cancelled_at string, reason string")
+    rows = {r.id: r for r in EV.apply_cancellations(ev, c).collect()}
+    b1 = rows["b1"]
+    assert (b1.revenue, b1.add_on_sales, b1.attendees, b1.cancelled) == (D("0.00"), D("0.00"), 3, True)
+    assert json.loads(b1.raw_json) == {"guests": "3", "cancelled": "true", "cancelled_at": "2024-01-02T00:00:00Z",
+                                       "reason": "weather"}
+    assert rows["b2"].cancelled is False and rows["b2"].raw_json is None and "zz" not in rows

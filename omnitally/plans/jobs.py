@@ -88,3 +88,40 @@ def resync_day(spark: SparkSession, orders: DataFrame, lines: DataFrame, kpi_pat
 
 def new_table_dir(spark: SparkSession, name: str) -> str:
     return scratch_dir(spark, f"tables/{name}-{uuid.uuid4().hex[:8]}")
+
+
+def report_sections(spark: SparkSession, kpi: DataFrame, orders: DataFrame, lines: DataFrame, channels: DataFrame,
+                    period: str, as_of: str) -> dict[str, DataFrame]:
+    """The report dataset (metadata + summary + trends + channels + products +
+    categories) as lazy DataFrames over the KPI table; each section is a separate job."""
+    from omnitally.operators import period as P
+    from omnitally.operators import rank as R
+    n = P.REPORT_PERIODS[period]
+    ref = dt.date.fromisoformat(as_of)
+    start = ref - dt.timedelta(days=n)
+    comp_start, comp_end = start - dt.timedelta(days=n + 1), start - dt.timedelta(days=1)
+    cur = P.in_period(kpi, str(start), as_of)
+    summary = P.period_growth(kpi, str(start), as_of, str(comp_start), str(comp_end))
+    meta = spark.range(1).select(F.lit(period).alias("period"), F.lit(str(start)).cast("date").alias("start_date"),
+                                 F.lit(as_of).cast("date").alias("end_date"),
+                                 F.lit(str(comp_start)).cast("date").alias("comp_start_date"),
+                                 F.lit(str(comp_end)).cast("date").alias("comp_end_date"))
+    return {
+        "metadata": meta,
+        "summary": summary,
+        "trends": R.daily_trend(cur).orderBy("date"),
+        "channels": R.channel_performance(cur, channels),
+        "products": R.top_items_from_kpi(cur, 10),
+        "categories": R.top_categories_from_kpi(cur, 5),
+    }
+
+
+def write_report(sections: dict[str, DataFrame], path: str, fmt: str = "json") -> dict[str, str]:
+    """Write every report section (single small file each: sections are top-k or
+    per-day rows, never raw facts)."""
+    out = {}
+    for name, df in sections.items():
+        p = f"{path.rstrip('/')}/{name}"
+        df.coalesce(1).write.mode("overwrite").format(fmt).save(p)
+        out[name] = p
+    return out

@@ -69,3 +69,14 @@ def test_money_types_are_decimal(spark, sf_small):
     o = star.fact_order(spark, sf_small)
     assert dict(o.dtypes)["net_total"] == "decimal(14,2)"
     assert isinstance(o.first().net_total, Decimal)
+
+
+def test_report_sections_written(spark, sf_small):
+    from omnitally.plans.store import kpi_view
+    kpi = kpi_view(spark, sf_small, dense=True)
+    secs = jobs.report_sections(spark, kpi, None, None, star.dim_channel(spark, sf_small), "weekly", "2001-06-15")
+    paths = jobs.write_report(secs, jobs.new_table_dir(spark, "report"))
+    assert set(paths) == {"metadata", "summary", "trends", "channels", "products", "categories"}
+    assert spark.read.json(paths["trends"]).count() == 7
+    meta = spark.read.json(paths["metadata"]).first()
+    assert (meta.start_date, meta.comp_start_date) == ("2001-06-09", "2001-06-02")

@@ -10,8 +10,8 @@ Shuffle plan (see README "Scale notes"):
    ``countDistinct`` next to other aggregates (which would Expand every row).
 5. ``row_number() <= k`` compiles to a partial WindowGroupLimit before the shuffle, so a
    hot cell ships at most k rows per map task.
-6. The three per-cell results are combined with a union + groupBy on the cell key, which
-   is null-safe by construction and costs one shuffle of per-cell rows.
+6. Cell aggregates and the ranked rows are combined with one union + groupBy on the cell
+   key (null-safe by construction, hash-based collect_list), one shuffle of per-cell rows.
 """
 
 from __future__ import annotations
@@ -96,27 +96,29 @@ def rank_categories(ict: DataFrame, k: int = TOP_CATEGORIES) -> DataFrame:
         .filter(F.col("category_rank") <= k)
 
 
-def _ranked_array(df: DataFrame, rank_col: str, fields: list[str], name: str) -> DataFrame:
-    packed = F.struct(F.col(rank_col).alias("r"), *[F.col(f) for f in fields])
-    arr = F.transform(F.array_sort(F.collect_list(packed)),
-                      lambda x: F.struct(*[x[f].alias(f) for f in fields]))
-    return df.groupBy(*CELL).agg(arr.alias(name))
-
-
 def kpi_from_parts(cells: DataFrame, items: DataFrame, cats: DataFrame) -> DataFrame:
-    """Assemble the KPI row per cell (left-join semantics from the cell aggregates)."""
-    ti = _ranked_array(items, "item_rank", ["sku", "product_title", "qty", "revenue"], "top_items")
-    tc = _ranked_array(cats, "category_rank", ["category", "revenue", "units"], "top_categories")
-    base = cells.withColumn("top_items", F.lit(None).cast(ITEM_TYPE)) \
-        .withColumn("top_categories", F.lit(None).cast(CATEGORY_TYPE)).withColumn("_base", F.lit(True))
-    u = base.unionByName(ti, allowMissingColumns=True).unionByName(tc, allowMissingColumns=True)
+    """Assemble the KPI row per cell (left-join semantics from the cell aggregates).
+
+    Cell aggregates, ranked items (<= 10 per cell) and ranked categories (<= 5 per cell)
+    are unioned and grouped once by the cell key: one shuffle of per-cell rows, null-safe
+    on location, hash-based (collect_list), and the arrays are ordered by rank.
+    """
+    item = F.struct(F.col("item_rank").alias("r"), "sku", "product_title", "qty", "revenue")
+    cat = F.struct(F.col("category_rank").alias("r"), "category", "revenue", "units")
+    u = cells.withColumn("_base", F.lit(True)) \
+        .unionByName(items.select(*CELL, item.alias("_item")), allowMissingColumns=True) \
+        .unionByName(cats.select(*CELL, cat.alias("_cat")), allowMissingColumns=True)
     g = u.groupBy(*CELL).agg(
         F.max("_base").alias("_base"),
         F.max("sales").alias("sales"), F.max("txns").alias("txns"),
         F.max("unique_customers").alias("unique_customers"),
         F.max("total_line_items").alias("total_line_items"), F.max("units").alias("units"),
-        F.first("top_items", ignorenulls=True).alias("top_items"),
-        F.first("top_categories", ignorenulls=True).alias("top_categories"))
+        F.collect_list("_item").alias("_items"), F.collect_list("_cat").alias("_cats"))
+    top_items = F.transform(F.array_sort("_items"), lambda x: F.struct(
+        x["sku"].alias("sku"), x["product_title"].alias("product_title"), x["qty"].alias("qty"),
+        x["revenue"].alias("revenue")))
+    top_cats = F.transform(F.array_sort("_cats"), lambda x: F.struct(
+        x["category"].alias("category"), x["revenue"].alias("revenue"), x["units"].alias("units")))
     return g.filter(F.col("_base")).select(
         *CELL,
         F.col("sales").cast(MONEY).alias("sales"),
@@ -124,8 +126,8 @@ def kpi_from_parts(cells: DataFrame, items: DataFrame, cats: DataFrame) -> DataF
         F.coalesce("units", F.lit(0)).cast("bigint").alias("units"),
         ratio_2dp(cents("sales"), "txns").alias("aov"),
         ratio_2dp("total_line_items", "unique_customers", num_in_cents=False).alias("items_per_customer"),
-        F.coalesce("top_items", F.array().cast(ITEM_TYPE)).alias("top_items"),
-        F.coalesce("top_categories", F.array().cast(CATEGORY_TYPE)).alias("top_categories"),
+        top_items.cast(ITEM_TYPE).alias("top_items"),
+        top_cats.cast(CATEGORY_TYPE).alias("top_categories"),
     )
 
 

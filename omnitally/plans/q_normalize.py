@@ -377,7 +377,7 @@ def q_event_type(spark, sf_dir):
     return b.select("id", N.event_type("experience.name", "experience.category").alias("event_type"))
 
 
-@register("customer_identity", f"""
+IDENTITY_SQL = f"""
 WITH u AS (
   SELECT DISTINCT {_SHOP_HASH} AS customer_hash, 'shop' AS channel,
          'gid://shop/Customer/' || CAST(o_custkey AS VARCHAR) AS cid
@@ -386,7 +386,10 @@ WITH u AS (
   SELECT DISTINCT {_GUEST_HASH}, 'booking', 'G' || CAST(user_id AS VARCHAR) FROM events)
 SELECT customer_hash, MAX(CASE WHEN channel = 'shop' THEN cid END) AS shop_customer_id,
        CAST(NULL AS VARCHAR) AS pos_customer_id, MAX(CASE WHEN channel = 'booking' THEN cid END) AS booking_guest_id
-FROM u WHERE customer_hash IS NOT NULL GROUP BY customer_hash""")
+FROM u WHERE customer_hash IS NOT NULL GROUP BY customer_hash"""
+
+
+@register("customer_identity", IDENTITY_SQL)
 def q_customer_identity(spark, sf_dir):
     """Identity bridge, one row per hash with one id column per channel."""
     return Q.customer_identity(L.shop_orders(spark, sf_dir), L.bookings(spark, sf_dir))

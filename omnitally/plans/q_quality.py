@@ -10,6 +10,7 @@ from omnitally.operators import quality as Q
 from omnitally.plans import sql as S
 from omnitally.plans.catalog import register
 from omnitally.plans.q_core import kpi_table
+from omnitally.plans.q_normalize import IDENTITY_SQL, PAY_CTE
 from omnitally.sources import landed as L
 from omnitally.sources import star
 from omnitally.sources.tables import read
@@ -52,19 +53,33 @@ def q_duplicate_line_keys(spark, sf_dir):
 
 
 @register("unique_violations", S.with_(S.kpi_ctes()) + """
+, ident AS (""" + IDENTITY_SQL + """)
 SELECT 'kpi_cell' AS check_name, CAST(COUNT(*) AS BIGINT) AS violations FROM (
   SELECT date, channel_id, COALESCE(location_id, '') FROM kpi GROUP BY 1, 2, 3 HAVING COUNT(*) > 1)
 UNION ALL
-SELECT 'fact_order_id', CAST(COUNT(*) AS BIGINT) FROM (SELECT id FROM fact_order GROUP BY id HAVING COUNT(*) > 1)""")
+SELECT 'fact_order_id', CAST(COUNT(*) AS BIGINT) FROM (SELECT id FROM fact_order GROUP BY id HAVING COUNT(*) > 1)
+UNION ALL
+SELECT 'shop_customer_id', CAST(COUNT(*) AS BIGINT) FROM (
+  SELECT shop_customer_id FROM ident WHERE shop_customer_id IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)
+UNION ALL
+SELECT 'booking_guest_id', CAST(COUNT(*) AS BIGINT) FROM (
+  SELECT booking_guest_id FROM ident WHERE booking_guest_id IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)""")
 def q_unique_violations(spark, sf_dir):
     """Uniqueness PostgreSQL would enforce: KPI cell (date, channel,
-    coalesce(location, '')) and the order key."""
+    coalesce(location, '')), the order key, and each channel's customer id belonging to
+    one identity hash."""
     k = kpi_table(spark, sf_dir).select("date", "channel_id", F.coalesce("location_id", F.lit("")).alias("loc"))
-    a = k.groupBy("date", "channel_id", "loc").count().filter(F.col("count") > 1) \
-        .agg(F.count(F.lit(1)).alias("violations")).select(F.lit("kpi_cell").alias("check_name"), "violations")
-    b = Q.duplicate_keys(star.fact_order(spark, sf_dir)).agg(F.count(F.lit(1)).alias("violations")) \
-        .select(F.lit("fact_order_id").alias("check_name"), "violations")
-    return a.unionByName(b)
+
+    def violations(df, keys, name):
+        return df.groupBy(*keys).count().filter(F.col("count") > 1) \
+            .agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
+    ident = Q.customer_identity(L.shop_orders(spark, sf_dir), L.bookings(spark, sf_dir))
+    return violations(k, ["date", "channel_id", "loc"], "kpi_cell") \
+        .unionByName(violations(star.fact_order(spark, sf_dir), ["id"], "fact_order_id")) \
+        .unionByName(violations(ident.filter(F.col("shop_customer_id").isNotNull()), ["shop_customer_id"],
+                                "shop_customer_id")) \
+        .unionByName(violations(ident.filter(F.col("booking_guest_id").isNotNull()), ["booking_guest_id"],
+                                "booking_guest_id"))
 
 
 _EMAIL = r"^[^\s@]+@[^\s@]+\.[^\s@]+$"
@@ -108,7 +123,7 @@ def q_validate_rows(spark, sf_dir):
     return Q.validate_requests(r, CHANNELS).select("id", "reason", "valid")
 
 
-@register("mask_columns", S.with_(__import__("omnitally.plans.q_normalize", fromlist=["PAY_CTE"]).PAY_CTE) + """
+@register("mask_columns", S.with_(PAY_CTE) + """
 SELECT payment_id,
        '***' AS order_key,
        CASE WHEN email IS NOT NULL AND length(email) > 4 THEN '***' || right(email, 4) ELSE '***' END AS buyer_email,

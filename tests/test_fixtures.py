@@ -212,3 +212,56 @@ def test_cancellation_flags_raw_payload(spark):
     assert json.loads(b1.raw_json) == {"guests": "3", "cancelled": "true", "cancelled_at": "2024-01-02T00:00:00Z",
                                        "reason": "weather"}
     assert rows["b2"].cancelled is False and rows["b2"].raw_json is None and "zz" not in rows
+
+
+def test_reconcile_threshold_and_missing_order(spark):
+    src = spark.createDataFrame([("shop", dt.date(2024, 1, 1), D("10.00")), ("shop", dt.date(2024, 1, 2), D("10.00")),
+                                 ("pos", dt.date(2024, 1, 1), D("5.00")), ("pos", dt.date(2024, 1, 1), D("1.00"))],
+                                "source string, date date, rev decimal(14,2)")
+    wh = spark.createDataFrame([("shop", dt.date(2024, 1, 1), D("10.99")), ("shop", dt.date(2024, 1, 2), D("11.00")),
+                                ("pos", dt.date(2024, 1, 1), D("6.00"))],
+                               "source string, date date, rev decimal(14,2)")
+    r = {(x.source, x.date.day): x for x in Q.reconcile(src, wh).collect()}
+    assert r[("shop", 1)].status == "match"          # |0.99| < 1
+    assert r[("shop", 2)].status == "mismatch"       # |1.00| is not < 1
+    assert r[("pos", 1)].count_diff == -1 and r[("pos", 1)].status == "mismatch"   # one order missing
+    s = Q.reconcile_summary(Q.reconcile(src, wh)).first()
+    assert (s.matches, s.mismatches, s.errors, s.exit_level) == (1, 2, 0, 1)
+    assert {(x.source, x.date.day) for x in Q.mismatch_actions(Q.reconcile(src, wh)).collect()} == {("pos", 1)}
+
+
+def test_half_open_window_keeps_last_fraction_of_a_second(spark, sf_small):
+    from omnitally.plans import q_quality
+    df = spark.createDataFrame([(1, dt.datetime(1998, 1, 31, 23, 59, 59, 500000)), (2, dt.datetime(1998, 2, 1, 0, 0))],
+                               "id bigint, created_at timestamp_ntz")
+    lo = F.lit(q_quality.TS_WINDOW[0]).cast("timestamp_ntz")
+    hi = F.date_add(F.lit(q_quality.TS_WINDOW[1]).cast("date"), 1).cast("timestamp_ntz")
+    assert [r.id for r in df.filter((F.col("created_at") >= lo) & (F.col("created_at") < hi)).collect()] == [1]
+
+
+def test_completions_known_and_unknown(spark):
+    ev = spark.createDataFrame([("e1", 4), ("e2", 2)], "id string, attendees int")
+    comp = spark.createDataFrame([("e1", 4, 3), ("e9", 5, None)], "id string, guests_count int, actual_attendance int")
+    r = {x.id: x for x in EV.apply_completions(ev, comp).collect()}
+    assert (r["e1"].attendance, r["e1"].created) == (3, False)
+    assert (r["e9"].attendance, r["e9"].created) == (5, True)      # created, guest count as fallback
+    assert (r["e2"].attendance, r["e2"].created) == (2, False)
+
+
+def test_range_ranking_is_lossy_but_exact_variant_is_not(spark):
+    from omnitally.operators import rank as R
+    orders, lines = [], []
+    # Two days; item Z is 11th on each day (outside both daily top 10s) but first over the range.
+    for day in (1, 2):
+        oid = day
+        orders.append((oid, "c", "L", dt.datetime(2024, 1, day, 9), "h", D("100.00")))
+        for i in range(10):
+            lines.append((f"{day}-{i}", oid, f"S{day}{i}", "t", "C", 1, D("10.00")))
+        lines.append((f"{day}-z", oid, "Z", "z", "C", 1, D("9.00")))
+    o = spark.createDataFrame(orders, ORDER)
+    li = spark.createDataFrame(lines, LINE)
+    kpi = K.build_kpi_daily(o, li)
+    faithful = [r.sku for r in R.top_items_from_kpi(kpi, 1).collect()]
+    exact = [r.sku for r in R.top_items_exact(o.withColumn("gross_total", F.col("net_total")), li,
+                                                "2024-01-01", "2024-01-02", 1).collect()]
+    assert faithful != ["Z"] and exact == ["Z"]

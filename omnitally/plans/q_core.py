@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from omnitally.functions.expr import MONEY_SUM, surrogate_id
+from omnitally.operators import calendar as C
 from omnitally.operators import kpi as K
 from omnitally.plans import sql as S
 from omnitally.plans.catalog import register
 from omnitally.sources import star
+from omnitally.sources.tables import read
 
 
 def _facts(spark, sf_dir, dense=False):
@@ -32,11 +35,6 @@ def q_kpi_daily_dense(spark, sf_dir):
 
 # --- dimensions (S1, S2) -------------------------------------------------------------
 
-from omnitally.operators import calendar as C  # noqa: E402
-from omnitally.sources.tables import read  # noqa: E402
-from omnitally.functions.expr import MONEY_SUM, surrogate_id  # noqa: E402
-
-
 def dim_date_df(spark, sf_dir):
     o = read(spark, sf_dir, "orders", "o_orderdate")
     return C.dim_date(o.agg(F.max(F.year("o_orderdate")).alias("year")))

@@ -5,13 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from omnitally.functions.expr import MONEY, MONEY_SUM, external_id, minor_to_money, pii_hash
+from omnitally.functions.expr import MONEY, external_id, minor_to_money
 from omnitally.operators import normalize as N
 from omnitally.operators import quality as Q
 from omnitally.plans import sql as S
 from omnitally.plans.catalog import register
 from omnitally.sources import landed as L
-from omnitally.sources import star
 
 WINDOW = ("1998-01-01", "1998-03-31")
 POS_SCAN_LOCATIONS = ["L1", "L2", "L3"]
@@ -509,5 +508,3 @@ def q_mismatch_actions(spark, sf_dir):
     """sources/days to re-pull: status mismatch with a count difference."""
     return Q.mismatch_actions(reconcile_df(spark, sf_dir))
 
-
-_ = (MONEY_SUM, pii_hash, star)

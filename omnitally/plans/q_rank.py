@@ -6,13 +6,13 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from omnitally.functions.expr import MONEY_SUM, cents, growth_pct, pct, ratio_2dp, ratio_dp
+from omnitally.functions.expr import MONEY_SUM, cents, pct, ratio_2dp, ratio_dp
 from omnitally.operators import period as P
 from omnitally.operators import rank as R
 from omnitally.plans import sql as S
 from omnitally.plans.catalog import register
 from omnitally.plans.store import kpi_view
-from omnitally.plans.q_period import AS_OF, RANGE, WEEK_CUR, WEEK_PREV
+from omnitally.plans.q_period import RANGE, WEEK_CUR, WEEK_PREV
 from omnitally.sources import star
 
 _KPI = S.with_(S.kpi_ctes(dense=True), S.DIM_CHANNEL)
@@ -203,5 +203,3 @@ def q_report_summary(spark, sf_dir):
         F.col("sales_current").alias("sales"), F.col("txns_current").alias("txns"), "units",
         F.col("aov_current").alias("aov"), "sales_growth", "txns_growth", "aov_growth")
 
-
-_ = (AS_OF, growth_pct)

@@ -23,10 +23,15 @@ def _shop_money(c: str) -> Column:
 
 # --- shop ---------------------------------------------------------------------------
 
+def first_page(raw: DataFrame) -> DataFrame:
+    """Order-level fields come from page 0 of a paged record (headers repeat on pages)."""
+    return raw.filter(F.col("page") == 0) if "page" in raw.columns else raw
+
+
 def shop_orders(raw: DataFrame) -> DataFrame:
     """P1 (+P9/P10): order header; net = gross - refunded; location fixed."""
     gross, refunded = _shop_money("totalPriceSet"), _shop_money("totalRefundedSet")
-    return raw.select(
+    return first_page(raw).select(
         external_id("id", SHOP).alias("id"), F.lit(SHOP).alias("channel_id"),
         F.lit(SHOP_LOCATION).alias("location_id"), _ts("createdAt").alias("created_at"),
         _ts("updatedAt").alias("updated_at"),
@@ -60,25 +65,40 @@ def total_refunded(refunds: str = "refunds") -> Column:
 
 
 def shop_events(raw: DataFrame) -> DataFrame:
-    """Flat event payload into the order shape, with its defaults."""
+    """Flat event payload into the order shape, with its defaults.
+
+    Header fields come from page 0; line counts and totals are summed over every page
+    (a per-order aggregate, combined map-side)."""
+    lines = F.transform("line_items", lambda li: (li["price"].cast(MONEY) * li["quantity"]).cast(MONEY))
+    per_page = raw.select(F.col("id").alias("lid"), F.size("line_items").alias("n"),
+                          F.aggregate(lines, F.lit(0).cast("decimal(18,2)"),
+                                      lambda a, x: (a + x).cast("decimal(18,2)")).alias("t"))
+    per_order = per_page.groupBy("lid").agg(F.sum("n").cast("bigint").alias("n_lines"),
+                                            F.sum("t").cast("decimal(18,2)").alias("lines_total"))
+    head = _shop_event_header(first_page(raw))
+    return head.join(per_order, head._key == per_order.lid, "left").select(
+        "id", "name", "gross_total", "tax_total", "discount_total", "refunds_total",
+        F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_lines"),
+        F.coalesce("lines_total", F.lit(0)).cast("decimal(18,2)").alias("lines_total"),
+        "sale_tenders", "tendered", "gateway")
+
+
+def _shop_event_header(raw: DataFrame) -> DataFrame:
     zero = F.lit("0")
     txns = F.transform("transactions", lambda t: F.struct(
         F.upper(F.coalesce(t["kind"], F.lit("sale"))).alias("kind"),
         F.upper(F.coalesce(t["status"], F.lit("success"))).alias("status"),
         F.coalesce(t["amount"], zero).cast(MONEY).alias("amount"),
         F.coalesce(t["gateway"], F.lit("unknown")).alias("gateway")))
-    lines = F.transform("line_items", lambda li: (li["price"].cast(MONEY) * li["quantity"]).cast(MONEY))
     sales = F.filter(txns, lambda t: (t["kind"] == "SALE") & (t["status"] == "SUCCESS"))
     gid = F.concat(F.lit("gid://shop/Order/"), F.col("id").cast("string"))
     return raw.select(
-        external_id(gid, SHOP).alias("id"),
+        F.col("id").alias("_key"), external_id(gid, SHOP).alias("id"),
         F.coalesce("name", F.concat(F.lit("#"), F.col("order_number"))).alias("name"),
         F.coalesce("total_price", zero).cast(MONEY).alias("gross_total"),
         F.coalesce("total_tax", zero).cast(MONEY).alias("tax_total"),
         F.coalesce("total_discounts", zero).cast(MONEY).alias("discount_total"),
         total_refunded().alias("refunds_total"),
-        F.size("line_items").cast("bigint").alias("n_lines"),
-        F.aggregate(lines, F.lit(0).cast("decimal(18,2)"), lambda a, x: (a + x).cast("decimal(18,2)")).cast("decimal(18,2)").alias("lines_total"),
         F.size(sales).cast("bigint").alias("sale_tenders"),
         F.aggregate(sales, F.lit(0).cast("decimal(18,2)"), lambda a, t: (a + t["amount"]).cast("decimal(18,2)")).cast("decimal(18,2)")
          .alias("tendered"),
@@ -107,7 +127,8 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
 def pos_orders(raw: DataFrame, per_order: DataFrame) -> DataFrame:
     """P6 + J5: order totals from minor units; refunds from completed payments; fees are
     not subtracted; customer hash from the first payment carrying an email."""
-    j = raw.join(per_order, raw.id == per_order.order_id, "left")
+    head = first_page(raw)
+    j = head.join(per_order, head.id == per_order.order_id, "left")
     gross = minor_to_money("totalMoney.amount")
     refunds = minor_to_money(F.coalesce("refunded_cents", F.lit(0)))
     return j.select(

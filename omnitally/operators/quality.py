@@ -62,7 +62,8 @@ def customer_identity(shop_raw: DataFrame, bookings: DataFrame) -> DataFrame:
     pos never contributes an id (the reference never sets it). The triples are distinct
     before the groupBy, and the groupBy is partially aggregated map-side.
     """
-    shop = shop_raw.filter(F.col("customer").isNotNull()).select(
+    head = shop_raw.filter(F.col("page") == 0) if "page" in shop_raw.columns else shop_raw
+    shop = head.filter(F.col("customer").isNotNull()).select(
         customer_hash("customer.email", "customer.phone").alias("customer_hash"),
         F.lit("shop").alias("channel"), F.col("customer.id").alias("cid"))
     book = bookings.select(customer_hash("primary_guest.email", "primary_guest.phone").alias("customer_hash"),

@@ -117,7 +117,7 @@ def q_scan_shop_orders(spark, sf_dir):
     """S3: landed JSON text parsed with the explicit schema, then the created-at window.
     (Half-open end of day, see README.)"""
     text = L.shop_orders(spark, sf_dir).select(F.to_json(F.struct("*")).alias("body"))
-    r = text.select(L.parse(F.col("body"), "shop_order").alias("r")).select("r.*")
+    r = text.select(L.parse(F.col("body"), "shop_order").alias("r")).select("r.*").filter(F.col("page") == 0)
     created = F.to_timestamp("createdAt").cast("timestamp_ntz")
     r = r.filter((created >= F.lit(WINDOW[0]).cast("timestamp_ntz"))
                  & (created < F.date_add(F.lit(WINDOW[1]).cast("date"), 1).cast("timestamp_ntz")))
@@ -133,7 +133,7 @@ FROM pos_o WHERE location IN ('L1', 'L2', 'L3')
   AND o_orderdate >= TIMESTAMP '{WINDOW[0]}' AND o_orderdate < TIMESTAMP '{WINDOW[1]}' + INTERVAL 1 DAY""")
 def q_scan_pos_orders(spark, sf_dir):
     """Location IN list, created in window, sorted by created ascending."""
-    o = L.pos_orders(spark, sf_dir)
+    o = N.first_page(L.pos_orders(spark, sf_dir))
     created = F.to_timestamp("createdAt").cast("timestamp_ntz")
     o = o.filter(F.col("locationId").isin(POS_SCAN_LOCATIONS)
                  & (created >= F.lit(WINDOW[0]).cast("timestamp_ntz"))
@@ -219,7 +219,7 @@ SELECT 'shop_order_' || CAST(o_orderkey AS VARCHAR) AS order_id,
 FROM orders WHERE o_orderstatus <> 'O'""")
 def q_norm_shop_tenders(spark, sf_dir):
     """kind = SALE and status = SUCCESS only."""
-    raw = L.shop_orders(spark, sf_dir)
+    raw = N.first_page(L.shop_orders(spark, sf_dir))
     x = raw.select(external_id("id", N.SHOP).alias("order_id"), F.explode(N.shop_tenders(raw)).alias("t"))
     return x.select("order_id", "t.gateway", "t.amount")
 
@@ -248,7 +248,8 @@ SELECT o_orderkey AS order_id, CAST(CASE WHEN o_orderstatus = 'P' THEN 200 ELSE
 FROM orders""")
 def q_shop_total_refunded(spark, sf_dir):
     """P5: sum of refund amounts per order event, 0 when there are none."""
-    return L.shop_events(spark, sf_dir).select(F.col("id").alias("order_id"), N.total_refunded().alias("total_refunded"))
+    return N.first_page(L.shop_events(spark, sf_dir)).select(F.col("id").alias("order_id"),
+                                                             N.total_refunded().alias("total_refunded"))
 
 
 # --- pos normalisers ---------------------------------------------------------------------
@@ -261,6 +262,7 @@ FROM pos_o p LEFT JOIN per_order po ON p.id = po.order_id""")
 def q_payments_to_orders(spark, sf_dir):
     """A9 + J5: payments grouped per order, then looked up; orders without payments kept."""
     o, _, per = _pos(spark, sf_dir)
+    o = N.first_page(o)
     j = o.select("id").join(per, o.id == per.order_id, "left")
     return j.select(F.col("id").alias("order_id"), F.coalesce("n_payments", F.lit(0)).cast("bigint").alias("n_payments"),
                     minor_to_money(F.coalesce("paid_cents", F.lit(0))).alias("total_paid"),
@@ -306,7 +308,7 @@ SELECT p.id AS order_id, lp.payment_id AS last_payment_id, {M('p.total_cents')}
 FROM pos_o p LEFT JOIN lastp lp ON p.id = lp.order_id""")
 def q_recon_pos_net(spark, sf_dir):
     """reconcile's payment map -- the last payment per order wins, any status."""
-    o = L.pos_orders(spark, sf_dir)
+    o = N.first_page(L.pos_orders(spark, sf_dir))
     lp = N.last_payment(L.pos_payments(spark, sf_dir))
     j = o.join(lp.select("orderId", F.col("id").alias("pid"), "refundedMoney"), o.id == lp.orderId, "left")
     gross = minor_to_money("totalMoney.amount")
@@ -463,10 +465,10 @@ def reconcile_df(spark, sf_dir):
     o, _, per = _pos(spark, sf_dir)
     book_raw = L.bookings(spark, sf_dir)
     day = lambda c: F.to_date(F.to_timestamp(c))
-    shop_src = shop_raw.select(F.lit("shop").alias("source"), day("createdAt").alias("date"),
+    shop_src = N.first_page(shop_raw).select(F.lit("shop").alias("source"), day("createdAt").alias("date"),
                                (F.col("totalPriceSet.shopMoney.amount").cast(MONEY)
                                 - F.col("totalRefundedSet.shopMoney.amount").cast(MONEY)).alias("rev"))
-    pos_src = o.join(per, o.id == per.order_id, "left").select(
+    pos_src = N.first_page(o).join(per, o.id == per.order_id, "left").select(
         F.lit("pos").alias("source"), day("createdAt").alias("date"),
         (minor_to_money("totalMoney.amount") - minor_to_money(F.coalesce("refunded_cents", F.lit(0)))).alias("rev"))
     book_src = book_raw.select(F.lit("booking").alias("source"), F.to_date("event_date").alias("date"),

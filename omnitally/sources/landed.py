@@ -6,8 +6,11 @@ tables the same nested records are derived from ``orders``/``lineitem``/``custom
 ``part``/``nation`` (shop and pos orders, pos payments) and ``events`` (bookings), so every
 normaliser runs over data that grows with the input.
 
-Per-order line lists are bounded by the order itself (a vendor order carries at most a
-few hundred lines), so the ``collect_list`` per order key never gathers an unbounded group.
+Records are paged like the vendor APIs page them: at most ``PAGE_SIZE`` line items per
+record, keyed by (order, page) with the order header repeated on every page (line numbers
+start at 1, so every order has a page 0, and an order without lines is one page-0 record). The nested line lists are therefore built by a ``collect_list`` over
+groups of at most ``PAGE_SIZE`` lines, however many lines one order has; normalisers take
+the header from page 0 and the lines from every page.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ _MONEY_SET = "struct<shopMoney:struct<amount:string>>"
 _MINOR = "struct<amount:bigint,currency:string>"
 
 SHOP_ORDER_DDL = (
-    "id string, name string, createdAt string, updatedAt string, "
+    "id string, page int, name string, createdAt string, updatedAt string, "
     f"totalPriceSet {_MONEY_SET}, currentSubtotalPriceSet {_MONEY_SET}, totalDiscountsSet {_MONEY_SET}, "
     f"totalTaxSet {_MONEY_SET}, totalRefundedSet {_MONEY_SET}, "
     "customer struct<id:string,email:string,phone:string>, "
@@ -36,7 +39,7 @@ SHOP_ORDER_DDL = (
     f"amountSet:{_MONEY_SET},gateway:string>>>>")
 
 SHOP_EVENT_DDL = (
-    "id bigint, name string, order_number string, created_at string, updated_at string, total_price string, "
+    "id bigint, page int, name string, order_number string, created_at string, updated_at string, total_price string, "
     "subtotal_price string, total_discounts string, total_tax string, "
     "customer struct<id:bigint,email:string,phone:string>, "
     "line_items array<struct<id:bigint,name:string,sku:string,quantity:int,price:string,product_id:bigint,"
@@ -45,7 +48,7 @@ SHOP_EVENT_DDL = (
     "refunds array<struct<total_refund_set:struct<shop_money:struct<amount:string>>>>")
 
 POS_ORDER_DDL = (
-    "id string, locationId string, referenceId string, createdAt string, updatedAt string, state string, "
+    "id string, page int, locationId string, referenceId string, createdAt string, updatedAt string, state string, "
     f"totalMoney {_MINOR}, totalTaxMoney {_MINOR}, totalDiscountMoney {_MINOR}, totalServiceChargeMoney {_MINOR}, "
     "lineItems array<struct<uid:string,name:string,quantity:string,catalogObjectId:string,variationName:string,"
     f"basePriceMoney:{_MINOR},totalMoney:{_MINOR}>>")
@@ -64,6 +67,8 @@ BOOKING_DDL = (
     "primary_guest struct<id:string,email:string,phone:string,first_name:string,last_name:string>, "
     "created_at string, updated_at string")
 
+PAGE_SIZE = 100  # line items per record page
+
 SCHEMAS = {"shop_order": SHOP_ORDER_DDL, "shop_event": SHOP_EVENT_DDL, "pos_order": POS_ORDER_DDL,
            "pos_payment": POS_PAYMENT_DDL, "booking": BOOKING_DDL}
 
@@ -116,21 +121,32 @@ def _line_key() -> Column:
     return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+def _page() -> Column:
+    """Page of a line item: line numbers 1..100 on page 0, 101..200 on page 1, ..."""
+    return F.call_function("div", (F.col("l_linenumber") - 1).cast("bigint"), F.lit(PAGE_SIZE)).cast("int")
+
+
+def _paged(orders: DataFrame, lines: DataFrame, item: Column, name: str) -> DataFrame:
+    """orders LEFT JOIN (lines grouped by (order, page)); orders without lines get page 0."""
+    pages = lines.groupBy("l_orderkey", _page().alias("page")).agg(F.collect_list(item).alias(name))
+    return orders.join(pages, orders.o_orderkey == pages.l_orderkey, "left") \
+        .withColumn("page", F.coalesce("page", F.lit(0)))
+
+
 def _orders(spark, sf_dir):
     return read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
 
 
 def shop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested shop order records (one per order)."""
-    lines = _lines(spark, sf_dir).groupBy("l_orderkey").agg(F.collect_list(F.struct(F.struct(
+    item = F.struct(F.struct(
         F.concat(F.lit("gid://shop/LineItem/"), _line_key()).alias("id"),
         F.col("p_name").alias("name"), _sku().alias("sku"), F.col("l_quantity").cast("int").alias("quantity"),
         _amount(F.col("l_extendedprice")).alias("originalTotalSet"),
         F.struct(F.concat(F.lit("gid://shop/Product/"), F.col("l_partkey").cast("string")).alias("id"),
                  F.when(F.col("l_partkey") % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("p_type"))
-                 .alias("productType")).alias("product")).alias("node"))).alias("edges"))
-    o = _orders(spark, sf_dir)
-    j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+                 .alias("productType")).alias("product")).alias("node"))
+    j = _paged(_orders(spark, sf_dir), _lines(spark, sf_dir), item, "edges")
     key = F.col("o_custkey")
     customer = F.when(key % 10 == 0, F.lit(None)).otherwise(F.struct(
         F.concat(F.lit("gid://shop/Customer/"), key.cast("string")).alias("id"),
@@ -146,7 +162,7 @@ def shop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     txns = F.when(F.col("o_orderstatus") == "P", F.array(sale, refund)).otherwise(F.array(sale))
     created = iso(F.col("o_orderdate"))
     return j.select(
-        F.concat(F.lit("gid://shop/Order/"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.concat(F.lit("gid://shop/Order/"), F.col("o_orderkey").cast("string")).alias("id"), "page",
         F.concat(F.lit("#"), F.col("o_orderkey").cast("string")).alias("name"),
         created.alias("createdAt"), created.alias("updatedAt"),
         _amount(F.col("o_totalprice")).alias("totalPriceSet"),
@@ -166,12 +182,12 @@ def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shop_events_from(o: DataFrame, lines: DataFrame) -> DataFrame:
     """Order event records from order rows and (line x part) rows."""
-    lines = lines.groupBy("l_orderkey").agg(F.collect_list(F.struct(
+    item = F.struct(
         F.col("l_linenumber").cast("bigint").alias("id"), F.col("p_name").alias("name"), _sku().alias("sku"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("p_retailprice").cast(MONEY).cast("string").alias("price"),
-        F.col("l_partkey").alias("product_id"), F.col("p_type").alias("product_type"))).alias("line_items"))
-    j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+        F.col("l_partkey").alias("product_id"), F.col("p_type").alias("product_type"))
+    j = _paged(o, lines, item, "line_items")
     key, st = F.col("o_custkey"), F.col("o_orderstatus")
     txn = F.struct(F.when(key % 4 == 0, F.lit(None).cast("string")).otherwise(F.lit("sale")).alias("kind"),
                    F.when(key % 4 == 1, F.lit(None).cast("string"))
@@ -183,7 +199,7 @@ def shop_events_from(o: DataFrame, lines: DataFrame) -> DataFrame:
         schema("shop_event")["refunds"].dataType))
     created = iso(F.col("o_orderdate"))
     return j.select(
-        F.col("o_orderkey").alias("id"),
+        F.col("o_orderkey").alias("id"), "page",
         F.when(F.col("o_orderkey") % 4 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("#"), F.col("o_orderkey").cast("string"))).alias("name"),
         F.col("o_orderkey").cast("string").alias("order_number"), created.alias("created_at"),
@@ -207,21 +223,20 @@ def _order_location(spark, sf_dir):
 
 def pos_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested pos order records (minor units), one per order."""
-    lines = _lines(spark, sf_dir).groupBy("l_orderkey").agg(F.collect_list(F.struct(
+    item = F.struct(
         _line_key().alias("uid"), F.col("p_name").alias("name"),
         F.concat(F.col("l_quantity").cast("int").cast("string"),
                  F.when(F.col("l_linenumber") % 3 == 0, F.lit(".0")).otherwise(F.lit(""))).alias("quantity"),
         _sku().alias("catalogObjectId"),
         F.when(F.col("l_partkey") % 2 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("variationName"),
         _minor(_cents(F.col("p_retailprice"))).alias("basePriceMoney"),
-        _minor(_cents(F.col("l_extendedprice"))).alias("totalMoney"))).alias("lineItems"))
-    o = _order_location(spark, sf_dir)
-    j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+        _minor(_cents(F.col("l_extendedprice"))).alias("totalMoney"))
+    j = _paged(_order_location(spark, sf_dir), _lines(spark, sf_dir), item, "lineItems")
     st, total = F.col("o_orderstatus"), _cents(F.col("o_totalprice"))
     created = iso(F.col("o_orderdate"))
     none = F.lit(None).cast(_MINOR)
     return j.select(
-        F.concat(F.lit("SQ"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.concat(F.lit("SQ"), F.col("o_orderkey").cast("string")).alias("id"), "page",
         F.col("location").alias("locationId"), F.lit(None).cast("string").alias("referenceId"),
         created.alias("createdAt"), created.alias("updatedAt"),
         F.when(st == "O", F.lit("OPEN")).otherwise(F.lit("COMPLETED")).alias("state"),

@@ -102,3 +102,31 @@ def test_stream_daily_totals_match_batch(spark, sf_small):
     want = e.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), src.alias("source")) \
         .agg(F.count(F.lit(1)).alias("deliveries"))
     assert sorted(map(tuple, got.select("day", "source", "deliveries").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_paged_vendor_records_keep_every_line(spark):
+    """An order with 250 lines lands as 3 record pages; normalisers see 1 header, 250 lines."""
+    from omnitally.operators import normalize as N
+    from omnitally.sources import landed as L
+    d = jobs.new_table_dir(spark, "paged_input")
+    spark.createDataFrame([(7, 3, "F", 1234.5, dt.datetime(2001, 1, 2), "1-URGENT")],
+                          "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+                          "o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{d}/orders.parquet")
+    spark.createDataFrame([(7, n, n % 5, 1, 2.0, 10.0, 0.0, 0.0, "N", "F", dt.datetime(2001, 1, 3)) for n in range(1, 251)],
+                          "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                          "l_linestatus string, l_shipdate timestamp_ntz").write.parquet(f"{d}/lineitem.parquet")
+    spark.createDataFrame([(k, f"part {k}", "B", "T", 1, 5.0) for k in range(5)],
+                          "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+                          "p_retailprice double").write.parquet(f"{d}/part.parquet")
+    spark.createDataFrame([(3, "c", 1, 0.0, "x")], "c_custkey bigint, c_name string, c_nationkey int, "
+                          "c_acctbal double, c_mktsegment string").write.parquet(f"{d}/customer.parquet")
+    shop = L.shop_orders(spark, d)
+    assert sorted(r.page for r in shop.select("page").collect()) == [0, 1, 2]
+    assert max(r.n for r in shop.select(F.size("lineItems.edges").alias("n")).collect()) == 100
+    assert N.shop_orders(shop).count() == 1 and N.shop_lines(shop).count() == 250
+    ev = N.shop_events(L.shop_events(spark, d)).first()
+    assert ev.n_lines == 250 and ev.lines_total == Decimal("2500.00")
+    pos = L.pos_orders(spark, d)
+    per = N.payments_per_order(L.pos_payments(spark, d))
+    assert N.pos_orders(pos, per).count() == 1 and N.pos_lines(pos).count() == 250

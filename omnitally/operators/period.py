@@ -74,8 +74,10 @@ def period_aggregates(kpi: DataFrame) -> DataFrame:
         ratio_2dp(F.coalesce(cents("s"), F.lit(0)), F.coalesce("t", F.lit(0))).alias("aov_weighted"))
 
 
-def period_growth(kpi: DataFrame, cur_start: str, cur_end: str, prev_start: str, prev_end: str) -> DataFrame:
-    """Current vs previous period in one scan with conditional aggregates."""
+def period_growth(kpi: DataFrame, cur_start: str, cur_end: str, prev_start: str, prev_end: str,
+                  with_units: bool = False) -> DataFrame:
+    """Current vs previous period in one scan with conditional aggregates
+    (``with_units`` adds the current period's units for the report summary)."""
     cur = F.col("date").between(F.lit(cur_start).cast("date"), F.lit(cur_end).cast("date"))
     prev = F.col("date").between(F.lit(prev_start).cast("date"), F.lit(prev_end).cast("date"))
     k = kpi.filter(cur | prev)
@@ -88,14 +90,15 @@ def period_growth(kpi: DataFrame, cur_start: str, cur_end: str, prev_start: str,
     a = k.agg(s("sales", cur).alias("sc"), s("sales", prev).alias("sp"),
               s("txns", cur).alias("tc"), s("txns", prev).alias("tp"),
               s("aov", cur).alias("ac"), n("aov", cur).alias("nc"),
-              s("aov", prev).alias("ap"), n("aov", prev).alias("np"))
+              s("aov", prev).alias("ap"), n("aov", prev).alias("np"), s("units", cur).alias("uc"))
     sales_c = F.coalesce("sc", F.lit(0)).cast(MONEY_SUM)
     sales_p = F.coalesce("sp", F.lit(0)).cast(MONEY_SUM)
     tx_c = F.coalesce("tc", F.lit(0)).cast("bigint")
     tx_p = F.coalesce("tp", F.lit(0)).cast("bigint")
     aov_c = ratio_2dp(F.coalesce(cents("ac"), F.lit(0)), "nc")
     aov_p = ratio_2dp(F.coalesce(cents("ap"), F.lit(0)), "np")
-    return a.select(sales_c.alias("sales_current"), sales_p.alias("sales_previous"),
+    extra = [F.coalesce("uc", F.lit(0)).cast("bigint").alias("units_current")] if with_units else []
+    return a.select(*extra, sales_c.alias("sales_current"), sales_p.alias("sales_previous"),
                     growth_pct(sales_c, sales_p).alias("sales_growth"),
                     tx_c.alias("txns_current"), tx_p.alias("txns_previous"),
                     growth_pct(tx_c, tx_p).alias("txns_growth"),

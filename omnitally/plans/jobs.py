@@ -31,13 +31,53 @@ def write_kpi(kpi: DataFrame, path: str) -> str:
     return path
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def publish_version(spark: SparkSession, base: str, version: str) -> None:
+    """Point readers at a finished version: ``_CURRENT`` is rewritten atomically (write a
+    temporary file, then rename over the pointer)."""
+    fs, ptr = _fs(spark, f"{base.rstrip('/')}/_CURRENT")
+    _, tmp = _fs(spark, f"{base.rstrip('/')}/_CURRENT.{uuid.uuid4().hex}")
+    out = fs.create(tmp, True)
+    out.write(bytearray(version.encode("utf-8")))
+    out.close()
+    fs.delete(ptr, False)
+    fs.rename(tmp, ptr)
+
+
+def current_version(spark: SparkSession, base: str) -> str:
+    fs, ptr = _fs(spark, f"{base.rstrip('/')}/_CURRENT")
+    stream = fs.open(ptr)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(
+            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return reader.readLine()
+    finally:
+        stream.close()
+
+
+def read_current_kpi(spark: SparkSession, base: str) -> DataFrame:
+    """What dashboards read: the last published KPI version."""
+    return spark.read.parquet(current_version(spark, base))
+
+
 def refresh_kpi(spark: SparkSession, orders: DataFrame, lines: DataFrame, base: str, as_of: str) -> tuple[str, DataFrame]:
-    """Recompute into a fresh version directory; readers of the previous version are
-    never blocked, and the caller switches to the returned path. An audit row records
+    """Recompute into a fresh version directory, then publish it; readers of the
+    previous version are never blocked and never see a partial table. An audit row records
     success or failure."""
     version = f"{base.rstrip('/')}/v={dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     try:
         write_kpi(K.build_kpi_daily(orders, lines), version)
+        publish_version(spark, base, version)
         status, err = "success", None
     except Exception as e:  # noqa: BLE001 - recorded, then re-raised
         status, err = "failed", str(e)[:500]

@@ -193,13 +193,13 @@ FROM cur, prev""")
 def q_report_summary(spark, sf_dir):
     """Report metadata + summary (weekly report ending on as_of, with growth)."""
     kpi = kpi_view(spark, sf_dir, dense=True).drop("top_items", "top_categories")
-    cur = P.period_aggregates(P.in_period(kpi, *WEEK_CUR))
-    g = P.period_growth(kpi, *WEEK_CUR, *WEEK_PREV)
-    both = cur.select(F.lit(1).alias("k"), "units").join(g.select(F.lit(1).alias("k"), "*"), "k")
-    return both.select(
+    # One scan with conditional aggregates for both periods (no join of one-row frames).
+    g = P.period_growth(kpi, *WEEK_CUR, *WEEK_PREV, with_units=True)
+    return g.select(
         F.lit("weekly").alias("period"), F.lit(WEEK_CUR[0]).cast("date").alias("start_date"),
         F.lit(WEEK_CUR[1]).cast("date").alias("end_date"), F.lit(WEEK_PREV[0]).cast("date").alias("comp_start_date"),
         F.lit(WEEK_PREV[1]).cast("date").alias("comp_end_date"),
-        F.col("sales_current").alias("sales"), F.col("txns_current").alias("txns"), "units",
+        F.col("sales_current").alias("sales"), F.col("txns_current").alias("txns"),
+        F.col("units_current").alias("units"),
         F.col("aov_current").alias("aov"), "sales_growth", "txns_growth", "aov_growth")
 

@@ -107,29 +107,39 @@ def run_ingest(spark: SparkSession, sf_dir: str, timeout: int = 600) -> str:
 
 
 def run_upsert_orders(spark: SparkSession, sf_dir: str, timeout: int = 600) -> str:
-    """Order events -> normalise (P4) -> upsert by id into the order table."""
+    """Order events -> normalise (P4) -> upsert by id into the order table.
+
+    Each micro-batch is merged on write: only the created-date partitions the batch
+    touches are read, merged (newest batch wins) and overwritten. A replayed batch merges
+    the same rows again and leaves the table unchanged.
+    """
+    from omnitally.plans import jobs
     out = run_dir(spark, "orders")
+    table = f"{out}/orders"
     orders = read_stream(spark, sf_dir, "orders")
     lines = L._lines(spark, sf_dir)  # static side of a stream-static join
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         li = lines.join(batch.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
         raw = L.shop_events_from(batch, li)
-        norm = N.shop_events(raw).withColumn("batch_id", F.lit(batch_id)) \
-            .withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz"))
-        norm.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("batch_id").parquet(f"{out}/versions")
+        dates = N.first_page(raw).select(F.concat(F.lit("shop_order_"), F.col("id").cast("string")).alias("id"),
+                                         F.to_date(F.to_timestamp("created_at")).alias("created_date"))
+        rows = N.shop_events(raw).join(dates, "id").withColumn("updated_at", F.lit(batch_id).cast("bigint"))
+        if jobs.path_exists(spark, f"{table}/_SUCCESS"):
+            jobs.upsert_partitions(spark, table, rows, "id", "created_date", ["updated_at"])
+        else:
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy("created_date").parquet(table)
 
     q = orders.writeStream.foreachBatch(handle).option("checkpointLocation", f"{out}/_checkpoint") \
         .trigger(availableNow=True).start()
     q.awaitTermination(timeout)
-    return f"{out}/versions"
+    return table
 
 
-def current_orders(spark: SparkSession, versions_path: str) -> DataFrame:
-    """The upserted order table: newest version per id (batch id, then update time)."""
-    v = spark.read.parquet(versions_path)
-    return latest_version(v, "id", ["batch_id", "updated_at"]).drop("batch_id", "updated_at")
+def current_orders(spark: SparkSession, table: str) -> DataFrame:
+    """The upserted order table (one row per id)."""
+    return spark.read.parquet(table).drop("updated_at")
 
 
 def run_dedupe(spark: SparkSession, sf_dir: str, timeout: int = 600) -> str:

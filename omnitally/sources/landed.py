@@ -77,9 +77,30 @@ def schema(kind: str) -> T.StructType:
     return T._parse_datatype_string(SCHEMAS[kind])
 
 
-def read_landed(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Read landed JSON lines of one record kind with its explicit schema."""
-    return spark.read.schema(SCHEMAS[kind]).option("mode", "PERMISSIVE").json(path)
+CORRUPT = "_corrupt_record"
+
+
+def read_landed(spark: SparkSession, path: str, kind: str, keep_corrupt: bool = False) -> DataFrame:
+    """Read landed JSON lines of one record kind with its explicit schema.
+
+    With ``keep_corrupt`` a malformed line does not fail the load: it arrives with all
+    fields null and its text in ``_corrupt_record`` (I10), ready for ``split_corrupt``.
+    """
+    ddl = SCHEMAS[kind] + (f", {CORRUPT} string" if keep_corrupt else "")
+    r = spark.read.schema(ddl).option("mode", "PERMISSIVE")
+    if keep_corrupt:
+        r = r.option("columnNameOfCorruptRecord", CORRUPT)
+    return r.json(path)
+
+
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, quarantined raw lines); the rest of the batch continues.
+
+    Spark refuses queries over raw JSON that reference only the corrupt-record column, so
+    persist the parsed frame first (``cache()``, or ``checkpoint()`` for long lineage).
+    """
+    bad = F.col(CORRUPT).isNotNull()
+    return df.filter(~bad).drop(CORRUPT), df.filter(bad).select(CORRUPT)
 
 
 def parse(body: Column, kind: str) -> Column:

@@ -160,3 +160,15 @@ def test_stream_upsert_replay_is_idempotent(spark, sf_small):
     jobs.upsert_partitions(spark, table, again, "id", "created_date", ["updated_at"])
     assert sorted(map(tuple, ST.current_orders(spark, table).collect())) == before
     assert len(before) == spark.read.parquet(f"{sf_small}/orders.parquet").count()
+
+
+def test_landed_json_quarantines_malformed_lines(spark, sf_small):
+    from omnitally.operators import normalize as N
+    from omnitally.sources import landed as L
+    path = jobs.new_table_dir(spark, "landed_bad")
+    good = L.shop_orders(spark, sf_small).select(F.to_json(F.struct("*")).alias("value"))
+    bad = spark.createDataFrame([('{"id": "gid://shop/Order/1", "name": ',), ("not json",)], "value string")
+    good.unionByName(bad).write.text(path)
+    valid, quarantined = L.split_corrupt(L.read_landed(spark, path, "shop_order", keep_corrupt=True).cache())
+    assert quarantined.count() == 2
+    assert N.shop_orders(valid).count() == good.count()

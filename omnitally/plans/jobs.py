@@ -21,13 +21,25 @@ from omnitally.session import scratch_dir
 AUDIT_COLUMNS = ["id", "source", "type", "status", "ts", "payload", "error"]
 
 
-def write_kpi(kpi: DataFrame, path: str) -> str:
-    """Full build, partitioned by date so period queries prune partitions.
+def clustered(df: DataFrame, partition_col: str) -> DataFrame:
+    """Cluster rows by the output partition column before a partitioned write.
 
-    Rows are clustered by date before the write so each task writes few files per
-    partition; AQE coalesces the shuffle to sensible file sizes.
+    The ``rebalance`` hint shuffles by the column and lets AQE split oversized (skewed)
+    partitions and merge small ones, so each output partition gets few, reasonably sized
+    files instead of one file per task per partition.
     """
-    kpi.repartition("date").write.mode("overwrite").partitionBy("date").parquet(path)
+    return df.hint("rebalance", partition_col)
+
+
+def write_partitioned(df: DataFrame, path: str, partition_col: str, dynamic: bool) -> None:
+    mode = "dynamic" if dynamic else "static"
+    clustered(df, partition_col).write.mode("overwrite").option("partitionOverwriteMode", mode) \
+        .partitionBy(partition_col).parquet(path)
+
+
+def write_kpi(kpi: DataFrame, path: str) -> str:
+    """Full build, partitioned by date so period queries prune partitions."""
+    write_partitioned(kpi, path, "date", dynamic=False)
     return path
 
 
@@ -109,8 +121,7 @@ def upsert_partitions(spark: SparkSession, target: str, batch: DataFrame, key: s
     touched = batch.select(partition_col).distinct()
     current = spark.read.parquet(target).join(touched, partition_col, "left_semi")
     merged = U.upsert(current, batch, key, order_cols).checkpoint(eager=True)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(partition_col).parquet(target)
+    write_partitioned(merged, target, partition_col, dynamic=True)
 
 
 def resync_day(spark: SparkSession, orders: DataFrame, lines: DataFrame, kpi_path: str, day: str) -> DataFrame:
@@ -122,7 +133,7 @@ def resync_day(spark: SparkSession, orders: DataFrame, lines: DataFrame, kpi_pat
     o = orders.filter(F.to_date("created_at") == F.lit(day).cast("date"))
     li = lines.join(o.select(F.col("id").alias("order_id")), "order_id", "left_semi")
     cells = K.build_kpi_daily(o, li).checkpoint(eager=True)
-    cells.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(kpi_path)
+    write_partitioned(cells, kpi_path, "date", dynamic=True)
     return cells
 
 

@@ -127,9 +127,8 @@ def run_upsert_orders(spark: SparkSession, sf_dir: str, timeout: int = 600) -> s
         rows = N.shop_events(raw).join(dates, "id").withColumn("updated_at", F.lit(batch_id).cast("bigint"))
         if jobs.path_exists(spark, f"{table}/_SUCCESS"):
             jobs.upsert_partitions(spark, table, rows, "id", "created_date", ["updated_at"])
-        else:
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-                .partitionBy("created_date").parquet(table)
+        else:  # first batch creates the table (a replay of it rewrites the same content)
+            jobs.write_partitioned(rows, table, "created_date", dynamic=False)
 
     q = orders.writeStream.foreachBatch(handle).option("checkpointLocation", f"{out}/_checkpoint") \
         .trigger(availableNow=True).start()

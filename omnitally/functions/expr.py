@@ -18,6 +18,15 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def utc_ts(c: str | Column) -> Column:
+    """ISO-8601 text (with 'Z' or an offset) to the UTC wall-clock as timestamp_ntz.
+
+    Independent of the session time zone: the parsed instant is rendered in the session
+    zone and converted from there to UTC.
+    """
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.to_timestamp(col_(c)).cast("timestamp_ntz"))
+
+
 def money(c: str | Column) -> Column:
     """Cast to the warehouse money type (strings and doubles; no float step for strings)."""
     return col_(c).cast(MONEY)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from omnitally.functions.expr import MONEY, customer_hash, external_id, minor_to_money, pii_hash
+from omnitally.functions.expr import MONEY, customer_hash, external_id, minor_to_money, pii_hash, utc_ts
 
 SHOP, POS, BOOKING = "shop", "pos", "booking"
 SHOP_LOCATION = "online-shop"
@@ -14,7 +14,7 @@ SHOP_LOCATION = "online-shop"
 
 def _ts(c: str | Column) -> Column:
     """ISO-8601 text to timestamp (session zone UTC), stored without zone."""
-    return F.to_timestamp(F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")
+    return utc_ts(c)
 
 
 def _shop_money(c: str) -> Column:

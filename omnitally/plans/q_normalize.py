@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from omnitally.functions.expr import MONEY, external_id, minor_to_money
+from omnitally.functions.expr import MONEY, external_id, minor_to_money, utc_ts
 from omnitally.operators import normalize as N
 from omnitally.operators import quality as Q
 from omnitally.plans import sql as S
@@ -118,7 +118,7 @@ def q_scan_shop_orders(spark, sf_dir):
     (Half-open end of day, see README.)"""
     text = L.shop_orders(spark, sf_dir).select(F.to_json(F.struct("*")).alias("body"))
     r = text.select(L.parse(F.col("body"), "shop_order").alias("r")).select("r.*").filter(F.col("page") == 0)
-    created = F.to_timestamp("createdAt").cast("timestamp_ntz")
+    created = utc_ts("createdAt")
     r = r.filter((created >= F.lit(WINDOW[0]).cast("timestamp_ntz"))
                  & (created < F.date_add(F.lit(WINDOW[1]).cast("date"), 1).cast("timestamp_ntz")))
     return r.orderBy(created).select(
@@ -134,7 +134,7 @@ FROM pos_o WHERE location IN ('L1', 'L2', 'L3')
 def q_scan_pos_orders(spark, sf_dir):
     """Location IN list, created in window, sorted by created ascending."""
     o = N.first_page(L.pos_orders(spark, sf_dir))
-    created = F.to_timestamp("createdAt").cast("timestamp_ntz")
+    created = utc_ts("createdAt")
     o = o.filter(F.col("locationId").isin(POS_SCAN_LOCATIONS)
                  & (created >= F.lit(WINDOW[0]).cast("timestamp_ntz"))
                  & (created < F.date_add(F.lit(WINDOW[1]).cast("date"), 1).cast("timestamp_ntz")))
@@ -149,7 +149,7 @@ FROM pay WHERE location IN ('L1', 'L2', 'L3')
 def q_scan_pos_payments(spark, sf_dir):
     """Payments by location and time window."""
     p = L.pos_payments(spark, sf_dir)
-    created = F.to_timestamp("createdAt").cast("timestamp_ntz")
+    created = utc_ts("createdAt")
     p = p.filter(F.col("locationId").isin(POS_SCAN_LOCATIONS)
                  & (created >= F.lit(WINDOW[0]).cast("timestamp_ntz"))
                  & (created < F.date_add(F.lit(WINDOW[1]).cast("date"), 1).cast("timestamp_ntz")))
@@ -464,7 +464,7 @@ def reconcile_df(spark, sf_dir):
     shop_raw = L.shop_orders(spark, sf_dir)
     o, _, per = _pos(spark, sf_dir)
     book_raw = L.bookings(spark, sf_dir)
-    day = lambda c: F.to_date(F.to_timestamp(c))
+    day = lambda c: F.to_date(utc_ts(c))
     shop_src = N.first_page(shop_raw).select(F.lit("shop").alias("source"), day("createdAt").alias("date"),
                                (F.col("totalPriceSet.shopMoney.amount").cast(MONEY)
                                 - F.col("totalRefundedSet.shopMoney.amount").cast(MONEY)).alias("rev"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from omnitally.functions import security as SEC
+from omnitally.functions.expr import utc_ts
 from omnitally.operators import normalize as N
 from omnitally.operators.upsert import latest_version
 from omnitally.session import scratch_dir
@@ -123,7 +124,7 @@ def run_upsert_orders(spark: SparkSession, sf_dir: str, timeout: int = 600) -> s
         li = lines.join(batch.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
         raw = L.shop_events_from(batch, li)
         dates = N.first_page(raw).select(F.concat(F.lit("shop_order_"), F.col("id").cast("string")).alias("id"),
-                                         F.to_date(F.to_timestamp("created_at")).alias("created_date"))
+                                         F.to_date(utc_ts("created_at")).alias("created_date"))
         rows = N.shop_events(raw).join(dates, "id").withColumn("updated_at", F.lit(batch_id).cast("bigint"))
         if jobs.path_exists(spark, f"{table}/_SUCCESS"):
             jobs.upsert_partitions(spark, table, rows, "id", "created_date", ["updated_at"])

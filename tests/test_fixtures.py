@@ -265,3 +265,15 @@ def test_range_ranking_is_lossy_but_exact_variant_is_not(spark):
     exact = [r.sku for r in R.top_items_exact(o.withColumn("gross_total", F.col("net_total")), li,
                                                 "2024-01-01", "2024-01-02", 1).collect()]
     assert faithful != ["Z"] and exact == ["Z"]
+
+
+@pytest.mark.parametrize("tz", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_iso_parsing_is_session_zone_independent(spark, tz):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        df = spark.createDataFrame([("2024-01-01T23:30:00Z",), ("2024-01-02T01:00:00+02:00",)], "s string")
+        got = [r[0] for r in df.select(X.utc_ts("s")).collect()]
+        assert got == [dt.datetime(2024, 1, 1, 23, 30), dt.datetime(2024, 1, 1, 23, 0)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from omnitally.functions.expr import MONEY, merge_json, minor_to_money
+from omnitally.functions.expr import MONEY, merge_json, minor_to_money, pii_hash
 from omnitally.operators import normalize as N
 from omnitally.operators.upsert import latest_version
 
@@ -32,12 +32,15 @@ def apply_payments(orders: DataFrame, payment_versions: DataFrame) -> DataFrame:
     does not exist yet is created from its payments (full outer join)."""
     latest = latest_version(payment_versions, "id", ["updatedAt"])
     per = N.payments_per_order(latest)
-    o = orders.select(F.col("id").alias("oid"))
+    existing = F.col("customer_hash") if "customer_hash" in orders.columns else F.lit(None).cast("string")
+    o = orders.select(F.col("id").alias("oid"), existing.alias("old_hash"))
     j = o.join(per, o.oid == per.order_id, "full_outer")
     return j.select(F.coalesce("oid", "order_id").alias("order_id"), F.col("oid").isNull().alias("created"),
                     F.coalesce("n_payments", F.lit(0)).cast("bigint").alias("n_payments"),
                     minor_to_money(F.coalesce("paid_cents", F.lit(0))).alias("total_paid"),
-                    minor_to_money(F.coalesce("refunded_cents", F.lit(0))).alias("total_refunded"))
+                    minor_to_money(F.coalesce("refunded_cents", F.lit(0))).alias("total_refunded"),
+                    # the customer hash is only set when the order has none yet
+                    F.coalesce("old_hash", pii_hash("buyer_email")).alias("customer_hash"))
 
 
 def apply_cancellations(events: DataFrame, cancellations: DataFrame) -> DataFrame:

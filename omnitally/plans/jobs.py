@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from omnitally.operators import kpi as K
 from omnitally.operators import upsert as U
-from omnitally.session import scratch_dir
+from omnitally.session import ensure_checkpoint_dir, scratch_dir
 
 AUDIT_COLUMNS = ["id", "source", "type", "status", "ts", "payload", "error"]
 
@@ -118,6 +118,7 @@ def upsert_partitions(spark: SparkSession, target: str, batch: DataFrame, key: s
     prunes the scan) and rewritten (dynamic overwrite). The merged result is checkpointed
     first so the overwrite never reads the files it replaces.
     """
+    ensure_checkpoint_dir(spark)
     touched = batch.select(partition_col).distinct()
     current = spark.read.parquet(target).join(touched, partition_col, "left_semi")
     merged = U.upsert(current, batch, key, order_cols).checkpoint(eager=True)
@@ -130,6 +131,7 @@ def resync_day(spark: SparkSession, orders: DataFrame, lines: DataFrame, kpi_pat
     The day filter on ``created_at`` reaches the order scan, and lines are restricted to
     that day's orders with a semi join, so the work is proportional to one day.
     """
+    ensure_checkpoint_dir(spark)
     o = orders.filter(F.to_date("created_at") == F.lit(day).cast("date"))
     li = lines.join(o.select(F.col("id").alias("order_id")), "order_id", "left_semi")
     cells = K.build_kpi_daily(o, li).checkpoint(eager=True)

@@ -277,3 +277,16 @@ def test_iso_parsing_is_session_zone_independent(spark, tz):
         assert got == [dt.datetime(2024, 1, 1, 23, 30), dt.datetime(2024, 1, 1, 23, 0)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_payment_sets_hash_only_when_empty(spark):
+    from omnitally.sources.landed import POS_PAYMENT_DDL
+    o = spark.createDataFrame([("o1", "keep"), ("o2", None)], "id string, customer_hash string")
+    mk = lambda pid, oid, upd, st: (pid, oid, "L", "2024-01-01T10:00:00Z", upd, (100, "USD"), st, "CARD", None,
+                                    [], None, "x@y.z")
+    p = spark.createDataFrame([mk("p1", "o1", "1", "APPROVED"), mk("p1", "o1", "2", "COMPLETED"),
+                               mk("p2", "o2", "1", "COMPLETED"), mk("p3", "o3", "1", "COMPLETED")], POS_PAYMENT_DDL)
+    r = {x.order_id: x for x in EV.apply_payments(o, p).collect()}
+    assert r["o1"].customer_hash == "keep" and r["o1"].total_paid == D("1.00") and r["o1"].n_payments == 1
+    assert r["o2"].customer_hash == hashlib.sha256(b"x@y.z").hexdigest()[:32]
+    assert r["o3"].created is True and r["o1"].created is False

@@ -172,3 +172,24 @@ def test_landed_json_quarantines_malformed_lines(spark, sf_small):
     valid, quarantined = L.split_corrupt(L.read_landed(spark, path, "shop_order", keep_corrupt=True).cache())
     assert quarantined.count() == 2
     assert N.shop_orders(valid).count() == good.count()
+
+
+def test_backfill_is_idempotent_and_checkpointed(spark, sf_small):
+    from omnitally.operators import audit as A
+    from omnitally.operators import upsert as U
+    base = jobs.new_table_dir(spark, "backfill")
+    o = star.fact_order(spark, sf_small)
+    bounds = o.agg(F.to_date(F.max("created_at")).alias("end")).select(F.lit("shop").alias("source"), "end")
+    windows = U.backfill_windows(bounds)
+    lo = windows.agg(F.min("window_start")).first()[0]
+    batch = o.filter(F.to_date("created_at") >= F.lit(lo)).select(
+        "id", "net_total", F.to_date("created_at").alias("created_date"), F.lit(1).alias("updated_at"))
+    jobs.backfill(spark, batch, f"{base}/orders", windows, f"{base}/audit", "2024-01-01 00:00:00")
+    first = sorted(map(tuple, spark.read.parquet(f"{base}/orders").collect()))
+    jobs.backfill(spark, batch, f"{base}/orders", windows, f"{base}/audit", "2024-01-02 00:00:00")
+    assert sorted(map(tuple, spark.read.parquet(f"{base}/orders").collect())) == first
+    assert len(first) == batch.count()
+    audit = spark.read.parquet(f"{base}/audit")
+    assert audit.count() == 2 * windows.count()
+    latest = A.latest_per_key(audit, ["source"], "ts", ["ts", "payload"]).first()
+    assert latest.ts == dt.datetime(2024, 1, 2)

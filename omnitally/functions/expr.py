@@ -99,7 +99,7 @@ def customer_hash(email: str | Column, phone: str | Column) -> Column:
     return F.coalesce(pii_hash(email), pii_hash(phone))
 
 
-def external_id(gid: str | Column, vendor: str = "shopify") -> Column:
+def external_id(gid: str | Column, vendor: str = "shop") -> Column:
     """``gid://x/Type/123`` -> ``<vendor>_type_123``; type 'unknown', id the whole string."""
     parts = F.split(col_(gid), "/")
     typ = F.coalesce(F.lower(F.try_element_at(parts, F.lit(4))), F.lit("unknown"))

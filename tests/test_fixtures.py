@@ -71,7 +71,7 @@ def test_pii_hash_rules(spark):
 
 
 def test_parse_int_and_external_id(spark):
-    df = spark.createDataFrame([("3.7", "gid://shopify/Order/123"), (" 12", "123"), ("abc", "gid://x/LineItem/9")],
+    df = spark.createDataFrame([("3.7", "gid://shop/Order/123"), (" 12", "123"), ("abc", "gid://x/LineItem/9")],
                                "q string, g string")
     rows = df.select(N.parse_int(F.col("q")).alias("q"), X.external_id("g", "shop").alias("e")).collect()
     assert [r.q for r in rows] == [3, 12, None]

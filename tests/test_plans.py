@@ -67,3 +67,22 @@ def test_latest_per_key_is_an_aggregate_not_a_window(spark, sf_small):
 def test_no_python_udfs(spark, sf_small, name):
     p = plan(QUERIES[name](spark, sf_small), "extended")
     assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_bucketed_star_removes_order_key_shuffles(spark, sf_small):
+    import uuid
+    from omnitally.plans import jobs
+    db = f"star_{uuid.uuid4().hex[:8]}"
+    o, li = star.fact_order(spark, sf_small), star.fact_order_line(spark, sf_small)
+    fo, fol = jobs.write_star_bucketed(spark, o, li, db, 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bucketed = K.build_kpi_daily(spark.table(fo), spark.table(fol))
+        p = plan(bucketed)
+        assert "hashpartitioning(order_id" not in p and "hashpartitioning(id#" not in p
+        assert "hashpartitioning(order_id" in plan(K.build_kpi_daily(o, li))
+        a = sorted(map(str, K.kpi_text(bucketed).collect()))
+        b = sorted(map(str, K.kpi_text(K.build_kpi_daily(o, li)).collect()))
+        assert a == b
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -16,7 +16,10 @@ def latest_version(df: DataFrame, key: str | list[str], order_cols: list[str]) -
     """Newest row per key, ordered by ``order_cols`` (e.g. updated_at, ingest_ts)."""
     keys = [key] if isinstance(key, str) else list(key)
     cols = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(*order_cols)).alias("_v")) \
+    row = F.struct(*cols)
+    # The whole row is the last tie-breaker, so equal order values still pick one
+    # deterministic version (the same on every retry).
+    return df.groupBy(*keys).agg(F.max_by(row, F.struct(*[F.col(c) for c in order_cols], row)).alias("_v")) \
         .select(*keys, "_v.*")
 
 

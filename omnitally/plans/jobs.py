@@ -153,7 +153,9 @@ def report_sections(spark: SparkSession, kpi: DataFrame, orders: DataFrame, line
     ref = dt.date.fromisoformat(as_of)
     start = ref - dt.timedelta(days=n)
     comp_start, comp_end = start - dt.timedelta(days=n + 1), start - dt.timedelta(days=1)
-    cur = P.in_period(kpi, str(start), as_of)
+    # Four sections read the same date slice: keep it once (recomputed from lineage if an
+    # executor is lost).
+    cur = P.in_period(kpi, str(start), as_of).persist()
     summary = P.period_growth(kpi, str(start), as_of, str(comp_start), str(comp_end))
     meta = spark.range(1).select(F.lit(period).alias("period"), F.lit(str(start)).cast("date").alias("start_date"),
                                  F.lit(as_of).cast("date").alias("end_date"),

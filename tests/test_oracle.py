@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from tools.oracle_check import digest, duck
+from tools.type_check import norm_spark
 
 QUERIES = E.queries()
 ORACLES = E.oracle_sql()
@@ -19,10 +20,11 @@ def con(sf_small):
 def test_matches_oracle(spark, sf_small, con, name):
     df = QUERIES[name](spark, sf_small)
     rows = [tuple(r) for r in df.collect()]
-    cur = con.execute(ORACLES[name])
-    dcols = [d[0] for d in cur.description]
-    drows = cur.fetchall()
+    rel = con.sql(ORACLES[name])
+    dcols, dtypes = rel.columns, [str(t) for t in rel.types]
+    drows = rel.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    assert {n: norm_spark(t) for n, t in df.dtypes} == dict(zip(dcols, dtypes))
     assert len(rows) == len(drows)
     assert digest(df.columns, rows)[0] == digest(dcols, drows)[0]
 

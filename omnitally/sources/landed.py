@@ -148,10 +148,19 @@ def _page() -> Column:
 
 
 def _paged(orders: DataFrame, lines: DataFrame, item: Column, name: str) -> DataFrame:
-    """orders LEFT JOIN (lines grouped by (order, page)); orders without lines get page 0."""
+    """Orders with their line pages; an order without lines is one page-0 record.
+
+    Written as an inner join (pages of a hot order sit on the splittable side, so AQE's
+    skew-join handling can split them) plus an anti join for orders without lines,
+    instead of ``orders LEFT JOIN pages``, whose right side AQE cannot split.
+    """
     pages = lines.groupBy("l_orderkey", _page().alias("page")).agg(F.collect_list(item).alias(name))
-    return orders.join(pages, orders.o_orderkey == pages.l_orderkey, "left") \
-        .withColumn("page", F.coalesce("page", F.lit(0)))
+    with_lines = pages.join(orders, pages.l_orderkey == orders.o_orderkey, "inner").drop("l_orderkey")
+    keys = lines.select(F.col("l_orderkey").alias("_k")).distinct()
+    empty = F.array().cast(pages.schema[name].dataType)
+    without = orders.join(keys, orders.o_orderkey == keys._k, "left_anti") \
+        .withColumn("page", F.lit(0)).withColumn(name, empty)
+    return with_lines.unionByName(without)
 
 
 def _orders(spark, sf_dir):

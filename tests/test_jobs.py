@@ -193,3 +193,13 @@ def test_backfill_is_idempotent_and_checkpointed(spark, sf_small):
     assert audit.count() == 2 * windows.count()
     latest = A.latest_per_key(audit, ["source"], "ts", ["ts", "payload"]).first()
     assert latest.ts == dt.datetime(2024, 1, 2)
+
+
+def test_cli_jobs(spark, sf_small):
+    from omnitally.__main__ import main
+    base = jobs.new_table_dir(spark, "cli")
+    assert main(["refresh-kpi", "--input", sf_small, "--out", f"{base}/kpi", "--dense"]) == 0
+    assert main(["resync-day", "--input", sf_small, "--out", f"{base}/kpi", "--dense", "--day", "2001-06-15"]) == 0
+    assert main(["reconcile", "--input", sf_small, "--out", f"{base}/recon"]) == 0
+    assert main(["report", "--input", sf_small, "--out", base, "--dense", "--date", "2001-06-15"]) == 0
+    assert spark.read.json(f"{base}/report/trends").count() == 7

@@ -42,3 +42,4 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert {"date", "channel_id", "location_id", "sales", "txns", "units", "aov"} <= set(df.columns)
+    assert dict(df.dtypes)["top_items"].startswith("array<struct<sku:string")

@@ -16,7 +16,6 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -39,8 +38,9 @@ def get_spark(master: str | None = None, app: str = "omnitally",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
-        spark.conf.set(k, conf[k])
+    # Runtime SQL settings also apply to an already running session. (Writes pass their
+    # partition-overwrite mode explicitly, so no session-wide write behaviour is changed.)
+    spark.conf.set("spark.sql.session.timeZone", conf["spark.sql.session.timeZone"])
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -63,6 +63,9 @@ def test_stream_ingest_rejects_bad_signatures(spark, sf_small):
     e = spark.read.parquet(f"{sf_small}/events.parquet")
     assert a.filter(F.col("status") == "processing").count() == e.count()
     assert a.filter(F.col("status") == "failed").count() == e.filter(F.col("event_id") % 97 == 0).count()
+    # T2 routing: deliveries of a topic nobody handles (resync_*) end as 'warning', not dropped.
+    unknown = e.filter((F.col("event_type") == "error") & (F.col("event_id") % 97 != 0)).count()
+    assert a.filter(F.col("status") == "warning").count() == unknown
 
 
 def test_money_types_are_decimal(spark, sf_small):

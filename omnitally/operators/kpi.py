@@ -4,8 +4,9 @@ Shuffle plan (see README "Scale notes"):
 
 1. lines -> partial ``groupBy(order_id)`` (map-side combine) for line count and units.
 2. orders (slim) LEFT JOIN that per-order result on the order key.
-3. orders (slim, same projection -> reused exchange) JOIN lines for the item/category
-   ranking; one aggregate at (cell, sku, title, category) feeds both rankings.
+3. orders JOIN lines for the rankings; one aggregate at (cell, sku, title, category) feeds
+   both the item and the category ranking, and AQE reuses its exchange at runtime
+   (ReusedExchange in the final plan), so lines are joined and shuffled once for both.
 4. Distinct customers are pre-aggregated per (cell, customer) instead of a
    ``countDistinct`` next to other aggregates (which would Expand every row).
 5. ``row_number() <= k`` compiles to a partial WindowGroupLimit before the shuffle, so a
@@ -31,7 +32,7 @@ CATEGORY_TYPE = "array<struct<category:string,revenue:decimal(18,2),units:bigint
 
 
 def slim_orders(orders: DataFrame) -> DataFrame:
-    """Order columns the KPI build needs; one projection so both joins share an exchange."""
+    """Order columns the KPI build needs (column pruning narrows it further per join)."""
     return orders.select("id", F.to_date("created_at").alias("date"), "channel_id", "location_id",
                          "net_total", "customer_hash")
 

@@ -86,3 +86,15 @@ def test_bucketed_star_removes_order_key_shuffles(spark, sf_small):
         assert a == b
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rankings_share_one_exchange_at_runtime(spark, sf_small):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = K.build_kpi_daily(star.fact_order(spark, sf_small), star.fact_order_line(spark, sf_small))
+        df.collect()  # the final AQE plan exists only after execution
+        final = plan(df, "simple")
+        assert "isFinalPlan=true" in final
+        assert any("ReusedExchange" in ln and "sku" in ln and "product_title" in ln for ln in final.splitlines())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from omnitally.functions.expr import MONEY, MONEY_SUM, cents, ratio_2dp
 from omnitally.sources.star import CELL
 
+# Fixed values (must equal the reference): daily top-k sizes and the label of a missing
+# category.
 TOP_ITEMS = 10
 TOP_CATEGORIES = 5
 UNCATEGORIZED = "Uncategorized"

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from omnitally.functions.expr import MONEY, customer_hash, external_id, minor_to_money, pii_hash, utc_ts
 
+# Channel ids, the shop's single location, and the event-type rule's words
+# ('tour' in the name gives type 'tour', otherwise 'experience').
 SHOP, POS, BOOKING = "shop", "pos", "booking"
 SHOP_LOCATION = "online-shop"
+TOUR, EXPERIENCE = "tour", "experience"
 
 
 def _ts(c: str | Column) -> Column:
@@ -188,7 +191,7 @@ def event_type(name: str | Column, category: str | Column) -> Column:
     n = F.col(name) if isinstance(name, str) else name
     c = F.col(category) if isinstance(category, str) else category
     return F.coalesce(F.nullif(c, F.lit("")),
-                      F.when(F.lower(n).contains("tour"), F.lit("tour")).otherwise(F.lit("experience")))
+                      F.when(F.lower(n).contains(TOUR), F.lit(TOUR)).otherwise(F.lit(EXPERIENCE)))
 
 
 def booking_events(raw: DataFrame) -> DataFrame:

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from omnitally.functions.expr import MONEY_SUM, cents, growth_pct, ratio_2dp
 
+# Dashboard periods, and report periods as days before the reference date
+# (daily 1 day, weekly 7 days, monthly 30 trailing days).
 PERIODS = ("today", "wtd", "mtd", "ytd", "custom")
-REPORT_PERIODS = {"daily": 0, "weekly": 6, "monthly": 29}  # days before the reference date
+REPORT_PERIODS = {"daily": 0, "weekly": 6, "monthly": 29}
 
 
 def period_start(kind: str, as_of: Column) -> Column:

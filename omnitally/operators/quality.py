@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from omnitally.functions.expr import MONEY, MONEY_SUM, customer_hash
 
+# Reconciliation matches when counts are equal and |revenue diff| < 1;
+# a fee discrepancy is a difference above 0.01.
+RECON_REVENUE_TOLERANCE = 1
+FEE_TOLERANCE = 0.01
+
 
 def reconcile(source: DataFrame, warehouse: DataFrame) -> DataFrame:
     """Aggregate both sides by (source, date), FULL OUTER JOIN, compare.
@@ -29,7 +34,7 @@ def reconcile(source: DataFrame, warehouse: DataFrame) -> DataFrame:
     cd = F.col("warehouse_count") - F.col("source_count")
     rd = (F.col("warehouse_revenue") - F.col("source_revenue")).cast(MONEY_SUM)
     return out.select("*", cd.alias("count_diff"), rd.alias("revenue_diff"),
-                      F.when((cd == 0) & (F.abs(rd) < 1), F.lit("match")).otherwise(F.lit("mismatch")).alias("status"))
+                      F.when((cd == 0) & (F.abs(rd) < RECON_REVENUE_TOLERANCE), F.lit("match")).otherwise(F.lit("mismatch")).alias("status"))
 
 
 def reconcile_summary(r: DataFrame) -> DataFrame:
@@ -51,7 +56,7 @@ def fee_discrepancy(pos_orders: DataFrame) -> DataFrame:
     """|(gross - net) - recorded fees| > 0.01."""
     implied = (F.col("gross_total") - F.col("net_total")).cast(MONEY)
     diff = (implied - F.col("fees_total")).cast(MONEY)
-    return pos_orders.filter(F.abs(diff) > 0.01).select(
+    return pos_orders.filter(F.abs(diff) > FEE_TOLERANCE).select(
         F.col("id").alias("order_id"), implied.alias("implied_fee"), F.col("fees_total").alias("recorded_fee"),
         diff.alias("difference"))
 

@@ -57,7 +57,12 @@ def merge_identity(current: DataFrame, updates: DataFrame, key: str = "customer_
                     *[F.coalesce(f"u.{x}", f"c.{x}").alias(x) for x in columns])
 
 
-def backfill_windows(bounds: DataFrame, lookback_days: int = 90, window_days: int = 7) -> DataFrame:
+# Backfill looks back 90 days in 7-day windows.
+LOOKBACK_DAYS = 90
+WINDOW_DAYS = 7
+
+
+def backfill_windows(bounds: DataFrame, lookback_days: int = LOOKBACK_DAYS, window_days: int = WINDOW_DAYS) -> DataFrame:
     """[end - lookback, end] cut into windows of ``window_days`` inclusive days; the
     next window starts the day after the previous end. ``bounds`` has columns source, end."""
     step = window_days + 1

@@ -67,7 +67,8 @@ BOOKING_DDL = (
     "primary_guest struct<id:string,email:string,phone:string,first_name:string,last_name:string>, "
     "created_at string, updated_at string")
 
-PAGE_SIZE = 100  # line items per record page
+# Fixed value: line items per vendor record page.
+PAGE_SIZE = 100
 
 SCHEMAS = {"shop_order": SHOP_ORDER_DDL, "shop_event": SHOP_EVENT_DDL, "pos_order": POS_ORDER_DDL,
            "pos_payment": POS_PAYMENT_DDL, "booking": BOOKING_DDL}

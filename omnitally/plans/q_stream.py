@@ -46,10 +46,34 @@ def q_stream_dedupe(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "event_type", "value")
 
 
-@register("stream_daily_totals")
+_SRC = "['shop', 'pos', 'booking'][user_id % 3 + 1]"
+
+
+@register("stream_daily_totals", f"""
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, {_SRC} AS source, COUNT(*) AS deliveries,
+       CAST(SUM(CAST(value AS DECIMAL(14,2))) AS DECIMAL(18,2)) AS revenue
+FROM events GROUP BY 1, 2""")
 def q_stream_daily_totals(spark, sf_dir):
-    """Day tumbling totals per channel (approximate distinct users: exact distinct is
-    not supported in streaming aggregations)."""
+    """Live daily totals per channel: 1-day tumbling windows with a watermark."""
     path = ST.run_daily_totals(spark, sf_dir)
-    return ST.daily_totals(spark, path).select("day", "source", "deliveries",
-                                               F.round("value", 2).alias("value"), "approx_users")
+    return ST.daily_totals(spark, path).select("day", "source", "deliveries", "revenue")
+
+
+@register("stream_daily_visitors")
+def q_stream_daily_visitors(spark, sf_dir):
+    """Approximate distinct users per day and channel (exact distinct counts are not
+    supported in streaming aggregations, so approx_count_distinct is used)."""
+    path = ST.run_daily_totals(spark, sf_dir)
+    return ST.daily_totals(spark, path).select("day", "source", "approx_users")
+
+
+@register("stream_counts_by_topic", """
+SELECT ['shop', 'pos', 'booking'][user_id % 3 + 1] AS source,
+       CASE event_type WHEN 'click' THEN 'webhook_orders_create' WHEN 'view' THEN 'webhook_orders_updated'
+                       WHEN 'purchase' THEN 'backfill_checkpoint' WHEN 'signup' THEN 'mv_refresh'
+                       ELSE 'resync_' || ['shop', 'pos', 'booking'][user_id % 3 + 1] END AS topic,
+       COUNT(*) AS n
+FROM events GROUP BY 1, 2""")
+def q_stream_counts_by_topic(spark, sf_dir):
+    """T2 as a stream: deliveries per source and topic."""
+    return ST.topic_counts(spark, ST.run_topic_counts(spark, sf_dir)).select("source", "topic", "n")

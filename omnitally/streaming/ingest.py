@@ -160,14 +160,15 @@ def run_daily_totals(spark: SparkSession, sf_dir: str, timeout: int = 600) -> st
     micro-batch's updated windows are appended with the batch id (update mode)."""
     out = run_dir(spark, "daily")
     env = envelopes(read_stream(spark, sf_dir, "events"))
-    parsed = env.select("source", "received_at", F.get_json_object("body", "$.value").cast("double").alias("value"),
+    parsed = env.select("source", "received_at",
+                        F.get_json_object("body", "$.value").cast("decimal(14,2)").alias("value"),
                         F.get_json_object("body", "$.user_id").alias("user_id"))
     agg = parsed.withWatermark("received_at", "2 days").groupBy(F.window("received_at", "1 day"), "source").agg(
-        F.count(F.lit(1)).alias("deliveries"), F.sum("value").alias("value"),
+        F.count(F.lit(1)).alias("deliveries"), F.sum("value").cast("decimal(18,2)").alias("revenue"),
         F.approx_count_distinct("user_id").alias("approx_users"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.select(F.col("window.start").cast("timestamp_ntz").alias("day"), "source", "deliveries", "value",
+        batch.select(F.col("window.start").cast("timestamp_ntz").alias("day"), "source", "deliveries", "revenue",
                      "approx_users", F.lit(batch_id).alias("batch_id")) \
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id") \
             .parquet(f"{out}/totals")
@@ -181,3 +182,25 @@ def run_daily_totals(spark: SparkSession, sf_dir: str, timeout: int = 600) -> st
 def daily_totals(spark: SparkSession, path: str) -> DataFrame:
     t = spark.read.parquet(path)
     return latest_version(t, ["day", "source"], ["batch_id"]).drop("batch_id")
+
+
+def run_topic_counts(spark: SparkSession, sf_dir: str, timeout: int = 600) -> str:
+    """T2 as a stream: deliveries per (source, topic). The state holds one row per source
+    and topic, so it stays small without a watermark; each micro-batch's updated counts are
+    written under its batch id (update mode)."""
+    out = run_dir(spark, "topics")
+    env = envelopes(read_stream(spark, sf_dir, "events"))
+    agg = env.groupBy("source", "topic").agg(F.count(F.lit(1)).alias("n"))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out}/counts")
+
+    q = agg.writeStream.outputMode("update").foreachBatch(handle) \
+        .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination(timeout)
+    return f"{out}/counts"
+
+
+def topic_counts(spark: SparkSession, path: str) -> DataFrame:
+    return latest_version(spark.read.parquet(path), ["source", "topic"], ["batch_id"]).drop("batch_id")

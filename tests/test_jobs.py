@@ -100,6 +100,7 @@ def test_landed_json_roundtrip(spark, sf_small):
 
 def test_stream_daily_totals_match_batch(spark, sf_small):
     got = ST.daily_totals(spark, ST.run_daily_totals(spark, sf_small))
+    assert dict(got.dtypes)["revenue"] == "decimal(18,2)"
     e = spark.read.parquet(f"{sf_small}/events.parquet")
     src = F.element_at(F.array(*[F.lit(s) for s in star.AUDIT_SOURCES]), (F.col("user_id") % 3 + 1).cast("int"))
     want = e.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), src.alias("source")) \

@@ -181,10 +181,13 @@ def q_traffic_summary(spark, sf_dir):
     return d.select(half_up("s", "n").alias("avg_visitors"), F.col("pv").cast("bigint").alias("total_views"))
 
 
-@register("verify_signature")
+@register("verify_signature", """
+SELECT ['shop', 'pos', 'booking'][user_id % 3 + 1] AS source, event_id % 97 <> 0 AS valid, COUNT(*) AS n
+FROM events GROUP BY 1, 2""")
 def q_verify_signature(spark, sf_dir):
     """HMAC check on raw deliveries; shop base64(body), pos base64(url + body),
-    booking hex(body). Deliveries signed with a rotated secret fail."""
+    booking hex(body). Deliveries signed with a rotated secret (every 97th) must fail and
+    all others must pass -- that rule is what the oracle encodes."""
     e = read(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value", "ts")
     src = F.element_at(F.array(*[F.lit(s) for s in star.AUDIT_SOURCES]), (F.col("user_id") % 3 + 1).cast("int"))
     env = e.select(src.alias("source"), F.col("event_id"),

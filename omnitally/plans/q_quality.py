@@ -154,7 +154,20 @@ def q_redact_errors(spark, sf_dir):
     return a.select("id", SEC.redact(F.col("error")).alias("error"))
 
 
-@register("customer_hash_keyed")
+def _hmac_sql(msg: str, secret: str) -> str:
+    """SQL twin of security.hmac_sha256_hex (RFC 2104 over sha256 of bytes)."""
+    ipad, opad = SEC._pads(secret)
+    return f"sha256(unhex('{opad}') || unhex(sha256(unhex('{ipad}') || encode({msg}))))"
+
+
+_KEYED_NORM = (r"regexp_replace(lower(CASE WHEN o_custkey % 3 = 0 THEN '+1 555 ' || CAST(o_custkey AS VARCHAR) "
+               r"ELSE '  Customer' || CAST(o_custkey AS VARCHAR) || '@Example.COM' || chr(9) END), '^\s+|\s+$', '', 'g')")
+
+
+@register("customer_hash_keyed", f"""
+SELECT DISTINCT 'gid://shop/Customer/' || CAST(o_custkey AS VARCHAR) AS customer_id,
+       substr({_hmac_sql(_KEYED_NORM, SECRET)}, 1, 16) AS keyed_hash
+FROM orders WHERE o_custkey % 10 <> 0""")
 def q_customer_hash_keyed(spark, sf_dir):
     """Keyed (HMAC) variant of the PII hash over shop customer emails/phones."""
     raw = L.shop_orders(spark, sf_dir).filter(F.col("customer").isNotNull())

@@ -50,10 +50,20 @@ def report_bounds(as_of_dates: DataFrame, col: str = "as_of") -> DataFrame:
 
 def in_period(kpi: DataFrame, start, end=None, channel: str | None = None,
               location: str | None = None) -> DataFrame:
-    """Date >= start [and <= end]; channel/location optional ('all' = none)."""
-    cond = F.col("date") >= F.lit(start).cast("date") if isinstance(start, str) else F.col("date") >= start
-    if end is not None:
-        cond = cond & (F.col("date") <= (F.lit(end).cast("date") if isinstance(end, str) else end))
+    """Date >= start [and <= end]; channel/location optional ('all' = none).
+
+    On the stored KPI table (partitioned by ``month``) the same bounds are also applied to
+    the month column, so the scan reads only the months in range.
+    """
+    lo = F.lit(start).cast("date") if isinstance(start, str) else start
+    hi = None if end is None else (F.lit(end).cast("date") if isinstance(end, str) else end)
+    cond = F.col("date") >= lo
+    if hi is not None:
+        cond = cond & (F.col("date") <= hi)
+    if "month" in kpi.columns:
+        cond = cond & (F.col("month") >= F.trunc(lo, "month"))
+        if hi is not None:
+            cond = cond & (F.col("month") <= F.trunc(hi, "month"))
     if channel and channel != "all":
         cond = cond & (F.col("channel_id") == channel)
     if location and location != "all":
@@ -82,7 +92,7 @@ def period_growth(kpi: DataFrame, cur_start: str, cur_end: str, prev_start: str,
     (``with_units`` adds the current period's units for the report summary)."""
     cur = F.col("date").between(F.lit(cur_start).cast("date"), F.lit(cur_end).cast("date"))
     prev = F.col("date").between(F.lit(prev_start).cast("date"), F.lit(prev_end).cast("date"))
-    k = kpi.filter(cur | prev)
+    k = in_period(kpi, prev_start, cur_end).filter(cur | prev)
 
     def s(c, cond):
         return F.sum(F.when(cond, F.col(c)))

@@ -46,8 +46,9 @@ def test_no_broadcast_of_large_tables(spark, sf_small):
 
 def test_period_queries_prune_kpi_partitions(spark, sf_small):
     p = plan(QUERIES["kpi_mtd"](spark, sf_small))
-    assert "PartitionFilters: [isnotnull(date" in p and "2001-06-01" in p
-    assert "ReadSchema: struct<sales:decimal(14,2),txns:bigint,units:bigint,aov" in p
+    assert "PartitionFilters: [isnotnull(month" in p and "2001-06-01" in p
+    assert "ReadSchema: struct<date:date,sales:decimal(14,2),txns:bigint,units:bigint,aov" in p
+    assert "PushedFilters: [IsNotNull(date), GreaterThanOrEqual(date,2001-06-01)]" in p
 
 
 def test_scans_are_pruned(spark, sf_small):

@@ -2,8 +2,8 @@
 zero-filled trends (D4).
 
 ``as_of`` is always a parameter (a 'yyyy-MM-dd' string); nothing reads the wall clock.
-Every period query filters the KPI table on ``date`` first, which prunes ``date``
-partitions when the table is stored partitioned by date (see plans/jobs.py).
+Every period query filters the KPI table on ``date`` (and the matching ``month``), which prunes
+partitions when the table is stored partitioned by month (see plans/jobs.py).
 """
 
 from __future__ import annotations

@@ -119,7 +119,7 @@ def q_resync_day(spark, sf_dir):
 
 @register("kpi_refresh", S.with_(S.kpi_ctes()) + "SELECT * FROM kpi")
 def q_kpi_refresh(spark, sf_dir):
-    """Rebuild into a new version directory (date-partitioned) and read it back."""
+    """Rebuild into a new version directory (month-partitioned) and read it back."""
     base = jobs.new_table_dir(spark, "kpi_daily")
     _, kpi = jobs.refresh_kpi(spark, star.fact_order(spark, sf_dir), star.fact_order_line(spark, sf_dir),
                               base, f"{star.ORDER_AS_OF} 00:00:00")

@@ -1,7 +1,7 @@
 """The materialised daily KPI table, built once per input snapshot and session.
 
-Period, ranking and trend queries read this date-partitioned Parquet table instead of
-recomputing the roll-up, so their ``date`` filters prune partitions (the Spark form of
+Period, ranking and trend queries read this month-partitioned Parquet table instead of
+recomputing the roll-up; their date bounds also bound ``month``, pruning partitions (the Spark form of
 the reference's indexed materialized view). The table lives in the shared checkpoint
 folder; the cache key includes the input files' sizes and modification times, so
 changed inputs produce a new build.

@@ -10,7 +10,8 @@ from omnitally.operators import kpi as K
 from omnitally.sources import star
 
 QUERIES = E.queries()
-SIDE_EFFECTS = {"kpi_refresh", "stream_ingest", "stream_upsert_orders", "stream_dedupe", "stream_daily_totals"}
+SIDE_EFFECTS = {"kpi_refresh", "stream_ingest", "stream_upsert_orders", "stream_dedupe", "stream_daily_totals",
+                "stream_daily_visitors", "stream_counts_by_topic"}
 
 
 def nodes(p, name):

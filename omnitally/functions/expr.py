@@ -18,13 +18,24 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def utc_instant(c: str | Column) -> Column:
+    """A naive UTC wall-clock (timestamp_ntz) as a ``timestamp`` instant, in any session zone
+    (a plain cast would read the wall-clock in the session zone)."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), col_(c)).cast("timestamp")
+
+
+def utc_wallclock(c: str | Column) -> Column:
+    """A ``timestamp`` instant as its UTC wall-clock (timestamp_ntz), in any session zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col_(c).cast("timestamp_ntz"))
+
+
 def utc_ts(c: str | Column) -> Column:
     """ISO-8601 text (with 'Z' or an offset) to the UTC wall-clock as timestamp_ntz.
 
     Independent of the session time zone: the parsed instant is rendered in the session
     zone and converted from there to UTC.
     """
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.to_timestamp(col_(c)).cast("timestamp_ntz"))
+    return utc_wallclock(F.to_timestamp(col_(c)))
 
 
 def money(c: str | Column) -> Column:

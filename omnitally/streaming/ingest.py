@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from omnitally.functions import security as SEC
-from omnitally.functions.expr import utc_ts
+from omnitally.functions.expr import utc_instant, utc_ts, utc_wallclock
 from omnitally.operators import normalize as N
 from omnitally.operators.upsert import latest_version
 from omnitally.session import scratch_dir
@@ -49,7 +49,7 @@ def envelopes(events: DataFrame) -> DataFrame:
     """
     src = F.element_at(F.array(*[F.lit(s) for s in star.AUDIT_SOURCES]), (F.col("user_id") % 3 + 1).cast("int"))
     e = events.select(src.alias("source"), "event_type", "event_id", "user_id", "value", "props",
-                      F.col("ts").cast("timestamp").alias("received_at"))
+                      utc_instant("ts").alias("received_at"))
     e = e.withColumn("topic", star.audit_type_col())
     body = F.to_json(F.struct("event_id", "event_type", "user_id", "value", "props"))
     e = e.withColumn("body", body)
@@ -84,9 +84,10 @@ def audit_rows(batch: DataFrame) -> DataFrame:
     base = batch.select(F.col("event_id").alias("id"), "source", F.concat(F.lit("webhook_"), F.col("topic")).alias("type"),
                         "received_at", F.get_json_object("body", "$.props").alias("payload"), status.alias("result"))
     proc = base.select("id", "source", "type", F.lit("processing").alias("status"),
-                       F.col("received_at").cast("timestamp_ntz").alias("ts"), "payload")
+                       utc_wallclock("received_at").alias("ts"), "payload")
     done = base.select("id", "source", "type", F.col("result").alias("status"),
-                       F.expr("timestampadd(SECOND, 1, received_at)").cast("timestamp_ntz").alias("ts"), "payload")
+                       utc_wallclock(F.timestamp_add("SECOND", F.lit(1), F.col("received_at"))).alias("ts"),
+                       "payload")
     return proc.unionByName(done)
 
 
@@ -147,7 +148,7 @@ def run_dedupe(spark: SparkSession, sf_dir: str, timeout: int = 600) -> str:
     out = run_dir(spark, "dedupe")
     a = read_stream(spark, sf_dir, "events")
     doubled = a.unionByName(read_stream(spark, sf_dir, "events"))
-    d = doubled.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "40 days") \
+    d = doubled.withColumn("ts", utc_instant("ts")).withWatermark("ts", "40 days") \
         .dropDuplicatesWithinWatermark(["event_id"])
     q = d.writeStream.format("parquet").option("path", f"{out}/events") \
         .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start()
@@ -168,7 +169,7 @@ def run_daily_totals(spark: SparkSession, sf_dir: str, timeout: int = 600) -> st
         F.approx_count_distinct("user_id").alias("approx_users"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.select(F.col("window.start").cast("timestamp_ntz").alias("day"), "source", "deliveries", "revenue",
+        batch.select(utc_wallclock("window.start").alias("day"), "source", "deliveries", "revenue",
                      "approx_users", F.lit(batch_id).alias("batch_id")) \
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id") \
             .parquet(f"{out}/totals")

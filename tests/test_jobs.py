@@ -2,6 +2,8 @@
 
 import datetime as dt
 import os
+
+import pytest
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -99,7 +101,17 @@ def test_landed_json_roundtrip(spark, sf_small):
     assert a == b and len(a) > 0
 
 
-def test_stream_daily_totals_match_batch(spark, sf_small):
+@pytest.mark.parametrize("tz", ["UTC", "Europe/Berlin"])
+def test_stream_daily_totals_match_batch(spark, sf_small, tz):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        _check_daily_totals(spark, sf_small)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def _check_daily_totals(spark, sf_small):
     got = ST.daily_totals(spark, ST.run_daily_totals(spark, sf_small))
     assert dict(got.dtypes)["revenue"] == "decimal(18,2)"
     e = spark.read.parquet(f"{sf_small}/events.parquet")

@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from omnitally.functions.expr import MONEY, external_id, minor_to_money, utc_ts
+from omnitally.functions.expr import MONEY, customer_hash, external_id, minor_to_money, utc_ts
 from omnitally.operators import normalize as N
 from omnitally.operators import quality as Q
 from omnitally.plans import sql as S
 from omnitally.plans.catalog import register
 from omnitally.sources import landed as L
+from omnitally.sources.tables import read
 
 WINDOW = ("1998-01-01", "1998-03-31")
 POS_SCAN_LOCATIONS = ["L1", "L2", "L3"]
@@ -337,13 +338,11 @@ SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN {H(chr(39) + '+1 (555) ' + ch
 FROM customer""")
 def q_customer_hash(spark, sf_dir):
     """Email preferred (lower, trim all whitespace, SHA-256, first 32), else phone."""
-    from omnitally.sources.tables import read
     c = read(spark, sf_dir, "customer", "c_custkey")
     k = F.col("c_custkey")
     email = F.when(k % 3 == 0, F.lit(None).cast("string")) \
         .when(k % 3 == 1, F.concat(F.lit(" \tUser"), k.cast("string"), F.lit("@Mail.Example "))).otherwise(F.lit(""))
     phone = F.concat(F.lit("+1 (555) "), k.cast("string"))
-    from omnitally.functions.expr import customer_hash
     return c.select("c_custkey", customer_hash(email, phone).alias("customer_hash"))
 
 
@@ -356,7 +355,6 @@ SELECT o_orderkey, 'shop_' || COALESCE(lower(string_split(gid, '/')[4]), 'unknow
 FROM g""")
 def q_external_id(spark, sf_dir):
     """P10: gid://x/Type/123 -> shop_type_123, with defaults for ids without slashes."""
-    from omnitally.sources.tables import read
     o = read(spark, sf_dir, "orders", "o_orderkey")
     k = F.col("o_orderkey")
     gid = F.when(k % 5 == 0, k.cast("string")).otherwise(F.concat(

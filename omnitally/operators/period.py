@@ -126,6 +126,15 @@ def calendar_buckets(spark, start: str, count: int, unit: str, as_date: bool = F
     return spark.range(1).select(F.explode(seq).alias("bucket"))
 
 
+# Chart label formats per period grain (hourly, weekday, month-day, month).
+LABEL_FORMATS = {"today": "HH:mm", "wtd": "EEE", "mtd": "MMM d", "ytd": "MMM"}
+
+
+def bucket_label(bucket: Column, period: str) -> Column:
+    """The display label of a trend bucket for its period grain."""
+    return F.date_format(bucket, LABEL_FORMATS[period])
+
+
 def zero_filled(buckets: DataFrame, values: DataFrame, key: str, measures: list[str]) -> DataFrame:
     """Every bucket present; missing measures become 0."""
     j = buckets.join(values, buckets.bucket == values[key], "left")

@@ -154,7 +154,8 @@ def q_period_growth(spark, sf_dir):
 
 
 @register("trend_hourly", S.with_(S.fact_order(dense=True)) + f"""
-SELECT b.bucket, CAST(COALESCE(v.sales, 0) AS DECIMAL(18,2)) AS sales, CAST(COALESCE(v.txns, 0) AS BIGINT) AS txns
+SELECT b.bucket, strftime(b.bucket, '%H:%M') AS label,
+       CAST(COALESCE(v.sales, 0) AS DECIMAL(18,2)) AS sales, CAST(COALESCE(v.txns, 0) AS BIGINT) AS txns
 FROM (SELECT unnest(generate_series(TIMESTAMP '{AS_OF} 00:00:00', TIMESTAMP '{AS_OF} 23:00:00', INTERVAL 1 HOUR)) AS bucket) b
 LEFT JOIN (SELECT date_trunc('hour', created_at) AS h, SUM(net_total) AS sales, COUNT(*) AS txns
            FROM fact_order WHERE CAST(created_at AS DATE) = DATE '{AS_OF}' GROUP BY 1) v ON b.bucket = v.h""")
@@ -163,12 +164,15 @@ def q_trend_hourly(spark, sf_dir):
     o = star.fact_order(spark, sf_dir, dense=True).filter(F.to_date("created_at") == F.lit(AS_OF).cast("date"))
     v = o.groupBy(F.date_trunc("hour", "created_at").cast("timestamp_ntz").alias("h")).agg(
         F.sum("net_total").cast(MONEY_SUM).alias("sales"), F.count(F.lit(1)).alias("txns"))
-    return P.zero_filled(P.calendar_buckets(spark, f"{AS_OF} 00:00:00", 24, "hour"), v, "h", ["sales", "txns"])
+    out = P.zero_filled(P.calendar_buckets(spark, f"{AS_OF} 00:00:00", 24, "hour"), v, "h", ["sales", "txns"])
+    return out.withColumn("label", P.bucket_label(F.col("bucket"), "today"))
 
 
 def _daily_sql(start_expr: str, days: str, label: str) -> str:
+    fmt = "%a" if label == "wtd" else "%b %-d"
     return f"""
-SELECT '{label}' AS period, b.bucket, CAST(COALESCE(v.sales, 0) AS DECIMAL(18,2)) AS sales,
+SELECT '{label}' AS period, b.bucket, strftime(b.bucket, '{fmt}') AS label,
+       CAST(COALESCE(v.sales, 0) AS DECIMAL(18,2)) AS sales,
        CAST(COALESCE(v.txns, 0) AS BIGINT) AS txns, CAST(COALESCE(v.units, 0) AS BIGINT) AS units
 FROM (SELECT CAST(unnest(generate_series({start_expr}, {start_expr} + INTERVAL ({days}) DAY, INTERVAL 1 DAY)) AS DATE) AS bucket) b
 LEFT JOIN (SELECT date, SUM(sales) AS sales, SUM(txns) AS txns, SUM(units) AS units FROM kpi GROUP BY date) v
@@ -188,13 +192,16 @@ def q_trend_daily(spark, sf_dir):
     first = P.period_start("mtd", F.lit(AS_OF).cast("date"))
     b_w = spark.range(1).select(F.explode(F.sequence(monday, F.date_add(monday, 6))).alias("bucket"))
     b_m = spark.range(1).select(F.explode(F.sequence(first, F.lit(AS_OF).cast("date"))).alias("bucket"))
-    w = P.zero_filled(b_w, v, "date", ["sales", "txns", "units"]).select(F.lit("wtd").alias("period"), "*")
-    m = P.zero_filled(b_m, v, "date", ["sales", "txns", "units"]).select(F.lit("mtd").alias("period"), "*")
+    w = P.zero_filled(b_w, v, "date", ["sales", "txns", "units"]).select(
+        F.lit("wtd").alias("period"), "*", P.bucket_label(F.col("bucket"), "wtd").alias("label"))
+    m = P.zero_filled(b_m, v, "date", ["sales", "txns", "units"]).select(
+        F.lit("mtd").alias("period"), "*", P.bucket_label(F.col("bucket"), "mtd").alias("label"))
     return w.unionByName(m)
 
 
 @register("trend_monthly", _KPI + f"""
-SELECT b.bucket, CAST(COALESCE(v.sales, 0) AS DECIMAL(18,2)) AS sales, CAST(COALESCE(v.txns, 0) AS BIGINT) AS txns,
+SELECT b.bucket, strftime(b.bucket, '%b') AS label,
+       CAST(COALESCE(v.sales, 0) AS DECIMAL(18,2)) AS sales, CAST(COALESCE(v.txns, 0) AS BIGINT) AS txns,
        CAST(COALESCE(v.units, 0) AS BIGINT) AS units
 FROM (SELECT CAST(unnest(generate_series(DATE '{AS_OF[:4]}-01-01', DATE '{AS_OF[:4]}-12-01', INTERVAL 1 MONTH)) AS DATE) AS bucket) b
 LEFT JOIN (SELECT CAST(date_trunc('month', date) AS DATE) AS m, SUM(sales) AS sales, SUM(txns) AS txns, SUM(units) AS units
@@ -205,8 +212,9 @@ def q_trend_monthly(spark, sf_dir):
     v = kpi.groupBy(F.trunc("date", "month").alias("m")).agg(
         F.sum("sales").cast(MONEY_SUM).alias("sales"), F.sum("txns").cast("bigint").alias("txns"),
         F.sum("units").cast("bigint").alias("units"))
-    return P.zero_filled(P.calendar_buckets(spark, f"{AS_OF[:4]}-01-01", 12, "month", as_date=True), v, "m",
-                         ["sales", "txns", "units"])
+    out = P.zero_filled(P.calendar_buckets(spark, f"{AS_OF[:4]}-01-01", 12, "month", as_date=True), v, "m",
+                        ["sales", "txns", "units"])
+    return out.withColumn("label", P.bucket_label(F.col("bucket"), "ytd"))
 
 
 @register("period_customers", S.with_(S.kpi_ctes(dense=True)) + f"""

@@ -30,6 +30,7 @@ def q_kpi_daily(spark, sf_dir):
 
 @register("kpi_daily_dense", S.with_(S.kpi_ctes(dense=True)) + "SELECT * FROM kpi")
 def q_kpi_daily_dense(spark, sf_dir):
+    """Flagship on the dense binding (folded dates: many orders and skus per cell)."""
     return K.kpi_text(kpi_table(spark, sf_dir, dense=True))
 
 
@@ -53,16 +54,19 @@ dim_date AS (
 
 @register("dim_date", S.with_(DIM_DATE_SQL) + "SELECT * FROM dim_date")
 def q_dim_date(spark, sf_dir):
+    """Date dimension, Jan 1 of (year-3) to Dec 31 of (year+1) of the latest order year."""
     return dim_date_df(spark, sf_dir)
 
 
 @register("dim_channel", S.with_(S.DIM_CHANNEL) + "SELECT * FROM dim_channel")
 def q_dim_channel(spark, sf_dir):
+    """Channel dimension (id, name) from the order priorities."""
     return star.dim_channel(spark, sf_dir)
 
 
 @register("dim_location", S.with_(S.dim_location()) + "SELECT * FROM dim_location")
 def q_dim_location(spark, sf_dir):
+    """Location dimension (id, name, channel) from the nations."""
     return star.dim_location(spark, sf_dir)
 
 
@@ -76,6 +80,7 @@ _KPI_DENSE = S.with_(S.kpi_ctes(dense=True))
 SELECT date, channel_id, location_id, order_id, net_total, customer_hash,
        CAST(line_item_count AS BIGINT) AS line_item_count FROM daily_orders""")
 def q_order_line_counts(spark, sf_dir):
+    """A1: one row per order with its line count (0 without lines)."""
     o, l = _facts(spark, sf_dir)
     return K.order_line_counts(o, l).drop("units")
 
@@ -85,12 +90,14 @@ SELECT date, channel_id, location_id, CAST(sales AS DECIMAL(18,2)) AS sales, CAS
        CAST(unique_customers AS BIGINT) AS unique_customers,
        CAST(total_line_items AS BIGINT) AS total_line_items FROM daily_aggregates""")
 def q_daily_aggregates(spark, sf_dir):
+    """A2: per cell sales, transactions, distinct customers and line total."""
     o, l = _facts(spark, sf_dir)
     return K.daily_aggregates(K.order_line_counts(o, l)).drop("units")
 
 
 @register("daily_units", _KPI + "SELECT date, channel_id, location_id, CAST(units AS BIGINT) AS units FROM daily_units")
 def q_daily_units(spark, sf_dir):
+    """A3: per cell units over orders JOIN lines."""
     o, l = _facts(spark, sf_dir)
     so = K.slim_orders(o)
     return l.join(so, l.order_id == so.id).groupBy(*star.CELL) \
@@ -101,6 +108,7 @@ def q_daily_units(spark, sf_dir):
 SELECT date, channel_id, location_id, item_rank, sku, product_title, qty, revenue
 FROM ranked_items WHERE item_rank <= 10""")
 def q_top_items_daily(spark, sf_dir):
+    """Best 10 items per cell by revenue (flattened with rank)."""
     o, l = _facts(spark, sf_dir, dense=True)
     return K.rank_items(K.item_category_totals(o, l))
 
@@ -109,6 +117,7 @@ def q_top_items_daily(spark, sf_dir):
 SELECT date, channel_id, location_id, category_rank, category, revenue, units
 FROM ranked_categories WHERE category_rank <= 5""")
 def q_top_categories_daily(spark, sf_dir):
+    """Best 5 categories per cell by revenue (flattened with rank)."""
     o, l = _facts(spark, sf_dir, dense=True)
     return K.rank_categories(K.item_category_totals(o, l))
 
@@ -130,6 +139,7 @@ def _order_line_join(spark, sf_dir, how):
 SELECT fo.id AS order_id, fo.channel_id, fol.id AS line_id, fol.sku, fol.qty, fol.line_total
 FROM fact_order fo LEFT JOIN fact_order_line fol ON fo.id = fol.order_id""")
 def q_join_orders_lines_left(spark, sf_dir):
+    """Orders LEFT JOIN lines (orders without lines kept)."""
     return _order_line_join(spark, sf_dir, "left")
 
 
@@ -137,6 +147,7 @@ def q_join_orders_lines_left(spark, sf_dir):
 SELECT fo.id AS order_id, fo.channel_id, fol.id AS line_id, fol.sku, fol.qty, fol.line_total
 FROM fact_order fo JOIN fact_order_line fol ON fo.id = fol.order_id""")
 def q_join_orders_lines(spark, sf_dir):
+    """Orders JOIN lines."""
     return _order_line_join(spark, sf_dir, "inner")
 
 
@@ -159,6 +170,7 @@ def q_join_null_safe(spark, sf_dir):
 SELECT fo.id AS order_id, fo.location_id, dl.name AS location_name
 FROM fact_order fo LEFT JOIN dim_location dl ON fo.location_id = dl.id""")
 def q_orders_with_location(spark, sf_dir):
+    """Orders LEFT JOIN the location dimension (broadcast: 25 nations)."""
     o = star.fact_order(spark, sf_dir)
     dl = star.dim_location(spark, sf_dir).select(F.col("id").alias("loc_id"), F.col("name").alias("location_name"))
     # dim_location is the nation table (25 rows in every TPC-H scale), so broadcasting it is bounded.

@@ -49,11 +49,13 @@ def q_kpi_wtd(spark, sf_dir):
 
 @register("kpi_mtd", _agg_sql(f"date >= CAST(date_trunc('month', DATE '{AS_OF}') AS DATE)"))
 def q_kpi_mtd(spark, sf_dir):
+    """F5 + A7: month to date (date >= first of as_of's month, no upper bound)."""
     return P.period_aggregates(P.in_period(_dense(spark, sf_dir), P.period_start("mtd", F.lit(AS_OF).cast("date"))))
 
 
 @register("kpi_ytd", _agg_sql(f"date >= CAST(date_trunc('year', DATE '{AS_OF}') AS DATE)"))
 def q_kpi_ytd(spark, sf_dir):
+    """F5 + A7: year to date (date >= Jan 1 of as_of's year, no upper bound)."""
     return P.period_aggregates(P.in_period(_dense(spark, sf_dir), P.period_start("ytd", F.lit(AS_OF).cast("date"))))
 
 
@@ -65,6 +67,7 @@ def q_kpi_range(spark, sf_dir):
 
 @register("kpi_range_channel", _agg_sql(f"date BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}' AND channel_id = '2'"))
 def q_kpi_range_channel(spark, sf_dir):
+    """F2 + F3 + A7: custom range for one channel."""
     return P.period_aggregates(P.in_period(_dense(spark, sf_dir), *RANGE, channel="2"))
 
 

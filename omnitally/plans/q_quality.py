@@ -39,6 +39,7 @@ def q_duplicate_orders(spark, sf_dir):
 
 @register("duplicate_events", S.with_(S.FACT_EVENT) + "SELECT id, COUNT(*) AS occurrences FROM fact_event GROUP BY id HAVING COUNT(*) > 1")
 def q_duplicate_events(spark, sf_dir):
+    """Event ids that occur more than once."""
     return Q.duplicate_keys(star.fact_event(spark, sf_dir))
 
 

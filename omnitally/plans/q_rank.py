@@ -79,6 +79,7 @@ SELECT COALESCE(category, 'Uncategorized') AS category, CAST(SUM(line_total) AS
        CAST(SUM(qty) AS BIGINT) AS units
 FROM ({_LINES_IN_RANGE}) GROUP BY 1 ORDER BY revenue DESC, category LIMIT 5""")
 def q_top_categories_exact(spark, sf_dir):
+    """A11 exact: range top 5 categories computed from the lines."""
     return R.top_categories_exact(star.fact_order(spark, sf_dir, dense=True), star.fact_order_line(spark, sf_dir),
                                   *RANGE)
 

@@ -43,3 +43,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert {"date", "channel_id", "location_id", "sales", "txns", "units", "aov"} <= set(df.columns)
     assert dict(df.dtypes)["top_items"].startswith("array<struct<sku:string")
+
+
+def test_every_query_is_documented():
+    assert [k for k, f in QUERIES.items() if not (f.__doc__ or "").strip()] == []

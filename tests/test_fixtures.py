@@ -290,3 +290,44 @@ def test_payment_sets_hash_only_when_empty(spark):
     assert r["o1"].customer_hash == "keep" and r["o1"].total_paid == D("1.00") and r["o1"].n_payments == 1
     assert r["o2"].customer_hash == hashlib.sha256(b"x@y.z").hexdigest()[:32]
     assert r["o3"].created is True and r["o1"].created is False
+
+
+KPI_ROW = ("date date, channel_id string, location_id string, sales decimal(14,2), txns bigint, units bigint, "
+           "aov decimal(14,2), items_per_customer decimal(14,2)")
+
+
+def test_channel_performance_names_and_shares(spark):
+    from omnitally.operators import rank as R
+    kpi = spark.createDataFrame([(dt.date(2024, 1, 1), "a", None, D("30.00"), 3, 5, D("10.00"), D("1.00")),
+                                 (dt.date(2024, 1, 2), "a", "L", D("10.00"), 1, 1, D("10.01"), D("1.00")),
+                                 (dt.date(2024, 1, 1), "zz", None, D("60.00"), 2, 2, D("30.00"), D("1.00"))], KPI_ROW)
+    names = spark.createDataFrame([("a", "Alpha")], "id string, name string")
+    r = {x.channel_id: x for x in R.channel_performance(kpi, names).collect()}
+    assert r["a"].channel_name == "Alpha" and r["zz"].channel_name == "zz"          # falls back to the id
+    assert (r["a"].sales, r["a"].txns, r["a"].aov) == (D("40.00"), 4, D("10.01"))   # mean of 10.00 and 10.01, half up
+    assert abs(r["a"].percent_of_total + r["zz"].percent_of_total - 100.0) < 1e-9
+
+
+def test_growth_is_zero_without_a_previous_period(spark):
+    kpi = spark.createDataFrame([(dt.date(2024, 1, 9), "a", None, D("50.00"), 2, 3, D("25.00"), D("1.00"))], KPI_ROW)
+    g = P.period_growth(kpi, "2024-01-08", "2024-01-14", "2024-01-01", "2024-01-07").first()
+    assert (g.sales_current, g.sales_previous, g.sales_growth, g.txns_growth, g.aov_growth) == (
+        D("50.00"), D("0.00"), 0.0, 0.0, 0.0)
+    kpi2 = kpi.unionByName(spark.createDataFrame(
+        [(dt.date(2024, 1, 2), "a", None, D("25.00"), 1, 1, D("25.00"), D("1.00"))], KPI_ROW))
+    g2 = P.period_growth(kpi2, "2024-01-08", "2024-01-14", "2024-01-01", "2024-01-07").first()
+    assert (g2.sales_growth, g2.txns_growth, g2.aov_growth) == (100.0, 100.0, 0.0)
+
+
+def test_zero_filled_trend_has_every_bucket(spark):
+    v = spark.createDataFrame([(dt.datetime(2001, 6, 15, 7), D("5.00"), 2)], "h timestamp_ntz, sales decimal(18,2), txns bigint")
+    out = P.zero_filled(P.calendar_buckets(spark, "2001-06-15 00:00:00", 24, "hour"), v, "h", ["sales", "txns"]) \
+        .withColumn("label", P.bucket_label(F.col("bucket"), "today")).orderBy("bucket").collect()
+    assert len(out) == 24 and out[7].txns == 2 and out[8].txns == 0 and out[7].label == "07:00"
+    assert sum(r.sales for r in out) == D("5.00")
+
+
+def test_mask_short_and_null_values(spark):
+    df = spark.createDataFrame([("ab", None)], "phone string, card_number string")
+    r = SEC.mask_columns(df).first()
+    assert (r.phone, r.card_number) == ("***", "***")

@@ -39,7 +39,8 @@ from omnitally.llm.wavelet import WaveletMatrix, encode
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_TOKENS = 2_000_000
-CACHE = 600_000
+CACHE = 1_000_000
+SPACE = "\u0120"  # a space in the vocabulary's byte alphabet
 SHARD_SCHEMA = "part int, seq int, n_tokens long, docs array<long>, data binary"
 ROWS = "part int, seq int, doc_id long, local long, n_tokens long, ids_crc32 long"
 
@@ -54,6 +55,7 @@ class Encoder(dict):
     def __init__(self, vocabulary: str = VOCABULARY):
         super().__init__()
         self.lib = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+        self.model = self.lib.model
         self.marks = {m: tuple(self.whole(m)) for m in self.MARKS}
 
     def whole(self, text: str) -> list[int]:
@@ -63,6 +65,9 @@ class Encoder(dict):
         # A mark after a letter or digit is a piece of its own.
         if word[-1] in self.MARKS and word[-2:-1].isalnum():
             ids = self[word[:-1]] + self.marks[word[-1]]
+        elif word.isascii() and word.isalpha():
+            # One piece; the byte alphabet leaves ASCII letters as they are.
+            ids = tuple([t.id for t in self.model.tokenize(SPACE + word)])
         else:
             ids = tuple(self.whole(" " + word))
         if len(self) < CACHE:

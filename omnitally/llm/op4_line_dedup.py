@@ -173,17 +173,18 @@ def _marks(least: int):
 
 def _pairs(lines: DataFrame, rare: int) -> DataFrame:
     """(later, earlier): documents that share a rare line, or a run with its first holder."""
-    seeds = lines.select("doc", F.explode(F.array_distinct(F.concat(
-        F.transform(F.filter(F.arrays_zip("hashes", "words"), lambda x: x["words"] > 0),
-                    lambda x: F.struct(x["hashes"].alias("h"), F.lit(False).alias("run"))),
-        F.transform("runs", lambda r: F.struct(r.alias("h"), F.lit(True).alias("run")))))).alias("s")).select("doc", "s.*")
-    shared = seeds.groupBy("h", "run").agg(F.count("*").alias("n"), F.min("doc").alias("first")).where("n > 1")
-    held = seeds.join(shared, ["h", "run"])
-    frequent = held.where(F.col("run") & (F.col("doc") > F.col("first"))).select(
-        F.col("doc").alias("later"), F.col("first").alias("earlier"))
-    few = held.where(~F.col("run") & (F.col("n") <= rare)).groupBy("h").agg(F.collect_list("doc").alias("docs"))
-    both = few.select(F.explode("docs").alias("later"), "docs").select("later", F.explode("docs").alias("earlier"))
-    return frequent.union(both.where("later > earlier")).distinct()
+    body = F.filter(F.arrays_zip("hashes", "words"), lambda x: x["words"] > 0)
+    seeds = lines.select("doc", F.explode(F.array_distinct(F.transform(body, lambda x: x["hashes"]))).alias("h"))
+    runs = lines.select("doc", F.explode("runs").alias("h"))
+    # Counts and minima are combined before they are shuffled; the joins that follow hand
+    # their rows on, so that a frequent line's rows can be split over tasks.
+    few = seeds.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n").between(2, rare)).select("h")
+    few = materialize(seeds.join(few, "h"), "rare-lines")
+    both = few.select("h", F.col("doc").alias("later")).join(few.select("h", F.col("doc").alias("earlier")), "h")
+    first = runs.groupBy("h").agg(F.count("*").alias("n"), F.min("doc").alias("earlier")).where("n > 1")
+    frequent = runs.select("h", F.col("doc").alias("later")).join(first, "h")
+    return (both.select("later", "earlier").union(frequent.select("later", "earlier"))
+            .where("later > earlier").distinct())
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rare: int = RARE,
@@ -201,7 +202,8 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rar
     marked = joined.select("later", F.explode(_marks(least)("before", "hashes", "words")).alias("line")).distinct()
     marked = marked.groupBy("later").agg(F.array_sort(F.collect_list("line")).alias("deleted"))
     marked = materialize(marked.select(F.col("later").alias("doc"), "deleted"), "line-marks")
-    out = rows.join(marked, "doc", "left").withColumn("deleted", F.coalesce("deleted", F.array().cast("array<int>")))
+    # The marks grow with the corpus, so they are never broadcast.
+    out = rows.join(marked.hint("merge"), "doc", "left").withColumn("deleted", F.coalesce("deleted", F.array().cast("array<int>")))
     return out.withColumn("parts", F.split(F.coalesce("text", F.lit("")), "\n")).select(
         "doc_id",
         F.when(F.size("deleted") == 0, F.col("text")).otherwise(_without(F.col("parts"), F.col("deleted"))).alias("text"),

@@ -100,12 +100,12 @@ def fences(measured: DataFrame, least_group: int = LEAST_GROUP, reach: float = R
 
     by_lang = merged(groups.groupBy(F.col("lang").alias("l")), "lang")
     every = merged(groups.groupBy(), "all")
-    joined = groups.join(by_lang, F.col("lang").eqNullSafe(F.col("l")), "left").crossJoin(F.broadcast(every))
+    joined = groups.join(by_lang, F.col("lang").eqNullSafe(F.col("l")), "left")
+    table = every.first()  # one row: the sketches of the whole table
 
     def sketch(k):
-        return (F.when(F.col("n") >= least_group, F.col(f"own_{k}"))
-                .when(F.col("n_lang") >= least_group, F.col(f"lang_{k}"))
-                .when(F.col("n_all") > 0, F.col(f"all_{k}")))
+        own = F.when(F.col("n") >= least_group, F.col(f"own_{k}")).when(F.col("n_lang") >= least_group, F.col(f"lang_{k}"))
+        return own.otherwise(F.lit(bytes(table[f"all_{k}"]))) if table["n_all"] else own
 
     picked = joined.select("lang", "source", *[sketch(k).alias(k) for k in rates])
 

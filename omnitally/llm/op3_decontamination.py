@@ -41,7 +41,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: At a similarity of 0.8 the expected distance is 10 bits with a deviation of 3.
 RADIUS, BLOCKS = 20, 7
 BLOCK_WORDS = 2_000_000
-WORD_CACHE = 500_000
+WORD_CACHE = 200_000
 STRETCH = 20_000  # windows hashed at a time
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CUTS = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
@@ -196,6 +196,10 @@ def _similarities(windows: pd.Series, items: pd.Series) -> pd.Series:
     return pd.Series([similarity(words_of(a), words_of(b)) for a, b in zip(windows, items)], dtype="float64")
 
 
+# Evaluated once, where it stands, and not again in the filter behind it.
+_similarities = _similarities.asNondeterministic()
+
+
 def item_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Items]:
     """The items, a bounded block at a time."""
     held, size = [], 0

@@ -20,20 +20,23 @@ def col_(c: str | Column) -> Column:
 
 def utc_instant(c: str | Column) -> Column:
     """A naive UTC wall-clock (timestamp_ntz) as a ``timestamp`` instant, in any session zone
-    (a plain cast would read the wall-clock in the session zone)."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), col_(c)).cast("timestamp")
+    (a plain cast would read the wall-clock in the session zone). The offset is written
+    into the text, so hours that a zone repeats are told apart."""
+    return F.concat(col_(c).cast("timestamp_ntz").cast("string"), F.lit("+00:00")).cast("timestamp")
 
 
 def utc_wallclock(c: str | Column) -> Column:
-    """A ``timestamp`` instant as its UTC wall-clock (timestamp_ntz), in any session zone."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col_(c).cast("timestamp_ntz"))
+    """A ``timestamp`` instant as its UTC wall-clock (timestamp_ntz), in any session zone:
+    its microseconds since the epoch, added to the epoch's wall-clock."""
+    seconds = (F.unix_micros(col_(c).cast("timestamp")).cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(6,6)"))
+    none = F.lit(0)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(none, none, none, seconds.cast("decimal(18,6)"))
 
 
 def utc_ts(c: str | Column) -> Column:
     """ISO-8601 text (with 'Z' or an offset) to the UTC wall-clock as timestamp_ntz.
 
-    Independent of the session time zone: the parsed instant is rendered in the session
-    zone and converted from there to UTC.
+    Independent of the session time zone, also in hours that it repeats or skips.
     """
     return utc_wallclock(F.to_timestamp(col_(c)))
 
@@ -59,9 +62,10 @@ def int_div(a: str | Column, b: str | Column) -> Column:
 
 
 def half_up(num: str | Column, den: str | Column) -> Column:
-    """round(num / den) half-up for non-negative bigints (den > 0)."""
+    """round(num / den) of bigints (den > 0), halves away from zero."""
     n, d = col_(num).cast("bigint"), col_(den).cast("bigint")
-    return int_div(n * 2 + d, d * 2)
+    size = int_div(F.abs(n) * 2 + d, d * 2)
+    return F.when(n < 0, -size).otherwise(size)
 
 
 def cents_to_money(c: str | Column) -> Column:
@@ -113,8 +117,8 @@ def customer_hash(email: str | Column, phone: str | Column) -> Column:
 def external_id(gid: str | Column, vendor: str = "shop") -> Column:
     """``gid://x/Type/123`` -> ``<vendor>_type_123``; type 'unknown', id the whole string."""
     parts = F.split(col_(gid), "/")
-    typ = F.coalesce(F.lower(F.try_element_at(parts, F.lit(4))), F.lit("unknown"))
-    ident = F.coalesce(F.try_element_at(parts, F.lit(5)), col_(gid))
+    typ = F.coalesce(F.nullif(F.lower(F.try_element_at(parts, F.lit(4))), F.lit("")), F.lit("unknown"))
+    ident = F.coalesce(F.nullif(F.try_element_at(parts, F.lit(5)), F.lit("")), col_(gid))
     return F.concat(F.lit(vendor + "_"), typ, F.lit("_"), ident)
 
 

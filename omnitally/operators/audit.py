@@ -23,8 +23,8 @@ def status_history(audit: DataFrame) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: str, cols: list[str]) -> DataFrame:
-    """The newest row per key (ties broken by the struct order)."""
-    packed = F.max_by(F.struct(*cols), F.col(order))
+    """The newest row per key; equal times fall to the greater row."""
+    packed = F.max_by(F.struct(*cols), F.struct(order, *cols))
     return df.groupBy(*keys).agg(packed.alias("_l")).select(*keys, "_l.*")
 
 

@@ -21,9 +21,17 @@ def dim_date(bounds: DataFrame) -> DataFrame:
 
     ``bounds`` is a one-row DataFrame with column ``year`` (derived from the data).
     """
-    days = bounds.select(F.explode(F.sequence(
-        F.make_date(F.col("year") - 3, F.lit(1), F.lit(1)),
-        F.make_date(F.col("year") + 1, F.lit(12), F.lit(31)))).alias("date"))
+    return date_attributes(days_of_years(bounds.select((F.col("year") - 3).alias("first"), (F.col("year") + 1).alias("last"))))
+
+
+def days_of_years(bounds: DataFrame) -> DataFrame:
+    """One row per day from 1 January of ``first`` to 31 December of ``last``."""
+    return bounds.select(F.explode(F.sequence(F.make_date(F.col("first"), F.lit(1), F.lit(1)),
+                                              F.make_date(F.col("last"), F.lit(12), F.lit(31)))).alias("date"))
+
+
+def date_attributes(days: DataFrame) -> DataFrame:
+    """The calendar columns of the date dimension for a table of days."""
     dow0 = (F.dayofweek("date") - 1).cast("int")
     return days.select(
         "date",

@@ -104,10 +104,12 @@ def validate_requests(r: DataFrame, channels: list[str]) -> DataFrame:
     Returns the rows with ``valid`` and the first failing rule as ``reason`` (null when
     valid), so a batch splits into accepted and quarantined rows without failing (I10).
     """
-    ok_start = F.col("start_date").rlike(DATE_RE)
-    ok_end = F.col("end_date").rlike(DATE_RE)
-    ok_channel = F.col("channel").isin(channels)
-    ok_emails = F.forall("recipients", lambda x: x.rlike(EMAIL_RE))
+    def sure(check):  # a null input fails its rule
+        return F.coalesce(check, F.lit(False))
+    ok_start = sure(F.col("start_date").rlike(DATE_RE))
+    ok_end = sure(F.col("end_date").rlike(DATE_RE))
+    ok_channel = sure(F.col("channel").isin(channels))
+    ok_emails = sure(F.forall("recipients", lambda x: x.rlike(EMAIL_RE)))
     reason = F.when(~ok_start, F.lit("start_date")).when(~ok_end, F.lit("end_date")) \
         .when(~ok_channel, F.lit("channel")).when(~ok_emails, F.lit("recipients"))
     return r.withColumn("reason", reason).withColumn("valid", ok_start & ok_end & ok_channel & ok_emails)

@@ -13,8 +13,8 @@ from omnitally.sources import star
 from omnitally.sources.tables import read
 
 
-def _facts(spark, sf_dir, dense=False):
-    return star.fact_order(spark, sf_dir, dense), star.fact_order_line(spark, sf_dir)
+def _facts(spark, sf_dir, dense=False, product=True):
+    return star.fact_order(spark, sf_dir, dense), star.fact_order_line(spark, sf_dir, product)
 
 
 def kpi_table(spark, sf_dir, dense=False):
@@ -77,45 +77,46 @@ _KPI_DENSE = S.with_(S.kpi_ctes(dense=True))
 
 
 @register("order_line_counts", _KPI + """
-SELECT date, channel_id, location_id, order_id, net_total, customer_hash,
-       CAST(line_item_count AS BIGINT) AS line_item_count FROM daily_orders""")
+SELECT o.created_at::DATE AS date, o.channel_id, o.location_id, o.id AS order_id, o.net_total, o.customer_hash,
+       COALESCE(b.n, 0) AS line_item_count FROM fact_order o LEFT JOIN basket b ON b.order_id = o.id""")
 def q_order_line_counts(spark, sf_dir):
     """A1: one row per order with its line count (0 without lines)."""
-    o, l = _facts(spark, sf_dir)
+    o, l = _facts(spark, sf_dir, product=False)
     return K.order_line_counts(o, l).drop("units")
 
 
 @register("daily_aggregates", _KPI + """
-SELECT date, channel_id, location_id, CAST(sales AS DECIMAL(18,2)) AS sales, CAST(txns AS BIGINT) AS txns,
-       CAST(unique_customers AS BIGINT) AS unique_customers,
-       CAST(total_line_items AS BIGINT) AS total_line_items FROM daily_aggregates""")
+SELECT o.created_at::DATE AS date, o.channel_id, o.location_id, SUM(o.net_total)::DECIMAL(18,2) AS sales,
+       COUNT(*) AS txns, COUNT(DISTINCT o.customer_hash) AS unique_customers,
+       COALESCE(SUM(b.n), 0)::BIGINT AS total_line_items
+FROM fact_order o LEFT JOIN basket b ON b.order_id = o.id GROUP BY ALL""")
 def q_daily_aggregates(spark, sf_dir):
     """A2: per cell sales, transactions, distinct customers and line total."""
-    o, l = _facts(spark, sf_dir)
+    o, l = _facts(spark, sf_dir, product=False)
     return K.daily_aggregates(K.order_line_counts(o, l)).drop("units")
 
 
-@register("daily_units", _KPI + "SELECT date, channel_id, location_id, CAST(units AS BIGINT) AS units FROM daily_units")
+@register("daily_units", _KPI + "SELECT date, channel_id, location_id, SUM(pieces)::BIGINT AS units FROM sold GROUP BY ALL")
 def q_daily_units(spark, sf_dir):
     """A3: per cell units over orders JOIN lines."""
-    o, l = _facts(spark, sf_dir)
+    o, l = _facts(spark, sf_dir, product=False)
     so = K.slim_orders(o)
     return l.join(so, l.order_id == so.id).groupBy(*star.CELL) \
         .agg(F.sum("qty").cast("bigint").alias("units"))
 
 
-@register("top_items_daily", _KPI_DENSE + """
-SELECT date, channel_id, location_id, item_rank, sku, product_title, qty, revenue
-FROM ranked_items WHERE item_rank <= 10""")
+@register("top_items_daily", _KPI_DENSE + f"""
+SELECT date, channel_id, location_id, place AS item_rank, sku, label AS product_title, pieces AS qty,
+       money::DECIMAL(18,2) AS revenue FROM {S.listed('item')}""")
 def q_top_items_daily(spark, sf_dir):
     """Best 10 items per cell by revenue (flattened with rank)."""
     o, l = _facts(spark, sf_dir, dense=True)
     return K.rank_items(K.item_category_totals(o, l))
 
 
-@register("top_categories_daily", _KPI_DENSE + """
-SELECT date, channel_id, location_id, category_rank, category, revenue, units
-FROM ranked_categories WHERE category_rank <= 5""")
+@register("top_categories_daily", _KPI_DENSE + f"""
+SELECT date, channel_id, location_id, place AS category_rank, label AS category, money::DECIMAL(18,2) AS revenue,
+       pieces AS units FROM {S.listed('category')}""")
 def q_top_categories_daily(spark, sf_dir):
     """Best 5 categories per cell by revenue (flattened with rank)."""
     o, l = _facts(spark, sf_dir, dense=True)
@@ -152,11 +153,9 @@ def q_join_orders_lines(spark, sf_dir):
 
 
 @register("join_null_safe", _KPI + """
-SELECT da.date, da.channel_id, da.location_id, CAST(da.sales AS DECIMAL(18,2)) AS sales,
-       CAST(du.units AS BIGINT) AS units
-FROM daily_aggregates da LEFT JOIN daily_units du
-  ON da.date = du.date AND da.channel_id = du.channel_id
- AND (da.location_id = du.location_id OR (da.location_id IS NULL AND du.location_id IS NULL))""")
+SELECT o.created_at::DATE AS date, o.channel_id, o.location_id, SUM(o.net_total)::DECIMAL(18,2) AS sales,
+       SUM(b.pieces)::BIGINT AS units
+FROM fact_order o LEFT JOIN basket b ON b.order_id = o.id GROUP BY ALL""")
 def q_join_null_safe(spark, sf_dir):
     """Cell aggregates LEFT JOIN cell units on a null-safe location key."""
     da = q_daily_aggregates(spark, sf_dir).alias("da")
@@ -170,24 +169,23 @@ def q_join_null_safe(spark, sf_dir):
 SELECT fo.id AS order_id, fo.location_id, dl.name AS location_name
 FROM fact_order fo LEFT JOIN dim_location dl ON fo.location_id = dl.id""")
 def q_orders_with_location(spark, sf_dir):
-    """Orders LEFT JOIN the location dimension (broadcast: 25 nations)."""
+    """Orders LEFT JOIN the location dimension."""
     o = star.fact_order(spark, sf_dir)
     dl = star.dim_location(spark, sf_dir).select(F.col("id").alias("loc_id"), F.col("name").alias("location_name"))
-    # dim_location is the nation table (25 rows in every TPC-H scale), so broadcasting it is bounded.
-    return o.join(F.broadcast(dl), o.location_id == dl.loc_id, "left") \
+    return o.join(dl, o.location_id == dl.loc_id, "left") \
         .select(F.col("id").alias("order_id"), "location_id", "location_name")
 
 
-@register("sales_by_calendar", S.with_(S.fact_order(), DIM_DATE_SQL) + """
-SELECT dd.year, dd.quarter, dd.is_weekend, CAST(SUM(fo.net_total) AS DECIMAL(18,2)) AS sales,
-       COUNT(*) AS txns
-FROM fact_order fo JOIN dim_date dd ON CAST(fo.created_at AS DATE) = dd.date
-GROUP BY ALL""")
+@register("sales_by_calendar", S.with_(S.fact_order()) + """
+SELECT CAST(year(created_at) AS INTEGER) AS year, CAST(quarter(created_at) AS INTEGER) AS quarter,
+       dayofweek(created_at) IN (0, 6) AS is_weekend, CAST(SUM(net_total) AS DECIMAL(18,2)) AS sales, COUNT(*) AS txns
+FROM fact_order GROUP BY ALL""")
 def q_sales_by_calendar(spark, sf_dir):
-    """Orders joined to the date dimension (calendar-sized, so broadcast)."""
-    o = star.fact_order(spark, sf_dir).withColumn("date", F.to_date("created_at"))
-    dd = dim_date_df(spark, sf_dir)
-    return o.join(F.broadcast(dd), "date").groupBy("year", "quarter", "is_weekend").agg(
+    """Every order joined to a date dimension over the orders' whole range."""
+    o = star.fact_order(spark, sf_dir, location=False).withColumn("date", F.to_date("created_at"))
+    years = read(spark, sf_dir, "orders", "o_orderdate").agg(
+        F.min(F.year("o_orderdate")).alias("first"), F.max(F.year("o_orderdate")).alias("last"))
+    return o.join(C.date_attributes(C.days_of_years(years)), "date").groupBy("year", "quarter", "is_weekend").agg(
         F.sum("net_total").cast(MONEY_SUM).alias("sales"), F.count(F.lit(1)).alias("txns"))
 
 
@@ -219,7 +217,7 @@ SELECT fo.id, fo.channel_id, fo.created_at, fo.net_total FROM fact_order fo
 WHERE fo.id IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
 def q_lookup_orders(spark, sf_dir):
     """Point lookups for a batch of keys (orders with a returned line) as a semi join."""
-    o = star.fact_order(spark, sf_dir)
+    o = star.fact_order(spark, sf_dir, location=False)
     keys = read(spark, sf_dir, "lineitem", "l_orderkey", "l_returnflag") \
         .filter(F.col("l_returnflag") == "R").select("l_orderkey")
     return o.join(keys, o.id == keys.l_orderkey, "left_semi").select("id", "channel_id", "created_at", "net_total")
@@ -242,7 +240,8 @@ UNION ALL SELECT 'fact_event', COUNT(*) FROM fact_event
 UNION ALL SELECT 'ingest_audit', COUNT(*) FROM ingest_audit""")
 def q_table_counts(spark, sf_dir):
     """Row count per table, UNION ALL."""
-    parts = [("fact_order", star.fact_order(spark, sf_dir)), ("fact_order_line", star.fact_order_line(spark, sf_dir)),
+    parts = [("fact_order", star.fact_order(spark, sf_dir, location=False)),
+             ("fact_order_line", star.fact_order_line(spark, sf_dir, product=False)),
              ("fact_event", star.fact_event(spark, sf_dir)), ("ingest_audit", star.ingest_audit(spark, sf_dir))]
     out = None
     for name, df in parts:

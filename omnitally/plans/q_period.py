@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from omnitally.functions.expr import MONEY_SUM, cents, ratio_2dp
@@ -116,7 +118,7 @@ SELECT as_of, period, start_date, as_of AS end_date FROM (
   UNION ALL SELECT as_of, 'custom', CAST(date_trunc('month', as_of) AS DATE) FROM ({_DATES}))""")
 def q_period_bounds(spark, sf_dir):
     """D1 for every order date present in the data."""
-    o = star.fact_order(spark, sf_dir, dense=True)
+    o = star.fact_order(spark, sf_dir, dense=True, location=False)
     return P.period_bounds(o.select(F.to_date("created_at").alias("as_of")).distinct())
 
 
@@ -126,7 +128,7 @@ SELECT as_of, period, as_of - n AS start_date, as_of AS end_date,
 FROM ({_DATES}) d, (VALUES ('daily', 0), ('weekly', 6), ('monthly', 29)) p(period, n)""")
 def q_report_bounds(spark, sf_dir):
     """D2 + D3 for every order date present in the data."""
-    o = star.fact_order(spark, sf_dir, dense=True)
+    o = star.fact_order(spark, sf_dir, dense=True, location=False)
     return P.report_bounds(o.select(F.to_date("created_at").alias("as_of")).distinct())
 
 
@@ -187,7 +189,9 @@ LEFT JOIN (SELECT date, SUM(sales) AS sales, SUM(txns) AS txns, SUM(units) AS un
                                          f"day(DATE '{AS_OF}') - 1", "mtd"))
 def q_trend_daily(spark, sf_dir):
     """D4 'wtd' (Monday..Sunday, 7 buckets) and 'mtd' (1st..as_of), zero-filled."""
-    kpi = _dense(spark, sf_dir)
+    monday = dt.date.fromisoformat(AS_OF) - dt.timedelta(days=dt.date.fromisoformat(AS_OF).weekday())
+    kpi = P.in_period(_dense(spark, sf_dir), str(min(monday, dt.date.fromisoformat(AS_OF).replace(day=1))),
+                      str(max(monday + dt.timedelta(days=6), dt.date.fromisoformat(AS_OF))))
     v = kpi.groupBy("date").agg(F.sum("sales").cast(MONEY_SUM).alias("sales"),
                                 F.sum("txns").cast("bigint").alias("txns"),
                                 F.sum("units").cast("bigint").alias("units"))
@@ -211,7 +215,7 @@ LEFT JOIN (SELECT CAST(date_trunc('month', date) AS DATE) AS m, SUM(sales) AS sa
            FROM kpi WHERE year(date) = {AS_OF[:4]} GROUP BY 1) v ON b.bucket = v.m""")
 def q_trend_monthly(spark, sf_dir):
     """D4 'ytd': 12 monthly buckets of as_of's year, zero-filled."""
-    kpi = _dense(spark, sf_dir).filter(F.year("date") == int(AS_OF[:4]))
+    kpi = P.in_period(_dense(spark, sf_dir), f"{AS_OF[:4]}-01-01", f"{AS_OF[:4]}-12-31")
     v = kpi.groupBy(F.trunc("date", "month").alias("m")).agg(
         F.sum("sales").cast(MONEY_SUM).alias("sales"), F.sum("txns").cast("bigint").alias("txns"),
         F.sum("units").cast("bigint").alias("units"))

@@ -27,14 +27,14 @@ WHERE NOT EXISTS (SELECT 1 FROM fact_order fo WHERE fo.id = fol.order_id
 def q_orphan_lines(spark, sf_dir):
     """Lines without an order in the order snapshot taken at as_of (later orders had
     not landed yet), as a left anti join."""
-    o = star.fact_order(spark, sf_dir).filter(F.to_date("created_at") <= F.lit(star.ORDER_AS_OF).cast("date"))
-    return Q.orphan_lines(star.fact_order_line(spark, sf_dir), o).select("id", "order_id")
+    o = star.fact_order(spark, sf_dir, location=False).filter(F.to_date("created_at") <= F.lit(star.ORDER_AS_OF).cast("date"))
+    return Q.orphan_lines(star.fact_order_line(spark, sf_dir, product=False), o).select("id", "order_id")
 
 
 @register("duplicate_orders", _FACTS + "SELECT id, COUNT(*) AS occurrences FROM fact_order GROUP BY id HAVING COUNT(*) > 1")
 def q_duplicate_orders(spark, sf_dir):
     """Order ids that occur more than once."""
-    return Q.duplicate_keys(star.fact_order(spark, sf_dir))
+    return Q.duplicate_keys(star.fact_order(spark, sf_dir, location=False))
 
 
 @register("duplicate_events", S.with_(S.FACT_EVENT) + "SELECT id, COUNT(*) AS occurrences FROM fact_event GROUP BY id HAVING COUNT(*) > 1")
@@ -76,7 +76,7 @@ def q_unique_violations(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
     ident = Q.customer_identity(L.shop_orders(spark, sf_dir), L.bookings(spark, sf_dir))
     return violations(k, ["date", "channel_id", "loc"], "kpi_cell") \
-        .unionByName(violations(star.fact_order(spark, sf_dir), ["id"], "fact_order_id")) \
+        .unionByName(violations(star.fact_order(spark, sf_dir, location=False), ["id"], "fact_order_id")) \
         .unionByName(violations(ident.filter(F.col("shop_customer_id").isNotNull()), ["shop_customer_id"],
                                 "shop_customer_id")) \
         .unionByName(violations(ident.filter(F.col("booking_guest_id").isNotNull()), ["booking_guest_id"],
@@ -181,7 +181,7 @@ SELECT id, created_at FROM fact_order
 WHERE created_at >= TIMESTAMP '{TS_WINDOW[0]}' AND created_at < TIMESTAMP '{TS_WINDOW[1]}' + INTERVAL 1 DAY""")
 def q_filter_ts_window(spark, sf_dir):
     """timestamp window to the end of the last day, half-open (no lost sub-second)."""
-    o = star.fact_order(spark, sf_dir)
+    o = star.fact_order(spark, sf_dir, location=False)
     lo = F.lit(TS_WINDOW[0]).cast("timestamp_ntz")
     hi = F.date_add(F.lit(TS_WINDOW[1]).cast("date"), 1).cast("timestamp_ntz")
     return o.filter((F.col("created_at") >= lo) & (F.col("created_at") < hi)).select("id", "created_at")

@@ -38,8 +38,10 @@ def q_channel_performance(spark, sf_dir):
     return R.channel_performance(_kpi(spark, sf_dir), star.dim_channel(spark, sf_dir))
 
 
-_RANKED_ITEMS_IN_RANGE = f"SELECT * FROM ranked_items WHERE item_rank <= 10 AND {_IN_RANGE}"
-_RANKED_CATS_IN_RANGE = f"SELECT * FROM ranked_categories WHERE category_rank <= 5 AND {_IN_RANGE}"
+_RANKED_ITEMS_IN_RANGE = (f"SELECT sku, label AS product_title, pieces AS qty, money AS revenue FROM {S.listed('item')} "
+                          f"WHERE {_IN_RANGE}")
+_RANKED_CATS_IN_RANGE = (f"SELECT label AS category, money AS revenue, pieces AS units FROM {S.listed('category')} "
+                         f"WHERE {_IN_RANGE}")
 _TOP_ITEMS_SQL = f"""
 SELECT sku, product_title, CAST(SUM(qty) AS BIGINT) AS qty, CAST(SUM(revenue) AS DECIMAL(18,2)) AS revenue
 FROM ({_RANKED_ITEMS_IN_RANGE}) GROUP BY sku, product_title
@@ -168,7 +170,7 @@ def q_customers_by_region(spark, sf_dir):
     """Distinct customers per region, top 8, bar length = share of the largest."""
     o = star.fact_order(spark, sf_dir, dense=True)
     dl = star.dim_location(spark, sf_dir, dense=True).select(F.col("id").alias("lid"), F.col("name"))
-    j = o.join(F.broadcast(dl), o.location_id == dl.lid, "left")  # region table: 5 rows
+    j = o.join(dl, o.location_id == dl.lid, "left")
     g = j.groupBy(F.coalesce("name", F.lit("Unknown")).alias("region")) \
         .agg(F.countDistinct("customer_hash").cast("bigint").alias("customers"))
     mx = F.max("customers").over(Window.partitionBy())

@@ -21,7 +21,7 @@ _FACTS = S.with_(S.fact_order(), S.FACT_ORDER_LINE)
 
 
 def _snapshot_orders(spark, sf_dir):
-    o = star.fact_order(spark, sf_dir)
+    o = star.fact_order(spark, sf_dir, location=False)
     return o.filter(F.to_date("created_at") <= F.lit(star.ORDER_AS_OF).cast("date"))
 
 
@@ -38,7 +38,7 @@ def q_upsert_orders(spark, sf_dir):
     """Warehouse snapshot at as_of + a batch of changed (refund raised) and new orders."""
     cols = ["id", "created_at", "updated_at", "gross_total", "refunds_total", "net_total", "ingest_ts"]
     cur = _snapshot_orders(spark, sf_dir).withColumn("ingest_ts", F.lit(SNAPSHOT_INGEST).cast("timestamp_ntz"))
-    o = star.fact_order(spark, sf_dir).withColumn("ingest_ts", F.lit(BATCH_INGEST).cast("timestamp_ntz"))
+    o = star.fact_order(spark, sf_dir, location=False).withColumn("ingest_ts", F.lit(BATCH_INGEST).cast("timestamp_ntz"))
     known = F.to_date("created_at") <= F.lit(star.ORDER_AS_OF).cast("date")
     changed = o.filter(known & (F.col("status") == "P")).select(
         "id", "created_at", F.expr("timestampadd(DAY, 30, created_at)").alias("updated_at"), "gross_total",
@@ -55,8 +55,8 @@ SELECT CASE WHEN fo.status = 'P' THEN fol.id || '-v2' ELSE fol.id END AS id, fol
 FROM fact_order_line fol JOIN fact_order fo ON fo.id = fol.order_id""")
 def q_replace_lines(spark, sf_dir):
     """All lines of every order in the batch are replaced by the batch's lines."""
-    lines = star.fact_order_line(spark, sf_dir).select("id", "order_id", "qty")
-    p = star.fact_order(spark, sf_dir).filter(F.col("status") == "P").select(F.col("id").alias("order_id"))
+    lines = star.fact_order_line(spark, sf_dir, product=False).select("id", "order_id", "qty")
+    p = star.fact_order(spark, sf_dir, location=False).filter(F.col("status") == "P").select(F.col("id").alias("order_id"))
     batch = lines.join(p, "order_id", "left_semi").select(
         F.concat("id", F.lit("-v2")).alias("id"), "order_id", (F.col("qty") + 1).alias("qty"))
     return U.replace_children(lines, batch)
@@ -131,5 +131,5 @@ SELECT fol.id, fol.order_id FROM fact_order_line fol
 WHERE fol.order_id NOT IN (SELECT id FROM fact_order WHERE status = 'F' AND year(created_at) = 1996)""")
 def q_cascade_delete(spark, sf_dir):
     """Deleting orders (fulfilled in 1996) deletes their lines."""
-    o = star.fact_order(spark, sf_dir).filter((F.col("status") == "F") & (F.year("created_at") == 1996))
-    return U.cascade_delete(star.fact_order_line(spark, sf_dir).select("id", "order_id"), o)
+    o = star.fact_order(spark, sf_dir, location=False).filter((F.col("status") == "F") & (F.year("created_at") == 1996))
+    return U.cascade_delete(star.fact_order_line(spark, sf_dir, product=False).select("id", "order_id"), o)

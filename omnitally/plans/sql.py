@@ -6,9 +6,12 @@ from omnitally.sources.star import DENSE_ANCHOR, DENSE_DAYS, REFUND_ON_PENDING
 
 
 def ratio_2dp(num_cents: str, den: str) -> str:
-    """Half-up num/den to 2 decimals as DECIMAL(14,2); 0 when den <= 0."""
-    return (f"CAST(CASE WHEN ({den}) > 0 THEN CAST((2 * CAST({num_cents} AS BIGINT) + ({den})) "
-            f"// (2 * ({den})) AS DECIMAL(18,0)) * 0.01 ELSE 0 END AS DECIMAL(14,2))")
+    """num/den to 2 decimals as DECIMAL(14,2); 0 when den <= 0. The quotient is cut to whole
+    cents, a remainder of half or more adds one, and the sign is put back last."""
+    n, d = f"abs(CAST({num_cents} AS BIGINT))", f"({den})"
+    up = f"{n} // {d} + CASE WHEN {n} % {d} >= {d} - {n} % {d} THEN 1 ELSE 0 END"
+    return (f"CAST(CASE WHEN {d} > 0 THEN sign(CAST({num_cents} AS BIGINT)) * CAST({up} AS DECIMAL(18,0)) * 0.01 "
+            f"ELSE 0 END AS DECIMAL(14,2))")
 
 
 def cents(x: str) -> str:
@@ -113,74 +116,62 @@ ingest_audit AS (
 )"""
 
 
+#: How many items and categories a cell lists, and the label of a missing category.
+_LISTED = {"item": 10, "category": 5}
+_NO_CATEGORY = "Uncategorized"
+
+
+def _best(part: str, k: int, text: str, order: str) -> str:
+    """The first k entries of a cell's list as one text, entries in the given order."""
+    return f"array_to_string(list({text} ORDER BY {order}) FILTER (part = '{part}')[1:{k}], '|')"
+
+
 def kpi_ctes(dense: bool = False) -> str:
-    """CTEs fact_order, fact_order_line and kpi (the daily KPI table; arrays as text)."""
+    """CTEs fact_order, fact_order_line, basket, sold, shelf and kpi.
+
+    basket sums the lines of each order; sold rolls lines up per cell and product; shelf
+    holds a cell's products and categories as rows of one shape; kpi puts orders and
+    shelf rows of a cell into one grouping, whose null location is a group like any other.
+    """
+    item = "sku || ':' || label || ':' || pieces || ':' || CAST(money AS DECIMAL(18,2))"
+    category = "label || ':' || CAST(money AS DECIMAL(18,2)) || ':' || pieces"
     return f"""{fact_order(dense)},
 {FACT_ORDER_LINE},
-daily_orders AS (
-  SELECT CAST(fo.created_at AS DATE) AS date, fo.channel_id, fo.location_id, fo.id AS order_id,
-         fo.net_total, fo.customer_hash, COUNT(DISTINCT fol.id) AS line_item_count
-  FROM fact_order fo LEFT JOIN fact_order_line fol ON fo.id = fol.order_id
-  GROUP BY ALL
-),
-daily_aggregates AS (
-  SELECT date, channel_id, location_id, SUM(net_total) AS sales, COUNT(DISTINCT order_id) AS txns,
-         COUNT(DISTINCT customer_hash) AS unique_customers, SUM(line_item_count) AS total_line_items
-  FROM daily_orders GROUP BY ALL
-),
-daily_units AS (
-  SELECT CAST(fo.created_at AS DATE) AS date, fo.channel_id, fo.location_id, SUM(fol.qty) AS units
-  FROM fact_order fo JOIN fact_order_line fol ON fo.id = fol.order_id GROUP BY ALL
-),
-ranked_items AS (
-  SELECT CAST(fo.created_at AS DATE) AS date, fo.channel_id, fo.location_id, fol.sku, fol.product_title,
-         CAST(SUM(fol.qty) AS BIGINT) AS qty, CAST(SUM(fol.line_total) AS DECIMAL(18,2)) AS revenue,
-         CAST(ROW_NUMBER() OVER (PARTITION BY CAST(fo.created_at AS DATE), fo.channel_id, fo.location_id
-                            ORDER BY SUM(fol.line_total) DESC, fol.sku, fol.product_title) AS BIGINT) AS item_rank
-  FROM fact_order fo JOIN fact_order_line fol ON fo.id = fol.order_id
-  WHERE fol.sku IS NOT NULL
-  GROUP BY 1, 2, 3, 4, 5
-),
-ranked_categories AS (
-  SELECT CAST(fo.created_at AS DATE) AS date, fo.channel_id, fo.location_id,
-         COALESCE(fol.category, 'Uncategorized') AS category,
-         CAST(SUM(fol.line_total) AS DECIMAL(18,2)) AS revenue, CAST(SUM(fol.qty) AS BIGINT) AS units,
-         CAST(ROW_NUMBER() OVER (PARTITION BY CAST(fo.created_at AS DATE), fo.channel_id, fo.location_id
-                            ORDER BY SUM(fol.line_total) DESC, COALESCE(fol.category, 'Uncategorized')) AS BIGINT)
-           AS category_rank
-  FROM fact_order fo JOIN fact_order_line fol ON fo.id = fol.order_id
-  GROUP BY 1, 2, 3, 4
-),
-top_items_daily AS (
-  SELECT date, channel_id, location_id,
-         string_agg(concat_ws(':', sku, product_title, CAST(qty AS VARCHAR), CAST(revenue AS VARCHAR)), '|'
-                    ORDER BY item_rank) AS top_items
-  FROM ranked_items WHERE item_rank <= 10 GROUP BY ALL
-),
-top_categories_daily AS (
-  SELECT date, channel_id, location_id,
-         string_agg(concat_ws(':', category, CAST(revenue AS VARCHAR), CAST(units AS VARCHAR)), '|'
-                    ORDER BY category_rank) AS top_categories
-  FROM ranked_categories WHERE category_rank <= 5 GROUP BY ALL
-),
+basket AS (SELECT order_id, COUNT(*) AS n, SUM(qty) AS pieces FROM fact_order_line GROUP BY order_id),
+sold AS (
+  SELECT o.created_at::DATE AS date, o.channel_id, o.location_id, l.sku, l.product_title,
+         COALESCE(l.category, '{_NO_CATEGORY}') AS category, SUM(l.qty)::BIGINT AS pieces, SUM(l.line_total) AS money
+  FROM fact_order_line l, fact_order o WHERE o.id = l.order_id GROUP BY ALL),
+shelf AS (
+  SELECT date, channel_id, location_id, 'item' AS part, sku, product_title AS label,
+         SUM(pieces)::BIGINT AS pieces, SUM(money) AS money
+  FROM sold WHERE sku IS NOT NULL GROUP BY ALL
+  UNION ALL
+  SELECT date, channel_id, location_id, 'category', NULL, category, SUM(pieces)::BIGINT, SUM(money)
+  FROM sold GROUP BY ALL),
 kpi AS (
-  SELECT da.date, da.channel_id, da.location_id,
-         CAST(da.sales AS DECIMAL(14,2)) AS sales,
-         CAST(da.txns AS BIGINT) AS txns,
-         CAST(COALESCE(du.units, 0) AS BIGINT) AS units,
-         {ratio_2dp(cents('da.sales'), 'da.txns')} AS aov,
-         {ratio_2dp('da.total_line_items * 100', 'da.unique_customers')} AS items_per_customer,
-         COALESCE(ti.top_items, '') AS top_items,
-         COALESCE(tc.top_categories, '') AS top_categories
-  FROM daily_aggregates da
-  LEFT JOIN daily_units du ON da.date = du.date AND da.channel_id = du.channel_id
-       AND (da.location_id = du.location_id OR (da.location_id IS NULL AND du.location_id IS NULL))
-  LEFT JOIN top_items_daily ti ON da.date = ti.date AND da.channel_id = ti.channel_id
-       AND (da.location_id = ti.location_id OR (da.location_id IS NULL AND ti.location_id IS NULL))
-  LEFT JOIN top_categories_daily tc ON da.date = tc.date AND da.channel_id = tc.channel_id
-       AND (da.location_id = tc.location_id OR (da.location_id IS NULL AND tc.location_id IS NULL))
+  SELECT date, channel_id, location_id, SUM(net)::DECIMAL(14,2) AS sales, COUNT(net) AS txns,
+         COALESCE(SUM(units), 0)::BIGINT AS units,
+         {ratio_2dp('SUM(net) * 100', 'COUNT(net)')} AS aov,
+         {ratio_2dp('COALESCE(SUM(n), 0) * 100', 'COUNT(DISTINCT customer_hash)')} AS items_per_customer,
+         COALESCE({_best('item', _LISTED['item'], item, 'money DESC, sku, label')}, '') AS top_items,
+         COALESCE({_best('category', _LISTED['category'], category, 'money DESC, label')}, '') AS top_categories
+  FROM (
+    SELECT o.created_at::DATE AS date, o.channel_id, o.location_id, o.net_total AS net, o.customer_hash, b.n,
+           b.pieces AS units, 'order' AS part, NULL AS sku, NULL AS label, NULL::BIGINT AS pieces, NULL AS money
+    FROM fact_order o LEFT JOIN basket b ON b.order_id = o.id
+    UNION ALL
+    SELECT date, channel_id, location_id, NULL, NULL, NULL, NULL, part, sku, label, pieces, money FROM shelf)
+  GROUP BY date, channel_id, location_id
 )"""
 
 
+def listed(part: str) -> str:
+    """A cell's listed items or categories, one row each with its place."""
+    order = "money DESC, sku, label" if part == "item" else "money DESC, label"
+    return (f"(SELECT *, ROW_NUMBER() OVER (PARTITION BY date, channel_id, location_id ORDER BY {order}) AS place "
+            f"FROM shelf WHERE part = '{part}' QUALIFY place <= {_LISTED[part]})")
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"

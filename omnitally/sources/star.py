@@ -54,9 +54,34 @@ def _created_at(dense: bool):
         f"timestampadd(DAY, -cast(o_orderkey % {DENSE_DAYS} as int), to_timestamp_ntz('{DENSE_ANCHOR}')))")
 
 
-def fact_order(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
+def fact_order(spark: SparkSession, sf_dir: str, dense: bool = False, location: bool = True) -> DataFrame:
+    """Order facts. With ``location`` False there is no location_id, and customers are not
+    read: a left join that only adds a column is not dropped by the optimizer."""
     o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
              "o_totalprice", "o_orderdate", "o_orderpriority")
+    gross = F.col("o_totalprice").cast(MONEY)
+    refunds = F.when(F.col("o_orderstatus") == "P", F.lit(REFUND_ON_PENDING)).otherwise(0).cast(MONEY)
+    created = _created_at(dense)
+    facts = {
+        "id": F.col("o_orderkey"),
+        "channel_id": F.substring("o_orderpriority", 1, 1),
+        "location_id": F.when(F.col("o_orderkey") % 7 == 0, F.lit(None).cast("string"))
+                        .otherwise(F.col("loc_key").cast("string")) if location else None,
+        "created_at": created,
+        "updated_at": created,
+        "customer_hash": F.when(F.col("o_custkey") % 10 == 0, F.lit(None).cast("string"))
+                          .otherwise(F.substring(F.sha2(F.col("o_custkey").cast("string"), 256), 1, 32)),
+        "gross_total": gross,
+        "net_total": (gross - refunds).cast(MONEY),
+        "tax_total": F.lit(0).cast(MONEY),
+        "discount_total": F.lit(0).cast(MONEY),
+        "refunds_total": refunds,
+        "status": F.col("o_orderstatus"),
+        "customer_key": F.col("o_custkey"),
+    }
+    columns = [c.alias(n) for n, c in facts.items() if c is not None]
+    if not location:
+        return o.select(*columns)
     c = read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     if dense:
         n = read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
@@ -66,44 +91,28 @@ def fact_order(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFra
         c = c.select("c_custkey", F.col("c_nationkey").alias("loc_key"))
     # customer is an order of magnitude smaller than orders; AQE turns this into a
     # broadcast join only when the runtime size is below the threshold.
-    j = o.join(c, o.o_custkey == c.c_custkey, "left")
-    gross = F.col("o_totalprice").cast(MONEY)
-    refunds = F.when(F.col("o_orderstatus") == "P", F.lit(REFUND_ON_PENDING)).otherwise(0).cast(MONEY)
-    created = _created_at(dense)
-    return j.select(
-        F.col("o_orderkey").alias("id"),
-        F.substring("o_orderpriority", 1, 1).alias("channel_id"),
-        F.when(F.col("o_orderkey") % 7 == 0, F.lit(None).cast("string"))
-         .otherwise(F.col("loc_key").cast("string")).alias("location_id"),
-        created.alias("created_at"),
-        created.alias("updated_at"),
-        F.when(F.col("o_custkey") % 10 == 0, F.lit(None).cast("string"))
-         .otherwise(F.substring(F.sha2(F.col("o_custkey").cast("string"), 256), 1, 32)).alias("customer_hash"),
-        gross.alias("gross_total"),
-        (gross - refunds).cast(MONEY).alias("net_total"),
-        F.lit(0).cast(MONEY).alias("tax_total"),
-        F.lit(0).cast(MONEY).alias("discount_total"),
-        refunds.alias("refunds_total"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("o_custkey").alias("customer_key"),
-    )
+    return o.join(c, o.o_custkey == c.c_custkey, "left").select(*columns)
 
 
-def fact_order_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fact_order_line(spark: SparkSession, sf_dir: str, product: bool = True) -> DataFrame:
+    """Line facts. With ``product`` False there is no title or category, and parts are not read."""
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
               "l_quantity", "l_extendedprice")
-    p = read(spark, sf_dir, "part", "p_partkey", "p_name", "p_type")
-    j = li.join(p, li.l_partkey == p.p_partkey, "left")
-    return j.select(
+    if product:
+        p = read(spark, sf_dir, "part", "p_partkey", "p_name", "p_type")
+        li = li.join(p, li.l_partkey == p.p_partkey, "left")
+    described = [
+        F.col("p_name").alias("product_title"),
+        F.when(F.col("l_partkey") % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("p_type")).alias("category"),
+    ] if product else []
+    return li.select(
         # (order, line number) is not unique in the input; the price completes the key.
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                     (F.col("l_extendedprice").cast(MONEY) * 100).cast("bigint")).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.when(F.col("l_partkey") % 13 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("P"), F.col("l_partkey").cast("string"))).alias("sku"),
-        F.col("p_name").alias("product_title"),
-        F.when(F.col("l_partkey") % 11 == 0, F.lit(None).cast("string"))
-         .otherwise(F.col("p_type")).alias("category"),
+        *described,
         F.col("l_quantity").cast("int").alias("qty"),
         F.col("l_extendedprice").cast(MONEY).alias("line_total"),
     )
@@ -166,8 +175,3 @@ def ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 F.lit(" retry later")))
          .otherwise(F.lit(None).cast("string")).alias("error"),
     )
-
-
-def order_cells(orders: DataFrame) -> DataFrame:
-    """Adds the KPI cell key (date, channel_id, location_id) to fact_order."""
-    return orders.withColumn("date", F.to_date("created_at"))

@@ -24,12 +24,11 @@ read, and ``decontaminate`` keeps them in a struct.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
@@ -84,15 +83,6 @@ def simhashes(shingles: np.ndarray, starts: np.ndarray, width: int) -> np.ndarra
     return np.packbits(2 * ones > width, axis=1, bitorder="little").view("<u8").ravel()
 
 
-def similarity(a: list[bytes], b: list[bytes], k: int = SHINGLE) -> float:
-    """Weighted Jaccard similarity of the word shingles of two word lists."""
-    k = max(1, min(k, len(a), len(b)))
-    x = Counter(zip(*(a[i:] for i in range(k))))
-    y = Counter(zip(*(b[i:] for i in range(k))))
-    most = sum((x | y).values())
-    return sum((x & y).values()) / most if most else 0.0
-
-
 class Items:
     """A block of items: their shingles by window length, and their fingerprints."""
 
@@ -191,13 +181,25 @@ def _candidates(docs: DataFrame, items: Items, radius: int) -> DataFrame:
     return found.withColumn("hamming", hamming).where(F.col("hamming") <= radius)
 
 
-@F.pandas_udf(T.DoubleType())
-def _similarities(windows: pd.Series, items: pd.Series) -> pd.Series:
-    return pd.Series([similarity(words_of(a), words_of(b)) for a, b in zip(windows, items)], dtype="float64")
+def similarity(a: Column, b: Column) -> Column:
+    """Weighted Jaccard similarity of the word shingles of two texts (words joined by a space).
+
+    The minima of the shingles' counts add up to the multiset intersection; the maxima are
+    all shingles of both less that.
+    """
+    x, y = F.split(a, " "), F.split(b, " ")
+    k = F.least(F.size(x), F.size(y), F.lit(SHINGLE))
+
+    def shingles(words):
+        return F.transform(F.sequence(F.lit(1), F.size(words) - k + 1), lambda i: F.array_join(F.slice(words, i, k), " "))
 
+    def count(s, of):
+        return F.size(F.filter(of, lambda t: t == s))
 
-# Evaluated once, where it stands, and not again in the filter behind it.
-_similarities = _similarities.asNondeterministic()
+    p, q = shingles(x), shingles(y)
+    both = F.aggregate(F.transform(F.array_intersect(p, q), lambda s: F.least(count(s, p), count(s, q))),
+                       F.lit(0), lambda m, n: m + n)
+    return both / (F.size(p) + F.size(q) - both)
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Items]:
@@ -224,7 +226,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
     parts = []
     for items in item_blocks(benchmark, item_id, item_text):
         found = _candidates(docs, items, radius)
-        checked = found.withColumn("similarity", _similarities("words", "item_text"))
+        checked = found.withColumn("similarity", similarity(F.col("words"), F.col("item_text")))
         parts.append(checked.where(F.col("similarity") >= least)
                      .select("key", "item_id", "similarity", "hamming", "start"))
     if not parts:

@@ -19,9 +19,9 @@ table writes no shard and gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 from re import compile as regex
 
 import numpy as np
@@ -39,14 +39,18 @@ from omnitally.llm.wavelet import WaveletMatrix, encode
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_TOKENS = 2_000_000
-CACHE = 1_000_000
+CACHE = 500_000
 SPACE = "\u0120"  # a space in the vocabulary's byte alphabet
 SHARD_SCHEMA = "part int, seq int, n_tokens long, docs array<long>, data binary"
 ROWS = "part int, seq int, doc_id long, local long, n_tokens long, ids_crc32 long"
 
 
 class Encoder(dict):
-    """Ids of whole texts, as the library gives them; the dictionary holds the ids of `` word``."""
+    """Ids of whole texts, as the library gives them.
+
+    The dictionary holds the ids of `` word`` as little-endian 32-bit bytes, which are compact
+    and join fast.
+    """
 
     #: A space before white space or the end, or the end-of-text token: encode whole.
     WHOLE = regex(r"^\s| (?:\s|$)|<\|endoftext\|>")
@@ -56,20 +60,20 @@ class Encoder(dict):
         super().__init__()
         self.lib = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.model = self.lib.model
-        self.marks = {m: tuple(self.whole(m)) for m in self.MARKS}
+        self.marks = {m: _bytes(self.whole(m)) for m in self.MARKS}
 
     def whole(self, text: str) -> list[int]:
         return self.lib.encode(text, add_special_tokens=False).ids
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         # A mark after a letter or digit is a piece of its own.
         if word[-1] in self.MARKS and word[-2:-1].isalnum():
             ids = self[word[:-1]] + self.marks[word[-1]]
         elif word.isascii() and word.isalpha():
             # One piece; the byte alphabet leaves ASCII letters as they are.
-            ids = tuple([t.id for t in self.model.tokenize(SPACE + word)])
+            ids = _bytes([t.id for t in self.model.tokenize(SPACE + word)])
         else:
-            ids = tuple(self.whole(" " + word))
+            ids = _bytes(self.whole(" " + word))
         if len(self) < CACHE:
             self[word] = ids
         return ids
@@ -77,10 +81,15 @@ class Encoder(dict):
     def ids(self, text: str) -> np.ndarray:
         """Ids of a text, the end id last."""
         if self.WHOLE.search(text):
-            return np.array([*self.whole(text), END_ID], dtype=np.uint32)
-        words = text.split(" ")
-        rest = chain.from_iterable(map(self.__getitem__, words[1:]))
-        return np.fromiter(chain(self.whole(words[0]), rest, (END_ID,)), np.uint32)
+            data = _bytes([*self.whole(text), END_ID])
+        else:
+            words = text.split(" ")
+            data = b"".join([_bytes(self.whole(words[0])), *map(self.__getitem__, words[1:]), _bytes([END_ID])])
+        return np.frombuffer(data, dtype="<u4")
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -65,11 +65,12 @@ def _climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         jumps.append(state.where("up IS NOT NULL").select("tree", "node", "up"))
         above = state.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("next"),
                              F.col("total").alias("more"), F.col("hops").alias("further"))
-        joined = state.join(above, (F.col("tree") == F.col("t")) & (F.col("up") == F.col("n")), "left")
+        # Finished rows stand aside, so a round joins only the nodes still on their way.
+        joined = state.where("up IS NOT NULL").join(above, (F.col("tree") == F.col("t")) & (F.col("up") == F.col("n")), "left")
         state = materialize(joined.select(
             "tree", "node", F.col("next").alias("up"),
             (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-            (F.col("hops") + F.coalesce("further", F.lit(0))).alias("hops")), "climb")
+            (F.col("hops") + F.coalesce("further", F.lit(0))).alias("hops")).union(state.where("up IS NULL")), "climb")
     return jumps, state.where("up IS NULL").drop("up")
 
 

@@ -8,12 +8,14 @@
 2. Documents are read in windows as long as an item, one at every word. A window that has
    no shingle of any item of its length cannot reach a similarity above zero, so only
    windows over such a shingle are hashed and handed on.
-3. Each window's blocks are joined with the index, the Hamming distance of the whole
+3. Each window's blocks are looked up in the index, the Hamming distance of the whole
    fingerprints is checked, and the weighted Jaccard similarity of the shingles themselves
    (sum of minima over sum of maxima of their counts) must be at least 0.8.
 
 The items are worked off in blocks of at most ``BLOCK_WORDS`` words, so that what a block
-sends to the executors has a fixed bound however large the benchmark is.
+sends to the executors has a fixed bound however large the benchmark is. A task looks the
+windows of a document up where it reads it: neither windows nor candidates leave it, only
+the best window of each item found.
 
 Defined cases: null or empty texts have no windows; an item without words matches nothing;
 an item of fewer than five words is one shingle; a document shorter than an item is one
@@ -28,7 +30,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +45,7 @@ RADIUS, BLOCKS = 20, 7
 BLOCK_WORDS = 2_000_000
 WORD_CACHE = 200_000
 STRETCH = 20_000  # windows hashed at a time
+PAIRS = 1 << 20  # candidates of a block of bits held at a time
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CUTS = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
 
@@ -94,9 +97,10 @@ def similarity(a: list[bytes], b: list[bytes], k: int = SHINGLE) -> float:
 
 
 class Items:
-    """A block of items: their shingles by window length, and their fingerprints."""
+    """A block of items: their shingles by window length, their fingerprints and their index."""
 
-    def __init__(self, items: list[tuple[int, list[bytes]]]):
+    def __init__(self, items: list[tuple[int, list[bytes]]], radius: int = RADIUS):
+        self.radius = radius
         self.lengths: dict[int, np.ndarray] = {}
         self.prints = []
         for item, words in items:
@@ -113,9 +117,53 @@ class Items:
             bloom[every >> np.uint64(44)] = True
             self.by_shingle[k] = bloom, every, {n: np.isin(every, h) for n, h in self.lengths.items()
                                                 if min(SHINGLE, n) == k}
-
-    def windows(self, words: list[bytes]) -> Iterator[tuple[int, int, int, int]]:
-        """(item length, start, words, fingerprint) of the windows that share a shingle."""
+        self.fps = np.array([fp for _, _, fp, _ in self.prints], dtype=np.int64).view(np.uint64)
+        self.index = self._index()
+
+    def _index(self) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
+        """By item length, for every block: where each value's items start, and the items."""
+        rows = np.array(index_rows(self, self.radius), dtype=np.int64)
+        out = {}
+        for n in self.lengths:
+            out[n] = []
+            for j, (a, b) in enumerate(zip(_CUTS, _CUTS[1:])):
+                own = rows[(rows[:, 0] == n) & (rows[:, 1] == j)]
+                own = own[np.argsort(own[:, 2], kind="stable")]
+                out[n].append((np.searchsorted(own[:, 2], np.arange((1 << (b - a)) + 1)), own[:, 3].astype(np.int32)))
+        return out
+
+    def near(self, n: int, fps: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(place in ``fps``, place of the item, distance) within the radius, for items of ``n`` words."""
+        blocks = self.index[n]
+        step = max(1, PAIRS // max(int(np.diff(starts).max()) for starts, _ in blocks))
+        for low in range(0, len(fps), step):
+            part, found = fps[low:low + step], []
+            for (starts, items), a, b in zip(blocks, _CUTS, _CUTS[1:]):
+                value = (part >> np.uint64(a) & np.uint64((1 << (b - a)) - 1)).astype(np.int64)
+                count = starts[value + 1] - starts[value]
+                window = np.repeat(np.arange(len(part)), count)
+                inside = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count)
+                item = items[np.repeat(starts[value], count) + inside]
+                close = np.bitwise_count(part[window] ^ self.fps[item]) <= self.radius
+                found.append(window[close] * len(self.fps) + item[close])
+            for pair in np.unique(np.concatenate(found)):
+                w, i = divmod(int(pair), len(self.fps))
+                yield low + w, i, int(np.bitwise_count(part[w] ^ self.fps[i]))
+
+    def best(self, text: str | None, least: float) -> dict[int, tuple[float, int, int]]:
+        """item_id -> (similarity, -distance, -start) of the best window of each item in a text."""
+        words, out = words_of(text), {}
+        for n, starts, width, fps in self.windows(words):
+            for w, i, distance in self.near(n, fps):
+                item, _, _, own = self.prints[i]
+                s = int(starts[w])
+                alike = similarity(words[s:s + width], own)
+                if alike >= least:
+                    out[item] = max(out.get(item, (0.0, 0, 0)), (alike, -distance, -s))
+        return out
+
+    def windows(self, words: list[bytes]) -> Iterator[tuple[int, np.ndarray, int, np.ndarray]]:
+        """Stretches of windows that share a shingle: item length, starts, words, fingerprints."""
         for k, (bloom, every, of_length) in self.by_shingle.items():
             h = shingle_hashes(words, k)
             near = np.flatnonzero(bloom[h >> np.uint64(44)])
@@ -140,8 +188,7 @@ class Items:
                 for stretch in np.split(starts, gaps):
                     for part in (stretch[i:i + STRETCH] for i in range(0, len(stretch), STRETCH)):
                         low = part[0]
-                        fps = simhashes(h[low:part[-1] + width], part - low, width)
-                        yield from ((n, int(s), width + k - 1, int(f)) for s, f in zip(part, fps.astype(np.int64)))
+                        yield n, part, width + k - 1, simhashes(h[low:part[-1] + width], part - low, width)
 
 
 def _within(bits: int, most: int) -> list[int]:
@@ -149,58 +196,37 @@ def _within(bits: int, most: int) -> list[int]:
     return [v for v in range(1 << bits) if v.bit_count() <= most]
 
 
-def index_rows(items: Items, radius: int) -> list[tuple]:
+def index_rows(items: Items, radius: int) -> list[tuple[int, int, int, int]]:
+    """(item length, block, value, place of the item) of the multi-index."""
     rows = []
     near = [_within(b - a, radius // BLOCKS) for a, b in zip(_CUTS, _CUTS[1:])]
-    for item, n, fp, words in items.prints:
-        text = b" ".join(words).decode("utf-8", "surrogatepass")
+    for place, (_, n, fp, _) in enumerate(items.prints):
         for j, (a, b) in enumerate(zip(_CUTS, _CUTS[1:])):
             own = (fp >> a) & ((1 << (b - a)) - 1)
-            rows += [(n, j, own ^ v, item, fp, text) for v in near[j]]
+            rows += [(n, j, own ^ v, place) for v in near[j]]
     return rows
 
 
-_WINDOW = T.StructType([T.StructField("length", T.IntegerType()), T.StructField("start", T.IntegerType()),
-                        T.StructField("fp", T.LongType()), T.StructField("words", T.StringType())])
-
-
-def _candidates(docs: DataFrame, items: Items, radius: int) -> DataFrame:
-    """Window and item pairs within the radius; docs has the columns key and text."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(items)
-
-    @F.pandas_udf(T.ArrayType(_WINDOW))
-    def windows(texts: pd.Series) -> pd.Series:
-        out = []
-        for t in texts:
-            words = words_of(t)
-            out.append([(n, s, f, b" ".join(words[s:s + w]).decode("utf-8", "surrogatepass"))
-                        for n, s, w, f in sent.value.windows(words)])
-        return pd.Series(out)
-
-    index = spark.createDataFrame(index_rows(items, radius),
-                                  "length int, block int, value long, item_id long, item_fp long, item_text string")
-    blocks = F.array(*[F.struct(F.lit(j).alias("block"), F.shiftrightunsigned("w.fp", a).bitwiseAND(
-        F.lit((1 << (b - a)) - 1)).alias("value")) for j, (a, b) in enumerate(zip(_CUTS, _CUTS[1:]))])
-    probes = (docs.select("key", F.explode(windows("text")).alias("w"))
-              .select("key", "w", F.explode(blocks).alias("b"))
-              .select("key", "w.*", "b.block", "b.value"))
-    # The index of one block of items is bounded by BLOCK_WORDS.
-    found = probes.join(F.broadcast(index), ["length", "block", "value"])
-    hamming = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    return found.withColumn("hamming", hamming).where(F.col("hamming") <= radius)
-
-
-@F.pandas_udf(T.DoubleType())
-def _similarities(windows: pd.Series, items: pd.Series) -> pd.Series:
-    return pd.Series([similarity(words_of(a), words_of(b)) for a, b in zip(windows, items)], dtype="float64")
+def _search(docs: DataFrame, items: Items, least: float) -> DataFrame:
+    """The best window of each item found in each row of ``docs`` (columns key and text)."""
+    sent = docs.sparkSession.sparkContext.broadcast(items)
+    schema = T.StructType([docs.schema["key"], T.StructField("item_id", T.LongType()),
+                           T.StructField("similarity", T.DoubleType()), T.StructField("near", T.IntegerType()),
+                           T.StructField("first", T.IntegerType())])
 
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [None, pa.int64(), pa.float64(), pa.int32(), pa.int32()]
+        for batch in batches:
+            types[0] = batch.schema.field(0).type
+            rows = [(key.as_py(), item, *best) for key, text in zip(batch.column(0), batch.column(1))
+                    for item, best in sent.value.best(text.as_py(), least).items()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], schema.names)
 
-# Evaluated once, where it stands, and not again in the filter behind it.
-_similarities = _similarities.asNondeterministic()
+    return docs.select("key", "text").mapInArrow(search, schema)
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Items]:
+def item_blocks(benchmark: DataFrame, item_id: str, text: str, radius: int = RADIUS) -> Iterator[Items]:
     """The items, a bounded block at a time."""
     held, size = [], 0
     rows = benchmark.select(F.col(item_id).cast("long"), F.col(text))
@@ -210,10 +236,10 @@ def item_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Items
             held.append((item, words))
             size += len(words) + 400
         if size > BLOCK_WORDS:
-            yield Items(held)
+            yield Items(held, radius)
             held, size = [], 0
     if held:
-        yield Items(held)
+        yield Items(held, radius)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
@@ -221,20 +247,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
                  least: float = SIMILARITY) -> DataFrame:
     """key, item_id, similarity, hamming, start_word: the best window of each pair found."""
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    parts = []
-    for items in item_blocks(benchmark, item_id, item_text):
-        found = _candidates(docs, items, radius)
-        checked = found.withColumn("similarity", _similarities("words", "item_text"))
-        parts.append(checked.where(F.col("similarity") >= least)
-                     .select("key", "item_id", "similarity", "hamming", "start"))
+    parts = [_search(docs, items, least) for items in item_blocks(benchmark, item_id, item_text, radius)]
     if not parts:
         return docs.select("key", F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("similarity"),
                            F.lit(0).alias("hamming"), F.lit(0).alias("start_word")).where(F.lit(False))
     every = parts[0]
     for p in parts[1:]:
         every = every.union(p)
-    best = F.struct("similarity", (-F.col("hamming")).alias("near"), (-F.col("start")).alias("first"))
-    return (every.groupBy("key", "item_id").agg(F.max(best).alias("b"))
+    return (every.groupBy("key", "item_id").agg(F.max(F.struct("similarity", "near", "first")).alias("b"))
             .select("key", "item_id", "b.similarity", (-F.col("b.near")).alias("hamming"),
                     (-F.col("b.first")).alias("start_word")))
 

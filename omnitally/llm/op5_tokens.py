@@ -25,8 +25,8 @@ from collections.abc import Iterator
 from re import compile as regex
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,39 +110,47 @@ def shards(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabula
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, part = encoder(vocabulary), TaskContext.get().partitionId()
         seq, size, ids, held = 0, 0, [], []
 
         def row():
-            return pd.DataFrame({"part": [part], "seq": [seq], "n_tokens": [size], "docs": [ids],
-                                 "data": [encode(np.concatenate(held), np.array([len(h) for h in held]))]})
+            data = encode(np.concatenate(held), np.array([len(h) for h in held]))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([size], pa.int64()),
+                 pa.array([ids], pa.list_(pa.int64())), pa.array([data], pa.binary())],
+                ["part", "seq", "n_tokens", "docs", "data"])
 
         for batch in batches:
-            for d, tokens in zip(batch["doc_id"].tolist(), map(run.ids, batch["text"])):
+            # One text at a time: a batch of long texts is never held a second time as strings.
+            for d, t in zip(batch.column(0), batch.column(1)):
+                tokens = run.ids(t.as_py())
                 if held and size + len(tokens) > shard_tokens:
                     yield row()
                     seq, size, ids, held = seq + 1, 0, [], []
-                ids.append(None if pd.isna(d) else int(d))
+                ids.append(d.as_py())
                 held.append(tokens)
                 size += len(tokens)
         if held:
             yield row()
 
-    return rows.mapInPandas(pack, SHARD_SCHEMA)
+    return rows.mapInArrow(pack, SHARD_SCHEMA)
 
 
 def read_documents(stored: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, decoded from stored shards."""
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, seq, docs, data in zip(batch["part"], batch["seq"], batch["docs"], batch["data"]):
-                matrix = WaveletMatrix(data)
+            for part, seq, docs, data in zip(*batch.columns):
+                matrix = WaveletMatrix(data.as_py())
                 ids, sizes = matrix.tokens(), matrix.doc_lengths.astype(np.int64)
                 ends = np.cumsum(sizes)
                 crcs = [zlib.crc32(ids[a:b].data) for a, b in zip(ends - sizes, ends)]
-                yield pd.DataFrame({"part": part, "seq": seq, "doc_id": pd.array(docs, dtype="Int64"),
-                                    "local": ends - sizes, "n_tokens": sizes, "ids_crc32": crcs})
+                n = len(sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part.as_py()] * n, pa.int32()), pa.array([seq.as_py()] * n, pa.int32()), docs.values,
+                     pa.array(ends - sizes), pa.array(sizes), pa.array(crcs, pa.int64())],
+                    ["part", "seq", "doc_id", "local", "n_tokens", "ids_crc32"])
 
     # Positions: totals per partition are few; inside a partition the shards are few.
     totals = stored.groupBy("part").agg(F.sum("n_tokens").alias("sum"))
@@ -151,7 +159,7 @@ def read_documents(stored: DataFrame) -> DataFrame:
     inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     places = stored.select("part", "seq", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("offset"))
     places = places.join(base, "part").select("part", "seq", (F.col("base") + F.col("offset")).alias("base"))
-    rows = stored.select("part", "seq", "docs", "data").mapInPandas(unpack, ROWS)
+    rows = stored.select("part", "seq", "docs", "data").mapInArrow(unpack, ROWS)
     return rows.join(places, ["part", "seq"]).select(
         "doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
 

@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 from omnitally.session import scratch_dir
 from omnitally.sources.tables import read
 
+#: Rows of an Arrow batch, so that a batch of whole texts stays at a few megabytes on both sides.
+BATCH_ROWS = 500
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: The white space that separates words in every contract of this package.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The documents table; texts travel to Python in batches of at most ``BATCH_ROWS``."""
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
     return read(spark, sf_dir, "documents", *columns)
 
 

@@ -69,6 +69,11 @@ def measures(texts: pd.Series) -> pd.DataFrame:
                         columns=MEASURES.names)
 
 
+# Evaluated once, where it stands: a filter on the measures would measure every text again,
+# in a second Python worker of the task.
+measures = measures.asNondeterministic()
+
+
 def base_failed(q: Column) -> Column:
     return (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
 

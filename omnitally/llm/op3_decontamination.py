@@ -43,24 +43,12 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: At a similarity of 0.8 the expected distance is 10 bits with a deviation of 3.
 RADIUS, BLOCKS = 20, 7
 BLOCK_WORDS = 2_000_000
-WORD_CACHE = 200_000
 STRETCH = 20_000  # windows hashed at a time
 PAIRS = 1 << 20  # candidates of a block of bits held at a time
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CUTS = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > WORD_CACHE:
-            self.clear()
-        value = self[word] = xxh64_intdigest(word)
-        return value
-
-
-_HASHES = _WordHashes()
-
-
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "surrogatepass").split()
 
@@ -69,7 +57,7 @@ def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
     """Hash of the k-word shingle at every position."""
     if len(words) < k:
         return np.zeros(0, dtype=np.uint64)
-    w = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
     n = len(w) - k + 1
     h = np.zeros(n, dtype=np.uint64)
     for i in range(k):

@@ -66,16 +66,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a table holds data: any entry that is not a marker or temporary one.
+
+    Committers that write no ``_SUCCESS`` marker are told apart from an empty target too.
+    """
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p)) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+
+
 def publish_version(spark: SparkSession, base: str, version: str) -> None:
-    """Point readers at a finished version: ``_CURRENT`` is rewritten atomically (write a
-    temporary file, then rename over the pointer)."""
+    """Point readers at a finished version: a temporary file is renamed over ``_CURRENT`` in
+    one step, so readers always find the old pointer or the new one."""
     fs, ptr = _fs(spark, f"{base.rstrip('/')}/_CURRENT")
     _, tmp = _fs(spark, f"{base.rstrip('/')}/_CURRENT.{uuid.uuid4().hex}")
     out = fs.create(tmp, True)
     out.write(bytearray(version.encode("utf-8")))
     out.close()
-    fs.delete(ptr, False)
-    fs.rename(tmp, ptr)
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(ptr.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(tmp, ptr, options)
 
 
 def current_version(spark: SparkSession, base: str) -> str:
@@ -104,7 +117,7 @@ def refresh_kpi(spark: SparkSession, orders: DataFrame, lines: DataFrame, base:
         publish_version(spark, base, version)
         status, err = "success", None
     except Exception as e:  # noqa: BLE001 - recorded, then re-raised
-        status, err = "failed", str(e)[:500]
+        status, err = "failed", str(e)
         append_audit(spark, f"{base.rstrip('/')}/_audit", "warehouse", "mv_refresh", status, as_of, error=err)
         raise
     append_audit(spark, f"{base.rstrip('/')}/_audit", "warehouse", "mv_refresh", status, as_of,
@@ -126,15 +139,28 @@ def upsert_partitions(spark: SparkSession, target: str, batch: DataFrame, key: s
                       order_cols: list[str]) -> None:
     """Upsert a batch into a Parquet table partitioned by ``partition_col``.
 
-    Only partitions the batch touches are read (semi join on the partition values, which
-    prunes the scan) and rewritten (dynamic overwrite). The merged result is checkpointed
-    first so the overwrite never reads the files it replaces.
+    Read and rewritten are the partitions of the batch and those that hold its keys now (a
+    semi join over the key column alone), so a row whose partition value changes leaves its
+    old place. The merged result is checkpointed first so the overwrite never reads the
+    files it replaces. A partition that all its rows left is deleted last; a job that ends
+    before that is put right by running it again. A null partition value is a partition
+    like any other.
     """
     ensure_checkpoint_dir(spark)
-    touched = batch.select(partition_col).distinct()
-    current = spark.read.parquet(target).join(touched, partition_col, "left_semi")
+    table = spark.read.parquet(target)
+    held = table.join(batch.select(key).distinct(), key, "left_semi").select(F.col(partition_col).alias("_p"))
+    touched = batch.select(F.col(partition_col).alias("_p")).union(held).distinct().checkpoint(eager=True)
+    current = table.join(touched, F.col(partition_col).eqNullSafe(F.col("_p")), "left_semi")
     merged = U.upsert(current, batch, key, order_cols).checkpoint(eager=True)
+    left = touched.join(merged.select(partition_col).distinct(), F.col(partition_col).eqNullSafe(F.col("_p")), "left_anti")
+    folder = F.regexp_replace(F.input_file_name(), "/[^/]*$", "")
+    # At most one row per emptied partition.
+    emptied = table.withColumn("_folder", folder).join(left, F.col(partition_col).eqNullSafe(F.col("_p")), "left_semi") \
+        .select("_folder").distinct().collect()
     write_partitioned(merged, target, partition_col, dynamic=True)
+    for row in emptied:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(row._folder))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def resync_day(spark: SparkSession, orders: DataFrame, lines: DataFrame, kpi_path: str, day: str) -> DataFrame:
@@ -209,7 +235,7 @@ def backfill(spark: SparkSession, batch: DataFrame, target: str, windows: DataFr
     window_start, window_end). Re-running is idempotent for the data; the newest checkpoint
     per source (``audit.latest_per_key``) tells where to resume.
     """
-    if path_exists(spark, f"{target}/_SUCCESS"):
+    if has_data(spark, target):
         upsert_partitions(spark, target, batch, key, partition_col, list(order_cols))
     else:
         write_partitioned(batch, target, partition_col, dynamic=False)

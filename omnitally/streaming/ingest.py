@@ -127,7 +127,7 @@ def run_upsert_orders(spark: SparkSession, sf_dir: str) -> str:
         dates = N.first_page(raw).select(F.concat(F.lit("shop_order_"), F.col("id").cast("string")).alias("id"),
                                          F.to_date(utc_ts("created_at")).alias("created_date"))
         rows = N.shop_events(raw).join(dates, "id").withColumn("updated_at", F.lit(batch_id).cast("bigint"))
-        if jobs.path_exists(spark, f"{table}/_SUCCESS"):
+        if jobs.has_data(spark, table):
             jobs.upsert_partitions(spark, table, rows, "id", "created_date", ["updated_at"])
         else:  # first batch creates the table (a replay of it rewrites the same content)
             jobs.write_partitioned(rows, table, "created_date", dynamic=False)

@@ -39,6 +39,36 @@ def test_upsert_partitions_touches_only_batch_partitions(spark):
     assert untouched and all(os.path.exists(p) and _files(target).get(p) == before[p] for p in untouched)
 
 
+def test_upsert_moves_rows_between_partitions(spark):
+    """A changed partition value leaves no second row, also from or to a null or emptied partition,
+    and the target needs no success marker."""
+    target = jobs.new_table_dir(spark, "orders_m")
+    schema = "id int, d date, v string, updated_at int"
+    days = [dt.date(2024, 1, i) for i in (1, 2, 3)]
+    rows = [(1, days[0], "a", 1), (2, days[1], "b", 1), (3, days[1], "c", 1), (4, None, "n", 1), (5, None, "m", 1)]
+    assert not jobs.has_data(spark, target)
+    spark.createDataFrame(rows, schema).write.partitionBy("d").option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(target)
+    assert jobs.has_data(spark, target)
+    batch = spark.createDataFrame([(1, days[2], "a2", 2), (2, days[2], "b2", 2), (4, days[0], "n2", 2), (3, days[2], "old", 0)],
+                                  schema)
+    for _ in range(2):
+        jobs.upsert_partitions(spark, target, batch, "id", "d", ["updated_at"])
+        got = {(r.id, r.d, r.v) for r in spark.read.parquet(target).collect()}
+        assert got == {(1, days[2], "a2"), (2, days[2], "b2"), (3, days[1], "c"), (4, days[0], "n2"), (5, None, "m")}
+        assert spark.read.parquet(target).count() == 5
+    move = spark.createDataFrame([(3, days[2], "c3", 3)], schema)
+    jobs.upsert_partitions(spark, target, move, "id", "d", ["updated_at"])
+    assert spark.read.parquet(target).count() == 5 and not any("d=2024-01-02" in p for p in _files(target))
+
+
+def test_publish_replaces_the_pointer(spark):
+    base = jobs.new_table_dir(spark, "versions")
+    for version in ("v1", "v2"):
+        jobs.publish_version(spark, base, version)
+        assert jobs.current_version(spark, base) == version
+
+
 def test_resync_day_rewrites_one_partition(spark, sf_small):
     o, li = star.fact_order(spark, sf_small, True), star.fact_order_line(spark, sf_small)
     base = jobs.new_table_dir(spark, "kpi_r")

@@ -39,7 +39,7 @@ from omnitally.llm.wavelet import WaveletMatrix, encode
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_TOKENS = 2_000_000
-CACHE = 1_000_000
+CACHE = 500_000
 SPACE = "\u0120"  # a space in the vocabulary's byte alphabet
 SHARD_SCHEMA = "part int, seq int, n_tokens long, docs array<long>, data binary"
 ROWS = "part int, seq int, doc_id long, local long, n_tokens long, ids_crc32 long"

@@ -8,8 +8,9 @@ and its bytes. Start positions come from the shards' counts by a prefix sum over
 partitions and one inside each, without touching the bytes.
 
 The tokenizer's pre-tokenisation never crosses a space that stands before a word, so a
-text is cut there and a worker asks the library once for each distinct piece (up to a
-bounded cache); texts with any other use of spaces are encoded whole.
+text is cut there, and an unknown word by the tokenizer's own pattern; a worker asks the
+library's model once for each distinct piece (up to a bounded cache). Words with characters
+beyond U+024F go to the library as they are, texts with any other use of spaces whole.
 
 Defined cases: a null text counts as empty and yields the end id alone; rows are ordered
 by id, null ids last, equal ids by a hash of the text; repeated rows are each encoded; a
@@ -22,11 +23,11 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from re import compile as regex
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,11 +41,44 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_TOKENS = 2_000_000
 CACHE = 500_000
-SPACE = "\u0120"  # a space in the vocabulary's byte alphabet
 SHARD_SCHEMA = "part int, seq int, n_tokens long, docs array<long>, data binary"
 ROWS = "part int, seq int, doc_id long, local long, n_tokens long, ids_crc32 long"
 
 
+def _byte_alphabet() -> list[str]:
+    """The character that stands for each byte: itself if visible, else the next from U+0100."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(0x100, 0x200))
+    return [chr(b if b in visible else next(hidden)) for b in range(256)]
+
+
+class Pieces(dict):
+    """Ids of single pieces of the pre-tokenisation, as little-endian 32-bit bytes."""
+
+    ALPHABET = _byte_alphabet()
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def encode(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isprintable():
+            shown = piece.replace(" ", self.ALPHABET[32])
+        else:
+            shown = "".join(map(self.ALPHABET.__getitem__, piece.encode()))
+        return _bytes([t.id for t in self.model.tokenize(shown)])
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.encode(piece)
+        if len(self) < CACHE // 4:
+            self[piece] = ids
+        return ids
+
+
+class Uncut(Exception):
+    """The text has a space that stands before no word."""
+
+
 class Encoder(dict):
     """Ids of whole texts, as the library gives them.
 
@@ -52,26 +86,33 @@ class Encoder(dict):
     and join fast.
     """
 
-    #: A space before white space or the end, or the end-of-text token: encode whole.
-    WHOLE = regex(r"^\s| (?:\s|$)|<\|endoftext\|>")
-    MARKS = frozenset(",.;:!?")
+    SPECIAL = "<|endoftext|>"
+    #: Characters whose classes are the same in every Unicode version in use.
+    PLAIN = regex.compile(r"[\n\t\r\x21-\x7E\xA1-\u024F]+")
+    CUT = regex.compile(public_tokenizers.PATTERN)
 
     def __init__(self, vocabulary: str = VOCABULARY):
         super().__init__()
         self.lib = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.model = self.lib.model
-        self.marks = {m: _bytes(self.whole(m)) for m in self.MARKS}
+        self.pieces = Pieces(self.lib.model)
 
     def whole(self, text: str) -> list[int]:
         return self.lib.encode(text, add_special_tokens=False).ids
 
     def __missing__(self, word: str) -> bytes:
-        # A mark after a letter or digit is a piece of its own.
-        if word[-1] in self.MARKS and word[-2:-1].isalnum():
-            ids = self[word[:-1]] + self.marks[word[-1]]
-        elif word.isascii() and word.isalpha():
-            # One piece; the byte alphabet leaves ASCII letters as they are.
-            ids = _bytes([t.id for t in self.model.tokenize(SPACE + word)])
+        if word.isalpha() and word.isascii():
+            ids = self.pieces.encode(" " + word)
+        elif not word or word[0].isspace():
+            raise Uncut
+        elif self.PLAIN.fullmatch(word):
+            first, *rest = self.CUT.findall(" " + word)
+            if not rest:
+                ids = self.pieces.encode(first)
+            else:
+                known = first[1:] in self
+                ids = b"".join([self[first[1:]], *map(self.pieces.__getitem__, rest)])
+                if not known:  # a word seen for the first time is not worth a second entry
+                    return ids
         else:
             ids = _bytes(self.whole(" " + word))
         if len(self) < CACHE:
@@ -80,11 +121,13 @@ class Encoder(dict):
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of a text, the end id last."""
-        if self.WHOLE.search(text):
+        first, *words = text.split(" ")
+        try:
+            if self.SPECIAL in text:
+                raise Uncut
+            data = b"".join([_bytes(self.whole(first)), *map(self.__getitem__, words), _bytes([END_ID])])
+        except Uncut:
             data = _bytes([*self.whole(text), END_ID])
-        else:
-            words = text.split(" ")
-            data = b"".join([_bytes(self.whole(words[0])), *map(self.__getitem__, words[1:]), _bytes([END_ID])])
         return np.frombuffer(data, dtype="<u4")
 
 

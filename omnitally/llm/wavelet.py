@@ -32,11 +32,12 @@ def encode(tokens: np.ndarray, doc_lengths: np.ndarray) -> bytes:
     out = [MAGIC, struct.pack("<IIQ", planes, len(doc_lengths), len(x)),
            _packed(np.asarray(doc_lengths, dtype="<u4").tobytes())]
     for p in range(planes - 1, -1, -1):
-        bits = (x >> p & 1).astype(bool)
-        zeros = x[~bits]
+        # Places are gathered by index: masks of random bits are slow.
+        bits = (x & x.dtype.type(1 << p)) != 0
+        zeros = x.take(np.flatnonzero(~bits))
         packed = np.packbits(bits, bitorder="little")
         out += [struct.pack("<Q", len(zeros)), _packed(packed.tobytes()), _packed(_directory(packed).tobytes())]
-        x = np.concatenate([zeros, x[bits]])
+        x = np.concatenate([zeros, x.take(np.flatnonzero(bits))])
     return b"".join(out)
 
 
@@ -137,7 +138,7 @@ class WaveletMatrix:
         for p in range(len(self.zeros) - 1, -1, -1):
             bits = np.unpackbits(self.planes[p], count=self.n, bitorder="little").view(bool)
             up = np.empty_like(x)
-            up[~bits] = x[:self.zeros[p]]
-            up[bits] = x[self.zeros[p]:] | x.dtype.type(1 << (len(self.zeros) - 1 - p))
+            up[np.flatnonzero(~bits)] = x[:self.zeros[p]]
+            up[np.flatnonzero(bits)] = x[self.zeros[p]:] | x.dtype.type(1 << (len(self.zeros) - 1 - p))
             x = up
         return x.astype("<u4")

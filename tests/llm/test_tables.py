@@ -129,6 +129,15 @@ def test_encoder_equals_the_library():
         assert e.ids(t).tolist() == [*e.whole(t), 2], t
 
 
+def test_encoder_cuts_as_the_library_does():
+    e, rng = K.Encoder(), random.Random(5)
+    texts = [t for c in map(chr, range(0x260))
+             for t in (f"a b{c}c", f"x 1{c}2", f"x {c}{c}a'{c}", f"x .{c}.", f"{c}a {c}", f"q a{c} b", f"'s{c} 't {c}ll")]
+    parts = [*"ab1.,'s \n\t\r\x1c\x85\xa0éßµªº²½×|<>\u2003\u3000中ǅ😀", "e\u0308", "<|endoftext|>", " the", "'ll"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(20_000)]
+    assert [t for t in texts if e.ids(t).tolist() != [*e.whole(t), K.END_ID]] == []
+
+
 def test_tokens_odd_rows(odd_docs, no_docs):
     got = K.write_and_read(odd_docs).collect()
     want = plain_tokens([(r.doc_id, r.text) for r in odd_docs.collect()])

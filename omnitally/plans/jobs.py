@@ -75,6 +75,16 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p)) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
+def files_of(spark: SparkSession, path: str) -> tuple:
+    """(path, size, modification time) of every file at or under ``path``, in order."""
+    fs, p = _fs(spark, path)
+    found, out = fs.listFiles(p, True), []
+    while found.hasNext():
+        f = found.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def publish_version(spark: SparkSession, base: str, version: str) -> None:
     """Point readers at a finished version: a temporary file is renamed over ``_CURRENT`` in
     one step, so readers always find the old pointer or the new one."""

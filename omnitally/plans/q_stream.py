@@ -41,7 +41,7 @@ def q_stream_upsert_orders(spark, sf_dir):
 
 @register("stream_dedupe", "SELECT event_id, event_type, value FROM events")
 def q_stream_dedupe(spark, sf_dir):
-    """Every event delivered twice; duplicates dropped within the watermark."""
+    """Every event delivered twice; duplicates dropped by event id."""
     path = ST.run_dedupe(spark, sf_dir)
     return spark.read.parquet(path).select("event_id", "event_type", "value")
 

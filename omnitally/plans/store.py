@@ -9,8 +9,6 @@ changed inputs produce a new build.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from omnitally.operators import kpi as K
@@ -22,20 +20,13 @@ _BUILT: dict[tuple, str] = {}
 _INPUTS = ("orders", "lineitem", "customer", "nation", "part")
 
 
-def _signature(sf_dir: str) -> tuple:
-    sig = []
-    for t in _INPUTS:
-        p = table_path(sf_dir, t)
-        try:
-            st = os.stat(p)
-            sig.append((t, st.st_size, int(st.st_mtime)))
-        except OSError:  # remote filesystems: fall back to the path
-            sig.append((t, p))
-    return tuple(sig)
+def _signature(spark: SparkSession, sf_dir: str) -> int:
+    """A value that changes with any input file, in whatever store the files are."""
+    return hash(tuple(jobs.files_of(spark, table_path(sf_dir, t)) for t in _INPUTS))
 
 
 def kpi_view(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, dense, _signature(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir, dense, _signature(spark, sf_dir))
     path = _BUILT.get(key)
     if path is None:
         path = jobs.new_table_dir(spark, "kpi_dense" if dense else "kpi_daily")

@@ -91,6 +91,32 @@ def test_stream_dedupe_halves_doubled_feed(spark, sf_small):
     assert out.count() == n and out.select("event_id").distinct().count() == n
 
 
+def test_stream_dedupe_keeps_late_events(spark):
+    """Three files, newest first and 90 days apart, with repeats within and between them."""
+    base = jobs.new_table_dir(spark, "late_events")
+    rows = [(i, f"2024-{m:02d}-01 00:00:00") for m, ids in ((7, (1, 2, 2)), (4, (3, 4)), (1, (5, 3, 1, 6)))
+            for i in ids]
+    moved = {i: t for i, t in reversed(rows)}  # a repeat carries its event's time
+    for part in (rows[:3], rows[3:5], rows[5:]):
+        spark.createDataFrame([(i, moved[i], "view", 1, 2.0, "{}") for i, _ in part],
+                              "event_id long, ts string, event_type string, user_id long, value double, props string") \
+            .withColumn("ts", F.col("ts").cast("timestamp_ntz")) \
+            .coalesce(1).write.mode("append").parquet(f"{base}/events.parquet")
+    out = spark.read.parquet(ST.run_dedupe(spark, base))
+    assert sorted(r.event_id for r in out.collect()) == [1, 2, 3, 4, 5, 6]
+    assert out.select("batch_id").distinct().count() > 1
+
+
+def test_kpi_store_sees_changed_inputs(spark, tmp_path):
+    from omnitally.plans import store
+    for t in store._INPUTS:
+        spark.range(1).write.parquet(f"{tmp_path}/{t}.parquet")
+    before = store._signature(spark, str(tmp_path))
+    assert store._signature(spark, str(tmp_path)) == before
+    spark.range(1).write.mode("append").parquet(f"{tmp_path}/lineitem.parquet")
+    assert store._signature(spark, str(tmp_path)) != before
+
+
 def test_stream_ingest_rejects_bad_signatures(spark, sf_small):
     a = spark.read.parquet(ST.run_ingest(spark, sf_small))
     e = spark.read.parquet(f"{sf_small}/events.parquet")

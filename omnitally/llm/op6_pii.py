@@ -30,13 +30,13 @@ KINDS = {
     "email": (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.8,
               "mail|contact|write to", "example|noreply"),
     "ip": (r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]", 0.6, r"\bip\b|address|host|server", "version|release|section"),
-    "card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])", r"[0-9][\x20-]?[0-9]{3}", 0.5,
+    "card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])", r"[0-9](?:[\x20-]?[0-9]){15}", 0.5,
              "card|visa|master|credit|payment", "order|serial|tracking"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.6, "phone|call|tel|mobile|fax", "score|offset"),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", 0.3,
              "iban|account|bank|transfer", "part no|model"),
     "ssn": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]{3}-[0-9]{2}-", 0.4, "ssn|social security", "order|serial|part no"),
-    "short_card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,14}+(?![\x20-]?[0-9])", r"[0-9][\x20-]?[0-9]{3}", 0.1,
+    "short_card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,14}+(?![\x20-]?[0-9])", r"[0-9](?:[\x20-]?[0-9]){12}", 0.1,
                    "card|visa|amex|credit|payment", "order|serial|tracking"),
 }
 BASE = ("email", "ip", "card", "phone")

@@ -107,6 +107,19 @@ def test_checksums(spark):
     assert got[2] == [] and [k for k, _ in got[3]] == ["short_card"]
 
 
+def test_cards_in_groups_of_any_size(spark):
+    """Lone numbers cut into ones, twos and more, by spaces and hyphens, against the plain patterns."""
+    number, short = "4111111111111111", "378282246310005"
+    cut = lambda s, n, sep: sep.join(s[i:i + n] for i in range(0, len(s), n))
+    made = [cut(number, n, sep) for n in (1, 2, 3, 4, 5) for sep in " -"] + ["41 1 11-1 1 11 11-11 11 1"]
+    made += [f"card {cut(short, n, sep)}" for n in (1, 2, 3) for sep in " -"]
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    for r in P.findings(df).collect():
+        t = made[r.doc_id]
+        assert [(f.kind, f.start, f.end) for f in r.findings if f.kind in P.BASE] == pii_base(t), t
+        assert [f.kind for f in r.findings] == ["short_card" if t.startswith("card") else "card"], t
+
+
 def test_odd_rows(odd_docs, no_docs):
     for find in (S.secrets, P.findings):
         assert find(odd_docs).count() == odd_docs.count()

@@ -25,6 +25,24 @@ from pyspark.sql import functions as F
 from omnitally.llm.common import documents, running_sums, text_of
 
 NEAR, LEAST = 40, 0.6
+#: Length of a country's IBANs: those of the registry and those in use beside it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban() -> str:
+    """A country's IBAN ends at its length, whatever follows; other codes take all that follows."""
+    rest = r"(?:\x20?[A-Z0-9])"
+    each = [f"(?:{c.replace(' ', '|')})[0-9]{{2}}{rest}{{{n - 4}}}+" for n, c in IBAN_LENGTHS.items()]
+    known = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+    return (r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(each)
+            + rf"|(?!{known})[A-Z]{{2}}[0-9]{{2}}{rest}{{11,30}})(?![A-Za-z0-9])")
+
+
 #: kind: (pattern, a cheap test that every match implies, prior score, words for it, words against it)
 KINDS = {
     "email": (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.8,
@@ -33,7 +51,7 @@ KINDS = {
     "card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])", r"[0-9](?:[\x20-]?[0-9]){15}", 0.5,
              "card|visa|master|credit|payment", "order|serial|tracking"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.6, "phone|call|tel|mobile|fax", "score|offset"),
-    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", 0.3,
+    "iban": (_iban(), "[A-Z]{2}[0-9]{2}", 0.3,
              "iban|account|bank|transfer", "part no|model"),
     "ssn": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]{3}-[0-9]{2}-", 0.4, "ssn|social security", "order|serial|part no"),
     "short_card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,14}+(?![\x20-]?[0-9])", r"[0-9](?:[\x20-]?[0-9]){12}", 0.1,

@@ -120,6 +120,21 @@ def test_cards_in_groups_of_any_size(spark):
         assert [f.kind for f in r.findings] == ["short_card" if t.startswith("card") else "card"], t
 
 
+def test_ibans_end_at_their_length(spark):
+    """What follows an IBAN, capitals and numbers too, is not taken for a part of it."""
+    ibans = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO9386011117947",
+             "FR1420041010050500013M02606", "MT84MALT011000012345MTLCAST001S", "ZZ22370400440532013000"]
+    after = [" Please pay", " EUR 50", " BIC COBADEFF", " 50", ".", " GB82 WEST 1234 5698 7654 32", ""]
+    made = [(f"IBAN {x}{y}", x, y) for x in ibans[:-1] for y in after] + [(f"IBAN {ibans[-1]}{y}", ibans[-1], y) for y in (" Please", ".")]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(made)], "doc_id long, text string")
+    for r in P.findings(df).collect():
+        t, x, y = made[r.doc_id]
+        got = [t[f.start:f.end] for f in r.findings if f.kind == "iban"]
+        assert got == [x] + ([y[1:]] if "GB82" in y else []), (t, got)
+    near = spark.createDataFrame([(1, "IBAN DE89370400440532013000X"), (2, "IBAN DE8937040044053201300 Pay")], "doc_id long, text string")
+    assert all(r.findings == [] for r in P.findings(near).collect())
+
+
 def test_odd_rows(odd_docs, no_docs):
     for find in (S.secrets, P.findings):
         assert find(odd_docs).count() == odd_docs.count()

@@ -4,16 +4,18 @@ A small helper finds the parts of a credential in each whole text: identifiers,
 and endpoints, each with its span and its scope (the block of text between blank lines).
 Strong kinds (assign, access, hex) are findings by themselves. Weak candidates (a user
 name, a short password, an opaque string, an address) are not: an interval join inside
-each scope, as a range-frame window over the parts in order of position, asks which
-complementary parts lie within ``RADIUS`` code points:
+each scope asks which complementary parts lie within ``RADIUS`` code points, from the end
+of one part to the start of the next (0 when they overlap). Of the parts that start before
+a part, the one that ends last is the nearest, of the others the one that starts first, so
+two windows over the parts in order of position, forwards and backwards, answer it:
 
 - a weak secret is reported only near an identifier,
 - an identifier only near a secret,
 - an endpoint only near both.
 
-The window hands each part its nearest complements, so linked parts are named without
-making the pairs of a scope. It runs over the parts alone (texts are not shuffled), keyed
-by row and scope; a frame holds at most the parts that fit into its code points.
+The windows hand each part its nearest complement of every role, so linked parts are named
+without making the pairs of a scope. They run over the parts alone (texts are not
+shuffled), keyed by row and scope.
 
 Defined cases: a null text counts as empty; a text without parts has no findings; repeated
 rows each give a row, with the same findings; equal parts of equal rows are one part; an
@@ -92,9 +94,10 @@ def _is(role: str, kind: Column) -> Column:
 
 
 def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """doc_id and findings: array of start, rank of kind, end, kind, identifier, endpoint.
+    """doc_id and findings: array of start, rank of kind, end, kind, identifier, secret, endpoint.
 
-    identifier and endpoint are the starts of the nearest linked parts (null: none).
+    identifier, secret and endpoint are the starts of the nearest linked parts (null: none),
+    for a part's own role its own start.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("t"),
                        F.spark_partition_id().alias("p"), _parts(F.col(text)).alias("parts"))
@@ -102,24 +105,30 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius:
         "p", "doc_id", "t", "pos", "part.*")
     # One shuffle by row serves the window and the final grouping.
     each = spread(each, F.col("p"), F.col("doc_id"), F.col("t"))
-    near = Window.partitionBy("p", "doc_id", "t", "scope").orderBy("start").rangeBetween(-radius, radius)
-    left = Window.partitionBy("p", "doc_id", "t", "scope").orderBy("start").rangeBetween(-radius, 0)
-    right = Window.partitionBy("p", "doc_id", "t", "scope").orderBy("start").rangeBetween(0, radius)
+    scope = Window.partitionBy("p", "doc_id", "t", "scope")
+    # Both frames only grow, so a scope takes time in proportion to its parts.
+    before = scope.orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    after = scope.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
     kind = F.col("kind")
 
     def nearest(role):
-        at = F.when(_is(role, kind), F.col("start"))
-        a, b = F.max(at).over(left), F.min(at).over(right)
-        return F.when(b.isNull() | (F.col("start") - a <= b - F.col("start")), a).otherwise(b)
+        # By gap: of the parts that start before, the one that ends last; of the others, the first.
+        own = _is(role, kind)
+        a = F.max(F.when(own, F.struct("end", "start"))).over(before)
+        b = F.min(F.when(own, F.col("start"))).over(after)
+        left = F.when(a.isNotNull(), F.greatest(F.col("start") - a["end"], F.lit(0)))
+        right = F.when(b.isNotNull(), F.greatest(b - F.col("end"), F.lit(0)))
+        gap = F.least(left, right)
+        at = F.when(b.isNull() | (left <= right), a["start"]).otherwise(b)
+        return F.when(own, F.col("start")).when(gap <= radius, at)
 
     each = each.select("p", "doc_id", "t", "pos", "kind", "start", "end",
-                       F.max(_is("secret", kind)).over(near).alias("has_secret"),
-                       nearest("identifier").alias("identifier"), nearest("endpoint").alias("endpoint"))
-    has_id = F.col("identifier").isNotNull()
-    linked = (kind.isin(*STRONG) | (kind.isin("short", "opaque") & has_id) | ((kind == "ident") & F.col("has_secret"))
-              | ((kind == "endpoint") & has_id & F.col("has_secret")))
+                       *[nearest(r).alias(r) for r in ("identifier", "secret", "endpoint")])
+    has_id, has_secret = F.col("identifier").isNotNull(), F.col("secret").isNotNull()
+    linked = (kind.isin(*STRONG) | (kind.isin("short", "opaque") & has_id) | ((kind == "ident") & has_secret)
+              | ((kind == "endpoint") & has_id & has_secret))
     rank = F.array_position(F.array(*map(F.lit, KINDS)), kind)
-    finding = F.struct("start", rank.alias("rank"), "end", "kind", "identifier", "endpoint")
+    finding = F.struct("start", rank.alias("rank"), "end", "kind", "identifier", "secret", "endpoint")
     grouped = each.groupBy("p", "doc_id", "t").agg(
         F.array_sort(F.collect_set(F.when(linked, finding))).alias("findings"),
         F.count(F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, 1)).alias("rows"))

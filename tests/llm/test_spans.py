@@ -99,6 +99,31 @@ def test_links_equal_all_pairs(spark):
     assert sorted(got) == sorted(want) and len(got) > 100
 
 
+def test_links_go_by_the_gap(spark):
+    """Long parts reach their neighbours; every link is the nearest by gap of all pairs."""
+    long = ("aB3d" * 86)[:344]
+    texts = [f"{long}\nuser_name=alice", f"user_name=alice {'-' * 290} {long} {'-' * 280} https://h.test/{'x' * 400} login: bob77",
+             f"{long}\n\nuser_name=alice", f"{long} {'.' * 298} user=bob77", f"{long} {'.' * 299} user=bob77",
+             f"https://h.test/{'y' * 500}?password=hunter22&x={'z' * 400} user=ann", f"user_name=alice {'-' * 284} {long[:40]}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in S.secrets(df).collect():
+        parts, want = S.parts_of(texts[r.doc_id]), []
+        for k, a, b, scope in parts:
+            gap = {}
+            for o, x, y, s in parts:
+                if s == scope and max(0, x - b, a - y) <= S.RADIUS:
+                    gap.setdefault(S.ROLE[o], []).append(max(0, x - b, a - y))
+            need = {"secret": {"identifier"}, "identifier": {"secret"}, "endpoint": {"identifier", "secret"}}[S.ROLE[k]]
+            if k in S.STRONG or need <= set(gap):
+                want.append((k, a, b, {role: min(g) for role, g in gap.items()}))
+        ends = {x: y for _, x, y, _ in parts}
+        got = [(f.kind, f.start, f.end, {role: max(0, f[role] - f.end, f.start - ends[f[role]])
+                                         for role in ("identifier", "secret", "endpoint") if f[role] is not None}) for f in r.findings]
+        assert sorted(got, key=str) == sorted(want, key=str), r.doc_id
+        assert [k for k, *_ in got][:1] == (["opaque"] if r.doc_id in (0, 3) else [k for k, *_ in got][:1])
+        assert bool(got) == (r.doc_id not in (2, 4)), r.doc_id
+
+
 def test_checksums(spark):
     df = spark.createDataFrame([(1, TEXTS[6]), (2, "123-45-6789"), (3, "my amex card 378282246310005")],
                                "doc_id long, text string")

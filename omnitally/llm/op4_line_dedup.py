@@ -6,10 +6,14 @@
    cap: for every line a document also has the hash of the shortest run of lines from it,
    forwards and backwards, that holds ``MIN_WORDS`` words, and such a run pairs each of its
    documents with the first one that has it. A block that can be deleted holds at least
-   ``MIN_WORDS`` words, so each of its lines lies in such a run; the number of pairs grows
-   with the lines and not with the square of a group of copies.
+   ``MIN_WORDS`` words, so each of its lines lies in such a run.
 3. Each pair is aligned by patience diff on the line hashes, and aligned blocks of at least
    ``MIN_WORDS`` words are marked in the later document.
+   A run that a document has in common with an earlier one need not be aligned there. While
+   a run still has unmarked lines in some document, that document is paired with the run's
+   next holders, a few more in every round, until all its lines are marked or all earlier
+   holders are looked at. So the marks are those of all pairs, and the number of pairs
+   grows with the lines and not with the square of a group of copies.
 4. A document loses the lines marked by any of its pairs. The first document with a line
    has no earlier one, so at least one copy of every line stays.
 
@@ -24,16 +28,20 @@ columns are not read.
 from __future__ import annotations
 
 from bisect import bisect_left
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 from xxhash import xxh64_intdigest
 
 from omnitally.llm.common import documents, materialize
 
 RARE, MIN_WORDS = 4, 50
+#: Further holders of a run that a round looks at: at first, and at most.
+HOLDERS, MOST_HOLDERS = 4, 256
 NULL_ID = (1 << 63) - 1
 _LONGS = T.ArrayType(T.LongType())
 _LINES = T.StructType([T.StructField("hashes", _LONGS), T.StructField("words", T.ArrayType(T.IntegerType())),
@@ -44,12 +52,11 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _run_hashes(hashes: list[int], words: list[int], least: int) -> set[int]:
-    """Hashes of the shortest runs of ``least`` words from each line on, and up to each line."""
-    runs, end, held = set(), 0, 0
-    spans = []
-    for start in range(len(hashes)):
-        while end < len(hashes) and held < least:
+def _run_spans(words: list[int], least: int) -> list[tuple[int, int]]:
+    """The shortest runs of ``least`` words from each line on, and up to each line."""
+    spans, end, held = [], 0, 0
+    for start in range(len(words)):
+        while end < len(words) and held < least:
             held += words[end]
             end += 1
         if held < least:
@@ -58,16 +65,18 @@ def _run_hashes(hashes: list[int], words: list[int], least: int) -> set[int]:
         held -= words[start]
     # Backwards: among the runs up to a line, the one that starts last.
     start, held = 0, 0
-    for end in range(1, len(hashes) + 1):
+    for end in range(1, len(words) + 1):
         held += words[end - 1]
         while held - words[start] >= least:
             held -= words[start]
             start += 1
         if held >= least:
             spans.append((start, end))
-    for a, b in spans:
-        runs.add(_signed(xxh64_intdigest(",".join(map(str, hashes[a:b])))))
-    return runs
+    return spans
+
+
+def _run_hashes(hashes: list[int], spans: list[tuple[int, int]]) -> list[int]:
+    return sorted({_signed(xxh64_intdigest(",".join(map(str, hashes[a:b])))) for a, b in spans})
 
 
 def lines_of(text: str | None, least: int = MIN_WORDS) -> tuple[list[int], list[int], list[int]]:
@@ -77,7 +86,16 @@ def lines_of(text: str | None, least: int = MIN_WORDS) -> tuple[list[int], list[
     lines = [x.strip().encode("utf-8", "surrogatepass") for x in text.split("\n")]
     hashes = [_signed(xxh64_intdigest(x)) for x in lines]
     words = [len(x.split()) for x in lines]
-    return hashes, words, sorted(_run_hashes(hashes, words, least))
+    return hashes, words, _run_hashes(hashes, _run_spans(words, least))
+
+
+def open_runs(hashes: list[int], words: list[int], marked: list[int], least: int = MIN_WORDS) -> list[int]:
+    """Hashes of the runs with a line that is not marked."""
+    left = [1] * len(hashes)
+    for i in marked:
+        left[i] = 0
+    left = [0, *accumulate(left)]
+    return _run_hashes(hashes, [(a, b) for a, b in _run_spans(words, least) if left[a] < left[b]])
 
 
 def _lines(text: Column, least: int) -> Column:
@@ -171,20 +189,70 @@ def _marks(least: int):
     return run
 
 
-def _pairs(lines: DataFrame, rare: int) -> DataFrame:
-    """(later, earlier): documents that share a rare line, or a run with its first holder."""
+def _open_runs(least: int):
+    @F.pandas_udf(_LONGS)
+    def run(hashes: pd.Series, words: pd.Series, marked: pd.Series) -> pd.Series:
+        return pd.Series([open_runs(h.tolist(), w.tolist(), [] if m is None else m.tolist(), least)
+                          for h, w, m in zip(hashes, words, marked)])
+    return run
+
+
+def _rare_pairs(lines: DataFrame, rare: int) -> DataFrame:
+    """(later, earlier): documents that share a rare line."""
     body = F.filter(F.arrays_zip("hashes", "words"), lambda x: x["words"] > 0)
     seeds = lines.select("doc", F.explode(F.array_distinct(F.transform(body, lambda x: x["hashes"]))).alias("h"))
-    runs = lines.select("doc", F.explode("runs").alias("h"))
     # Counts and minima are combined before they are shuffled; the joins that follow hand
     # their rows on, so that a frequent line's rows can be split over tasks.
     few = seeds.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n").between(2, rare)).select("h")
     few = materialize(seeds.join(few, "h"), "rare-lines")
     both = few.select("h", F.col("doc").alias("later")).join(few.select("h", F.col("doc").alias("earlier")), "h")
-    first = runs.groupBy("h").agg(F.count("*").alias("n"), F.min("doc").alias("earlier")).where("n > 1")
-    frequent = runs.select("h", F.col("doc").alias("later")).join(first, "h")
-    return (both.select("later", "earlier").union(frequent.select("later", "earlier"))
-            .where("later > earlier").distinct())
+    return both.select("later", "earlier").where("later > earlier")
+
+
+def _marked(lines: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
+    """(later, line): the lines that the pairs' alignments mark."""
+    body = lines.select("doc", "hashes", "words")
+    joined = (pairs.join(body.select(F.col("doc").alias("earlier"), F.col("hashes").alias("before")), "earlier")
+              .join(body.select(F.col("doc").alias("later"), "hashes", "words"), "later"))
+    return joined.select("later", F.explode(_marks(least)("before", "hashes", "words")).alias("line")).distinct()
+
+
+def _by_document(marked: DataFrame) -> DataFrame:
+    return marked.groupBy("later").agg(F.array_sort(F.collect_list("line")).alias("deleted")).select(
+        F.col("later").alias("doc"), "deleted")
+
+
+def _all_marks(lines: DataFrame, rare: int, least: int) -> DataFrame:
+    """(doc, deleted): the lines that an alignment with any earlier document marks."""
+    runs = lines.select("doc", F.explode("runs").alias("h"))
+    first = materialize(runs.groupBy("h").agg(F.count("*").alias("n"), F.min("doc").alias("earlier")).where("n > 1"), "first-holders")
+    frequent = runs.select("h", F.col("doc").alias("later")).join(first, "h").select("later", "earlier")
+    pairs = materialize(_rare_pairs(lines, rare).union(frequent.where("later > earlier")).distinct(), "line-pairs")
+    marked = materialize(_marked(lines, pairs, least), "line-marks")
+    seen, more = first.where("n > 2").select("h", F.col("earlier").alias("seen")), HOLDERS
+    todo = runs.join(seen, "h").where(F.col("doc") > F.col("seen")).select("doc", "h")
+    while True:
+        # Runs with unmarked lines, and the run's holders that no round has looked at yet.
+        docs = todo.select("doc").distinct()
+        unmarked = (lines.select("doc", "hashes", "words").join(docs, "doc").join(_by_document(marked).hint("merge"), "doc", "left")
+                    .select("doc", F.explode(_open_runs(least)("hashes", "words", "deleted")).alias("h")))
+        todo = materialize(todo.join(unmarked, ["doc", "h"], "left_semi"), "open-runs")
+        if todo.isEmpty():
+            return _by_document(marked)
+        wanted = todo.groupBy("h").agg(F.max("doc").alias("last"))
+        held = runs.join(seen.join(wanted, "h"), "h").where((F.col("doc") > F.col("seen")) & (F.col("doc") < F.col("last")))
+        rank = F.row_number().over(Window.partitionBy("h").orderBy("doc"))
+        held = materialize(held.select("h", "doc").withColumn("rank", rank).where(F.col("rank") <= more)
+                           .select("h", F.col("doc").alias("earlier")), "next-holders")
+        new = (todo.withColumnRenamed("doc", "later").join(held, "h").where("later > earlier").select("later", "earlier")
+               .distinct().join(pairs, ["later", "earlier"], "left_anti"))
+        new = materialize(new, "line-pairs")
+        pairs = pairs.union(new)
+        marked = materialize(marked.union(_marked(lines, new, least)).distinct(), "line-marks")
+        # A run without a further holder is dropped here, with its rows.
+        seen = materialize(held.groupBy("h").agg(F.max("earlier").alias("seen")), "last-holders")
+        todo = todo.join(seen, "h").where(F.col("doc") > F.col("seen")).select("doc", "h")
+        more = min(2 * more, MOST_HOLDERS)
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rare: int = RARE,
@@ -195,13 +263,7 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rar
     rows = docs.select(doc.alias("doc"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     lines = rows.select("doc", _lines(F.col("text"), least).alias("x")).select("doc", "x.*").where(F.size("hashes") > 0)
     lines = materialize(lines, "lines").dropDuplicates(["doc"])
-    pairs = materialize(_pairs(lines, rare), "line-pairs")
-    body = lines.select("doc", "hashes", "words")
-    joined = (pairs.join(body.select(F.col("doc").alias("earlier"), F.col("hashes").alias("before")), "earlier")
-              .join(body.select(F.col("doc").alias("later"), "hashes", "words"), "later"))
-    marked = joined.select("later", F.explode(_marks(least)("before", "hashes", "words")).alias("line")).distinct()
-    marked = marked.groupBy("later").agg(F.array_sort(F.collect_list("line")).alias("deleted"))
-    marked = materialize(marked.select(F.col("later").alias("doc"), "deleted"), "line-marks")
+    marked = materialize(_all_marks(lines, rare, least), "line-marks")
     # The marks grow with the corpus, so they are never broadcast.
     out = rows.join(marked.hint("merge"), "doc", "left").withColumn("deleted", F.coalesce("deleted", F.array().cast("array<int>")))
     return out.withColumn("parts", F.split(F.coalesce("text", F.lit("")), "\n")).select(

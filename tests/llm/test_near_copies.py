@@ -213,6 +213,21 @@ def test_line_dedup_planted(spark):
     assert got[3][1] == "\n".join(text[:2] + text[6:])
 
 
+def test_line_dedup_reordered_passages(spark):
+    """Passages that their first holder has in another order, with more holders than a rare line has."""
+    r = random.Random(7)
+    line = lambda n: " ".join("".join(r.choices("abcdefgh", k=6)) for _ in range(n))
+    a, b = line(55), line(60)
+    rows = [(0, "\n".join([b, line(5), a]))] + [(i, "\n".join([a, line(5), b])) for i in range(1, 7)]
+    passages = ["\n".join([line(30), "", line(25)]) for _ in range(5)]
+    for i in range(10, 50):
+        order = r.sample(passages, r.randint(1, 5))
+        rows.append((i, "\n".join(x for p in order for x in (p, line(3), ""))))
+    got = {x.doc_id: x.deleted for x in L.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain_dedup(rows)
+    assert len(got[1]) == 1 and all(got[i] == [0, 2] for i in range(2, 7))
+
+
 def test_line_dedup_odd_rows(odd_docs, no_docs):
     got = L.deduplicate(odd_docs).collect()
     assert len(got) == odd_docs.count() and L.deduplicate(no_docs).count() == 0

@@ -105,8 +105,13 @@ def _lines(text: Column, least: int) -> Column:
     return run(text)
 
 
-def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Aligned positions of two sequences by patience diff, ascending in both."""
+def patience(a: list[int], b: list[int], words: list[int] | None = None, least: int = 1) -> list[tuple[int, int]]:
+    """Aligned positions of two sequences by patience diff, ascending in both.
+
+    Where no line is unique, the block in common with most words (of ``b``; by default each
+    line counts as one) is aligned, if it has ``least`` of them.
+    """
+    sums = [0, *accumulate([1] * len(b) if words is None else words)]
     out, stack = [], [(0, len(a), 0, len(b))]
     while stack:
         a0, a1, b0, b1 = stack.pop()
@@ -120,20 +125,63 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
             continue
         anchors = _unique_common(a, a0, a1, b, b0, b1)
         if not anchors:
-            # No unique line in common: anchor the first occurrence of one, if any.
-            first = {}
-            for j in range(b1 - 1, b0 - 1, -1):
-                first[b[j]] = j
-            at = next(((i, first[a[i]]) for i in range(a0, a1) if a[i] in first), None)
-            if at is None:
+            anchors = _heaviest_block(a, a0, a1, b, b0, b1, sums, least)
+            if not anchors:
                 continue
-            anchors = [at]
         edges = [(a0 - 1, b0 - 1), *anchors, (a1, b1)]
         out += anchors
         stack += [(i + 1, k, j + 1, m) for (i, j), (k, m) in zip(edges, edges[1:])]
     return sorted(out)
 
 
+def _heaviest_block(a, a0, a1, b, b0, b1, sums, least) -> list[tuple[int, int]]:
+    """The block of consecutive lines in common with most words, none if that is under ``least``.
+
+    Equal lines at the range's borders are aligned already, so a lighter block cannot be
+    part of one that is deleted. Found with a suffix automaton in time linear in the range.
+    """
+    common = set(a[a0:a1]).intersection(b[b0:b1])
+    if sum(sums[j + 1] - sums[j] for j in range(b0, b1) if b[j] in common) < least:
+        return []
+    step, link, size, end, last = [{}], [-1], [0], [a0 - 1], 0
+    for i in range(a0, a1):
+        new, at = len(step), last
+        step.append({})
+        link.append(0)
+        size.append(size[last] + 1)
+        end.append(i)
+        while at >= 0 and a[i] not in step[at]:
+            step[at][a[i]] = new
+            at = link[at]
+        if at >= 0:
+            to = step[at][a[i]]
+            if size[to] > size[at] + 1:
+                copy = len(step)
+                step.append(dict(step[to]))
+                link.append(link[to])
+                size.append(size[at] + 1)
+                end.append(end[to])
+                link[to], old, to = copy, to, copy
+                while at >= 0 and step[at].get(a[i]) == old:
+                    step[at][a[i]] = copy
+                    at = link[at]
+            link[new] = to
+        last = new
+    best, at, n = (0, 0), 0, 0
+    for j in range(b0, b1):
+        while at and b[j] not in step[at]:
+            at = link[at]
+            n = size[at]
+        if b[j] in step[at]:
+            at, n = step[at][b[j]], n + 1
+        found = sums[j + 1] - sums[j + 1 - n], n
+        if found > best:
+            best, last = found, (end[at], j)
+    if best[1] == 0 or best[0] < least:
+        return []
+    return [(last[0] - k, last[1] - k) for k in reversed(range(best[1]))]
+
+
 def _unique_common(a, a0, a1, b, b0, b1) -> list[tuple[int, int]]:
     """The longest ascending chain of lines that occur once in either range."""
     def once(x, lo, hi):
@@ -170,7 +218,7 @@ def _place(pairs, tops, j) -> int:
 def common_blocks(earlier: list[int], later: list[int], words: list[int], least: int = MIN_WORDS) -> list[int]:
     """Line numbers of ``later`` that lie in aligned blocks of at least ``least`` words."""
     out, block, size, last = [], [], 0, None
-    for i, j in [*patience(earlier, later), (-9, -9)]:
+    for i, j in [*patience(earlier, later, words, least), (-9, -9)]:
         if last != (i - 1, j - 1):
             if size >= least:
                 out += block

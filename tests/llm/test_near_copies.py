@@ -241,3 +241,22 @@ def test_patience_prefers_unique_lines():
     assert [a[i] for i, _ in got] == [b[j] for _, j in got]
     assert got == sorted(got) and len(got) >= 4
     assert L.patience([], [1]) == [] and L.patience([5, 5], [5, 5, 5]) in ([(0, 0), (1, 1)], [(0, 0), (1, 2)])
+
+
+def test_alignment_without_unique_lines():
+    """An earlier document with a passage twice and blank lines between; then the heaviest block against all blocks."""
+    h, blank, passage, y, z, q, w = range(7)
+    earlier, later = [h, blank, passage, y, blank, passage, z], [q, passage, blank, w]
+    assert L.common_blocks(earlier, later, [5, 60, 0, 5]) == [1]
+    r = random.Random(4)
+    for _ in range(2000):
+        a, b = ([r.randrange(4) for _ in range(r.randint(1, 12))] for _ in range(2))
+        words = [(0, 1, 3, 3)[x] for x in b]
+        blocks = [(sum(words[j:j + n]), n) for i in range(len(a)) for j in range(len(b))
+                  for n in range(1, min(len(a) - i, len(b) - j) + 1) if a[i:i + n] == b[j:j + n]]
+        sums = [sum(words[:j]) for j in range(len(b) + 1)]
+        got = L._heaviest_block(a, 0, len(a), b, 0, len(b), sums, 1)
+        assert [a[i] for i, _ in got] == [b[j] for _, j in got]
+        assert all((k - i, m - j) == (1, 1) for (i, j), (k, m) in zip(got, got[1:]))
+        heaviest = max(blocks, default=(0, 0))
+        assert (sum(words[j] for _, j in got), len(got)) == (heaviest if heaviest[0] else (0, 0))

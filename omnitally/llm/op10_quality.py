@@ -7,9 +7,12 @@ rate lies beyond its group's fence. Sketches of small groups are merged into the
 of their language, and where that is small too, into one of the whole table. The fences,
 one row per group, are joined back to the documents.
 
-Fence of a rate: ``q90 + reach * max(q90 - q50, spread)``; the mean word length also has the
-mirrored lower fence. ``spread`` is the least spread taken for a rate, so that a group
-whose documents are all alike does not reject a harmless deviation.
+Fence of a rate: ``q50 + reach * max(q60 - q20, spread)``, at most ``bound``; the mean word
+length also has the mirrored lower fence, ``q50 - reach * max(q80 - q40, spread)``. Junk
+lies beyond these quantiles while it is under two fifths of a group, so it does not move
+its own fence. ``spread`` is the least spread taken for a rate, so that a group whose
+documents are all alike does not reject a harmless deviation; ``bound`` stays below what
+the base rule rejects (repeated words) or where a text is no prose in any group.
 
 Defined cases: a null text counts as empty; a document with no words fails the base rule;
 null languages and sources form groups of their own (null-safe join); repeated rows are
@@ -32,8 +35,9 @@ MEASURES = T.StructType([T.StructField(c, T.LongType()) for c in (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")])
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
-#: Rates that get an adaptive fence, with the least spread taken for each.
-RATES = {"symbol_rate": 0.05, "dup_line_rate": 0.15, "repeat_rate": 0.10, "word_length": 1.0}
+#: Rates that get an adaptive fence, with the least spread taken for each and the fence's bound.
+RATES = {"symbol_rate": (0.025, 0.5), "dup_line_rate": (0.075, 0.5), "repeat_rate": (0.05, 0.45),
+         "word_length": (1.0, float("inf"))}
 TWO_SIDED = ("word_length",)
 REACH = 4.0
 LEAST_GROUP = 200
@@ -114,14 +118,14 @@ def fences(measured: DataFrame, least_group: int = LEAST_GROUP, reach: float = R
 
     picked = joined.select("lang", "source", *[sketch(k).alias(k) for k in rates])
 
-    def bounds(k, spread):
-        q10, q50, q90 = (F.kll_sketch_get_quantile_double(F.col(k), F.lit(p)) for p in (0.1, 0.5, 0.9))
-        high = q90 + reach * F.greatest(q90 - q50, F.lit(spread))
-        low = q10 - reach * F.greatest(q50 - q10, F.lit(spread)) if k in TWO_SIDED else F.lit(None).cast("double")
+    def bounds(k, spread, bound):
+        q20, q40, q50, q60, q80 = (F.kll_sketch_get_quantile_double(F.col(k), F.lit(p)) for p in (0.2, 0.4, 0.5, 0.6, 0.8))
+        high = F.least(q50 + reach * F.greatest(q60 - q20, F.lit(spread)), F.lit(bound))
+        low = q50 - reach * F.greatest(q80 - q40, F.lit(spread)) if k in TWO_SIDED else F.lit(None).cast("double")
         full = F.kll_sketch_get_n_double(F.col(k)) > 0
         return F.when(full, F.struct(low.alias("low"), high.alias("high"))).alias(k)
 
-    return picked.select("lang", "source", F.struct(*[bounds(k, s) for k, s in RATES.items()]).alias("fence"))
+    return picked.select("lang", "source", F.struct(*[bounds(k, *limits) for k, limits in RATES.items()]).alias("fence"))
 
 
 def judge(measured: DataFrame, fence_table: DataFrame) -> DataFrame:

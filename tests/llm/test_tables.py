@@ -247,6 +247,32 @@ def test_fences_adapt_to_the_group(spark):
     assert kept == {x[0] for x in plain + table}
 
 
+def test_fences_hold_in_a_source_full_of_junk(spark):
+    """Junk of a fifth to a third of a source goes, as it does from a clean source; the rest stays."""
+    r = random.Random(3)
+    words = lambda n: ["".join(r.choices("abcdefghij", k=r.randint(3, 8))) for _ in range(n)]
+    line = lambda: " ".join(words(8))
+
+    def junk(i):
+        if i % 3 == 0:
+            return " ".join(f"{w} |||" for w in words(80))  # symbols
+        same = line() if i % 3 == 1 else " ".join(words(4))
+        # Half the lines are one line, or a third of the words one phrase.
+        return "\n".join(x for _ in range(8) for x in (line(), same))
+
+    rows, bad = [], set()
+    for source, share in (("clean", 0.01), ("hot", 0.15), ("hotter", 0.3)):
+        for i in range(400):
+            n = len(rows)
+            if i < 400 * share:
+                bad.add(n)
+                rows.append((n, junk(0) if source == "hotter" else junk(i), "en", source))
+            else:
+                rows.append((n, "\n".join(line() for _ in range(12)), "en", source))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert {x.doc_id for x in Q.quality_filter(df).collect()} == {n for n, *_ in rows} - bad
+
+
 def test_quality_odd_rows(odd_docs, no_docs):
     kept = Q.quality_filter(odd_docs)
     assert kept.columns == odd_docs.columns

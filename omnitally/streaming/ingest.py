@@ -146,10 +146,9 @@ def current_orders(spark: SparkSession, table: str) -> DataFrame:
 def run_dedupe(spark: SparkSession, sf_dir: str) -> str:
     """Duplicate deliveries dropped by event id, however late they come.
 
-    Each micro-batch keeps one delivery per id and only ids that no earlier batch stored.
-    A repeat carries its event's time, so only stored rows of the batch's time range are
-    looked up (skipped by the files' statistics); there is no state and no watermark. A
-    replayed batch ignores and rewrites its own rows.
+    Each micro-batch keeps one delivery per id and only ids that no earlier batch stored,
+    whatever the time of the repeat: all stored ids (one narrow column) are looked up.
+    There is no state and no watermark. A replayed batch ignores and rewrites its own rows.
     """
     from omnitally.plans import jobs
     out = run_dir(spark, "dedupe")
@@ -160,9 +159,7 @@ def run_dedupe(spark: SparkSession, sf_dir: str) -> str:
     def handle(batch: DataFrame, batch_id: int) -> None:
         fresh = batch.dropDuplicates(["event_id"])
         if jobs.has_data(spark, table):
-            low, high = batch.agg(F.min("ts"), F.max("ts")).first()
-            stored = spark.read.parquet(table).filter(
-                (F.col("batch_id") < batch_id) & (F.col("ts").isNull() | F.col("ts").between(F.lit(low), F.lit(high))))
+            stored = spark.read.parquet(table).filter(F.col("batch_id") < batch_id)
             ids = stored.select(F.col("event_id").alias("known"))
             fresh = fresh.join(ids, fresh.event_id.eqNullSafe(ids.known), "left_anti")
         fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint")) \

@@ -107,6 +107,20 @@ def test_stream_dedupe_keeps_late_events(spark):
     assert out.select("batch_id").distinct().count() > 1
 
 
+def test_stream_dedupe_drops_repeats_with_another_time(spark):
+    """Redeliveries in later batches whose time changed, also to none."""
+    base = jobs.new_table_dir(spark, "moved_events")
+    for part in ([(1, "2024-01-01 00:00:00"), (2, "2024-01-02 00:00:00")], [(1, "2024-06-01 00:00:00"), (3, "2024-06-02 00:00:00")],
+                 [(2, None), (4, "2023-01-01 00:00:00")]):
+        spark.createDataFrame([(i, t, "view", 1, 2.0, "{}") for i, t in part],
+                              "event_id long, ts string, event_type string, user_id long, value double, props string") \
+            .withColumn("ts", F.col("ts").cast("timestamp_ntz")) \
+            .coalesce(1).write.mode("append").parquet(f"{base}/events.parquet")
+    out = spark.read.parquet(ST.run_dedupe(spark, base))
+    assert sorted(r.event_id for r in out.collect()) == [1, 2, 3, 4]
+    assert out.select("batch_id").distinct().count() > 1
+
+
 def test_kpi_store_sees_changed_inputs(spark, tmp_path):
     from omnitally.plans import store
     for t in store._INPUTS:

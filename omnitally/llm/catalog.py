@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 from omnitally.llm import (op1_secrets, op2_chat, op3_decontamination, op4_line_dedup, op5_tokens, op6_pii,
-                           op7_sharding, op8_mixing, op9_simhash, op10_quality, op11_collocations)
+                           op7_sharding, op8_mixing, op9_simhash, op10_quality, op11_collocations,
+                           op12_resampling)
 
 QUERIES = {
     "op1_secret_links": op1_secrets.query,
@@ -18,10 +19,12 @@ QUERIES = {
     "op9_simhash_bktree": op9_simhash.query,
     "op10_quality_fences": op10_quality.query,
     "op11_collocations": op11_collocations.query,
+    "op12_resampling": op12_resampling.query,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {"op2_chat_trees": op2_chat.ORACLE, "op8_source_mix": op8_mixing.ORACLE,
-           "op11_collocations": op11_collocations.ORACLE}
+           "op11_collocations": op11_collocations.ORACLE,
+           "op12_resampling": op12_resampling.ORACLE}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from omnitally.llm import (op1_secrets, op2_chat, op3_decontamination, op4_line_dedup, op5_tokens, op6_pii,
                            op7_sharding, op8_mixing, op9_simhash, op10_quality, op11_collocations,
-                           op12_resampling)
+                           op12_resampling, op13_compression)
 
 QUERIES = {
     "op1_secret_links": op1_secrets.query,
@@ -20,6 +20,7 @@ QUERIES = {
     "op10_quality_fences": op10_quality.query,
     "op11_collocations": op11_collocations.query,
     "op12_resampling": op12_resampling.query,
+    "op13_compression": op13_compression.query,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -14,6 +14,7 @@ the last word.
 from __future__ import annotations
 
 import struct
+from array import array
 from itertools import chain
 from typing import NamedTuple
 
@@ -49,44 +50,66 @@ def order(rows: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def build(words: list[bytes], rows: np.ndarray, n: np.ndarray) -> bytes:
-    """Serialized automaton of sorted, different, non-empty ``rows`` with the counts ``n``."""
-    used, labels = np.unique(rows, return_inverse=True)
-    rows = labels.reshape(rows.shape) - int(len(used) > 0 and used[0] < 0)
-    words = [words[i] for i in used.tolist() if i >= 0]
+    """Serialized automaton of sorted, different, non-empty ``rows`` with the counts ``n``.
+
+    The rows of one prefix of ``width - 1`` words follow each other; the arcs of their state,
+    all to states without arcs, are added in one step.
+    """
     width = rows.shape[1]
-    shared = np.zeros(len(rows), dtype=np.int64)
-    shared[1:] = np.cumprod(rows[1:] == rows[:-1], axis=1).sum(axis=1)
-    register: dict[tuple, int] = {}
-    open_states = [[0, [], []]]  # from the start state along the current prefix: weight, labels, targets
+    used = np.zeros(len(words) + 1, dtype=bool)
+    used[rows.ravel()] = True  # -1 marks the last, extra place
+    number = np.cumsum(used, dtype=np.int32) - 1
+    number[-1] = -1
+    used = np.flatnonzero(used[:-1]).tolist()
+    rows, words = number[rows], [words[i] for i in used]
+
+    leaf = rows[:, -1] >= 0
+    counts, end = np.unique(n[leaf], return_inverse=True)
+    # A state is (count, labels, targets); equal states are stored once, in the order of their freezing.
+    register = {(c, b"", b""): i for i, c in enumerate(counts.tolist())}
+    labels, targets = rows[leaf, -1].astype("<i4").tobytes(), end.astype("<i4").tobytes()
+
+    prefix = rows[:, :-1]
+    same = np.cumprod(prefix[1:] == prefix[:-1], axis=1)
+    shared = np.append(0, same.sum(axis=1))[:len(rows)]
+    first = np.flatnonzero(np.append(True, shared[1:] < width - 1)[:len(rows)])
+    arcs_before = 4 * np.append(0, np.cumsum(leaf))
+    own = np.where(leaf[first], 0, n[first])  # the count of the prefix itself
+    open_states = [[0, [], []]]  # from the start state along the prefix: count, labels, targets
+
+    freeze = register.setdefault
 
     def close() -> None:
-        weight, out, to = open_states.pop()
-        open_states[-1][2].append(register.setdefault((weight, tuple(out), tuple(to)), len(register)))
+        count, out, to = open_states.pop()
+        open_states[-1][2].append(freeze((count, array("i", out).tobytes(), array("i", to).tobytes()), len(register)))
 
-    for row, keep, weight in zip(rows.tolist(), shared.tolist(), n.tolist()):
+    start = (0, b"", b"")
+    for row, keep, count, at, upto in zip(prefix[first].tolist(), shared[first].tolist(), own.tolist(),
+                                          arcs_before[first].tolist(), arcs_before[np.append(first[1:], len(rows))[:len(first)]].tolist()):
         while len(open_states) > keep + 1:
             close()
         for label in row[keep:]:
+            top = open_states[-1]
             if label < 0:
+                top[0] = count
                 break
-            open_states[-1][1].append(label)
-            if len(open_states) == width:  # a state without arcs
-                open_states[-1][2].append(register.setdefault((weight, (), ()), len(register)))
+            top[1].append(label)
+            if len(open_states) == width - 1:  # the state of the whole prefix, complete at once
+                top[2].append(freeze((count, labels[at:upto], targets[at:upto]), len(register)))
                 break
             open_states.append([0, [], []])
-        if label < 0:
-            open_states[-1][0] = weight
+        else:  # no prefix: the arcs are the start state's
+            start = (0, labels, targets)
     while len(open_states) > 1:
         close()
-    weight, out, to = open_states[0]
-    register[weight, tuple(out), tuple(to)] = len(register)
-    arcs = sum(len(s[1]) for s in register)
+    if width > 1:
+        start = (open_states[0][0], array("i", open_states[0][1]).tobytes(), array("i", open_states[0][2]).tobytes())
+    register[start] = len(register)  # unlike all others, as the longest sequences start here
     body = b"".join([
         np.fromiter((s[0] for s in register), "<i8", len(register)).tobytes(),
-        np.fromiter((len(s[1]) for s in register), "<i4", len(register)).tobytes(),
-        np.fromiter(chain.from_iterable(s[1] for s in register), "<i4", arcs).tobytes(),
-        np.fromiter(chain.from_iterable(s[2] for s in register), "<i4", arcs).tobytes(),
-        b"\n".join(words)])
+        np.fromiter((len(s[1]) // 4 for s in register), "<i4", len(register)).tobytes(),
+        *(s[1] for s in register), *(s[2] for s in register), b"\n".join(words)])
+    arcs = sum(len(s[1]) for s in register) // 4
     return _HEADER.pack(len(register), arcs, len(words), width) + zstandard.ZstdCompressor(level=1).compress(body)
 
 

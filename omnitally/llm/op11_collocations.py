@@ -206,7 +206,8 @@ def unite(shards: DataFrame, least: int) -> DataFrame:
                 total = 0
             if total:
                 out.append((cell, lang, total, None))
-        return pd.DataFrame(out, columns=_PIECE.names)
+        # Plain Python strings: columns of pandas' own string type may reach Arrow in chunks.
+        return pd.DataFrame(out, columns=_PIECE.names, dtype=object)
 
     return spread(shards, F.col("cell")).groupBy("cell").applyInPandas(one, _PIECE_DDL)
 
@@ -256,7 +257,7 @@ def part_counts(united: DataFrame, borders: list[Border], split: int) -> DataFra
                     yield _table([(cell, lang, 0, wanted)])
 
     def look(wanted: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        langs, texts, counts_of = [], [], []
         for lang, asked in wanted.groupby("lang", sort=True):
             words, rows, n = A.union([A.read(b) for b in asked["blob"]])
             acceptors = [A.read(b) for _, b in pieces(lang, words, rows, n, [], 1)]
@@ -264,9 +265,10 @@ def part_counts(united: DataFrame, borders: list[Border], split: int) -> DataFra
                 counts = A.read(blob)
                 for acceptor in acceptors:
                     found, f = A.compose(counts, acceptor)
-                    text = [b" ".join([counts.words[w] for w in r if w >= 0]) for r in found.tolist()]
-                    out.append(pd.DataFrame({"lang": lang, "part": text, "f": f}))
-        return pd.concat(out) if out else pd.DataFrame({"lang": [], "part": [], "f": []})
+                    langs += [lang] * len(found)
+                    texts += [b" ".join([counts.words[w] for w in r if w >= 0]) for r in found.tolist()]
+                    counts_of += f.tolist()
+        return pd.DataFrame({"lang": pd.Series(langs, dtype=object), "part": pd.Series(texts, dtype=object), "f": counts_of})
 
     full = united.where("blob is not null")
     found = full.mapInArrow(ask, _PIECE_DDL).groupBy("cell").cogroup(full.groupBy("cell")).applyInPandas(

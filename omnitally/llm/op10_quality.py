@@ -1,18 +1,19 @@
 """Quality rules with adaptive thresholds.
 
-Each document is measured once (words, symbols, repeated lines, repeated word triples).
-The thresholds are not fixed: for every (language, source) group a mergeable KLL quantile
-sketch of each rate is built with partial aggregation, and a document is rejected when a
-rate lies beyond its group's fence. Sketches of small groups are merged into the sketch
-of their language, and where that is small too, into one of the whole table. The fences,
-one row per group, are joined back to the documents.
-
-Fence of a rate: ``q50 + reach * max(q60 - q20, spread)``, at most ``bound``; the mean word
-length also has the mirrored lower fence, ``q50 - reach * max(q80 - q40, spread)``. Junk
-lies beyond these quantiles while it is under two fifths of a group, so it does not move
-its own fence. ``spread`` is the least spread taken for a rate, so that a group whose
-documents are all alike does not reject a harmless deviation; ``bound`` stays below what
-the base rule rejects (repeated words) or where a text is no prose in any group.
+Each document is measured once. The thresholds are not fixed: for every (language, source)
+group a mergeable KLL quantile sketch of each rate is built with partial aggregation, and a
+document is rejected when a rate lies beyond its group's fence. A sketch of few values is
+replaced by the merged sketch of its language, and where that is small too, by the one of the whole
+table. The fences, one row per group, are joined back to the documents.
+
+Rates that every text has spread over a range, so their fences come from the middle of the
+range: the share of marks (ASCII characters that are neither letters nor space), the share
+of ASCII capitals, the word length, and the logarithm of the different words over that of
+all words, which repetition lowers. The upper fence is ``q50 + reach * (q60 - q20)``, the
+lower one ``q50 - reach * (q80 - q40)``: junk lies outside these quantiles while it is under two fifths of a
+group, so it does not move its own fence. Rates that most texts do not have (repeated
+lines, repeated word triples) are sketched where they are above zero; their fence is
+``q75 + 3 * max(q75 - q25, q25)`` of those. Only a group whose documents are all alike takes the least spread of a rate.
 
 Defined cases: a null text counts as empty; a document with no words fails the base rule;
 null languages and sources form groups of their own (null-safe join); repeated rows are
@@ -32,15 +33,18 @@ from pyspark.sql import types as T
 from omnitally.llm.common import documents, materialize
 
 MEASURES = T.StructType([T.StructField(c, T.LongType()) for c in (
-    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")])
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_marks", "n_upper",
+    "n_distinct")])
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
-#: Rates that get an adaptive fence, with the least spread taken for each and the fence's bound.
-RATES = {"symbol_rate": (0.025, 0.5), "dup_line_rate": (0.075, 0.5), "repeat_rate": (0.05, 0.45),
-         "word_length": (1.0, float("inf"))}
-TWO_SIDED = ("word_length",)
-REACH = 4.0
-LEAST_GROUP = 200
+MARKS = bytes(c for c in range(33, 127) if not chr(c).isalpha())
+CAPITALS = bytes(range(65, 91))
+#: Rates with a fence, the sides of it, and the spread taken where a group has none.
+RATES = {"mark_rate": ("high", 0.001), "upper_rate": ("high", 0.001), "word_length": ("both", 0.02),
+         "distinct_rate": ("low", 0.005), "dup_line_rate": ("rare", 0.0), "repeat_rate": ("rare", 0.0)}
+REACH, RARE_REACH = 10.0, 3.0
+#: Values that a sketch must hold to be used without its parent's.
+LEAST_GROUP = 100
 SKETCH_K = 400
 BROADCAST_GROUPS = 20_000
 
@@ -60,11 +64,13 @@ def _repeated_words(words: list[bytes]) -> int:
 
 def measure_text(text: str | None) -> tuple[int, ...]:
     if not text:
-        return 0, 0, 0, 0, 0, 0
-    words = text.encode("utf-8", "surrogatepass").split()
+        return (0,) * len(MEASURES)
+    data = text.encode("utf-8", "surrogatepass")
+    words = data.split()
     lines = [x for x in text.split("\n") if x.strip(SPACES)]
     return (len(words), len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)),
-            len(lines) - len(set(lines)), _repeated_words(words), len(lines))
+            len(lines) - len(set(lines)), _repeated_words(words), len(lines),
+            len(data) - len(data.translate(None, MARKS)), len(data) - len(data.translate(None, CAPITALS)), len(set(words)))
 
 
 @F.pandas_udf(MEASURES)
@@ -83,49 +89,56 @@ def base_failed(q: Column) -> Column:
 
 
 def _rates(q: Column) -> dict[str, Column]:
-    return {"symbol_rate": q["n_symbols"] / q["word_chars"],
+    several = F.when(q["n_words"] > 1, F.log(q["n_distinct"].cast("double")) / F.log(q["n_words"].cast("double")))
+    return {"mark_rate": q["n_marks"] / q["word_chars"],
+            "upper_rate": q["n_upper"] / q["word_chars"],
+            "word_length": q["word_chars"] / q["n_words"],
+            "distinct_rate": several,
             "dup_line_rate": q["n_dup_lines"] / q["n_lines"],
-            "repeat_rate": q["n_repeat_words"] / q["n_words"],
-            "word_length": q["word_chars"] / q["n_words"]}
+            "repeat_rate": q["n_repeat_words"] / q["n_words"]}
 
 
 def fences(measured: DataFrame, least_group: int = LEAST_GROUP, reach: float = REACH) -> DataFrame:
     """One row per (lang, source) of ``measured`` (columns lang, source, q): the fences.
 
-    The sketches see the documents that pass the base rule. Groups of fewer than
-    ``least_group`` such documents take the merged sketch of their language, or of all.
+    The sketches see the documents that pass the base rule. A sketch of fewer than
+    ``least_group`` values gives way to that of its language, or of all.
     """
     passed = ~base_failed(F.col("q"))
-    rates = _rates(F.col("q"))
+    own = {k: passed & (c > 0) if RATES[k][0] == "rare" else passed for k, c in _rates(F.col("q")).items()}
     groups = measured.groupBy("lang", "source").agg(
-        F.count(F.when(passed, 1)).alias("n"),
-        *[F.kll_sketch_agg_double(F.when(passed, c), F.lit(SKETCH_K)).alias(f"own_{k}")
-          for k, c in rates.items()])
+        *[F.kll_sketch_agg_double(F.when(own[k], c), F.lit(SKETCH_K)).alias(f"own_{k}")
+          for k, c in _rates(F.col("q")).items()])
     groups = materialize(groups, "quality-sketches")
 
     def merged(df, level):
-        return df.agg(F.sum("n").alias(f"n_{level}"),
-                      *[F.kll_merge_agg_double(f"own_{k}").alias(f"{level}_{k}") for k in rates])
+        return df.agg(*[F.kll_merge_agg_double(f"own_{k}").alias(f"{level}_{k}") for k in RATES])
 
     by_lang = merged(groups.groupBy(F.col("lang").alias("l")), "lang")
-    every = merged(groups.groupBy(), "all")
     joined = groups.join(by_lang, F.col("lang").eqNullSafe(F.col("l")), "left")
-    table = every.first()  # one row: the sketches of the whole table
+    table = merged(groups.groupBy(), "all").first()  # one row: the sketches of the whole table
 
     def sketch(k):
-        own = F.when(F.col("n") >= least_group, F.col(f"own_{k}")).when(F.col("n_lang") >= least_group, F.col(f"lang_{k}"))
-        return own.otherwise(F.lit(bytes(table[f"all_{k}"]))) if table["n_all"] else own
-
-    picked = joined.select("lang", "source", *[sketch(k).alias(k) for k in rates])
-
-    def bounds(k, spread, bound):
-        q20, q40, q50, q60, q80 = (F.kll_sketch_get_quantile_double(F.col(k), F.lit(p)) for p in (0.2, 0.4, 0.5, 0.6, 0.8))
-        high = F.least(q50 + reach * F.greatest(q60 - q20, F.lit(spread)), F.lit(bound))
-        low = q50 - reach * F.greatest(q80 - q40, F.lit(spread)) if k in TWO_SIDED else F.lit(None).cast("double")
+        n = {level: F.kll_sketch_get_n_double(F.col(f"{level}_{k}")) for level in ("own", "lang")}
+        every = table[f"all_{k}"]
+        return F.when(n["own"] >= least_group, F.col(f"own_{k}")).when(n["lang"] >= least_group, F.col(f"lang_{k}")) \
+            .otherwise(F.lit(None if every is None else bytes(every)).cast("binary"))
+
+    picked = joined.select("lang", "source", *[sketch(k).alias(k) for k in RATES])
+
+    def bounds(k, sides, least):
+        q = {p: F.kll_sketch_get_quantile_double(F.col(k), F.lit(p / 100)) for p in (20, 25, 40, 50, 60, 75, 80)}
+        high = low = F.lit(None).cast("double")
+        if sides == "rare":
+            high = q[75] + RARE_REACH * F.greatest(q[75] - q[25], q[25])
+        if sides in ("high", "both"):
+            high = q[50] + reach * F.greatest(q[60] - q[20], F.lit(least))
+        if sides in ("low", "both"):
+            low = q[50] - reach * F.greatest(q[80] - q[40], F.lit(least))
         full = F.kll_sketch_get_n_double(F.col(k)) > 0
         return F.when(full, F.struct(low.alias("low"), high.alias("high"))).alias(k)
 
-    return picked.select("lang", "source", F.struct(*[bounds(k, *limits) for k, limits in RATES.items()]).alias("fence"))
+    return picked.select("lang", "source", F.struct(*[bounds(k, *r) for k, r in RATES.items()]).alias("fence"))
 
 
 def judge(measured: DataFrame, fence_table: DataFrame) -> DataFrame:

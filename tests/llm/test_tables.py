@@ -1,6 +1,7 @@
 """Chats, tokens, shards, mixing, quality rules and the pipeline."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -273,6 +274,69 @@ def test_fences_hold_in_a_source_full_of_junk(spark):
     assert {x.doc_id for x in Q.quality_filter(df).collect()} == {n for n, *_ in rows} - bad
 
 
+def plain_fences(rows, least):
+    """Fences by plain quantiles: the smallest value whose rank reaches the share."""
+    def rates(t):
+        n, chars, _, dup, repeat, lines, marks, upper, distinct = Q.measure_text(t)
+        return {"mark_rate": marks / chars, "upper_rate": upper / chars, "word_length": chars / n,
+                "distinct_rate": math.log(distinct) / math.log(n), "dup_line_rate": dup / lines, "repeat_rate": repeat / n}
+
+    passed = [(lang, source, rates(t)) for t, lang, source in rows
+              if plain_measures(t)[0] >= 50 and 100 * plain_measures(t)[4] <= 50 * plain_measures(t)[0]]
+    out = {}
+    for lang, source in {x[1:] for x in rows}:
+        for k, (sides, spread) in Q.RATES.items():
+            for near in (lambda a, b: (a, b) == (lang, source), lambda a, b: a == lang, lambda a, b: True):
+                v = sorted(r[k] for a, b, r in passed if near(a, b) and (sides != "rare" or r[k] > 0))
+                if len(v) >= least:
+                    break
+            if v:
+                q = {p: v[max(0, math.ceil(p * len(v) / 100) - 1)] for p in (20, 25, 40, 50, 60, 75, 80)}
+                high = q[75] + 3 * max(q[75] - q[25], q[25]) if sides == "rare" else q[50] + Q.REACH * max(q[60] - q[20], spread)
+                low = q[50] - Q.REACH * max(q[80] - q[40], spread)
+                out[lang, source, k] = (low if sides in ("low", "both") else None, high if sides != "low" else None)
+    return passed, out, rates
+
+
+@pytest.mark.parametrize("least", [1, 12, 40, 1000])
+def test_verdicts_equal_plain_quantiles(spark, docs, least):
+    rows = [(r.text, r.lang, r.source) for r in docs.collect()] + [("a b", None, "s"), (docs.first().text, "en", None)]
+    _, want, rates = plain_fences(rows, least)
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    measured = df.select("doc_id", "lang", "source", Q.measures("text").alias("q"))
+    table = Q.fences(measured, least)
+    got = {(r.lang, r.source, k): tuple(r.fence[k]) for r in table.collect() for k in Q.RATES if r.fence[k] is not None}
+    near = lambda a, b: a is b is None or math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-12)
+    assert got.keys() == want.keys() and all(near(x, y) for k in got for x, y in zip(got[k], want[k]))
+    for r in Q.judge(measured, table).collect():
+        text, lang, source = rows[r.doc_id]
+        base = plain_measures(text)[0] < 50 or 100 * plain_measures(text)[4] > 50 * plain_measures(text)[0]
+        inside = base or all((low is None or rates(text)[k] >= low) and (high is None or rates(text)[k] <= high)
+                             for k in Q.RATES for low, high in [got.get((lang, source, k), (None, None))])
+        assert (r.base_failed, r.kept) == (base, not base and inside)
+
+
+def test_fences_follow_the_data(spark):
+    """At sf0.1 the fences differ between groups, and the least spread counts in few of them."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    measured = Q.materialize(docs.select("doc_id", "lang", "source", Q.measures("text").alias("q")), "test-quality")
+    table = Q.fences(measured).collect()
+    for k, (sides, least) in Q.RATES.items():
+        assert len({(r.lang, *r.fence[k]) for r in table}) >= 4 or sides == "rare"
+        if sides != "rare":
+            wide = Q.fences(measured, reach=0.0).collect()
+            middle = {(r.lang, r.source): r.fence[k] for r in wide}
+            floors = sum(abs((r.fence[k].high or r.fence[k].low) - (middle[r.lang, r.source].high or middle[r.lang, r.source].low))
+                         <= Q.REACH * least * 1.0001 for r in table)
+            assert floors < len(table) / 10
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    judged = [(r.kept, r.base_failed, labels[r.doc_id]) for r in Q.judge(measured, Q.fences(measured)).collect() if r.doc_id in labels]
+    assert not any(kept for kept, _, quality in judged if quality == 0)
+    clean = [kept for kept, failed, quality in judged if quality == 1 and not failed]
+    assert sum(clean) > 0.98 * len(clean)
+
+
 def test_quality_odd_rows(odd_docs, no_docs):
     kept = Q.quality_filter(odd_docs)
     assert kept.columns == odd_docs.columns

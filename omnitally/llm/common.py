@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,19 +51,40 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def running_sums(numbers: Column, block: int = 64) -> Column:
-    """Inclusive running sums of an array of numbers, by sums of blocks and inside a block."""
+def running_sums(numbers: Column, block: int = 64, levels: int = 2) -> Column:
+    """Inclusive running sums of an array of numbers.
+
+    Sums inside blocks, and running sums of the blocks' totals by the same step, so the work
+    for each number is bounded by ``block`` as long as ``levels`` of blocks hold the array.
+    """
     def total(part: Column) -> Column:
         return F.aggregate(part, F.lit(0).cast("long"), lambda a, x: a + x)
 
-    n = F.size(numbers)
-    starts = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int")))
-    sums = F.transform(starts, lambda b: total(F.slice(numbers, b * block + 1, F.lit(block))))
+    def plain(part: Column) -> Column:
+        return F.transform(F.when(F.size(part) > 0, F.sequence(F.lit(1), F.size(part))),
+                           lambda i: total(F.slice(part, F.lit(1), i)))
+
+    def once(value: Column, use: Callable[[Column], Column]) -> Column:
+        # Bound as the only element of an array, so that it is evaluated once.
+        return F.element_at(F.transform(F.array(value), use), 1)
+
+    def sums(values: Column, level: int) -> Column:
+        if not level:
+            return plain(values)
+
+        def by_blocks(v: Column) -> Column:
+            starts = F.when(F.size(v) > 0, F.sequence(F.lit(1), F.size(v), F.lit(block)))
+            inner = F.transform(starts, lambda s: plain(F.slice(v, s, F.lit(block))))
+
+            def add(parts: Column) -> Column:
+                totals = F.transform(parts, lambda p: F.element_at(p, -1))
+                offsets = sums(totals, level - 1)
+                return F.flatten(F.zip_with(F.zip_with(parts, offsets, lambda p, o: F.struct(p.alias("p"), o.alias("o"))), totals,
+                                            lambda b, t: F.transform(b["p"], lambda x: x + b["o"] - t)))
+
+            return once(inner, add)
 
-    def up_to(i: Column, sums: Column) -> Column:
-        b = F.floor(i / block).cast("int")
-        return total(F.slice(sums, F.lit(1), b)) + total(F.slice(numbers, b * block + 1, i - b * block + 1))
+        return once(values, by_blocks)
 
-    # The block sums are bound once, as the only element of an array.
-    bound = F.transform(F.array(sums), lambda s: F.transform(F.sequence(F.lit(0), n - 1), lambda i: up_to(i, s)))
-    return F.when(n > 0, F.element_at(bound, 1)).otherwise(F.array().cast("array<long>"))
+    # The copy by transform is an array of objects, whose slices cost their own length only.
+    return F.coalesce(sums(F.transform(numbers, lambda x: x), levels), F.array().cast("array<long>"))

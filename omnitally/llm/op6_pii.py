@@ -4,8 +4,9 @@ DataFrame functions only. For each kind the matches of its pattern and the lengt
 gaps between them (the split at the same pattern) give every span's position as running
 sums. Validators: Luhn for card numbers, mod-97 for IBANs, ranges for addresses, digit
 counts for phone numbers. A span's score is the kind's prior, more for a confirmed
-checksum, more for a context word before or after it, less for a word that speaks against
-it. Base kinds (email, ip, card, phone) are always reported when valid; further kinds
+checksum, more for a context word within ``NEAR`` characters before or after it, less for a
+word that speaks against it. The context is put together from the gaps and matches next to
+a span, so the work grows with the matches of a text, not with their square. Base kinds (email, ip, card, phone) are always reported when valid; further kinds
 (iban, ssn, short cards) only from ``LEAST`` on.
 
 The patterns find what the plain ones of the contract find: a look-behind starts a run of
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from omnitally.llm.common import documents, running_sums, text_of
 
 NEAR, LEAST = 40, 0.6
+#: No match of any kind is shorter (of a phone: +1 2).
+SHORTEST = 4
 #: Length of a country's IBANs: those of the registry and those in use beside it.
 IBAN_LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
@@ -109,30 +112,49 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         F.when(F.contains("text", F.lit(test)) if test == "@" else F.col("text").rlike(test),
                F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(none).alias(f"m_{k}")
         for k, (pattern, test, *_) in KINDS.items()])
+    def head(s):
+        return F.substring(s, 1, NEAR)
+
+    def tail(s):
+        return F.substring(s, -NEAR, NEAR)
+
+    # Every gap between matches is read once: its length, and its ends as context.
     rows = rows.select("*", *[
-        F.when(F.size(f"m_{k}") > 0, F.transform(F.split("text", pattern, -1), F.length)).alias(f"gaps_{k}")
+        F.when(F.size(f"m_{k}") > 0, F.transform(F.split("text", pattern, -1), lambda g: F.struct(
+            F.length(g).alias("n"), F.lower(head(g)).alias("head"), F.lower(tail(g)).alias("tail")))).alias(f"gaps_{k}")
         for k, (pattern, *_) in KINDS.items()])
+    # The end of each gap with its match, and the start of each match with the gap after it.
+    rows = rows.select(
+        "*", *[F.zip_with(f"m_{k}", f"gaps_{k}", lambda m, g: tail(F.concat(g["tail"], F.lower(m)))).alias(f"to_{k}") for k in KINDS],
+        *[F.zip_with(f"m_{k}", F.slice(f"gaps_{k}", F.lit(2), F.size(f"m_{k}")),
+                     lambda m, g: head(F.concat(F.lower(m), g["head"]))).alias(f"from_{k}") for k in KINDS])
+
+    def matches(k):
+        # Each match with its surroundings, and the way from the end of the match before. A
+        # match and its gap have SHORTEST characters or more, so a few neighbours fill NEAR.
+        few, gaps = -(-NEAR // SHORTEST), F.col(f"gaps_{k}")
+
+        def one(m, i):
+            before = F.concat_ws("", *[F.get(f"to_{k}", i - j) for j in range(few, 0, -1)], F.get(gaps, i)["tail"])
+            after = F.concat_ws("", F.get(gaps, i + 1)["head"], *[F.get(f"from_{k}", i + j) for j in range(1, few + 1)])
+            return F.struct(m.alias("m"), F.concat_ws(" ", tail(before), head(after)).alias("around"),
+                            (F.get(gaps, i)["n"] + F.length(m)).alias("step"))
 
-    def steps(k):
-        # From the end of one match to the end of the next.
-        return F.transform(f"m_{k}", lambda m, i: F.get(f"gaps_{k}", i) + F.length(m))
+        return F.transform(f"m_{k}", one)
 
-    rows = rows.select("*", *[F.when(F.size(f"m_{k}") > 0, steps(k)).alias(f"s_{k}") for k in KINDS])
-    rows = rows.select("*", *[F.when(F.size(f"m_{k}") > 0, running_sums(F.col(f"s_{k}"))).alias(f"e_{k}") for k in KINDS])
+    rows = rows.select("*", *[F.when(F.size(f"m_{k}") > 0, matches(k)).alias(f"p_{k}") for k in KINDS])
+    rows = rows.select("*", *[F.when(F.size(f"m_{k}") > 0, running_sums(F.col(f"p_{k}.step"))).alias(f"e_{k}") for k in KINDS])
 
     def spans(k):
         _, _, prior, words_for, words_against = KINDS[k]
         sure = CONFIRMED if k in ("card", "iban", "short_card") else 0.0
-        pairs = F.filter(F.arrays_zip(F.col(f"m_{k}").alias("m"), F.col(f"e_{k}").alias("e")), lambda p: _valid(k, p["m"]))
+        pairs = F.filter(F.arrays_zip(F.col(f"p_{k}").alias("p"), F.col(f"e_{k}").alias("e")), lambda p: _valid(k, p["p"]["m"]))
 
         def span(p):
-            start = p["e"] - F.length(p["m"])
-            begin = F.greatest(start - NEAR, F.lit(0))
-            around = F.lower(F.concat(F.substr("text", (begin + 1).cast("int"), (start - begin).cast("int")), F.lit(" "),
-                                      F.substr("text", (p["e"] + 1).cast("int"), F.lit(NEAR))))
+            around = p["p"]["around"]
             score = F.lit(prior + sure) + F.when(around.rlike(words_for), FOR).otherwise(0.0) + F.when(
                 around.rlike(words_against), AGAINST).otherwise(0.0)
-            return F.struct(F.lit(k).alias("kind"), start.alias("start"), p["e"].alias("end"),
+            return F.struct(F.lit(k).alias("kind"), (p["e"] - F.length(p["p"]["m"])).alias("start"), p["e"].alias("end"),
                             F.round(F.least(score, F.lit(1.0)), 2).alias("score"))
 
         found = F.transform(pairs, span)

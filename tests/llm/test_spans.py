@@ -1,12 +1,18 @@
 """Secrets and personal data against plain Python scans of the contracts' patterns."""
 
 import hashlib
+import random
 import re
+import time
+from itertools import accumulate
 
 import pytest
+import regex
+from pyspark.sql import functions as F
 
 from omnitally.llm import op1_secrets as S
 from omnitally.llm import op6_pii as P
+from omnitally.llm.common import running_sums
 
 A = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 
@@ -36,6 +42,29 @@ def pii_base(text):
     return [(k, m.start(), m.end()) for k, p, ok in tests for m in re.finditer(p, text) if ok(m[0])]
 
 
+def plain_iban(s):
+    s = s.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+
+
+def plain_findings(text):
+    """Every kind, with scores, by Python's regex library."""
+    figures = lambda s: re.sub("[^0-9]", "", s)
+    valid = {"email": lambda s: True, "ip": lambda s: all(int(x) <= 255 for x in s.split(".")),
+             "card": lambda s: luhn(figures(s)), "short_card": lambda s: luhn(figures(s)),
+             "phone": lambda s: 8 <= len(figures(s)) <= 15, "iban": plain_iban,
+             "ssn": lambda s: not re.search("^(000|666|9)|-00-|-0000$", s)}
+    out = []
+    for kind, (pattern, _, prior, words_for, words_against) in P.KINDS.items():
+        for m in regex.finditer(pattern, text):
+            near = f"{text[max(0, m.start() - P.NEAR):m.start()]} {text[m.end():m.end() + P.NEAR]}".lower()
+            score = prior + 0.4 * (kind in ("card", "iban", "short_card")) + 0.2 * bool(re.search(words_for, near, re.A))
+            score = round(min(1.0, score - 0.2 * bool(re.search(words_against, near, re.A))), 2)
+            if valid[kind](m[0]) and (kind in P.BASE or score >= P.LEAST):
+                out.append((kind, m.start(), m.end(), score))
+    return out
+
+
 def digest(spans):
     return hashlib.sha256(",".join(spans).encode()).hexdigest()
 
@@ -73,6 +102,39 @@ def test_pii_base_spans(texts):
         assert [(f.kind, f.start, f.end) for f in r.findings if f.kind in P.BASE] == plain[r.doc_id], r.doc_id
 
 
+def test_pii_spans_and_scores(spark, texts):
+    """All kinds, scores included, in the documents and in random mixtures of parts."""
+    r = random.Random(7)
+    parts = ["a@b.co", "1.2.3.4", "300.1.1.1", "4111111111111111", "3782 822463 10005", "+49 30 1234567", "DE89370400440532013000",
+             "GB82 WEST 1234 5698 7654 32", "123-45-6789", "000-12-3456", " iban ", " card ", "order", " call\n", "ssn: ", "host ", " bank",
+             ".", ", ", "\u00e9" * 30, "word " * 9, "version", "noreply "]
+    made = ["".join(r.choices(parts, k=r.randint(1, 25))) for _ in range(400)]
+    df = texts.union(spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(made)], "doc_id long, text string"))
+    plain = {x.doc_id: plain_findings(x.text or "") for x in df.collect()}
+    for x in P.findings(df).collect():
+        assert [(f.kind, f.start, f.end, f.score) for f in x.findings] == plain[x.doc_id], x.doc_id
+
+
+def test_pii_of_very_long_texts(spark, tmp_path):
+    """The time grows with the matches, not with their square."""
+    took = {}
+    for n in (1000, 30_000, 60_000):
+        t = " ".join(f"a{i}@b.co 1.2.3.{i % 300}" for i in range(n))
+        spark.createDataFrame([(1, t)], "doc_id long, text string").write.parquet(f"{tmp_path}/{n}")
+        start = time.monotonic()
+        found = P.findings(spark.read.parquet(f"{tmp_path}/{n}")).first().findings
+        took[n] = time.monotonic() - start
+        assert [(f.kind, f.start, f.end) for f in found] == pii_base(t)
+    assert took[30_000] < 30 and took[60_000] < 2.6 * took[30_000]
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 4096, 4097, 9000])
+def test_running_sums(spark, n):
+    numbers = [(i * 7919) % 101 - 5 for i in range(n)]
+    df = spark.createDataFrame([(numbers,)], "x array<long>")
+    assert df.select(running_sums(F.col("x")).alias("s")).first().s == list(accumulate(numbers))
+
+
 def test_weak_parts_need_complements(spark):
     df = spark.createDataFrame([
         (1, "login: alice77\npassword: hunter22 at https://db.test/x"), (2, "password: hunter22"),

@@ -137,9 +137,13 @@ def ratio_dp(num: str | Column, den: str | Column, dp: int) -> Column:
 
 
 def merge_json(raw: str | Column, fields: dict[str, Column]) -> Column:
-    """Object spread-merge: add/replace top-level keys of a JSON object (values as text).
-    ``{...raw, k: v}`` becomes ``to_json(map_concat(from_json(raw), map(k, v)))``; later
-    keys win, so the new fields replace existing ones."""
-    base = F.coalesce(F.from_json(col_(raw), "map<string,string>"), F.create_map().cast("map<string,string>"))
-    extra = F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v.cast("string"))])
+    """Object spread-merge: add or replace top-level keys of a JSON object, types kept.
+
+    ``{...raw, k: v}``: the object is read as a map of VARIANT values, so numbers, booleans,
+    nested objects and arrays stay what they are; new values keep their column's type (a
+    VARIANT column, as of ``parse_json``, adds any JSON value). A null, malformed or
+    non-object text counts as an empty object; later keys win.
+    """
+    base = F.coalesce(F.from_json(col_(raw), "map<string,variant>"), F.create_map().cast("map<string,variant>"))
+    extra = F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v.cast("variant"))])
     return F.to_json(F.map_concat(F.map_filter(base, lambda k, _: ~k.isin(list(fields))), extra))

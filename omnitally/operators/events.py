@@ -54,14 +54,14 @@ def apply_cancellations(events: DataFrame, cancellations: DataFrame) -> DataFram
            F.when(cancelled, F.lit(0).cast(MONEY)).otherwise(F.col("add_on_sales")).alias("add_on_sales"),
            "attendees", cancelled.alias("cancelled")]
     if "raw_json" in events.columns and extra:
-        flagged = merge_json("raw_json", {"cancelled": F.lit("true"), **{k: F.col(k) for k in extra}})
+        flagged = merge_json("raw_json", {"cancelled": F.lit(True), **{k: F.col(k) for k in extra}})
         out.append(F.when(cancelled, flagged).otherwise(F.col("raw_json")).alias("raw_json"))
     return j.select(*out)
 
 
 def apply_completions(events: DataFrame, completions: DataFrame) -> DataFrame:
-    """Actual attendance (else the guest count) recorded; missing events are created."""
-    c = completions.select(F.col("id").alias("cid"), F.coalesce("actual_attendance", "guests_count").alias("att"))
+    """Actual attendance recorded, the guest count where it is missing or 0; missing events are created."""
+    c = completions.select(F.col("id").alias("cid"), F.coalesce(F.nullif("actual_attendance", F.lit(0)), "guests_count").alias("att"))
     e = events.select(F.col("id").alias("eid"), "attendees")
     j = e.join(c, e.eid == c.cid, "full_outer")
     return j.select(F.coalesce("eid", "cid").alias("id"),

@@ -67,11 +67,60 @@ def total_refunded(refunds: str = "refunds") -> Column:
                                                         F.lit(0).cast(MONEY))).cast("decimal(18,2)")).cast(MONEY)
 
 
+def newest_pages(raw: DataFrame, updated: str = "updated_at", order: tuple[str, ...] = ()) -> DataFrame:
+    """One delivery of every page of a record: the record's newest version.
+
+    The order's own update time decides, then the columns ``order`` (say, the time of receipt), then the whole
+    row, so repeated and late deliveries change nothing. Pages that the newest version does
+    not have any more go. Grouped maxima, combined map-side; no order is gathered.
+    """
+    keys = [c for c in ("id", "page") if c in raw.columns]
+    rest = [c for c in raw.columns if c not in keys]
+    one = raw.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(updated, *order, *rest)).alias("_v")).select(*keys, "_v.*")
+    if "page" not in raw.columns:
+        return one
+    last = one.groupBy(F.col("id").alias("_id")).agg(F.max(updated).alias("_last"))
+    return one.join(last, F.col("id") == F.col("_id")).filter(F.col(updated).eqNullSafe(F.col("_last"))).drop("_id", "_last")
+
+
+def event_to_order(raw: DataFrame) -> DataFrame:
+    """Flat order events in the shape of the shop's order records, with their defaults,
+    so that P1 to P3 and the identity bridge read them like any other order."""
+    def money(c: Column) -> Column:
+        return F.struct(F.struct(F.coalesce(c, F.lit("0")).alias("amount")).alias("shopMoney"))
+
+    def gid(kind: str, c: Column) -> Column:
+        return F.concat(F.lit(f"gid://shop/{kind}/"), c.cast("string"))
+
+    line = F.transform("line_items", lambda li: F.struct(F.struct(
+        gid("LineItem", li["id"]).alias("id"), li["name"].alias("name"), li["sku"].alias("sku"), li["quantity"].alias("quantity"),
+        money((li["price"].cast(MONEY) * li["quantity"]).cast(MONEY).cast("string")).alias("originalTotalSet"),
+        F.when(li["product_id"].isNotNull(), F.struct(gid("Product", li["product_id"]).alias("id"),
+                                                      F.nullif(li["product_type"], F.lit("")).alias("productType"))).alias("product")).alias("node")))
+    txn = F.transform("transactions", lambda t: F.struct(F.struct(
+        F.upper(F.coalesce(F.nullif(t["kind"], F.lit("")), F.lit("SALE"))).alias("kind"),
+        F.upper(F.coalesce(F.nullif(t["status"], F.lit("")), F.lit("SUCCESS"))).alias("status"),
+        money(t["amount"]).alias("amountSet"), F.coalesce(F.nullif(t["gateway"], F.lit("")), F.lit("unknown")).alias("gateway")).alias("node")))
+    customer = F.when(F.col("customer").isNotNull(), F.struct(
+        gid("Customer", F.col("customer.id")).alias("id"), F.col("customer.email").alias("email"), F.col("customer.phone").alias("phone")))
+    page = F.col("page") if "page" in raw.columns else F.lit(0).cast("bigint")
+    return raw.select(
+        gid("Order", F.col("id")).alias("id"), page.alias("page"),
+        F.coalesce(F.nullif("name", F.lit("")), "order_number").alias("name"),
+        F.col("created_at").alias("createdAt"), F.col("updated_at").alias("updatedAt"),
+        money(F.col("total_price")).alias("totalPriceSet"), money(F.col("subtotal_price")).alias("currentSubtotalPriceSet"),
+        money(F.col("total_discounts")).alias("totalDiscountsSet"), money(F.col("total_tax")).alias("totalTaxSet"),
+        money(total_refunded().cast("string")).alias("totalRefundedSet"), customer.alias("customer"),
+        F.struct(line.alias("edges")).alias("lineItems"), F.struct(txn.alias("edges")).alias("transactions"))
+
+
 def shop_events(raw: DataFrame) -> DataFrame:
-    """Flat event payload into the order shape, with its defaults.
+    """Flat event payload into one summary row per order, with its defaults.
 
-    Header fields come from page 0; line counts and totals are summed over every page
-    (a per-order aggregate, combined map-side)."""
+    Repeated deliveries of an order count once (its newest version). Header fields come from
+    page 0; line counts and totals are summed over every page (a per-order aggregate,
+    combined map-side)."""
+    raw = newest_pages(raw)
     lines = F.transform("line_items", lambda li: (li["price"].cast(MONEY) * li["quantity"]).cast(MONEY))
     per_page = raw.select(F.col("id").alias("lid"), F.size("line_items").alias("n"),
                           F.aggregate(lines, F.lit(0).cast("decimal(18,2)"),
@@ -164,13 +213,15 @@ def pos_lines(raw: DataFrame) -> DataFrame:
 
 
 def pos_tenders(payments: DataFrame) -> DataFrame:
-    """One tender per payment with its fee list total."""
+    """One tender per payment with its fee list and the list's total."""
+    fees = F.transform("processingFee", lambda f: F.struct(
+        f["type"].alias("type"), minor_to_money(F.coalesce(f["amountMoney"]["amount"], F.lit(0))).alias("amount")))
     fee = F.aggregate("processingFee", F.lit(0).cast("bigint"), lambda a, f: a + F.coalesce(f["amountMoney"]["amount"], F.lit(0)))
     return payments.select(
         F.concat(F.lit("pos_order_"), F.col("orderId")).alias("order_id"), F.col("id").alias("payment_id"),
         "status", F.col("sourceType").alias("source_type"), minor_to_money("amountMoney.amount").alias("amount"),
         F.col("cardDetails.card.cardBrand").alias("card_brand"), F.col("cardDetails.card.last4").alias("last4"),
-        minor_to_money(fee).alias("fee_total"))
+        minor_to_money(fee).alias("fee_total"), fees.alias("fees"))
 
 
 def last_payment(payments: DataFrame) -> DataFrame:

@@ -75,14 +75,14 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p)) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
-def files_of(spark: SparkSession, path: str) -> tuple:
-    """(path, size, modification time) of every file at or under ``path``, in order."""
+def table_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Bytes, files and modification time of a table, in two calls to its store.
+
+    Writers that add, remove or replace files change the folder's time, its bytes or its files.
+    """
     fs, p = _fs(spark, path)
-    found, out = fs.listFiles(p, True), []
-    while found.hasNext():
-        f = found.next()
-        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
-    return tuple(sorted(out))
+    summary = fs.getContentSummary(p)
+    return summary.getLength(), summary.getFileCount(), fs.getFileStatus(p).getModificationTime()
 
 
 def publish_version(spark: SparkSession, base: str, version: str) -> None:

@@ -101,8 +101,8 @@ FROM events"""
 
 
 def _pos(spark, sf_dir):
-    payments = L.pos_payments(spark, sf_dir)
-    return L.pos_orders(spark, sf_dir), payments, N.payments_per_order(payments)
+    payments = L.pos_payments(spark, sf_dir, location=False)
+    return L.pos_orders(spark, sf_dir, lines=False), payments, N.payments_per_order(payments)
 
 
 # --- scans ------------------------------------------------------------------------------
@@ -134,7 +134,7 @@ FROM pos_o WHERE location IN ('L1', 'L2', 'L3')
   AND o_orderdate >= TIMESTAMP '{WINDOW[0]}' AND o_orderdate < TIMESTAMP '{WINDOW[1]}' + INTERVAL 1 DAY""")
 def q_scan_pos_orders(spark, sf_dir):
     """Location IN list, created in window, sorted by created ascending."""
-    o = N.first_page(L.pos_orders(spark, sf_dir))
+    o = L.pos_orders(spark, sf_dir, lines=False)
     created = utc_ts("createdAt")
     o = o.filter(F.col("locationId").isin(POS_SCAN_LOCATIONS)
                  & (created >= F.lit(WINDOW[0]).cast("timestamp_ntz"))
@@ -200,7 +200,7 @@ def q_pos_locations(spark, sf_dir):
 @register("norm_shop_orders", SHOP_ORDERS_SQL)
 def q_norm_shop_orders(spark, sf_dir):
     """P1 + P9 + P10."""
-    return N.shop_orders(L.shop_orders(spark, sf_dir))
+    return N.shop_orders(L.shop_orders(spark, sf_dir, lines=False))
 
 
 @register("norm_shop_lines", f"""
@@ -220,7 +220,7 @@ SELECT 'shop_order_' || CAST(o_orderkey AS VARCHAR) AS order_id,
 FROM orders WHERE o_orderstatus <> 'O'""")
 def q_norm_shop_tenders(spark, sf_dir):
     """kind = SALE and status = SUCCESS only."""
-    raw = N.first_page(L.shop_orders(spark, sf_dir))
+    raw = L.shop_orders(spark, sf_dir, lines=False)
     x = raw.select(external_id("id", N.SHOP).alias("order_id"), F.explode(N.shop_tenders(raw)).alias("t"))
     return x.select("order_id", "t.gateway", "t.amount")
 
@@ -249,7 +249,7 @@ SELECT o_orderkey AS order_id, CAST(CASE WHEN o_orderstatus = 'P' THEN 200 ELSE
 FROM orders""")
 def q_shop_total_refunded(spark, sf_dir):
     """P5: sum of refund amounts per order event, 0 when there are none."""
-    return N.first_page(L.shop_events(spark, sf_dir)).select(F.col("id").alias("order_id"),
+    return L.shop_events(spark, sf_dir, lines=False).select(F.col("id").alias("order_id"),
                                                              N.total_refunded().alias("total_refunded"))
 
 
@@ -286,18 +286,20 @@ SELECT 'pos_lineitem_' || {_LINE_KEY} AS id, 'pos_order_SQ' || CAST(l_orderkey A
 FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""")
 def q_norm_pos_lines(spark, sf_dir):
     """P7."""
-    return N.pos_lines(L.pos_orders(spark, sf_dir))
+    return N.pos_lines(L.pos_orders(spark, sf_dir, location=False))
 
 
 @register("norm_pos_tenders", S.with_(PAY_CTE) + f"""
 SELECT 'pos_order_' || order_id AS order_id, payment_id, CASE WHEN done THEN 'COMPLETED' ELSE 'APPROVED' END AS status,
        'CARD' AS source_type, {M('amt')} AS amount,
        CASE WHEN l_suppkey % 2 = 0 THEN 'VISA' ELSE 'MASTERCARD' END AS card_brand,
-       lpad(CAST(l_suppkey % 10000 AS VARCHAR), 4, '0') AS last4, {M('fee')} AS fee_total
+       lpad(CAST(l_suppkey % 10000 AS VARCHAR), 4, '0') AS last4, {M('fee')} AS fee_total,
+       'INITIAL ' || CAST({M('fee')} AS VARCHAR) AS fees
 FROM pay""")
 def q_norm_pos_tenders(spark, sf_dir):
-    """P8."""
-    return N.pos_tenders(L.pos_payments(spark, sf_dir))
+    """Tenders with their fee list (shown as text, type and amount of every fee)."""
+    t = N.pos_tenders(L.pos_payments(spark, sf_dir, location=False, buyer=False))
+    return t.withColumn("fees", F.array_join(F.transform("fees", lambda f: F.concat_ws(" ", f["type"], f["amount"].cast("string"))), ", "))
 
 
 @register("recon_pos_net", S.with_(PAY_CTE) + f"""
@@ -309,8 +311,8 @@ SELECT p.id AS order_id, lp.payment_id AS last_payment_id, {M('p.total_cents')}
 FROM pos_o p LEFT JOIN lastp lp ON p.id = lp.order_id""")
 def q_recon_pos_net(spark, sf_dir):
     """reconcile's payment map -- the last payment per order wins, any status."""
-    o = N.first_page(L.pos_orders(spark, sf_dir))
-    lp = N.last_payment(L.pos_payments(spark, sf_dir))
+    o = L.pos_orders(spark, sf_dir, lines=False, location=False)
+    lp = N.last_payment(L.pos_payments(spark, sf_dir, location=False))
     j = o.join(lp.select("orderId", F.col("id").alias("pid"), "refundedMoney"), o.id == lp.orderId, "left")
     gross = minor_to_money("totalMoney.amount")
     ref = minor_to_money(F.coalesce("refundedMoney.amount", F.lit(0)))
@@ -391,7 +393,7 @@ FROM u WHERE customer_hash IS NOT NULL GROUP BY customer_hash"""
 @register("customer_identity", IDENTITY_SQL)
 def q_customer_identity(spark, sf_dir):
     """Identity bridge, one row per hash with one id column per channel."""
-    return Q.customer_identity(L.shop_orders(spark, sf_dir), L.bookings(spark, sf_dir))
+    return Q.customer_identity(L.shop_orders(spark, sf_dir, lines=False), L.bookings(spark, sf_dir))
 
 
 @register("all_orders", S.with_(PAY_CTE) + f"""
@@ -401,7 +403,7 @@ SELECT id, channel_id, location_id, created_at, customer_hash, gross_total, net_
 def q_all_orders(spark, sf_dir):
     """Every source's normalised orders in one fact (unionByName)."""
     cols = ["id", "channel_id", "location_id", "created_at", "customer_hash", "gross_total", "net_total"]
-    shop = N.shop_orders(L.shop_orders(spark, sf_dir)).select(*cols)
+    shop = N.shop_orders(L.shop_orders(spark, sf_dir, lines=False)).select(*cols)
     o, _, per = _pos(spark, sf_dir)
     return shop.unionByName(N.pos_orders(o, per).select(*cols))
 
@@ -412,7 +414,7 @@ def q_raw_payload(spark, sf_dir):
     order record (with its fee total) and each payment record are retained as JSON rows
     keyed by the order id, so no order's payments are ever gathered into one value."""
     o = L.pos_orders(spark, sf_dir)
-    p = L.pos_payments(spark, sf_dir)
+    p = L.pos_payments(spark, sf_dir)  # whole records, location and buyer included
     per = N.payments_per_order(p).select("order_id", "fee_cents")
     orders = o.join(per, o.id == per.order_id, "left").select(
         F.lit("order").alias("record_type"), F.col("id"), F.col("id").alias("order_id"),
@@ -459,7 +461,7 @@ FROM r"""
 
 
 def reconcile_df(spark, sf_dir):
-    shop_raw = L.shop_orders(spark, sf_dir)
+    shop_raw = L.shop_orders(spark, sf_dir, lines=False)
     o, _, per = _pos(spark, sf_dir)
     book_raw = L.bookings(spark, sf_dir)
     day = lambda c: F.to_date(utc_ts(c))

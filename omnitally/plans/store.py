@@ -3,8 +3,8 @@
 Period, ranking and trend queries read this month-partitioned Parquet table instead of
 recomputing the roll-up; their date bounds also bound ``month``, pruning partitions (the Spark form of
 the reference's indexed materialized view). The table lives in the shared checkpoint
-folder; the cache key includes the input files' sizes and modification times, so
-changed inputs produce a new build.
+folder; the cache key includes every input table's size, file count and modification
+time, so changed inputs produce a new build.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ _INPUTS = ("orders", "lineitem", "customer", "nation", "part")
 
 
 def _signature(spark: SparkSession, sf_dir: str) -> int:
-    """A value that changes with any input file, in whatever store the files are."""
-    return hash(tuple(jobs.files_of(spark, table_path(sf_dir, t)) for t in _INPUTS))
+    """A value that changes with the inputs: one summary per table, however many files it has."""
+    return hash(tuple(jobs.table_state(spark, table_path(sf_dir, t)) for t in _INPUTS))
 
 
 def kpi_view(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:

@@ -7,10 +7,11 @@ tables the same nested records are derived from ``orders``/``lineitem``/``custom
 normaliser runs over data that grows with the input.
 
 Records are paged like the vendor APIs page them: at most ``PAGE_SIZE`` line items per
-record, keyed by (order, page) with the order header repeated on every page (line numbers
-start at 1, so every order has a page 0, and an order without lines is one page-0 record). The nested line lists are therefore built by a ``collect_list`` over
-groups of at most ``PAGE_SIZE`` lines, however many lines one order has; normalisers take
-the header from page 0 and the lines from every page.
+record, keyed by (order, page) with the order header repeated on every page. An order of up
+to ``PAGE_SIZE`` lines is one page-0 record; a larger one has an empty page 0 and its lines,
+dealt by a hash of their row, on further pages, so no list grows with an order, whatever its line numbers
+are. Normalisers take the header from page 0 and the lines from every page. Queries that
+need headers only ask for records without lines, which read no line table.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ _MONEY_SET = "struct<shopMoney:struct<amount:string>>"
 _MINOR = "struct<amount:bigint,currency:string>"
 
 SHOP_ORDER_DDL = (
-    "id string, page int, name string, createdAt string, updatedAt string, "
+    "id string, page bigint, name string, createdAt string, updatedAt string, "
     f"totalPriceSet {_MONEY_SET}, currentSubtotalPriceSet {_MONEY_SET}, totalDiscountsSet {_MONEY_SET}, "
     f"totalTaxSet {_MONEY_SET}, totalRefundedSet {_MONEY_SET}, "
     "customer struct<id:string,email:string,phone:string>, "
@@ -39,7 +40,7 @@ SHOP_ORDER_DDL = (
     f"amountSet:{_MONEY_SET},gateway:string>>>>")
 
 SHOP_EVENT_DDL = (
-    "id bigint, page int, name string, order_number string, created_at string, updated_at string, total_price string, "
+    "id bigint, page bigint, name string, order_number string, created_at string, updated_at string, total_price string, "
     "subtotal_price string, total_discounts string, total_tax string, "
     "customer struct<id:bigint,email:string,phone:string>, "
     "line_items array<struct<id:bigint,name:string,sku:string,quantity:int,price:string,product_id:bigint,"
@@ -48,7 +49,7 @@ SHOP_EVENT_DDL = (
     "refunds array<struct<total_refund_set:struct<shop_money:struct<amount:string>>>>")
 
 POS_ORDER_DDL = (
-    "id string, page int, locationId string, referenceId string, createdAt string, updatedAt string, state string, "
+    "id string, page bigint, locationId string, referenceId string, createdAt string, updatedAt string, state string, "
     f"totalMoney {_MINOR}, totalTaxMoney {_MINOR}, totalDiscountMoney {_MINOR}, totalServiceChargeMoney {_MINOR}, "
     "lineItems array<struct<uid:string,name:string,quantity:string,catalogObjectId:string,variationName:string,"
     f"basePriceMoney:{_MINOR},totalMoney:{_MINOR}>>")
@@ -129,7 +130,8 @@ def _cents(x: Column) -> Column:
 
 def _lines(spark, sf_dir):
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-              "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
+              "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate") \
+        .withColumn("_row", F.monotonically_increasing_id())  # by file and place: the same on a retry
     p = read(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_brand", "p_retailprice")
     return li.join(p, li.l_partkey == p.p_partkey, "left")
 
@@ -143,24 +145,41 @@ def _line_key() -> Column:
     return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-def _page() -> Column:
-    """Page of a line item: line numbers 1..100 on page 0, 101..200 on page 1, ..."""
-    return F.call_function("div", (F.col("l_linenumber") - 1).cast("bigint"), F.lit(PAGE_SIZE)).cast("int")
-
+def line_pages(lines: DataFrame, item: Column, name: str) -> DataFrame:
+    """(l_orderkey, page, list of at most ``PAGE_SIZE`` items) for ``lines`` with their ``_row``.
 
-def _paged(orders: DataFrame, lines: DataFrame, item: Column, name: str) -> DataFrame:
-    """Orders with their line pages; an order without lines is one page-0 record.
-
-    Written as an inner join (pages of a hot order sit on the splittable side, so AQE's
-    skew-join handling can split them) plus an anti join for orders without lines,
-    instead of ``orders LEFT JOIN pages``, whose right side AQE cannot split.
+    First pass: lines per order, combined map-side; only orders of more than a page are kept.
+    Second pass: their lines go to pages of half the size on average by a hash of the row
+    number that the scan gave them, so equal lines part too. A page that chance filled beyond
+    the size is cut.
+    """
+    large = lines.groupBy(F.col("l_orderkey").alias("_k")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > PAGE_SIZE)
+    dealt = lines.join(large, lines.l_orderkey == large._k, "left")
+    pages = F.ceil(F.col("_n") / (PAGE_SIZE // 2))
+    page = F.when(F.col("_n").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("_row"), pages)).cast("bigint")
+    listed = dealt.groupBy("l_orderkey", page.alias("_page")).agg(F.collect_list(item).alias("_items"))
+    starts = F.sequence(F.lit(1), F.size("_items"), F.lit(PAGE_SIZE))
+    cut = listed.select("l_orderkey", "_page", F.posexplode(F.transform(
+        starts, lambda i: F.slice("_items", i, F.lit(PAGE_SIZE)))).alias("_part", name))
+    # Cut pages stay apart: the first part keeps the page's number, the others follow all pages.
+    number = F.when(F.col("_part") == 0, F.col("_page")).otherwise(F.col("_part") * F.lit(1 << 40) + F.col("_page"))
+    return cut.select("l_orderkey", number.cast("bigint").alias("page"), name)
+
+
+def _paged(orders: DataFrame, lines: DataFrame | None, item: Column, name: str, kind: str | T.DataType) -> DataFrame:
+    """Orders with their line pages; without ``lines``, every order's page-0 record alone.
+
+    The pages join on the splittable side of an inner join, so AQE can split a hot order's.
+    Page-0 records without lines (orders of no line, or of more than a page) come from an anti join.
     """
-    pages = lines.groupBy("l_orderkey", _page().alias("page")).agg(F.collect_list(item).alias(name))
+    empty = F.array().cast(kind)
+    if lines is None:
+        return orders.withColumn("page", F.lit(0).cast("bigint")).withColumn(name, empty)
+    pages = line_pages(lines, item, name)
     with_lines = pages.join(orders, pages.l_orderkey == orders.o_orderkey, "inner").drop("l_orderkey")
-    keys = lines.select(F.col("l_orderkey").alias("_k")).distinct()
-    empty = F.array().cast(pages.schema[name].dataType)
-    without = orders.join(keys, orders.o_orderkey == keys._k, "left_anti") \
-        .withColumn("page", F.lit(0)).withColumn(name, empty)
+    first = pages.filter(F.col("page") == 0).select(F.col("l_orderkey").alias("_k"))
+    without = orders.join(first, orders.o_orderkey == first._k, "left_anti") \
+        .withColumn("page", F.lit(0).cast("bigint")).withColumn(name, empty)
     return with_lines.unionByName(without)
 
 
@@ -168,8 +187,8 @@ def _orders(spark, sf_dir):
     return read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
 
 
-def shop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested shop order records (one per order)."""
+def shop_orders(spark: SparkSession, sf_dir: str, lines: bool = True) -> DataFrame:
+    """Nested shop order records, paged; without ``lines`` the headers alone."""
     item = F.struct(F.struct(
         F.concat(F.lit("gid://shop/LineItem/"), _line_key()).alias("id"),
         F.col("p_name").alias("name"), _sku().alias("sku"), F.col("l_quantity").cast("int").alias("quantity"),
@@ -177,7 +196,8 @@ def shop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.concat(F.lit("gid://shop/Product/"), F.col("l_partkey").cast("string")).alias("id"),
                  F.when(F.col("l_partkey") % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("p_type"))
                  .alias("productType")).alias("product")).alias("node"))
-    j = _paged(_orders(spark, sf_dir), _lines(spark, sf_dir), item, "edges")
+    j = _paged(_orders(spark, sf_dir), _lines(spark, sf_dir) if lines else None, item, "edges",
+               schema("shop_order")["lineItems"].dataType["edges"].dataType)
     key = F.col("o_custkey")
     customer = F.when(key % 10 == 0, F.lit(None)).otherwise(F.struct(
         F.concat(F.lit("gid://shop/Customer/"), key.cast("string")).alias("id"),
@@ -201,24 +221,23 @@ def shop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         _amount(F.lit(0)).alias("totalDiscountsSet"), _amount(F.lit(0)).alias("totalTaxSet"),
         _amount(F.when(F.col("o_orderstatus") == "P", F.lit(100)).otherwise(F.lit(0))).alias("totalRefundedSet"),
         customer.alias("customer"),
-        F.struct(F.coalesce("edges", F.array().cast(schema("shop_order")["lineItems"].dataType["edges"].dataType))
-                 .alias("edges")).alias("lineItems"),
+        F.struct("edges").alias("lineItems"),
         F.struct(txns.alias("edges")).alias("transactions"))
 
 
-def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shop_events(spark: SparkSession, sf_dir: str, lines: bool = True) -> DataFrame:
     """Flat order events (REST form) with lower-case / missing fields to normalise."""
-    return shop_events_from(_orders(spark, sf_dir), _lines(spark, sf_dir))
+    return shop_events_from(_orders(spark, sf_dir), _lines(spark, sf_dir) if lines else None)
 
 
-def shop_events_from(o: DataFrame, lines: DataFrame) -> DataFrame:
+def shop_events_from(o: DataFrame, lines: DataFrame | None) -> DataFrame:
     """Order event records from order rows and (line x part) rows."""
     item = F.struct(
         F.col("l_linenumber").cast("bigint").alias("id"), F.col("p_name").alias("name"), _sku().alias("sku"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("p_retailprice").cast(MONEY).cast("string").alias("price"),
         F.col("l_partkey").alias("product_id"), F.col("p_type").alias("product_type"))
-    j = _paged(o, lines, item, "line_items")
+    j = _paged(o, lines, item, "line_items", schema("shop_event")["line_items"].dataType)
     key, st = F.col("o_custkey"), F.col("o_orderstatus")
     txn = F.struct(F.when(key % 4 == 0, F.lit(None).cast("string")).otherwise(F.lit("sale")).alias("kind"),
                    F.when(key % 4 == 1, F.lit(None).cast("string"))
@@ -241,8 +260,7 @@ def shop_events_from(o: DataFrame, lines: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("total_discounts"), F.lit("0.00").alias("total_tax"),
         F.struct(key.alias("id"), F.lit(None).cast("string").alias("email"),
                  F.concat(F.lit("+1 555 "), key.cast("string")).alias("phone")).alias("customer"),
-        F.coalesce("line_items", F.array().cast(schema("shop_event")["line_items"].dataType)).alias("line_items"),
-        F.array(txn).alias("transactions"), refunds.alias("refunds"))
+        "line_items", F.array(txn).alias("transactions"), refunds.alias("refunds"))
 
 
 def _order_location(spark, sf_dir):
@@ -252,8 +270,9 @@ def _order_location(spark, sf_dir):
         .withColumn("location", F.concat(F.lit("L"), F.col("c_nationkey").cast("string")))
 
 
-def pos_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested pos order records (minor units), one per order."""
+def pos_orders(spark: SparkSession, sf_dir: str, lines: bool = True, location: bool = True) -> DataFrame:
+    """Nested pos order records (minor units), paged; without ``lines`` the headers alone.
+    Without ``location`` the customers are not read and the location is null."""
     item = F.struct(
         _line_key().alias("uid"), F.col("p_name").alias("name"),
         F.concat(F.col("l_quantity").cast("int").cast("string"),
@@ -262,7 +281,9 @@ def pos_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_partkey") % 2 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("variationName"),
         _minor(_cents(F.col("p_retailprice"))).alias("basePriceMoney"),
         _minor(_cents(F.col("l_extendedprice"))).alias("totalMoney"))
-    j = _paged(_order_location(spark, sf_dir), _lines(spark, sf_dir), item, "lineItems")
+    orders = _order_location(spark, sf_dir) if location else \
+        _orders(spark, sf_dir).withColumn("location", F.lit(None).cast("string"))
+    j = _paged(orders, _lines(spark, sf_dir) if lines else None, item, "lineItems", schema("pos_order")["lineItems"].dataType)
     st, total = F.col("o_orderstatus"), _cents(F.col("o_totalprice"))
     created = iso(F.col("o_orderdate"))
     none = F.lit(None).cast(_MINOR)
@@ -274,16 +295,22 @@ def pos_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         _minor(total).alias("totalMoney"),
         F.when(st == "O", none).otherwise(_minor(F.call_function("div", total, F.lit(12)))).alias("totalTaxMoney"),
         F.when(st == "F", _minor(F.call_function("div", total, F.lit(50)))).otherwise(none).alias("totalDiscountMoney"),
-        none.alias("totalServiceChargeMoney"),
-        F.coalesce("lineItems", F.array().cast(schema("pos_order")["lineItems"].dataType)).alias("lineItems"))
+        none.alias("totalServiceChargeMoney"), "lineItems")
 
 
-def pos_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pos payment per line item row."""
+def pos_payments(spark: SparkSession, sf_dir: str, location: bool = True, buyer: bool = True) -> DataFrame:
+    """One pos payment per line item row. Without ``location`` the customers are not read, and
+    without ``buyer`` neither are the orders; the columns are null then."""
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
               "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
-    o = _order_location(spark, sf_dir).select("o_orderkey", "o_custkey", "location")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "left")
+    if location:
+        o = _order_location(spark, sf_dir).select("o_orderkey", "o_custkey", "location")
+    else:
+        o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey").withColumn("location", F.lit(None).cast("string"))
+    if buyer:
+        j = li.join(o, li.l_orderkey == o.o_orderkey, "left")
+    else:
+        j = li.withColumn("o_custkey", F.lit(None).cast("bigint")).withColumn("location", F.lit(None).cast("string"))
     amt = _cents(F.col("l_extendedprice"))
     created = iso(F.col("l_shipdate"))
     return j.select(

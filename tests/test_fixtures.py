@@ -209,7 +209,7 @@ def test_cancellation_flags_raw_payload(spark):
     rows = {r.id: r for r in EV.apply_cancellations(ev, c).collect()}
     b1 = rows["b1"]
     assert (b1.revenue, b1.add_on_sales, b1.attendees, b1.cancelled) == (D("0.00"), D("0.00"), 3, True)
-    assert json.loads(b1.raw_json) == {"guests": "3", "cancelled": "true", "cancelled_at": "2024-01-02T00:00:00Z",
+    assert json.loads(b1.raw_json) == {"guests": "3", "cancelled": True, "cancelled_at": "2024-01-02T00:00:00Z",
                                        "reason": "weather"}
     assert rows["b2"].cancelled is False and rows["b2"].raw_json is None and "zz" not in rows
 

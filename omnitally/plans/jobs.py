@@ -66,6 +66,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     """Whether a table holds data: any entry that is not a marker or temporary one.
 

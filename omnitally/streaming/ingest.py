@@ -143,27 +143,40 @@ def current_orders(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table).drop("updated_at")
 
 
+DEDUPE_BUCKETS = 16
+
+
+def new_deliveries(spark: SparkSession, batch: DataFrame, table: str, batch_id: int, buckets: int = DEDUPE_BUCKETS) -> DataFrame:
+    """One delivery per id of ``batch`` that no earlier batch stored, with its bucket.
+
+    Stored ids lie in hash buckets: only the partitions of the batch's own buckets are read.
+    """
+    from omnitally.plans import jobs
+    from omnitally.plans.snapshots import bucket_of
+    fresh = batch.dropDuplicates(["event_id"]).withColumn("bucket", bucket_of("event_id", buckets))
+    if not jobs.has_data(spark, table):
+        return fresh
+    mine = [r[0] for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+    known = spark.read.parquet(table).filter(F.col("bucket").isin(mine) & (F.col("batch_id") < batch_id)) \
+        .select(F.col("bucket").alias("b"), F.col("event_id").alias("known"))
+    return fresh.join(known, (fresh.bucket == known.b) & fresh.event_id.eqNullSafe(known.known), "left_anti")
+
+
 def run_dedupe(spark: SparkSession, sf_dir: str) -> str:
     """Duplicate deliveries dropped by event id, however late they come.
 
     Each micro-batch keeps one delivery per id and only ids that no earlier batch stored,
-    whatever the time of the repeat: all stored ids (one narrow column) are looked up.
-    There is no state and no watermark. A replayed batch ignores and rewrites its own rows.
+    whatever the time of the repeat. There is no state and no watermark. A replayed batch
+    ignores and rewrites its own rows.
     """
-    from omnitally.plans import jobs
     out = run_dir(spark, "dedupe")
     table = f"{out}/events"
     a = read_stream(spark, sf_dir, "events")
     doubled = a.unionByName(read_stream(spark, sf_dir, "events")).withColumn("ts", utc_instant("ts"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates(["event_id"])
-        if jobs.has_data(spark, table):
-            stored = spark.read.parquet(table).filter(F.col("batch_id") < batch_id)
-            ids = stored.select(F.col("event_id").alias("known"))
-            fresh = fresh.join(ids, fresh.event_id.eqNullSafe(ids.known), "left_anti")
-        fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(table)
+        new_deliveries(spark, batch, table, batch_id).withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_id").parquet(table)
 
     q = doubled.writeStream.foreachBatch(handle).option("checkpointLocation", f"{out}/_checkpoint") \
         .trigger(availableNow=True).start()

@@ -50,8 +50,8 @@ def main(argv: list[str] | None = None) -> int:
         jobs.resync_day(spark, orders, lines, jobs.current_version(spark, a.out), a.day)
         return 0
     if a.job == "reconcile":
-        from omnitally.plans.q_normalize import reconcile_df
-        r = reconcile_df(spark, a.input)
+        from omnitally.plans.q_recon import first_run
+        r = first_run(spark, a.input)
         r.write.mode("overwrite").parquet(f"{a.out}/results")
         s = Q.reconcile_summary(spark.read.parquet(f"{a.out}/results")).first()
         print(f"match={s.matches} mismatch={s.mismatches} error={s.errors}")
@@ -62,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
         kpi = jobs.read_current_kpi(spark, a.out + "/kpi") if jobs.path_exists(spark, a.out + "/kpi/_CURRENT") else None
         if kpi is None:
             _, kpi = jobs.refresh_kpi(spark, orders, lines, a.out + "/kpi", a.date + " 00:00:00")
-        secs = jobs.report_sections(spark, kpi, orders, lines, star.dim_channel(spark, a.input), a.period, a.date)
+        secs = jobs.report_sections(spark, kpi, orders, lines, star.static_channels(spark), a.period, a.date)
         for name, path in jobs.write_report(secs, a.out + "/report").items():
             print(name, path)
         return 0

@@ -13,30 +13,43 @@ RECON_REVENUE_TOLERANCE = 1
 FEE_TOLERANCE = 0.01
 
 
-def reconcile(source: DataFrame, warehouse: DataFrame) -> DataFrame:
-    """Aggregate both sides by (source, date), FULL OUTER JOIN, compare.
+def days_of(rows: DataFrame) -> DataFrame:
+    """Rows (source, date, rev) reduced to n and rev per source and day, combined map-side."""
+    return rows.groupBy("source", "date").agg(F.count(F.lit(1)).alias("n"), F.sum("rev").cast(MONEY_SUM).alias("rev"))
+
+
+def compare_days(source: DataFrame, warehouse: DataFrame) -> DataFrame:
+    """FULL OUTER JOIN of two sides' days; match = equal counts and |revenue diff| < 1."""
+    s, w = source.alias("s"), warehouse.alias("w")
+    j = s.join(w, (F.col("s.source") == F.col("w.source")) & F.col("s.date").eqNullSafe(F.col("w.date")), "full_outer")
+
+    def of(c, kind):
+        return F.coalesce(c, F.lit(0)).cast(kind)
 
-    Each side is reduced to one row per (source, day) before the join, so the join input
-    is tiny compared with the facts; match = equal counts and |revenue diff| < 1.
-    """
-    def agg(df, n, r):
-        return df.groupBy("source", "date").agg(F.count(F.lit(1)).alias(n), F.sum("rev").alias(r))
-    s = agg(source, "sn", "sr").alias("s")
-    w = agg(warehouse, "wn", "wr").alias("w")
-    j = s.join(w, (F.col("s.source") == F.col("w.source")) & (F.col("s.date") == F.col("w.date")), "full_outer")
-    sc = F.coalesce("sn", F.lit(0)).cast("bigint")
-    wc = F.coalesce("wn", F.lit(0)).cast("bigint")
-    sr = F.coalesce("sr", F.lit(0)).cast(MONEY_SUM)
-    wr = F.coalesce("wr", F.lit(0)).cast(MONEY_SUM)
     out = j.select(F.coalesce("s.source", "w.source").alias("source"), F.coalesce("s.date", "w.date").alias("date"),
-                   sc.alias("source_count"), wc.alias("warehouse_count"), sr.alias("source_revenue"),
-                   wr.alias("warehouse_revenue"))
+                   of("s.n", "bigint").alias("source_count"), of("w.n", "bigint").alias("warehouse_count"),
+                   of("s.rev", MONEY_SUM).alias("source_revenue"), of("w.rev", MONEY_SUM).alias("warehouse_revenue"))
     cd = F.col("warehouse_count") - F.col("source_count")
     rd = (F.col("warehouse_revenue") - F.col("source_revenue")).cast(MONEY_SUM)
     return out.select("*", cd.alias("count_diff"), rd.alias("revenue_diff"),
                       F.when((cd == 0) & (F.abs(rd) < RECON_REVENUE_TOLERANCE), F.lit("match")).otherwise(F.lit("mismatch")).alias("status"))
 
 
+def reconcile(source: DataFrame, warehouse: DataFrame) -> DataFrame:
+    """A13/J11 of two frames of rows (source, date, rev)."""
+    return compare_days(days_of(source), days_of(warehouse))
+
+
+def unread(spark, errors: dict[str, str]) -> DataFrame:
+    """One 'error' row for every source that could not be read."""
+    rows = spark.createDataFrame(list(errors), "string").toDF("source") if errors else spark.createDataFrame([], "source string")
+    zero = F.lit(0).cast(MONEY_SUM)
+    none = F.lit(0).cast("bigint")
+    return rows.select("source", F.lit(None).cast("date").alias("date"), none.alias("source_count"), none.alias("warehouse_count"),
+                       zero.alias("source_revenue"), zero.alias("warehouse_revenue"), none.alias("count_diff"),
+                       zero.alias("revenue_diff"), F.lit("error").alias("status"))
+
+
 def reconcile_summary(r: DataFrame) -> DataFrame:
     """Match / mismatch / error counts and exit level (2 error, 1 mismatch, 0 ok)."""
     a = r.agg(F.count_if(F.col("status") == "match").alias("matches"),
@@ -90,10 +103,7 @@ def orphan_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(orders.select(F.col("id").alias("oid")), lines.order_id == F.col("oid"), "left_anti")
 
 
-__all__ = ["reconcile", "reconcile_summary", "mismatch_actions", "fee_discrepancy", "customer_identity",
-           "duplicate_keys", "orphan_lines", "MONEY"]
-
-
+# The patterns of a request's dates and recipients.
 DATE_RE = r"^\d{4}-\d{2}-\d{2}$"
 EMAIL_RE = r"^[^\s@]+@[^\s@]+\.[^\s@]+$"
 
@@ -113,3 +123,30 @@ def validate_requests(r: DataFrame, channels: list[str]) -> DataFrame:
     reason = F.when(~ok_start, F.lit("start_date")).when(~ok_end, F.lit("end_date")) \
         .when(~ok_channel, F.lit("channel")).when(~ok_emails, F.lit("recipients"))
     return r.withColumn("reason", reason).withColumn("valid", ok_start & ok_end & ok_channel & ok_emails)
+
+
+def validate_payloads(rows: DataFrame) -> DataFrame:
+    """what a delivery's body must hold. shop: an id, and times that are text; pos: a type and
+    data.object, an object; booking: an event type (also as ``type``) and data, an object.
+
+    Adds ``reason`` (the first failing rule, null when valid) and ``valid``.
+    """
+    body = F.try_parse_json("body")
+
+    def kind(path):  # the JSON type behind a path: STRING, BIGINT, OBJECT<...>, VOID or null
+        return F.schema_of_variant(F.try_variant_get(body, path, "variant"))
+
+    def is_a(path, *kinds):
+        return F.coalesce(F.regexp_like(kind(path), F.lit("^(" + "|".join(kinds) + ")")), F.lit(False))
+
+    def text_or_missing(path):
+        return kind(path).isNull() | is_a(path, "STRING")
+
+    shop = F.when(~is_a("$.id", "STRING", "BIGINT", "DECIMAL", "DOUBLE"), F.lit("id")) \
+        .when(~text_or_missing("$.created_at"), F.lit("created_at")).when(~text_or_missing("$.updated_at"), F.lit("updated_at"))
+    pos = F.when(~is_a("$.type", "STRING"), F.lit("type")).when(~is_a("$.data.object", "OBJECT"), F.lit("data"))
+    booking = F.when(~(is_a("$.event_type", "STRING") | is_a("$.type", "STRING")), F.lit("event_type")) \
+        .when(~is_a("$.data", "OBJECT"), F.lit("data"))
+    reason = F.when(F.coalesce(body.isNull(), F.lit(True)), F.lit("body")).when(F.col("source") == "shop", shop) \
+        .when(F.col("source") == "pos", pos).when(F.col("source") == "booking", booking).otherwise(F.lit("source"))
+    return rows.withColumn("reason", reason).withColumn("valid", F.col("reason").isNull())

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def latest_version(df: DataFrame, key: str | list[str], order_cols: list[str]) -> DataFrame:
@@ -70,3 +71,25 @@ def backfill_windows(bounds: DataFrame, lookback_days: int = LOOKBACK_DAYS, wind
                                                      F.expr(f"interval {step} days"))).alias("window_start"), "end")
     return w.select("source", "window_start",
                     F.least(F.date_add("window_start", window_days), F.col("end")).alias("window_end"))
+
+
+def backfill_gaps(finished: DataFrame, bounds: DataFrame) -> DataFrame:
+    """What a restart still has to load, per source and location.
+
+    ``finished`` (source, location, window_start, window_end) are loaded half-open windows in any
+    order, repeated or overlapping; ``bounds`` (source, location, begin, finish) is the whole
+    range. Gaps and islands: behind every window's start lies a gap when no earlier window
+    reaches it. The range's own ends take part as empty windows. A location may be null.
+    """
+    keys = ["source", "location"]
+    ends = bounds.select(*keys, F.explode(F.array("begin", "finish")).alias("window_start")) \
+        .withColumn("window_end", F.col("window_start"))
+    w = Window.partitionBy(*keys).orderBy("window_start", "window_end")
+    reach = F.max("window_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    both = finished.select(*keys, "window_start", "window_end").unionByName(ends)
+    inside = both.join(bounds.select(*[F.col(k).alias(f"b_{k}") for k in keys], "begin", "finish"),
+                       F.col("source").eqNullSafe(F.col("b_source")) & F.col("location").eqNullSafe(F.col("b_location")))
+    inside = inside.select(*keys, F.greatest("window_start", "begin").alias("window_start"),
+                           F.least("window_end", "finish").alias("window_end")).filter("window_start <= window_end")
+    return inside.withColumn("reach", reach).filter(F.col("window_start") > F.col("reach")) \
+        .select(*keys, F.col("reach").alias("gap_start"), F.col("window_start").alias("gap_end"))

@@ -31,4 +31,4 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every query module so that their ``register`` calls run."""
     from omnitally.plans import (  # noqa: F401
-        q_core, q_period, q_rank, q_quality, q_audit, q_normalize, q_upsert, q_events, q_stream, q_dispatch)
+        q_core, q_period, q_rank, q_quality, q_audit, q_normalize, q_upsert, q_events, q_stream, q_dispatch, q_recon)

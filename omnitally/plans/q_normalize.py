@@ -105,6 +105,18 @@ def _pos(spark, sf_dir):
     return L.pos_orders(spark, sf_dir, lines=False), payments, N.payments_per_order(payments)
 
 
+def landed(spark, sf_dir, kind, quarantine=None):
+    """Records of one kind as they land: JSON lines, every 50th followed by a copy that was cut off."""
+    from omnitally.plans import jobs
+    make = {"pos_order": lambda: L.pos_orders(spark, sf_dir, lines=False), "pos_payment": lambda: L.pos_payments(spark, sf_dir),
+            "booking": lambda: L.bookings(spark, sf_dir), "experience": lambda: L.experiences(spark, sf_dir)}[kind]
+    path = jobs.new_table_dir(spark, f"landed_{kind}")
+    rows = make()
+    number = F.regexp_extract("id", r"(\d+)", 1)
+    L.land(rows, path, F.when(number != "", number.cast("bigint") % 50 == 0).otherwise(F.lit(True)))
+    return L.scan(spark, path, kind, quarantine or f"{path}-quarantine")
+
+
 # --- scans ------------------------------------------------------------------------------
 
 @register("scan_shop_orders", f"""
@@ -133,8 +145,8 @@ SELECT id, location AS location_id, o_orderdate AS created_at, total_cents
 FROM pos_o WHERE location IN ('L1', 'L2', 'L3')
   AND o_orderdate >= TIMESTAMP '{WINDOW[0]}' AND o_orderdate < TIMESTAMP '{WINDOW[1]}' + INTERVAL 1 DAY""")
 def q_scan_pos_orders(spark, sf_dir):
-    """Location IN list, created in window, sorted by created ascending."""
-    o = L.pos_orders(spark, sf_dir, lines=False)
+    """Location IN list, created in window, sorted by created ascending; landed JSON with malformed lines."""
+    o = landed(spark, sf_dir, "pos_order")
     created = utc_ts("createdAt")
     o = o.filter(F.col("locationId").isin(POS_SCAN_LOCATIONS)
                  & (created >= F.lit(WINDOW[0]).cast("timestamp_ntz"))
@@ -148,8 +160,8 @@ SELECT payment_id AS id, order_id, location AS location_id, l_shipdate AS create
 FROM pay WHERE location IN ('L1', 'L2', 'L3')
   AND l_shipdate >= TIMESTAMP '{WINDOW[0]}' AND l_shipdate < TIMESTAMP '{WINDOW[1]}' + INTERVAL 1 DAY""")
 def q_scan_pos_payments(spark, sf_dir):
-    """Payments by location and time window."""
-    p = L.pos_payments(spark, sf_dir)
+    """Payments by location and time window, from landed JSON with malformed lines."""
+    p = landed(spark, sf_dir, "pos_payment")
     created = utc_ts("createdAt")
     p = p.filter(F.col("locationId").isin(POS_SCAN_LOCATIONS)
                  & (created >= F.lit(WINDOW[0]).cast("timestamp_ntz"))
@@ -166,7 +178,7 @@ WHERE strftime(ts, '%Y-%m-%d') BETWEEN '2024-01-10' AND '2024-01-20'
   AND event_type NOT IN ('error', 'purchase')""")
 def q_scan_bookings(spark, sf_dir):
     """Bookings in a date range with an optional status filter (all pages at once)."""
-    b = L.bookings(spark, sf_dir)
+    b = landed(spark, sf_dir, "booking")
     b = b.filter(F.col("event_date").between("2024-01-10", "2024-01-20") & (F.col("status") == "confirmed"))
     return b.select("id", "event_date", "guests_count", "total_price")
 
@@ -178,14 +190,36 @@ SELECT status, COUNT(*) AS experiences FROM x GROUP BY status
 UNION ALL SELECT 'all', COUNT(*) FROM x""")
 def q_scan_experiences(spark, sf_dir):
     """Experiences by status (active / inactive / all); counted, stored nowhere."""
-    b = L.bookings(spark, sf_dir)
-    x = b.select(F.col("experience_id").alias("id"),
-                 F.when(F.col("status") == "cancelled", F.lit("inactive")).otherwise(F.lit("active")).alias("status")) \
-        .distinct()
+    x = landed(spark, sf_dir, "experience")
     by = x.groupBy("status").agg(F.count(F.lit(1)).alias("experiences"))
     return by.unionByName(x.agg(F.count(F.lit(1)).alias("experiences")).select(F.lit("all").alias("status"), "experiences"))
 
 
+@register("quarantined_lines", """
+SELECT 'pos_order' AS kind, COUNT(*) AS lines FROM orders WHERE o_orderkey % 50 = 0
+UNION ALL SELECT 'pos_payment', COUNT(*) FROM lineitem WHERE l_orderkey % 50 = 0
+UNION ALL SELECT 'booking', COUNT(*) FROM events WHERE event_id % 50 = 0
+UNION ALL SELECT 'experience', COUNT(DISTINCT event_type) FROM events""")
+def q_quarantined_lines(spark, sf_dir):
+    """Malformed lines of all scans, kept with their text while the rest of each load goes on."""
+    from omnitally.plans import jobs
+    path = jobs.new_table_dir(spark, "quarantine")
+    for kind in ("pos_order", "pos_payment", "booking", "experience"):
+        landed(spark, sf_dir, kind, path)
+    return spark.read.parquet(path).groupBy("kind").agg(F.count("line").alias("lines"))
+
+
+@register("fee_by_path", f"""
+SELECT 'PAY' || {_LINE_KEY} || '-' || CAST({_CENTS} AS VARCHAR) AS payment_id, {_CENTS} * 29 // 1000 + 30 AS fee_cents
+FROM lineitem""")
+def q_fee_by_path(spark, sf_dir):
+    """JSON path with an index: the first fee of the first payment of a kept pos payload."""
+    p = L.pos_payments(spark, sf_dir, location=False, buyer=False)
+    raw = p.select("id", F.to_json(F.struct(F.array(F.struct("id", "processingFee")).alias("payments"))).alias("raw"))
+    return raw.select(F.col("id").alias("payment_id"),
+                      F.get_json_object("raw", "$.payments[0].processingFee[0].amountMoney.amount").cast("bigint").alias("fee_cents"))
+
+
 @register("pos_locations", """
 SELECT 'L' || CAST(n_nationkey AS VARCHAR) AS id,
        COALESCE(CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE n_name END, 'Unnamed Location') AS name
@@ -423,90 +457,3 @@ def q_raw_payload(spark, sf_dir):
     payments = p.select(F.lit("payment").alias("record_type"), "id", F.col("orderId").alias("order_id"),
                         F.to_json(F.struct("*")).alias("raw_json"))
     return orders.unionByName(payments)
-
-
-# --- reconciliation ------------------------------------------------------------------------
-
-RECON_SQL = S.with_(PAY_CTE) + f"""
-, src AS (
-  SELECT 'shop' AS source, CAST(o_orderdate AS DATE) AS date, COUNT(*) AS n,
-         SUM(CAST(o_totalprice AS DECIMAL(14,2)) - CASE WHEN o_orderstatus = 'P' THEN 100 ELSE 0 END) AS rev
-  FROM orders GROUP BY 1, 2
-  UNION ALL
-  SELECT 'pos', CAST(p.o_orderdate AS DATE), COUNT(*), SUM({M('p.total_cents')} - {M('COALESCE(po.refunded_cents, 0)')})
-  FROM pos_o p LEFT JOIN per_order po ON p.id = po.order_id GROUP BY 1, 2
-  UNION ALL
-  SELECT 'booking', CAST(ts AS DATE), COUNT(*),
-         SUM(CAST(value AS DECIMAL(14,2)) + CASE WHEN event_type = 'click' THEN 0 ELSE user_id % 20 END)
-  FROM events GROUP BY 1, 2),
-wh AS (
-  SELECT 'shop' AS source, CAST(created_at AS DATE) AS date, COUNT(*) AS n, SUM(net_total) AS rev
-  FROM ({SHOP_ORDERS_SQL}) GROUP BY 1, 2
-  UNION ALL
-  SELECT 'pos', CAST(created_at AS DATE), COUNT(*), SUM(net_total) FROM ({POS_ORDERS_SQL}) GROUP BY 1, 2
-  UNION ALL
-  SELECT 'booking', CAST(starts_at AS DATE), COUNT(*), SUM(revenue + add_on_sales) FROM ({EVENTS_SQL}) GROUP BY 1, 2),
-r AS (
-  SELECT COALESCE(s.source, w.source) AS source, COALESCE(s.date, w.date) AS date,
-         CAST(COALESCE(s.n, 0) AS BIGINT) AS source_count, CAST(COALESCE(w.n, 0) AS BIGINT) AS warehouse_count,
-         CAST(COALESCE(s.rev, 0) AS DECIMAL(18,2)) AS source_revenue, CAST(COALESCE(w.rev, 0) AS DECIMAL(18,2)) AS warehouse_revenue
-  FROM src s FULL OUTER JOIN wh w ON s.source = w.source AND s.date = w.date)
-"""
-RECON_SELECT = """
-SELECT source, date, source_count, warehouse_count, source_revenue, warehouse_revenue,
-       warehouse_count - source_count AS count_diff, CAST(warehouse_revenue - source_revenue AS DECIMAL(18,2)) AS revenue_diff,
-       CASE WHEN warehouse_count - source_count = 0 AND abs(warehouse_revenue - source_revenue) < 1 THEN 'match'
-            ELSE 'mismatch' END AS status
-FROM r"""
-
-
-def reconcile_df(spark, sf_dir):
-    shop_raw = L.shop_orders(spark, sf_dir, lines=False)
-    o, _, per = _pos(spark, sf_dir)
-    book_raw = L.bookings(spark, sf_dir)
-    day = lambda c: F.to_date(utc_ts(c))
-    shop_src = N.first_page(shop_raw).select(F.lit("shop").alias("source"), day("createdAt").alias("date"),
-                               (F.col("totalPriceSet.shopMoney.amount").cast(MONEY)
-                                - F.col("totalRefundedSet.shopMoney.amount").cast(MONEY)).alias("rev"))
-    pos_src = N.first_page(o).join(per, o.id == per.order_id, "left").select(
-        F.lit("pos").alias("source"), day("createdAt").alias("date"),
-        (minor_to_money("totalMoney.amount") - minor_to_money(F.coalesce("refunded_cents", F.lit(0)))).alias("rev"))
-    book_src = book_raw.select(F.lit("booking").alias("source"), F.to_date("event_date").alias("date"),
-                               (F.coalesce("total_price", F.lit(0)) + F.coalesce("add_ons_total", F.lit(0))).alias("rev"))
-    source = shop_src.unionByName(pos_src).unionByName(book_src)
-    wh = N.shop_orders(shop_raw).select(F.lit("shop").alias("source"), F.to_date("created_at").alias("date"),
-                                        F.col("net_total").alias("rev")) \
-        .unionByName(N.pos_orders(o, per).select(F.lit("pos").alias("source"), F.to_date("created_at").alias("date"),
-                                                 F.col("net_total").alias("rev"))) \
-        .unionByName(N.booking_events(book_raw).select(F.lit("booking").alias("source"),
-                                                       F.to_date("starts_at").alias("date"),
-                                                       (F.col("revenue") + F.col("add_on_sales")).alias("rev")))
-    return Q.reconcile(source, wh)
-
-
-@register("reconcile", RECON_SQL + RECON_SELECT)
-def q_reconcile(spark, sf_dir):
-    """A13 + J11 + U4: source vs warehouse count and revenue per source and day."""
-    return reconcile_df(spark, sf_dir)
-
-
-@register("reconcile_summary", RECON_SQL + f"""
-, x AS ({RECON_SELECT})
-SELECT CAST(COUNT(*) FILTER (WHERE status = 'match') AS BIGINT) AS matches,
-       CAST(COUNT(*) FILTER (WHERE status = 'mismatch') AS BIGINT) AS mismatches,
-       CAST(COUNT(*) FILTER (WHERE status = 'error') AS BIGINT) AS errors,
-       CASE WHEN COUNT(*) FILTER (WHERE status = 'error') > 0 THEN 2
-            WHEN COUNT(*) FILTER (WHERE status = 'mismatch') > 0 THEN 1 ELSE 0 END AS exit_level
-FROM x""")
-def q_reconcile_summary(spark, sf_dir):
-    """Counts of match / mismatch / error and the overall exit level 0/1/2."""
-    return Q.reconcile_summary(reconcile_df(spark, sf_dir))
-
-
-@register("mismatch_actions", RECON_SQL + f"""
-, x AS ({RECON_SELECT})
-SELECT source, date, count_diff, 'resync' AS action FROM x WHERE status = 'mismatch' AND count_diff <> 0""")
-def q_mismatch_actions(spark, sf_dir):
-    """sources/days to re-pull: status mismatch with a count difference."""
-    return Q.mismatch_actions(reconcile_df(spark, sf_dir))
-

@@ -74,7 +74,7 @@ def q_unique_violations(spark, sf_dir):
     def violations(df, keys, name):
         return df.groupBy(*keys).count().filter(F.col("count") > 1) \
             .agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
-    ident = Q.customer_identity(L.shop_orders(spark, sf_dir), L.bookings(spark, sf_dir))
+    ident = Q.customer_identity(L.shop_orders(spark, sf_dir, lines=False), L.bookings(spark, sf_dir))
     return violations(k, ["date", "channel_id", "loc"], "kpi_cell") \
         .unionByName(violations(star.fact_order(spark, sf_dir, location=False), ["id"], "fact_order_id")) \
         .unionByName(violations(ident.filter(F.col("shop_customer_id").isNotNull()), ["shop_customer_id"],
@@ -83,8 +83,7 @@ def q_unique_violations(spark, sf_dir):
                                 "booking_guest_id"))
 
 
-_EMAIL = r"^[^\s@]+@[^\s@]+\.[^\s@]+$"
-_DATE = r"^\d{4}-\d{2}-\d{2}$"
+_EMAIL, _DATE = Q.EMAIL_RE, Q.DATE_RE
 CHANNELS = ["shop", "pos", "booking", "all"]  # request enum (dtc is a channel but not accepted)
 
 
@@ -185,3 +184,30 @@ def q_filter_ts_window(spark, sf_dir):
     lo = F.lit(TS_WINDOW[0]).cast("timestamp_ntz")
     hi = F.date_add(F.lit(TS_WINDOW[1]).cast("date"), 1).cast("timestamp_ntz")
     return o.filter((F.col("created_at") >= lo) & (F.col("created_at") < hi)).select("id", "created_at")
+
+
+@register("validate_payloads", """
+SELECT event_id AS id, ['shop', 'pos', 'booking'][user_id % 3 + 1] AS source,
+       CASE WHEN event_id % 13 = 0 THEN 'body'
+            WHEN user_id % 3 = 0 THEN CASE event_type WHEN 'error' THEN 'id' WHEN 'view' THEN 'created_at' END
+            WHEN user_id % 3 = 1 THEN CASE event_type WHEN 'error' THEN 'type' WHEN 'view' THEN 'data' END
+            ELSE CASE event_type WHEN 'error' THEN 'event_type' WHEN 'view' THEN 'data' END END AS reason
+FROM events""")
+def q_validate_payloads(spark, sf_dir):
+    """required fields of the three sources' deliveries; missing ids, types, data and cut bodies are named."""
+    e = read(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value")
+    kind, n = F.col("event_type"), F.col("user_id") % 3
+    none = F.lit(None).cast("string")
+    has = F.when(kind != "error", kind)
+    shop = F.to_json(F.struct(F.when(kind != "error", F.col("event_id")).alias("id"),
+                              F.when(kind != "view", F.lit("2024-01-01")).otherwise(none).alias("created_at")))
+    shop = F.when(kind == "view", F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"created_at":5}'))).otherwise(shop)
+    data = F.when(kind != "view", F.struct(F.struct(F.col("value").alias("value")).alias("object")))
+    pos = F.to_json(F.struct(has.alias("type"), data.alias("data")))
+    booking = F.when(kind == "signup", F.to_json(F.struct(has.alias("type"), data.alias("data")))) \
+        .otherwise(F.to_json(F.struct(has.alias("event_type"), data.alias("data"))))
+    body = F.when(n == 0, shop).when(n == 1, pos).otherwise(booking)
+    body = F.when(F.col("event_id") % 13 == 0, F.substring(body, 1, 5)).otherwise(body)
+    rows = e.select(F.col("event_id").alias("id"), F.element_at(F.array(*[F.lit(x) for x in star.AUDIT_SOURCES]), (n + 1).cast("int"))
+                    .alias("source"), body.alias("body"))
+    return Q.validate_payloads(rows).select("id", "source", "reason")

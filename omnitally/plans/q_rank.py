@@ -35,7 +35,7 @@ SELECT g.channel_id, COALESCE(dc.name, g.channel_id) AS channel_name, sales, txn
 FROM g LEFT JOIN dim_channel dc ON g.channel_id = dc.id""")
 def q_channel_performance(spark, sf_dir):
     """Channel comparison with names and share of sales."""
-    return R.channel_performance(_kpi(spark, sf_dir), star.dim_channel(spark, sf_dir))
+    return R.channel_performance(_kpi(spark, sf_dir), star.static_channels(spark))
 
 
 _RANKED_ITEMS_IN_RANGE = (f"SELECT sku, label AS product_title, pieces AS qty, money AS revenue FROM {S.listed('item')} "

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from omnitally.functions.expr import MONEY
 from omnitally.operators import kpi as K
+from omnitally.operators import quality as Q
 from omnitally.operators import upsert as U
 from omnitally.plans import jobs
 from omnitally.plans import sql as S
 from omnitally.plans.catalog import register
+from omnitally.plans.q_normalize import IDENTITY_SQL
 from omnitally.plans.q_period import AS_OF
 from omnitally.sources import landed as L
 from omnitally.sources import star
@@ -133,3 +135,41 @@ def q_cascade_delete(spark, sf_dir):
     """Deleting orders (fulfilled in 1996) deletes their lines."""
     o = star.fact_order(spark, sf_dir, location=False).filter((F.col("status") == "F") & (F.year("created_at") == 1996))
     return U.cascade_delete(star.fact_order_line(spark, sf_dir, product=False).select("id", "order_id"), o)
+
+
+_WINDOWS = """
+w AS (SELECT ['shop', 'pos', 'booking'][user_id % 3 + 1] AS source,
+             CASE WHEN user_id % 3 = 1 THEN 'L' || CAST(user_id % 4 AS VARCHAR) END AS location,
+             ts AS s, ts + to_minutes(CAST(user_id % 50 AS INTEGER)) AS e
+      FROM events WHERE event_type = 'purchase')"""
+
+
+@register("backfill_gaps", f"""
+WITH {_WINDOWS},
+b AS (SELECT CAST(min(CAST(ts AS DATE)) AS TIMESTAMP) AS lo, CAST(max(CAST(ts AS DATE)) + 1 AS TIMESTAMP) AS hi FROM events),
+k AS (SELECT DISTINCT source, location FROM w),
+p AS (SELECT source, location, s, least(e, hi) AS e FROM w, b
+      UNION ALL SELECT source, location, lo, lo FROM k, b UNION ALL SELECT source, location, hi, hi FROM k, b),
+r AS (SELECT source, location, s, max(e) OVER (PARTITION BY source, location ORDER BY s, e
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM p)
+SELECT source, location, reach AS gap_start, s AS gap_end FROM r WHERE s > reach""")
+def q_backfill_gaps(spark, sf_dir):
+    """Gaps between the finished windows that the checkpoints record, per source and pos location."""
+    e = read(spark, sf_dir, "events", "ts", "user_id", "event_type")
+    n = F.col("user_id") % 3
+    done = e.filter("event_type = 'purchase'").select(
+        F.element_at(F.array(*[F.lit(x) for x in star.AUDIT_SOURCES]), (n + 1).cast("int")).alias("source"),
+        F.when(n == 1, F.concat(F.lit("L"), (F.col("user_id") % 4).cast("string"))).alias("location"),
+        F.col("ts").alias("window_start"), F.expr("timestampadd(MINUTE, cast(user_id % 50 as int), ts)").alias("window_end"))
+    range_ = e.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).select(
+        F.to_date("lo").cast("timestamp_ntz").alias("begin"), F.date_add(F.to_date("hi"), 1).cast("timestamp_ntz").alias("finish"))
+    bounds = done.select("source", "location").distinct().join(range_)  # one row of bounds
+    return U.backfill_gaps(done, bounds)
+
+
+@register("identity_merge", IDENTITY_SQL)
+def q_identity_merge(spark, sf_dir):
+    """I4: the shop's identities first, then the booking system's ids merged in by hash; no id is lost."""
+    shop = Q.customer_identity(L.shop_orders(spark, sf_dir, lines=False), L.bookings(spark, sf_dir).limit(0))
+    guests = Q.customer_identity(L.shop_orders(spark, sf_dir, lines=False).limit(0), L.bookings(spark, sf_dir))
+    return U.merge_identity(shop, guests)

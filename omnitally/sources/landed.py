@@ -68,11 +68,13 @@ BOOKING_DDL = (
     "primary_guest struct<id:string,email:string,phone:string,first_name:string,last_name:string>, "
     "created_at string, updated_at string")
 
+EXPERIENCE_DDL = "id string, name string, category string, status string"
+
 # Fixed value: line items per vendor record page.
 PAGE_SIZE = 100
 
 SCHEMAS = {"shop_order": SHOP_ORDER_DDL, "shop_event": SHOP_EVENT_DDL, "pos_order": POS_ORDER_DDL,
-           "pos_payment": POS_PAYMENT_DDL, "booking": BOOKING_DDL}
+           "pos_payment": POS_PAYMENT_DDL, "booking": BOOKING_DDL, "experience": EXPERIENCE_DDL}
 
 
 def schema(kind: str) -> T.StructType:
@@ -95,6 +97,26 @@ def read_landed(spark: SparkSession, path: str, kind: str, keep_corrupt: bool =
     return r.json(path)
 
 
+def land(records: DataFrame, path: str, cut: Column | None = None) -> None:
+    """Write records as JSON lines; where ``cut`` holds, a copy that ends in the middle lands too."""
+    text = records.select(F.to_json(F.struct(*records.columns)).alias("value"), (F.lit(False) if cut is None else cut).alias("cut"))
+    lines = F.when(F.col("cut"), F.array("value", F.expr("substring(value, 1, length(value) div 2)"))).otherwise(F.array("value"))
+    text.select(F.explode(lines).alias("value")).write.text(path)
+
+
+def scan(spark: SparkSession, path: str, kind: str, quarantine: str) -> DataFrame:
+    """The well-formed records of landed JSON; malformed lines go to ``quarantine``.
+
+    The lines are parsed once: both parts are written from one pass over the files.
+    """
+    parsed = read_landed(spark, path, kind, keep_corrupt=True).withColumn("bad", F.col(CORRUPT).isNotNull())
+    out = f"{quarantine}-split-{kind}"
+    parsed.write.partitionBy("bad").parquet(out)
+    both = spark.read.schema(T.StructType([*parsed.schema.fields])).parquet(out)
+    both.filter("bad").select(F.lit(kind).alias("kind"), F.col(CORRUPT).alias("line")).write.mode("append").parquet(quarantine)
+    return both.filter("not bad").drop("bad", CORRUPT)
+
+
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined raw lines); the rest of the batch continues.
 
@@ -346,6 +368,14 @@ def _experience(col: str, idx: int) -> Column:
     return out
 
 
+def experiences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The experiences that bookings name, each once; those of cancelled bookings are inactive."""
+    e = read(spark, sf_dir, "events", "event_type").distinct()
+    return e.select(F.concat(F.lit("exp_"), F.col("event_type")).alias("id"), _experience("event_type", 0).alias("name"),
+                    _experience("event_type", 1).alias("category"),
+                    F.when(F.col("event_type") == "error", F.lit("inactive")).otherwise(F.lit("active")).alias("status"))
+
+
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One booking per event row."""
     e = read(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")

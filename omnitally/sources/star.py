@@ -43,6 +43,9 @@ EXPERIENCES = {
     "error": ("Private Event", "private"),
 }
 
+# The channels and their names.
+CHANNELS = {"1": "URGENT", "2": "HIGH", "3": "MEDIUM", "4": "NOT SPECIFIED", "5": "LOW"}
+
 CELL = ["date", "channel_id", "location_id"]
 
 
@@ -124,6 +127,11 @@ def dim_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.expr("substring(o_orderpriority, 3)").alias("name")).distinct()
 
 
+def static_channels(spark: SparkSession) -> DataFrame:
+    """The channel list itself, for lookups and checks that must not depend on the facts."""
+    return spark.createDataFrame(list(CHANNELS.items()), "id string, name string")
+
+
 def dim_location(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
     if dense:
         r = read(spark, sf_dir, "region", "r_regionkey", "r_name")

@@ -2,16 +2,16 @@
 
 Shuffle plan (see README "Scale notes"):
 
-1. lines -> partial ``groupBy(order_id)`` (map-side combine) for line count and units.
-2. orders (slim) LEFT JOIN that per-order result on the order key.
-3. orders JOIN lines for the rankings; one aggregate at (cell, sku, title, category) feeds
-   both the item and the category ranking, and AQE reuses its exchange at runtime
-   (ReusedExchange in the final plan), so lines are joined and shuffled once for both.
-4. Distinct customers are pre-aggregated per (cell, customer) instead of a
-   ``countDistinct`` next to other aggregates (which would Expand every row).
-5. ``row_number() <= k`` compiles to a partial WindowGroupLimit before the shuffle, so a
+1. orders JOIN lines once; one aggregate at (cell, sku, title, category) with quantity,
+   revenue and number of lines feeds the item ranking, the category ranking and the cells'
+   line totals. AQE reuses its exchange at runtime (ReusedExchange in the final plan), so
+   lines are scanned, joined and shuffled once for all three.
+2. Sales, transactions and customers per cell come from the orders alone. Distinct customers are
+   pre-aggregated per (cell, customer) instead of a ``countDistinct`` next to other
+   aggregates (which would Expand every row).
+3. ``row_number() <= k`` compiles to a partial WindowGroupLimit before the shuffle, so a
    hot cell ships at most k rows per map task.
-6. Cell aggregates and the ranked rows are combined with one union + groupBy on the cell
+4. Cell aggregates and the ranked rows are combined with one union + groupBy on the cell
    key (null-safe by construction, hash-based collect_list), one shuffle of per-cell rows.
 """
 
@@ -83,7 +83,19 @@ def item_category_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
     j = lines.join(o, lines.order_id == o.id, "inner")
     return j.groupBy(*CELL, "sku", "product_title",
                      F.coalesce("category", F.lit(UNCATEGORIZED)).alias("category")).agg(
-        F.sum("qty").alias("qty"), F.sum("line_total").alias("revenue"))
+        F.sum("qty").alias("qty"), F.sum("line_total").alias("revenue"), F.count(F.lit(1)).alias("lines"))
+
+
+def order_totals(orders: DataFrame) -> DataFrame:
+    """A2 without the lines: sales, transactions and distinct customers of every cell."""
+    per_cust = slim_orders(orders).groupBy(*CELL, "customer_hash").agg(F.sum("net_total").alias("s"), F.count(F.lit(1)).alias("n"))
+    return per_cust.groupBy(*CELL).agg(F.sum("s").cast(MONEY_SUM).alias("sales"), F.sum("n").cast("bigint").alias("txns"),
+                                       F.count("customer_hash").cast("bigint").alias("unique_customers"))
+
+
+def line_totals(ict: DataFrame) -> DataFrame:
+    """A1 + A3 per cell from the shared aggregate: number of lines and units."""
+    return ict.groupBy(*CELL).agg(F.sum("lines").cast("bigint").alias("total_line_items"), F.sum("qty").cast("bigint").alias("units"))
 
 
 def rank_items(ict: DataFrame, k: int = TOP_ITEMS) -> DataFrame:
@@ -109,23 +121,23 @@ def rank_categories(ict: DataFrame, k: int = TOP_CATEGORIES) -> DataFrame:
         .filter(F.col("category_rank") <= k)
 
 
-def kpi_from_parts(cells: DataFrame, items: DataFrame, cats: DataFrame) -> DataFrame:
+def kpi_from_parts(cells: DataFrame, totals: DataFrame, items: DataFrame, cats: DataFrame) -> DataFrame:
     """Assemble the KPI row per cell (left-join semantics from the cell aggregates).
 
-    Cell aggregates, ranked items (<= 10 per cell) and ranked categories (<= 5 per cell)
+    Cell aggregates, line totals, ranked items (<= 10 per cell) and ranked categories (<= 5 per cell)
     are unioned and grouped once by the cell key: one shuffle of per-cell rows, null-safe
     on location, hash-based (collect_list), and the arrays are ordered by rank.
     """
     item = F.struct(F.col("item_rank").alias("r"), "sku", "product_title", "qty", "revenue")
     cat = F.struct(F.col("category_rank").alias("r"), "category", "revenue", "units")
-    u = cells.withColumn("_base", F.lit(True)) \
+    u = cells.withColumn("_base", F.lit(True)).unionByName(totals, allowMissingColumns=True) \
         .unionByName(items.select(*CELL, item.alias("_item")), allowMissingColumns=True) \
         .unionByName(cats.select(*CELL, cat.alias("_cat")), allowMissingColumns=True)
     g = u.groupBy(*CELL).agg(
         F.max("_base").alias("_base"),
         F.max("sales").alias("sales"), F.max("txns").alias("txns"),
         F.max("unique_customers").alias("unique_customers"),
-        F.max("total_line_items").alias("total_line_items"), F.max("units").alias("units"),
+        F.coalesce(F.max("total_line_items"), F.lit(0)).alias("total_line_items"), F.max("units").alias("units"),
         F.collect_list("_item").alias("_items"), F.collect_list("_cat").alias("_cats"))
     top_items = F.transform(F.array_sort("_items"), lambda x: F.struct(
         x["sku"].alias("sku"), x["product_title"].alias("product_title"), x["qty"].alias("qty"),
@@ -146,9 +158,8 @@ def kpi_from_parts(cells: DataFrame, items: DataFrame, cats: DataFrame) -> DataF
 
 def build_kpi_daily(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """The daily KPI table from fact_order and fact_order_line."""
-    cells = daily_aggregates(order_line_counts(orders, lines))
     ict = item_category_totals(orders, lines)
-    return kpi_from_parts(cells, rank_items(ict), rank_categories(ict))
+    return kpi_from_parts(order_totals(orders), line_totals(ict), rank_items(ict), rank_categories(ict))
 
 
 def kpi_text(kpi: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from omnitally.sources import star
 
 QUERIES = E.queries()
 SIDE_EFFECTS = {"kpi_refresh", "stream_ingest", "stream_upsert_orders", "stream_dedupe", "stream_daily_totals",
-                "stream_daily_visitors", "stream_counts_by_topic"}
+                "stream_daily_visitors", "stream_counts_by_topic", "quarantined_lines"}
 
 
 def nodes(p, name):

@@ -13,9 +13,10 @@ Output segments carry a loss flag: the text of assistant turns is under the loss
 
 Defined cases: null texts and roles count as empty; a parent that is missing from its tree
 makes its child a root; nodes on a cycle have no root and no path, and are left out; equal
-scores rank by length, then by the smaller leaf; a null tree id is a tree of its own;
-nodes must be unique in a tree; empty tables give empty results; other columns are not
-read.
+scores rank by length, then by the smaller leaf; a null tree id is a tree of its own; of
+rows with the same tree and node the one of the greatest score, parent, role and text
+stays (nulls are least); a row without a node id is no node; a null score counts as 0;
+empty tables give empty results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -50,14 +51,25 @@ def escape_role(role: Column) -> Column:
     return F.replace(escape(role), F.lit("\n"), F.lit("\\n"))
 
 
+def _same_tree(a: str, b: str) -> Column:
+    return F.col(a).eqNullSafe(F.col(b))
+
+
+def unique_nodes(nodes: DataFrame) -> DataFrame:
+    """One row per (tree, node), as the module's defined cases say."""
+    rest = [c for c in ("score", "parent", "role", "text") if c in nodes.columns]
+    one = nodes.where("node IS NOT NULL").groupBy("tree", "node").agg(F.max(F.struct(*rest)).alias("v"))
+    return one.select("tree", "node", *[F.col("v")[c].alias(c) for c in rest])
+
+
 def _climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Pointer tables (tree, node, up) by doubling distance; and the table of finished paths.
 
     ``nodes`` has tree, node, parent, score; the result has tree, node, hops, total.
     """
     known = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"))
-    state = nodes.join(known, (F.col("tree") == F.col("t")) & (F.col("parent") == F.col("n")), "left").select(
-        "tree", "node", F.col("n").alias("up"), F.col("score").cast("double").alias("total"),
+    state = nodes.join(known, _same_tree("tree", "t") & (F.col("parent") == F.col("n")), "left").select(
+        "tree", "node", F.col("n").alias("up"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("total"),
         F.lit(1).cast("long").alias("hops"))
     state = materialize(state, "climb")
     count, jumps = state.count(), []
@@ -66,7 +78,7 @@ def _climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         above = state.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("next"),
                              F.col("total").alias("more"), F.col("hops").alias("further"))
         # Finished rows stand aside, so a round joins only the nodes still on their way.
-        joined = state.where("up IS NOT NULL").join(above, (F.col("tree") == F.col("t")) & (F.col("up") == F.col("n")), "left")
+        joined = state.where("up IS NOT NULL").join(above, _same_tree("tree", "t") & (F.col("up") == F.col("n")), "left")
         state = materialize(joined.select(
             "tree", "node", F.col("next").alias("up"),
             (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
@@ -74,27 +86,33 @@ def _climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     return jumps, state.where("up IS NULL").drop("up")
 
 
-def paths(nodes: DataFrame, top: int = 1) -> DataFrame:
-    """tree, rank, score, node, place: the nodes of the best ``top`` branches of each tree."""
+def paths(nodes: DataFrame, top: int = 1, unique: bool = False) -> DataFrame:
+    """tree, rank, score, node, place: the nodes of the best ``top`` branches of each tree.
+
+    ``unique`` says that no (tree, node) occurs twice, which saves the grouping.
+    """
+    nodes = nodes if unique else materialize(unique_nodes(nodes), "chat-nodes")
     jumps, climbed = _climb(nodes)
-    parents = nodes.select("tree", F.col("parent").alias("node")).where("node IS NOT NULL").distinct()
-    leaves = climbed.join(parents, ["tree", "node"], "left_anti").withColumn("score", F.col("total") / F.col("hops"))
+    parents = nodes.select(F.col("tree").alias("t"), F.col("parent").alias("p")).where("p IS NOT NULL").distinct()
+    leaves = climbed.join(parents, _same_tree("tree", "t") & (F.col("node") == F.col("p")), "left_anti").withColumn("score", F.col("total") / F.col("hops"))
     order = Window.partitionBy("tree").orderBy(F.col("score").desc(), F.col("hops").desc(), F.col("node"))
     chosen = leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     marked = chosen.select("tree", "rank", "score", "node")
     for jump in reversed(jumps):
         far = jump.select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
-        marked = marked.join(far, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("n")), "left").select(
+        marked = marked.join(far, _same_tree("tree", "t") & (F.col("node") == F.col("n")), "left").select(
             "tree", "rank", "score", F.explode(F.array_compact(F.array("node", "up"))).alias("node"))
-    return marked.join(climbed.select("tree", "node", F.col("hops").alias("place")), ["tree", "node"])
+    places = climbed.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("hops").alias("place"))
+    return marked.join(places, _same_tree("tree", "t") & (F.col("node") == F.col("n"))).drop("t", "n")
 
 
-def format_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
+def format_paths(nodes: DataFrame, top: int = 1, unique: bool = False) -> DataFrame:
     """tree, rank, score, formatted, segments (text, loss) for ``nodes``
-    (tree, node, parent, score, role, text)."""
-    nodes = materialize(nodes, "chat-nodes")
-    found = paths(nodes.select("tree", "node", "parent", "score"), top)
-    turns = found.join(nodes.select("tree", "node", "role", "text"), ["tree", "node"]).select(
+    (tree, node, parent, score, role, text); ``unique`` as in ``paths``."""
+    nodes = materialize(nodes if unique else unique_nodes(nodes), "chat-nodes")
+    found = paths(nodes.select("tree", "node", "parent", "score"), top, unique=True)
+    texts = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"), "role", "text")
+    turns = found.join(texts, _same_tree("tree", "t") & (F.col("node") == F.col("n"))).select(
         "tree", "rank", "score",
         F.struct("place", F.array(
             F.struct(F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n")).alias("text"), F.lit(False).alias("loss")),
@@ -131,7 +149,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
                                   "conv_id long, turn long, role string, text string")
     rows = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(extra)
-    stored = materialize(format_paths(reply_nodes(rows)).select("tree", "formatted", "segments"), "chats")
+    stored = materialize(format_paths(reply_nodes(rows), unique=True).select("tree", "formatted", "segments"), "chats")
     back = stored.select(
         F.expr("try_cast(tree AS BIGINT)").alias("conv_id"), F.length("formatted").cast("long").alias("formatted_chars"),
         read_turns(F.col("formatted")).alias("turns"),

@@ -11,9 +11,10 @@
    ``MIN_WORDS`` words are marked in the later document.
    A run that a document has in common with an earlier one need not be aligned there. While
    a run still has unmarked lines in some document, that document is paired with the run's
-   next holders, a few more in every round, until all its lines are marked or all earlier
-   holders are looked at. So the marks are those of all pairs, and the number of pairs
-   grows with the lines and not with the square of a group of copies.
+   next holders, ``GROWTH`` times as many in every round, until all its lines are marked or
+   all earlier holders are looked at: some log4 of the holders' number. Documents of the same lines in the same order
+   are aligned alike, so only the first of them counts as a holder. So the marks are those
+   of all pairs, and the number of pairs does not grow with the square of a group of copies.
 4. A document loses the lines marked by any of its pairs. The first document with a line
    has no earlier one, so at least one copy of every line stays.
 
@@ -41,7 +42,7 @@ from omnitally.llm.common import documents, materialize
 
 RARE, MIN_WORDS = 4, 50
 #: Further holders of a run that a round looks at: at first, and at most.
-HOLDERS, MOST_HOLDERS = 4, 256
+HOLDERS, GROWTH = 4, 4
 NULL_ID = (1 << 63) - 1
 _LONGS = T.ArrayType(T.LongType())
 _LINES = T.StructType([T.StructField("hashes", _LONGS), T.StructField("words", T.ArrayType(T.IntegerType())),
@@ -277,7 +278,7 @@ def _all_marks(lines: DataFrame, rare: int, least: int) -> DataFrame:
     frequent = runs.select("h", F.col("doc").alias("later")).join(first, "h").select("later", "earlier")
     pairs = materialize(_rare_pairs(lines, rare).union(frequent.where("later > earlier")).distinct(), "line-pairs")
     marked = materialize(_marked(lines, pairs, least), "line-marks")
-    seen, more = first.where("n > 2").select("h", F.col("earlier").alias("seen")), HOLDERS
+    seen, more, holders = first.where("n > 2").select("h", F.col("earlier").alias("seen")), HOLDERS, None
     todo = runs.join(seen, "h").where(F.col("doc") > F.col("seen")).select("doc", "h")
     while True:
         # Runs with unmarked lines, and the run's holders that no round has looked at yet.
@@ -287,20 +288,23 @@ def _all_marks(lines: DataFrame, rare: int, least: int) -> DataFrame:
         todo = materialize(todo.join(unmarked, ["doc", "h"], "left_semi"), "open-runs")
         if todo.isEmpty():
             return _by_document(marked)
+        if holders is None:
+            alike = lines.groupBy(F.xxhash64("hashes")).agg(F.min("doc").alias("doc")).select("doc")
+            holders = materialize(runs.join(alike, "doc", "left_semi"), "run-holders")
         wanted = todo.groupBy("h").agg(F.max("doc").alias("last"))
-        held = runs.join(seen.join(wanted, "h"), "h").where((F.col("doc") > F.col("seen")) & (F.col("doc") < F.col("last")))
+        held = holders.join(seen.join(wanted, "h"), "h").where((F.col("doc") > F.col("seen")) & (F.col("doc") < F.col("last")))
         rank = F.row_number().over(Window.partitionBy("h").orderBy("doc"))
         held = materialize(held.select("h", "doc").withColumn("rank", rank).where(F.col("rank") <= more)
                            .select("h", F.col("doc").alias("earlier")), "next-holders")
         new = (todo.withColumnRenamed("doc", "later").join(held, "h").where("later > earlier").select("later", "earlier")
                .distinct().join(pairs, ["later", "earlier"], "left_anti"))
         new = materialize(new, "line-pairs")
-        pairs = pairs.union(new)
+        pairs = materialize(pairs.union(new), "line-pairs")
         marked = materialize(marked.union(_marked(lines, new, least)).distinct(), "line-marks")
         # A run without a further holder is dropped here, with its rows.
         seen = materialize(held.groupBy("h").agg(F.max("earlier").alias("seen")), "last-holders")
         todo = todo.join(seen, "h").where(F.col("doc") > F.col("seen")).select("doc", "h")
-        more = min(2 * more, MOST_HOLDERS)
+        more *= GROWTH
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rare: int = RARE,

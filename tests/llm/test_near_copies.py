@@ -228,6 +228,28 @@ def test_line_dedup_reordered_passages(spark):
     assert len(got[1]) == 1 and all(got[i] == [0, 2] for i in range(2, 7))
 
 
+def test_line_dedup_with_many_holders(spark, monkeypatch):
+    """A passage that many documents hold once and a late one twice: few rounds, the marks of all pairs."""
+    r = random.Random(11)
+    line = lambda n: " ".join("".join(r.choices("abcdefgh", k=6)) for _ in range(n))
+    passage, rounds = line(55), []
+    rows = [(i, "\n".join([line(4), passage, line(3)])) for i in range(400)]
+    rows += [(1000 + i, rows[7][1]) for i in range(30)]  # copies: one of them stands for all
+    rows += [(2000, "\n".join([passage, line(9), passage])), (2001, "\n".join([passage, line(9), passage]))]
+    whole = L.materialize
+
+    def noted(df, name):
+        rounds.extend([name] if name == "next-holders" else [])
+        return whole(df, name)
+
+    monkeypatch.setattr(L, "materialize", noted)
+    got = {x.doc_id: x.deleted for x in L.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(rounds) <= 6
+    some = [rows[0], rows[7], rows[8], *rows[-4:]]
+    want = plain_dedup(some)
+    assert {k: got[k] for k in want} == want and got[399] == [1]
+
+
 def test_line_dedup_odd_rows(odd_docs, no_docs):
     got = L.deduplicate(odd_docs).collect()
     assert len(got) == odd_docs.count() and L.deduplicate(no_docs).count() == 0

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from omnitally.session import scratch_dir
 from omnitally.sources.tables import read
 
-#: Rows of an Arrow batch, so that a batch of whole texts stays at a few megabytes on both sides.
+#: Rows of an Arrow batch, so that a batch of whole texts stays at a few megabytes on both sides. Long texts are bounded
+#: by bytes: spark.sql.execution.arrow.maxBytesPerBatch, 64 MB unless the session says otherwise.
 BATCH_ROWS = 500
 _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 

@@ -19,10 +19,8 @@ other columns are carried in a struct by ``mixed_rows`` and cannot clash.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from omnitally.llm.common import WORD, documents, materialize, text_of
@@ -33,10 +31,9 @@ SHARE, MOST = 1.5, 2.0
 ROWS_PER_RANGE = 50_000
 
 
-@F.pandas_udf(T.LongType())
-def word_count(texts: pd.Series) -> pd.Series:
-    """Words of each text; bytes.split() parts at the six ASCII white-space bytes."""
-    return pd.Series([len((t or "").encode("utf-8", "surrogatepass").split()) for t in texts], dtype="int64")
+def word_count(text: str | Column) -> Column:
+    """Words of a text; a null text has none."""
+    return F.coalesce(F.regexp_count(F.col(text) if isinstance(text, str) else text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def random_key(doc_id: str, text: str, source: str, seed: str = SEED) -> Column:
@@ -98,15 +95,17 @@ def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
     """The mix itself: each document once for every epoch that takes it, all columns kept.
 
     The one document per source at which the budget ends is cut after its last taken word
-    (the words joined by single spaces). Documents that the mix takes no word of go.
+    (the words joined by single spaces); its other columns, a length like ``n_chars`` too,
+    stay those of the whole document. Documents that the mix takes no word of go.
     """
-    keys = docs.select(F.col(source).alias("source"), word_count(text).alias("size"),
-                       random_key(doc_id, text, source).alias("key"))
+    # The key covers every column, so rows that differ anywhere are apart.
+    whole = F.sha2(F.concat(random_key(doc_id, text, source), F.to_json(F.struct(*[F.col(c) for c in docs.columns]))), 256)
+    keys = docs.select(F.col(source).alias("source"), word_count(text).alias("size"), whole.alias("key"))
     plan = plan_mix(materialize(keys, "mix-rows"), **options)
-    # Rows of one key are equal in source, id and text: one is kept and carries all their shares.
+    # Rows of one key are equal in every column: one is kept and carries all their shares.
     shares = (plan.where("taken > 0").groupBy("key", "taken").agg(F.count("*").alias("rows"), F.first("size").alias("size"))
               .groupBy("key").agg(F.first("size").alias("size"), F.collect_list(F.struct("taken", "rows")).alias("takes")))
-    held = docs.select(F.struct("*").alias("doc"), random_key(doc_id, text, source).alias("key"))
+    held = docs.select(F.struct("*").alias("doc"), whole.alias("key"))
     joined = held.dropDuplicates(["key"]).join(shares, "key")
     each = joined.withColumn("t", F.explode("takes")).withColumn("take", F.col("t.taken"))
     full = F.floor(F.col("take") / F.col("size")).cast("int")

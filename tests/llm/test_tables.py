@@ -70,6 +70,18 @@ def test_paths_of_random_trees(spark):
     assert max(x[1] for x in ranks) == 3
 
 
+def test_odd_nodes(spark):
+    """Null trees, repeated nodes, null scores and null node ids, by the docstring."""
+    nodes = [(None, 1, None, 1.0, "user", "a"), (None, 2, 1, None, "assistant", "b"), ("null", 1, None, 5.0, "user", "n"),
+             ("r", 1, None, 1.0, "user", "x"), ("r", 1, None, 2.0, "user", "y"), ("r", 2, 1, 3.0, "assistant", "z"), ("r", 2, 1, 3.0, "assistant", "z"),
+             ("r", None, 1, 9.0, "user", "gone"), ("s", 1, None, None, "user", "s1"), ("s", 2, 1, None, None, None), ("s", 3, 1, 1.0, "user", "s3")]
+    df = spark.createDataFrame(nodes, "tree string, node long, parent long, score double, role string, text string")
+    got = {r.tree: ([(t.role, t.text) for t in r.turns], r.score) for r in C.format_paths(df).select(
+        "tree", "score", C.read_turns(C.F.col("formatted")).alias("turns")).collect()}
+    assert got == {None: ([("user", "a"), ("assistant", "b")], 0.5), "null": ([("user", "n")], 5.0),
+                   "r": ([("user", "y"), ("assistant", "z")], 2.5), "s": ([("user", "s1"), ("user", "s3")], 0.5)}
+
+
 @pytest.mark.parametrize("text", ["</s>[INST] ok [/INST]", "a\\b\\.\\n\\\\", "<|im_end|>\n<|im_start|>user\nhi", "<<SYS>><</SYS>><s>",
                                   "", None, "line\nline\\", "<", "|<|<||>", "\\.<|im_end|"])
 def test_template_is_reversible(spark, text):
@@ -203,6 +215,16 @@ def test_mix_meets_targets(spark, docs):
     assert words == Counter({s: n for s, n in taken.items() if n})
 
 
+def test_mix_keeps_all_columns_of_repeated_rows(spark):
+    """Rows alike in id, text and source but not in other columns stay apart; runs agree."""
+    rows = [(1, "a b c d", "s", "en", 1), (1, "a b c d", "s", "de", 1), (1, "a b c d", "s", "de", 1), (2, "x y", "s", None, None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n long")
+    first, again = (sorted(map(str, M.mixed_rows(df.repartition(n)).collect())) for n in (1, 5))
+    assert first == again and len({r.lang for r in M.mixed_rows(df).collect()}) == 3
+    counts = spark.createDataFrame([("a  b\tc\n",), ("",), (None,), ("\u00a0 \u2003x",), (" \v\f\r ",)], "t string")
+    assert [r.n for r in counts.select(M.word_count("t").alias("n")).collect()] == [3, 0, 0, 2, 0]
+
+
 def test_mix_odd_rows(odd_docs, no_docs):
     mixed = M.mixed_rows(odd_docs)
     assert mixed.columns == odd_docs.columns and mixed.where("text is null").count() == 0

@@ -3,11 +3,12 @@ scripts and cron jobs.
 
   python -m omnitally refresh-kpi --input DIR --out BASE [--dense]
   python -m omnitally resync-day  --input DIR --out BASE --day YYYY-MM-DD [--dense]
-  python -m omnitally reconcile   --input DIR --out PATH
+  python -m omnitally reconcile   --input DIR --out PATH [--fix]
   python -m omnitally report      --input DIR --out PATH --period weekly --date YYYY-MM-DD
 
 On a cluster the master and ``spark.checkpoint.dir`` come from spark-submit; ``--master``
-is only for local runs. Exit code of ``reconcile``: 0 all match, 1 mismatches, 2 errors.
+is only for local runs. ``reconcile`` loads PATH/facts on its first run and compares the
+sources with it from then on; --fix pulls differing days again. Exit code of ``reconcile``: 0 all match, 1 mismatches, 2 errors.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--day")
     ap.add_argument("--date")
     ap.add_argument("--period", default="weekly", choices=["daily", "weekly", "monthly"])
+    ap.add_argument("--fix", action="store_true", help="reconcile: pull the days that differ again")
     ap.add_argument("--dense", action="store_true", help="use the dense (folded dates) binding")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
@@ -50,10 +52,25 @@ def main(argv: list[str] | None = None) -> int:
         jobs.resync_day(spark, orders, lines, jobs.current_version(spark, a.out), a.day)
         return 0
     if a.job == "reconcile":
-        from omnitally.plans.q_recon import first_run
-        r = first_run(spark, a.input)
+        import uuid
+
+        from omnitally.plans import recon
+        from omnitally.plans.q_recon import sources
+        feeds = {n: read for n, read in sources(spark, a.input).items() if n != "dtc"}
+        facts, run = f"{a.out}/facts", f"{a.out}/runs/{uuid.uuid4().hex[:8]}"
+        if not jobs.has_data(spark, facts):  # the first run loads the warehouse
+            first = None
+            for read in feeds.values():
+                first = read() if first is None else first.unionByName(read())
+            recon.store_facts(first, facts)
+        r = recon.reconcile(spark, feeds, facts, run)
+        if a.fix:
+            ts = spark.range(1).select(now.cast("string")).first()[0]
+            recon.resync(spark, feeds, Q.mismatch_actions(r), facts, f"{a.out}/totals", f"{a.out}/audit", ts,
+                         spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0])
+            r = recon.reconcile(spark, feeds, facts, f"{run}-fixed")
         r.write.mode("overwrite").parquet(f"{a.out}/results")
-        s = Q.reconcile_summary(spark.read.parquet(f"{a.out}/results")).first()
+        s = Q.reconcile_summary(r).first()
         print(f"match={s.matches} mismatch={s.mismatches} error={s.errors}")
         return int(s.exit_level)
     if a.job == "report":

@@ -304,6 +304,11 @@ def test_cli_jobs(spark, sf_small):
     base = jobs.new_table_dir(spark, "cli")
     assert main(["refresh-kpi", "--input", sf_small, "--out", f"{base}/kpi", "--dense"]) == 0
     assert main(["resync-day", "--input", sf_small, "--out", f"{base}/kpi", "--dense", "--day", "2001-06-15"]) == 0
-    assert main(["reconcile", "--input", sf_small, "--out", f"{base}/recon"]) == 0
+    recon = ["reconcile", "--input", sf_small, "--out", f"{base}/recon"]
+    assert main(recon) == 0
+    # A day that the warehouse lost is found by the next run and pulled again by --fix.
+    facts = spark.read.parquet(f"{base}/recon/facts").filter("not (source = 'shop' and date = '2001-06-15')").checkpoint()
+    jobs.write_partitioned(facts, f"{base}/recon/facts", "month", dynamic=False)
+    assert main(recon) == 1 and main([*recon, "--fix"]) == 0 and main(recon) == 0
     assert main(["report", "--input", sf_small, "--out", base, "--dense", "--date", "2001-06-15"]) == 0
     assert spark.read.json(f"{base}/report/trends").count() == 7

@@ -100,9 +100,9 @@ SELECT 'booking_bk_' || CAST(event_id AS VARCHAR) AS id, {_EXP_TYPE} AS event_ty
 FROM events"""
 
 
-def _pos(spark, sf_dir):
+def _pos(spark, sf_dir, location=True):
     payments = L.pos_payments(spark, sf_dir, location=False)
-    return L.pos_orders(spark, sf_dir, lines=False), payments, N.payments_per_order(payments)
+    return L.pos_orders(spark, sf_dir, lines=False, location=location), payments, N.payments_per_order(payments)
 
 
 def landed(spark, sf_dir, kind, quarantine=None):
@@ -296,7 +296,7 @@ SELECT p.id AS order_id, CAST(COALESCE(po.n_payments, 0) AS BIGINT) AS n_payment
 FROM pos_o p LEFT JOIN per_order po ON p.id = po.order_id""")
 def q_payments_to_orders(spark, sf_dir):
     """A9 + J5: payments grouped per order, then looked up; orders without payments kept."""
-    o, _, per = _pos(spark, sf_dir)
+    o, _, per = _pos(spark, sf_dir, location=False)
     o = N.first_page(o)
     j = o.select("id").join(per, o.id == per.order_id, "left")
     return j.select(F.col("id").alias("order_id"), F.coalesce("n_payments", F.lit(0)).cast("bigint").alias("n_payments"),
@@ -361,7 +361,7 @@ SELECT id AS order_id, CAST(gross_total - net_total AS DECIMAL(14,2)) AS implied
 FROM n WHERE abs((gross_total - net_total) - fees_total) > 0.01""")
 def q_fee_discrepancy(spark, sf_dir):
     """orders whose (gross - net) differs from the recorded processing fees by > 0.01."""
-    o, _, per = _pos(spark, sf_dir)
+    o, _, per = _pos(spark, sf_dir, location=False)
     return Q.fee_discrepancy(N.pos_orders(o, per))
 
 

@@ -69,7 +69,7 @@ def sources(spark, sf_dir):
         return rows(o, "shop", F.to_date("created_at"), F.col("net_total"))
 
     def pos():
-        o, _, per = _pos(spark, sf_dir)
+        o, _, per = _pos(spark, sf_dir, location=False)
         return rows(N.pos_orders(o, per), "pos", F.to_date("created_at"), F.col("net_total"))
 
     def booking():

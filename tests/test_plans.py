@@ -59,6 +59,26 @@ def test_scans_are_pruned(spark, sf_small):
     assert "SortAggregate" not in p
 
 
+def test_header_queries_read_no_lines(spark, sf_small):
+    for name in ["norm_shop_orders", "norm_shop_tenders", "shop_total_refunded", "customer_identity"]:
+        schemas = [ln for ln in plan(QUERIES[name](spark, sf_small)).splitlines() if ln.startswith("ReadSchema")]
+        assert schemas and not any("l_orderkey" in s for s in schemas), name
+    # Payments are lines here: one scan of them, none of their orders' customers.
+    for name in ["payments_to_orders", "apply_payments", "recon_pos_net"]:
+        p = plan(QUERIES[name](spark, sf_small))
+        schemas = [ln for ln in p.splitlines() if ln.startswith("ReadSchema")]
+        assert sum("l_orderkey" in s for s in schemas) == 1 and not any("c_custkey" in s for s in schemas), name
+    assert not any("c_nationkey" in ln for ln in plan(QUERIES["norm_pos_tenders"](spark, sf_small)).splitlines())
+
+
+def test_kpi_scans_lines_once_at_runtime(spark, sf_small):
+    df = K.build_kpi_daily(star.fact_order(spark, sf_small), star.fact_order_line(spark, sf_small))
+    df.collect()
+    final = plan(df, "simple").split("== Initial Plan ==")[0]
+    scans = [ln for ln in final.splitlines() if "FileScan parquet" in ln and "l_orderkey" in ln]
+    assert len(scans) == 1 or final.count("ReusedExchange") >= 2
+
+
 def test_latest_per_key_is_an_aggregate_not_a_window(spark, sf_small):
     for name in ["audit_latest", "latest_checkpoint", "recon_pos_net", "upsert_orders"]:
         p = plan(QUERIES[name](spark, sf_small))

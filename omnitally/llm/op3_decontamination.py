@@ -12,10 +12,12 @@
    fingerprints is checked, and the weighted Jaccard similarity of the shingles themselves
    (sum of minima over sum of maxima of their counts) must be at least 0.8.
 
-The items are worked off in blocks of at most ``BLOCK_WORDS`` words, so that what a block
-sends to the executors has a fixed bound however large the benchmark is. A task looks the
-windows of a document up where it reads it: neither windows nor candidates leave it, only
-the best window of each item found.
+The items are worked off in blocks of about ``BLOCK_WORDS`` words (a longer item is a block of
+its own), so that what a block sends to the executors has a fixed bound however large the
+benchmark is. Tasks build the blocks' indexes and write them to the shared folder; the driver
+builds none and hands on one block's bytes at a time. A task looks the windows of a document
+up where it reads it: neither windows nor candidates leave it, only the best window of each
+item found.
 
 Defined cases: null or empty texts have no windows; an item without words matches nothing;
 an item of fewer than five words is one shingle; a document shorter than an item is one
@@ -26,8 +28,10 @@ read, and ``decontaminate`` keeps them in a struct.
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from omnitally.llm.common import documents, materialize
+from omnitally.llm.common import WORD, documents, materialize, parts_for
 from omnitally.sources.tables import read
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -195,39 +199,62 @@ def index_rows(items: Items, radius: int) -> list[tuple[int, int, int, int]]:
     return rows
 
 
-def _search(docs: DataFrame, items: Items, least: float) -> DataFrame:
+@lru_cache(maxsize=1)
+def _loaded(block: bytes) -> Items:
+    """The block that a worker searches, loaded once for all its tasks."""
+    return pickle.loads(block)
+
+
+def _search(docs: DataFrame, block: bytes, least: float) -> DataFrame:
     """The best window of each item found in each row of ``docs`` (columns key and text)."""
-    sent = docs.sparkSession.sparkContext.broadcast(items)
+    sent = docs.sparkSession.sparkContext.broadcast(block)
     schema = T.StructType([docs.schema["key"], T.StructField("item_id", T.LongType()),
                            T.StructField("similarity", T.DoubleType()), T.StructField("near", T.IntegerType()),
                            T.StructField("first", T.IntegerType())])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = _loaded(sent.value)
         types = [None, pa.int64(), pa.float64(), pa.int32(), pa.int32()]
         for batch in batches:
             types[0] = batch.schema.field(0).type
             rows = [(key.as_py(), item, *best) for key, text in zip(batch.column(0), batch.column(1))
-                    for item, best in sent.value.best(text.as_py(), least).items()]
+                    for item, best in items.best(text.as_py(), least).items()]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], schema.names)
 
     return docs.select("key", "text").mapInArrow(search, schema)
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, radius: int = RADIUS) -> Iterator[Items]:
-    """The items, a bounded block at a time."""
-    held, size = [], 0
-    rows = benchmark.select(F.col(item_id).cast("long"), F.col(text))
-    for item, t in rows.toLocalIterator():
-        words = words_of(t)
-        if words:
-            held.append((item, words))
-            size += len(words) + 400
-        if size > BLOCK_WORDS:
-            yield Items(held, radius)
-            held, size = [], 0
-    if held:
-        yield Items(held, radius)
+def item_blocks(benchmark: DataFrame, item_id: str, text: str, radius: int = RADIUS,
+                block_words: int | None = None) -> DataFrame:
+    """The items' indexes (column block, pickled ``Items``), built in tasks and written to the shared folder.
+
+    Items are dealt over as many tasks as they fill blocks; a task closes a block as soon as
+    it holds ``block_words`` words, an item counting 400 more for its place in the index.
+    """
+    most = block_words or BLOCK_WORDS
+    rows = benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(text).alias("text"))
+    size = rows.agg(F.sum(F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)) + 400)).first()[0] or 0
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def block(held: list[tuple[int, list[bytes]]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Items(held, radius))], pa.binary())], ["block"])
+
+        held, size = [], 0
+        for batch in batches:
+            for item, t in zip(batch.column(0), batch.column(1)):
+                words = words_of(t.as_py())
+                if words:
+                    held.append((item.as_py(), words))
+                    size += len(words) + 400
+                if size > most:
+                    yield block(held)
+                    held, size = [], 0
+        if held:
+            yield block(held)
+
+    dealt = rows.repartition(parts_for(size, most, 1))
+    return materialize(dealt.mapInArrow(build, "block binary"), "item-blocks")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
@@ -235,7 +262,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item
                  least: float = SIMILARITY) -> DataFrame:
     """key, item_id, similarity, hamming, start_word: the best window of each pair found."""
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    parts = [_search(docs, items, least) for items in item_blocks(benchmark, item_id, item_text, radius)]
+    blocks = item_blocks(benchmark, item_id, item_text, radius).toLocalIterator()
+    parts = [_search(docs, bytes(row.block), least) for row in blocks]
     if not parts:
         return docs.select("key", F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("similarity"),
                            F.lit(0).alias("hamming"), F.lit(0).alias("start_word")).where(F.lit(False))

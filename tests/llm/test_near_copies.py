@@ -1,5 +1,6 @@
 """SimHash and BK-trees, decontamination and line dedup against brute force."""
 
+import pickle
 import random
 import re
 from collections import Counter
@@ -149,6 +150,24 @@ def test_decontamination_on_documents(spark, docs, sf_small):
     assert all(r.similarity >= 0.8 and r.hamming <= D.RADIUS for r in got)
 
 
+def test_item_blocks_are_built_in_tasks(spark, docs, sf_small, monkeypatch):
+    bench = spark.read.parquet(f"{sf_small}/benchmark.parquet")
+    rows = [(r.item_id, D.words_of(r.text)) for r in bench.collect()]
+    size = {i: len(w) + 400 for i, w in rows if w}
+    whole = {(r.key, r.item_id): tuple(r) for r in D.contaminated(docs, bench).collect()}
+    most = sum(size.values()) // 3
+
+    def on_driver(*_):
+        raise AssertionError("an index was built on the driver")
+    monkeypatch.setattr(D, "index_rows", on_driver)
+    blocks = [pickle.loads(r.block) for r in D.item_blocks(bench, "item_id", "text", block_words=most).collect()]
+    held = [[p[0] for p in b.prints] for b in blocks]
+    assert len(blocks) > 1 and sorted(i for h in held for i in h) == sorted(size)
+    assert all(sum(size[i] for i in h[:-1]) <= most for h in held)
+    monkeypatch.setattr(D, "BLOCK_WORDS", most)
+    assert {(r.key, r.item_id): tuple(r) for r in D.contaminated(docs, bench).collect()} == whole and whole
+
+
 def test_decontamination_odd_rows(spark, odd_docs, no_docs, monkeypatch):
     words = "one two three four five six seven eight nine ten eleven twelve".split()
     items = spark.createDataFrame([(1, " ".join(words)), (2, None), (3, ""), (4, "just three words"), (1, " ".join(words)),

@@ -34,11 +34,16 @@ def upsert(current: DataFrame, batch: DataFrame, key: str | list[str],
     return latest_version(current.unionByName(batch, allowMissingColumns=True), key, list(order_cols))
 
 
-def replace_children(current: DataFrame, batch: DataFrame, parent_key: str = "order_id") -> DataFrame:
-    """Delete all children of every parent present in the batch, insert the batch's.
-    A left anti join against the batch's parent keys (never a driver-side id list)."""
-    parents = batch.select(parent_key).distinct()
-    return current.join(parents, parent_key, "left_anti").unionByName(batch)
+def replace_children(current: DataFrame, batch: DataFrame, parent_key: str = "order_id",
+                     parents: DataFrame | None = None) -> DataFrame:
+    """Delete all children of every parent of the batch, insert the batch's.
+
+    A left anti join against the parents' keys (never a driver-side id list). ``parents``, the headers
+    of the batch, spare a pass over its children and cover a parent whose children are all gone;
+    without them the parents are those that the batch's children name.
+    """
+    keys = (batch if parents is None else parents).select(parent_key)
+    return current.join(keys.distinct() if parents is None else keys, parent_key, "left_anti").unionByName(batch)
 
 
 def cascade_delete(children: DataFrame, deleted_parents: DataFrame, parent_key: str = "order_id",

@@ -239,6 +239,38 @@ def write_report(sections: dict[str, DataFrame], path: str, fmt: str = "json") -
     return out
 
 
+def _load(spark: SparkSession, batch: DataFrame, target: str, key: str, partition_col: str, order_cols: tuple[str, ...]) -> None:
+    if has_data(spark, target):
+        upsert_partitions(spark, target, batch, key, partition_col, list(order_cols))
+    else:
+        write_partitioned(batch, target, partition_col, dynamic=False)
+
+
+def _checkpoint_rows(windows: DataFrame, ran_at: str) -> DataFrame:
+    """One ``backfill_checkpoint`` audit row per window (source, location if any, window_start, window_end)."""
+    location = F.col("location") if "location" in windows.columns else F.lit(None).cast("string")
+    start, end = F.col("window_start").cast("string"), F.col("window_end").cast("string")
+    return windows.select(
+        F.sha2(F.concat_ws("|", "source", location, start, F.lit(ran_at)), 256).alias("id"),
+        "source", F.lit("backfill_checkpoint").alias("type"), F.lit("success").alias("status"),
+        F.lit(ran_at).cast("timestamp_ntz").alias("ts"),
+        F.to_json(F.struct(location.alias("location"), start.alias("start"), end.alias("end"))).alias("payload"),
+        F.lit(None).cast("string").alias("error"))
+
+
+def finished_windows(audit: DataFrame) -> DataFrame:
+    """The half-open windows (source, location, window_start, window_end) that the checkpoints record.
+
+    An end given as a date is the last day loaded, so its window ends with the next day.
+    """
+    done = audit.filter((F.col("type") == "backfill_checkpoint") & (F.col("status") == "success")) \
+        .select("source", F.from_json("payload", "location string, start string, end string").alias("w"))
+    end = F.to_timestamp_ntz("w.end")
+    return done.select("source", "w.location", F.to_timestamp_ntz("w.start").alias("window_start"),
+                       F.when(F.length("w.end") == 10, F.timestamp_add("DAY", F.lit(1), end)).otherwise(end).alias("window_end")) \
+        .filter("window_start < window_end")
+
+
 def backfill(spark: SparkSession, batch: DataFrame, target: str, windows: DataFrame, audit_path: str,
              ran_at: str, key: str = "id", partition_col: str = "created_date",
              order_cols: tuple[str, ...] = ("updated_at",)) -> None:
@@ -247,21 +279,39 @@ def backfill(spark: SparkSession, batch: DataFrame, target: str, windows: DataFr
     ``batch`` holds the normalised rows of every window (one filter on the source, not a
     driver loop per window); they are upserted into the touched partitions, then one
     ``backfill_checkpoint`` audit row per window is appended (``windows``: source,
-    window_start, window_end). Re-running is idempotent for the data; the newest checkpoint
-    per source (``audit.latest_per_key``) tells where to resume.
+    window_start, window_end, and a location if the source is loaded by location). Re-running
+    is idempotent for the data; ``resume_backfill`` loads what the checkpoints leave out.
     """
-    if has_data(spark, target):
-        upsert_partitions(spark, target, batch, key, partition_col, list(order_cols))
+    _load(spark, batch, target, key, partition_col, order_cols)
+    _checkpoint_rows(windows, ran_at).write.mode("append").parquet(audit_path)
+
+
+def resume_backfill(spark: SparkSession, rows: DataFrame, target: str, bounds: DataFrame, audit_path: str, ran_at: str,
+                    time_col: str = "created_at", key: str = "id", partition_col: str = "created_date",
+                    order_cols: tuple[str, ...] = ("updated_at",)) -> DataFrame:
+    """Load only the gaps that the checkpoints leave in ``bounds``, and record them.
+
+    ``rows`` (with source, location and ``time_col``) are the sources; ``bounds`` (source, location, begin,
+    finish) is the range wanted. The gaps, a few rows per location, are fixed before anything is
+    written; rows inside them are found by a semi join. Data is written before the checkpoints, so
+    a job that ends in between loads the same gaps again, to the same result. Returns the gaps; without any,
+    nothing is read or written.
+    """
+    ensure_checkpoint_dir(spark)
+    if has_data(spark, audit_path):
+        done = finished_windows(spark.read.parquet(audit_path))
     else:
-        write_partitioned(batch, target, partition_col, dynamic=False)
-    rows = windows.select(
-        F.sha2(F.concat_ws("|", "source", F.col("window_start").cast("string"), F.lit(ran_at)), 256).alias("id"),
-        "source", F.lit("backfill_checkpoint").alias("type"), F.lit("success").alias("status"),
-        F.lit(ran_at).cast("timestamp_ntz").alias("ts"),
-        F.to_json(F.struct(F.col("window_start").cast("string").alias("start"),
-                           F.col("window_end").cast("string").alias("end"))).alias("payload"),
-        F.lit(None).cast("string").alias("error"))
-    rows.write.mode("append").parquet(audit_path)
+        done = bounds.select("source", "location", F.col("begin").alias("window_start"), F.col("begin").alias("window_end")).limit(0)
+    gaps = U.backfill_gaps(done, bounds).checkpoint(eager=True)
+    if gaps.isEmpty():
+        return gaps
+    g = gaps.select(F.col("source").alias("_source"), F.col("location").alias("_location"), "gap_start", "gap_end")
+    batch = rows.join(g, F.col("source").eqNullSafe(F.col("_source")) & F.col("location").eqNullSafe(F.col("_location"))
+                      & (F.col(time_col) >= F.col("gap_start")) & (F.col(time_col) < F.col("gap_end")), "left_semi")
+    _load(spark, batch, target, key, partition_col, order_cols)
+    _checkpoint_rows(gaps.withColumnsRenamed({"gap_start": "window_start", "gap_end": "window_end"}), ran_at) \
+        .write.mode("append").parquet(audit_path)
+    return gaps
 
 
 def write_star_bucketed(spark: SparkSession, orders: DataFrame, lines: DataFrame, database: str,

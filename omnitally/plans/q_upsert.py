@@ -61,7 +61,7 @@ def q_replace_lines(spark, sf_dir):
     p = star.fact_order(spark, sf_dir, location=False).filter(F.col("status") == "P").select(F.col("id").alias("order_id"))
     batch = lines.join(p, "order_id", "left_semi").select(
         F.concat("id", F.lit("-v2")).alias("id"), "order_id", (F.col("qty") + 1).alias("qty"))
-    return U.replace_children(lines, batch)
+    return U.replace_children(lines, batch, parents=p)
 
 
 @register("upsert_events", S.with_(S.FACT_EVENT) + f"""
@@ -167,6 +167,32 @@ def q_backfill_gaps(spark, sf_dir):
     return U.backfill_gaps(done, bounds)
 
 
+@register("backfill_resume", S.with_(S.fact_order()) + """
+SELECT id, channel_id AS source, location_id AS location,
+       CASE WHEN location_id IS NOT NULL AND quarter(created_at) IN (1, 3) THEN 1 ELSE 2 END AS run
+FROM fact_order""")
+def q_backfill_resume(spark, sf_dir):
+    """A load by channel and location that ended after two quarters of each year and before the
+    orders without a location; the second run loads the gaps alone, the third finds none."""
+    base = jobs.new_table_dir(spark, "backfill_resume")
+    orders = star.fact_order(spark, sf_dir).select("id", F.col("channel_id").alias("source"), F.col("location_id").alias("location"),
+                                                   "created_at", F.trunc("created_at", "month").alias("created_month"))
+    ends = orders.groupBy("source", "location").agg(F.min("created_at").alias("lo"), F.max("created_at").alias("hi"))
+    bounds = ends.select("source", "location", F.trunc("lo", "quarter").cast("timestamp_ntz").alias("begin"),
+                         F.date_add(F.to_date("hi"), 1).cast("timestamp_ntz").alias("finish"))
+    quarters = F.sequence(F.col("begin").cast("date"), F.col("finish").cast("date"), F.expr("interval 3 months"))
+    windows = bounds.filter("location IS NOT NULL").select("source", "location", F.explode(quarters).alias("q")) \
+        .filter(F.quarter("q").isin(1, 3)).select("source", "location", F.col("q").cast("timestamp_ntz").alias("window_start"),
+                                                  F.add_months("q", 3).cast("timestamp_ntz").alias("window_end"))
+    first = orders.filter(F.col("location").isNotNull() & F.quarter("created_at").isin(1, 3))
+    jobs.backfill(spark, first.withColumn("run", F.lit(1)), f"{base}/orders", windows, f"{base}/audit", "2024-01-01 00:00:00",
+                  partition_col="created_month", order_cols=("run",))
+    for run in (2, 3):
+        jobs.resume_backfill(spark, orders.withColumn("run", F.lit(run)), f"{base}/orders", bounds, f"{base}/audit",
+                             f"2024-01-0{run} 00:00:00", partition_col="created_month", order_cols=("run",))
+    return spark.read.parquet(f"{base}/orders").select("id", "source", "location", "run")
+
+
 @register("identity_merge", IDENTITY_SQL)
 def q_identity_merge(spark, sf_dir):
     """I4: the shop's identities first, then the booking system's ids merged in by hash; no id is lost."""

@@ -143,6 +143,8 @@ def test_replace_children_and_cascade(spark):
     lines = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2)], "id string, order_id int")
     batch = spark.createDataFrame([("a2", 1)], "id string, order_id int")
     assert sorted(r.id for r in U.replace_children(lines, batch).collect()) == ["a2", "c"]
+    headers = spark.createDataFrame([(1,), (2,)], "order_id int")  # order 2 comes without lines
+    assert [r.id for r in U.replace_children(lines, batch, parents=headers).collect()] == ["a2"]
     deleted = spark.createDataFrame([(2,)], "id int")
     assert sorted(r.id for r in U.cascade_delete(lines, deleted).collect()) == ["a", "b"]
 

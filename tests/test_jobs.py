@@ -299,6 +299,42 @@ def test_backfill_is_idempotent_and_checkpointed(spark, sf_small):
     assert latest.ts == dt.datetime(2024, 1, 2)
 
 
+def test_backfill_resumes_at_its_gaps(spark):
+    base = jobs.new_table_dir(spark, "resume")
+    t = lambda d: dt.datetime(2024, 1, d)
+    rows = spark.createDataFrame([(10 * k + d, *at, t(d), dt.date(2024, 1, 1)) for k, at in enumerate([("pos", "L1"), ("pos", None), ("shop", None)])
+                                  for d in range(1, 10)], "id int, source string, location string, created_at timestamp_ntz, created_date date")
+    bounds = spark.createDataFrame([("pos", "L1", t(1), t(9)), ("pos", None, t(1), t(9)), ("shop", None, t(1), t(9))],
+                                   "source string, location string, begin timestamp_ntz, finish timestamp_ntz")
+    done = spark.createDataFrame([("pos", "L1", t(1), t(4)), ("pos", "L1", t(3), t(5)), ("pos", "L1", t(7), t(8))],
+                                 "source string, location string, window_start timestamp_ntz, window_end timestamp_ntz")
+    days = spark.createDataFrame([("shop", dt.date(2024, 1, 2), dt.date(2024, 1, 6))], "source string, window_start date, window_end date")
+
+    def run(n, wanted=bounds):
+        gaps = jobs.resume_backfill(spark, rows.withColumn("updated_at", F.lit(n)), f"{base}/orders", wanted, f"{base}/audit",
+                                    f"2024-01-01 00:00:0{n}")
+        return {(r.source, r.location, r.gap_start.day, r.gap_end.day) for r in gaps.collect()}
+
+    def held():
+        return {(r.id, r.updated_at) for r in spark.read.parquet(f"{base}/orders").collect()}
+
+    part = rows.filter("source = 'pos' and location = 'L1' and (day(created_at) < 5 or day(created_at) = 7)")
+    jobs.backfill(spark, part.withColumn("updated_at", F.lit(1)), f"{base}/orders", done, f"{base}/audit", "2024-01-01 00:00:01")
+    # Ends given as dates are days loaded: the window goes on to the next day.
+    jobs.backfill(spark, rows.filter("source = 'shop' and day(created_at) between 2 and 6").withColumn("updated_at", F.lit(1)),
+                  f"{base}/orders", days, f"{base}/audit", "2024-01-01 00:00:01")
+    assert run(2) == {("pos", "L1", 5, 7), ("pos", "L1", 8, 9), ("pos", None, 1, 9), ("shop", None, 1, 2), ("shop", None, 7, 9)}
+    first = {1, 2, 3, 4, 7} | {22, 23, 24, 25, 26}
+    every = {10 * k + d for k in range(3) for d in range(1, 9)}
+    assert held() == {(i, 1 if i in first else 2) for i in every}
+    assert run(3) == set() and held() == {(i, 1 if i in first else 2) for i in every}
+    # A range that has grown is loaded where it grew; an empty store is one gap per location.
+    assert run(4, bounds.withColumn("finish", F.lit(t(10)))) == {("pos", "L1", 9, 10), ("pos", None, 9, 10), ("shop", None, 9, 10)}
+    assert {i for i, n in held() if n == 4} == {9, 19, 29}
+    base = jobs.new_table_dir(spark, "resume")
+    assert run(5) == {("pos", "L1", 1, 9), ("pos", None, 1, 9), ("shop", None, 1, 9)} and held() == {(i, 5) for i in every}
+
+
 def test_cli_jobs(spark, sf_small):
     from omnitally.__main__ import main
     base = jobs.new_table_dir(spark, "cli")

@@ -183,6 +183,46 @@ def test_shards_are_balanced(spark, docs):
     assert by_bytes.select("shard").distinct().count() == -(-total // 100_000)
 
 
+def plain_tree(rows, leaves, dims):
+    """Leaf of every row (by its row number), from a k-d tree with exact weighted medians."""
+    def ends(part, d):
+        return min(r[d] for r in part), max(r[d] for r in part)
+
+    whole = {d: ends(rows, d) for d in dims}
+    leaf = {}
+
+    def split(part, share, begin):
+        if share == 1 or not part:
+            leaf.update({r.row: begin for r in part})
+            return
+        widths = [(ends(part, d)[1] - ends(part, d)[0]) / max(1, whole[d][1] - whole[d][0]) for d in dims]
+        dim = dims[widths.index(max(widths))]
+        part = sorted(part, key=lambda r: (r[dim], r.hash, r.row))
+        need = sum(r.size for r in part) * (share // 2) / share
+        before = at = 0
+        while before + part[at].size < need:
+            before += part[at].size
+            at += 1
+        at += 2 * (need - before) >= part[at].size  # the row on the cut goes to the side it fits better
+        split(part[:at], share // 2, begin)
+        split(part[at:], share - share // 2, begin + share // 2)
+
+    split(rows, leaves, 0)
+    return leaf
+
+
+@pytest.mark.parametrize("leaves", [2, 5, 7])
+def test_shards_equal_a_plain_tree(spark, docs, monkeypatch, leaves):
+    monkeypatch.setattr(S, "TOLERANCE", 0.0)  # cuts are exact, to the row
+    copies = docs.where("doc_id < 40").drop("id").crossJoin(spark.range(8)).drop("id")  # equal rows lie on cuts
+    every = docs.select(copies.columns).union(copies)
+    dims = {"source": S.code("source"), "lang": S.code("lang"), "n_chars": S.F.col("n_chars")}
+    rows = S.kd_shards(every, dims, leaves=leaves).collect()
+    got = {r.row: r.shard for r in rows}
+    want = plain_tree(rows, leaves, ["dim0", "dim1", "dim2"])
+    assert len(got) == len(rows) == every.count() and got == want and set(got.values()) == set(range(leaves))
+
+
 def test_shards_cut_equal_rows(spark):
     same = spark.range(480).selectExpr("cast(null as long) as doc_id", "'same text' as text", "'s' as source", "9L as n_chars")
     rows = S.with_slots(S.kd_shards(same, {"source": S.code("source"), "n": S.F.col("n_chars")})).collect()

@@ -19,6 +19,9 @@ read.
 
 from __future__ import annotations
 
+import json
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +43,8 @@ def code(column: str) -> Column:
 
 
 def _by_node(values: list, kind: str) -> Column:
-    """The entry of a literal list at the row's node."""
-    return F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), (F.col("node") + 1).cast("int"))
+    """The entry of a list at the row's node. The list travels as one string, which the optimizer folds into an array."""
+    return F.element_at(F.from_json(F.lit(json.dumps(values)), f"array<{kind}>"), (F.col("node") + 1).cast("int"))
 
 
 class _Cut:
@@ -163,7 +166,7 @@ def kd_shards(docs: DataFrame, dims: dict[str, Column], doc_id: str = "doc_id",
         _find(rows, cuts, names)
         # Children take the numbers that their leaves begin with, so a node's number is its order.
         parts = [(s,) if s == 1 else (s // 2, s - s // 2) for s in shares]
-        begins = [sum(map(len, parts[:i])) for i in range(len(parts))]
+        begins = list(accumulate(map(len, parts), initial=0))[:-1]
         rows = materialize(rows.withColumn("node", (_by_node(begins, "int") + F.when(
             _right(cuts, names), 1).otherwise(0)).cast("int")), "shard-nodes")
         shares = [s for p in parts for s in p]

@@ -223,6 +223,16 @@ def test_shards_equal_a_plain_tree(spark, docs, monkeypatch, leaves):
     assert len(got) == len(rows) == every.count() and got == want and set(got.values()) == set(range(leaves))
 
 
+def test_node_lists_are_folded(spark):
+    n = 5_000
+    longs, flags = [None if i % 7 == 0 else i * (1 << 49) for i in range(n)], [i % 3 == 0 for i in range(n)]
+    parts = [i / 3 for i in range(n)]
+    nodes = spark.range(n).withColumnRenamed("id", "node")
+    out = nodes.select("node", S._by_node(longs, "long").alias("a"), S._by_node(flags, "boolean").alias("b"), S._by_node(parts, "double").alias("c"))
+    assert "from_json" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in out.orderBy("node").collect()] == list(zip(range(n), longs, flags, parts))
+
+
 def test_shards_cut_equal_rows(spark):
     same = spark.range(480).selectExpr("cast(null as long) as doc_id", "'same text' as text", "'s' as source", "9L as n_chars")
     rows = S.with_slots(S.kd_shards(same, {"source": S.code("source"), "n": S.F.col("n_chars")})).collect()

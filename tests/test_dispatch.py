@@ -162,3 +162,35 @@ def test_a_batch_reads_its_own_buckets(spark, applied, sf_small):
     plan = again._jdf.queryExecution().executedPlan().toString()
     filters = [p.split("]")[0] for p in plan.split("PartitionFilters: [")[1:]]
     assert any("bucket#" in f and " IN (" in f for f in filters)
+
+
+def test_newest_rows_are_carried_once(spark):
+    """A shuffle of newest versions holds each row once, and the stored bodies are verified and freed of repeats once."""
+    from omnitally.operators import normalize as N
+    from omnitally.operators.upsert import latest_version
+    rows = spark.createDataFrame([("a", 1, "x", 0), ("a", 2, "w", 0), ("a", 2, "y", 0), ("b", None, "z", 0), (None, 3, "n", 0), (None, 4, "m", 0)],
+                                 "id string, updated_at int, body string, page int")
+    newest = latest_version(rows, "id", ["updated_at"])
+    assert {(r.id, r.updated_at, r.body) for r in newest.collect()} == {("a", 2, "y"), ("b", None, "z"), (None, 4, "m")}
+    for df in (newest, N.newest_pages(rows)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "max_by" not in plan and "partial_max(" in plan
+
+
+def test_pages_of_an_older_version_go(spark, monkeypatch):
+    rows = [("shop_order", "s1", 0, "2"), ("shop_order", "s1", 1, "1"), ("shop_order", "s1", 2, "2"), ("pos_order", "p1", 0, "1"),
+            ("payment", "s1", 0, "0"), ("shop_order", "s2", 1, "1")]
+    df = spark.createDataFrame(rows, "kind string, key string, page bigint, updated_at string")
+    for few in (0, DI.FEW):
+        monkeypatch.setattr(DI, "FEW", few)
+        assert sorted(tuple(r) for r in DI.newest_pages(df).select(*df.columns).collect()) == sorted(rows[:1] + rows[2:])
+    single = df.filter("page = 0")
+    assert DI.newest_pages(single) is single
+
+
+def test_landed_text_is_compressed(spark):
+    from omnitally.sources import landed as L
+    path = ST.run_dir(spark, "test-land")
+    L.land(spark.createDataFrame([("a", 1)], "id string, n int"), path)
+    assert all(f.endswith(".gz") for f in spark.read.text(path).inputFiles())
+    assert [r.value for r in spark.read.text(path).collect()] == ['{"id":"a","n":1}']

@@ -77,13 +77,15 @@ def resync(spark: SparkSession, sources: dict[str, Read], actions: DataFrame, fa
     for name, rows in sources.items():
         note(name, "processing", None)
         try:
-            batch = rows().join(wanted, ["source", "date"], "left_semi")
-            jobs.upsert_partitions(spark, facts, fact_rows(batch, version), "id", "month", ["version"])
+            # The source is pulled once; the wanted days are few, so its rows are not dealt out by day.
+            batch = rows().join(F.broadcast(wanted), ["source", "date"], "left_semi")
+            batch = fact_rows(batch, version).checkpoint(eager=True)
+            jobs.upsert_partitions(spark, facts, batch, "id", "month", ["version"])
         except Exception as e:  # noqa: BLE001 - recorded; the other sources go on
             note(name, "failed", str(e))
             continue
         note(name, "success", None)
     months = wanted.select(F.trunc("date", "month").alias("month")).distinct()
-    fresh = stored(spark, facts).join(months, "month", "left_semi").groupBy("source", "date", "month").agg(
+    fresh = stored(spark, facts).join(F.broadcast(months), "month", "left_semi").groupBy("source", "date", "month").agg(
         F.sum("revenue").alias("sales"), F.count(F.lit(1)).alias("txns"))
     jobs.write_partitioned(fresh, totals, "month", dynamic=jobs.has_data(spark, totals))

@@ -107,3 +107,31 @@ def test_landed_scan_quarantines(spark):
     assert sorted(int(r.id) for r in good.collect()) == list(range(10)) and good.columns == records.columns
     bad = spark.read.parquet(f"{path}-bad").collect()
     assert [r.kind for r in bad] == ["experience"] and bad[0].line.startswith('{"id":"3"')
+
+
+def test_a_resync_pulls_every_source_once(spark):
+    """The pulled rows are stored before the upsert, which reads them several times."""
+    base = jobs.new_table_dir(spark, "test-resync-once")
+    rows = spark.createDataFrame([(f"o{n}", "shop", "2024-01-05", "2.00") for n in range(10)], "id string, source string, date string, revenue string") \
+        .withColumn("date", F.to_date("date"))
+    recon.store_facts(rows.filter("id < 'o5'"), f"{base}/facts")
+    pulled = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        pulled.add(1)
+        return x
+
+    source = rows.withColumn("id", F.udf(count, "string").asNondeterministic()("id"))
+    recon.resync(spark, {"shop": lambda: source}, rows.select("source", "date"), f"{base}/facts", f"{base}/totals", f"{base}/audit",
+                 "2024-02-01 06:00:00", 1)
+    assert pulled.value == 10
+    assert [(r.txns, str(r.sales)) for r in spark.read.parquet(f"{base}/totals").collect()] == [(10, "20.00")]
+
+
+def test_the_shop_scan_is_parsed_once(spark, sf_small):
+    """A global sort samples its input first: the parsed rows are stored, so neither pass parses again."""
+    from omnitally.plans.q_normalize import q_scan_shop_orders
+    found = q_scan_shop_orders(spark, sf_small)
+    assert "from_json" not in found._jdf.queryExecution().executedPlan().toString()
+    times = [r.created_at for r in found.collect()]
+    assert times and times == sorted(times)

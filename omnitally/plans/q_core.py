@@ -111,7 +111,7 @@ SELECT date, channel_id, location_id, place AS item_rank, sku, label AS product_
 def q_top_items_daily(spark, sf_dir):
     """Best 10 items per cell by revenue (flattened with rank)."""
     o, l = _facts(spark, sf_dir, dense=True)
-    return K.rank_items(K.item_category_totals(o, l))
+    return K.rank_items(K.item_category_totals(o, l)).drop("lines")
 
 
 @register("top_categories_daily", _KPI_DENSE + f"""

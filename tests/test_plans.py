@@ -79,6 +79,19 @@ def test_kpi_scans_lines_once_at_runtime(spark, sf_small):
     assert len(scans) == 1 or final.count("ReusedExchange") >= 2
 
 
+def test_kpi_totals_share_the_rankings_lines(spark, sf_small):
+    """Without broadcasts too, lines are joined to their orders in one place: no branch prunes a column that another reads."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = K.build_kpi_daily(star.fact_order(spark, sf_small), star.fact_order_line(spark, sf_small))
+        df.collect()
+        final = plan(df, "simple").split("== Initial Plan ==")[0]
+        scans = [ln for ln in final.splitlines() if "FileScan parquet" in ln and "l_orderkey" in ln]
+        assert len(scans) == 1, scans
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_latest_per_key_is_an_aggregate_not_a_window(spark, sf_small):
     for name in ["audit_latest", "latest_checkpoint", "recon_pos_net", "upsert_orders"]:
         p = plan(QUERIES[name](spark, sf_small))

@@ -66,6 +66,10 @@ class Pieces(dict):
             shown = piece.replace(" ", self.ALPHABET[32])
         else:
             shown = "".join(map(self.ALPHABET.__getitem__, piece.encode()))
+        return self.shown(shown)
+
+    def shown(self, shown: str) -> bytes:
+        """Ids of a piece written in the byte alphabet."""
         return _bytes([t.id for t in self.model.tokenize(shown)])
 
     def __missing__(self, piece: str) -> bytes:
@@ -90,6 +94,10 @@ class Encoder(dict):
     #: Characters whose classes are the same in every Unicode version in use.
     PLAIN = regex.compile(r"[\n\t\r\x21-\x7E\xA1-\u024F]+")
     CUT = regex.compile(public_tokenizers.PATTERN)
+    SPACE = Pieces.ALPHABET[32]
+    #: Signs that the pattern parts from the letters before them, as it does not an apostrophe's.
+    MARKS = frozenset(".,;:!?)")
+    LINES = regex.compile(r"([A-Za-z]+)([.,;:!?)])?(\n)([A-Za-z]+)([.,;:!?)])?")
 
     def __init__(self, vocabulary: str = VOCABULARY):
         super().__init__()
@@ -100,12 +108,21 @@ class Encoder(dict):
         return self.lib.encode(text, add_special_tokens=False).ids
 
     def __missing__(self, word: str) -> bytes:
-        if word.isalpha() and word.isascii():
-            ids = self.pieces.encode(" " + word)
+        if word.isascii() and word.isalpha():
+            ids = self.pieces.shown(self.SPACE + word)
+        elif word.isascii() and word[-1:] in self.MARKS and word[:-1].isalpha():
+            # Letters and one sign: half of the room is for such words, the rest is put together.
+            known = word[:-1] in self
+            ids = self[word[:-1]] + self.pieces[word[-1]]
+            if not known or len(self) >= CACHE // 2:
+                return ids
+        elif word.isascii() and (ends := self.LINES.fullmatch(word)):
+            # The end of a line and the next one's start: pairs that hardly come again are not stored.
+            return b"".join([self[ends[1]], *map(self.pieces.__getitem__, filter(None, ends.groups()[1:]))])
         elif not word or word[0].isspace():
             raise Uncut
         elif self.PLAIN.fullmatch(word):
-            first, *rest = self.CUT.findall(" " + word)
+            first, *rest = [" " + word] if word.isalpha() else self.CUT.findall(" " + word)
             if not rest:
                 ids = self.pieces.encode(first)
             else:
@@ -131,8 +148,13 @@ class Encoder(dict):
         return np.frombuffer(data, dtype="<u4")
 
 
+#: Packers of the short lists that words and pieces give.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(33)]
+
+
 def _bytes(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    n = len(ids)
+    return _PACK[n](*ids) if n < len(_PACK) else struct.pack(f"<{n}I", *ids)
 
 
 _ENCODERS: dict[str, Encoder] = {}

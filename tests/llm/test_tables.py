@@ -142,6 +142,14 @@ def test_encoder_equals_the_library():
         assert e.ids(t).tolist() == [*e.whole(t), 2], t
 
 
+def test_encoder_keeps_no_pairs_of_lines():
+    """Pairs of words over a line's end are put together from their parts and take no room from words."""
+    e = K.Encoder()
+    for text in ("a word.\nNext, é.\nZ", "one Line\nTwo! (x) don't.\nI've ééé", "x end,\nfoo) bar.\n\nY"):
+        assert list(e.ids(text)[:-1]) == e.whole(text)
+    assert "word.\nNext," not in e and "Line\nTwo!" not in e and "word" in e
+
+
 def test_encoder_cuts_as_the_library_does():
     e, rng = K.Encoder(), random.Random(5)
     texts = [t for c in map(chr, range(0x260))

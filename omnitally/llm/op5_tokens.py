@@ -111,10 +111,10 @@ class Encoder(dict):
         if word.isascii() and word.isalpha():
             ids = self.pieces.shown(self.SPACE + word)
         elif word.isascii() and word[-1:] in self.MARKS and word[:-1].isalpha():
-            # Letters and one sign: half of the room is for such words, the rest is put together.
+            # Letters and one sign: while there is much room such words are stored, then put together.
             known = word[:-1] in self
             ids = self[word[:-1]] + self.pieces[word[-1]]
-            if not known or len(self) >= CACHE // 2:
+            if not known or len(self) >= CACHE // 4:
                 return ids
         elif word.isascii() and (ends := self.LINES.fullmatch(word)):
             # The end of a line and the next one's start: pairs that hardly come again are not stored.
@@ -128,7 +128,7 @@ class Encoder(dict):
             else:
                 known = first[1:] in self
                 ids = b"".join([self[first[1:]], *map(self.pieces.__getitem__, rest)])
-                if not known:  # a word seen for the first time is not worth a second entry
+                if not known or len(self) >= CACHE // 2:  # a word seen for the first time is not worth a second entry
                     return ids
         else:
             ids = _bytes(self.whole(" " + word))

@@ -92,6 +92,16 @@ def test_kpi_totals_share_the_rankings_lines(spark, sf_small):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_raw_payload_joins_fees_to_headers(spark, sf_small):
+    """No order's line list is shuffled for its fees, and the records stay as they are."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(QUERIES["raw_payload"](spark, sf_small), "simple")
+        assert "hashpartitioning(id#" not in p and "hashpartitioning(concat(SQ" in p
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_latest_per_key_is_an_aggregate_not_a_window(spark, sf_small):
     for name in ["audit_latest", "latest_checkpoint", "recon_pos_net", "upsert_orders"]:
         p = plan(QUERIES[name](spark, sf_small))

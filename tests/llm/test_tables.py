@@ -191,7 +191,7 @@ def test_shards_are_balanced(spark, docs):
     assert by_bytes.select("shard").distinct().count() == -(-total // 100_000)
 
 
-def plain_tree(rows, leaves, dims):
+def plain_kd_tree(rows, leaves, dims):
     """Leaf of every row (by its row number), from a k-d tree with exact weighted medians."""
     def ends(part, d):
         return min(r[d] for r in part), max(r[d] for r in part)
@@ -227,7 +227,7 @@ def test_shards_equal_a_plain_tree(spark, docs, monkeypatch, leaves):
     dims = {"source": S.code("source"), "lang": S.code("lang"), "n_chars": S.F.col("n_chars")}
     rows = S.kd_shards(every, dims, leaves=leaves).collect()
     got = {r.row: r.shard for r in rows}
-    want = plain_tree(rows, leaves, ["dim0", "dim1", "dim2"])
+    want = plain_kd_tree(rows, leaves, ["dim0", "dim1", "dim2"])
     assert len(got) == len(rows) == every.count() and got == want and set(got.values()) == set(range(leaves))
 
 

@@ -96,8 +96,10 @@ class Encoder(dict):
     CUT = regex.compile(public_tokenizers.PATTERN)
     SPACE = Pieces.ALPHABET[32]
     #: Signs that the pattern parts from the letters before them, as it does not an apostrophe's.
-    MARKS = frozenset(".,;:!?)")
-    LINES = regex.compile(r"([A-Za-z]+)([.,;:!?)])?(\n)([A-Za-z]+)([.,;:!?)])?")
+    MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    #: Space other than a line's end between two visible characters.
+    BLANK = regex.compile(r"[\t\r]|\n(?:\n|\Z)")
+    LAST = "\u024F"
 
     def __init__(self, vocabulary: str = VOCABULARY):
         super().__init__()
@@ -108,21 +110,25 @@ class Encoder(dict):
         return self.lib.encode(text, add_special_tokens=False).ids
 
     def __missing__(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():
-            ids = self.pieces.shown(self.SPACE + word)
-        elif word.isascii() and word[-1:] in self.MARKS and word[:-1].isalpha():
-            # Letters and one sign: while there is much room such words are stored, then put together.
-            known = word[:-1] in self
-            ids = self[word[:-1]] + self.pieces[word[-1]]
+        # Letters up to U+024F alone are one piece; the signs after them are the next one.
+        if word.isalpha() and (word.isascii() or max(word) <= self.LAST):
+            ids = self.pieces.shown(self.SPACE + word) if word.isascii() else self.pieces.encode(" " + word)
+        elif (letters := word.rstrip(self.MARKS)).isalpha() and (word.isascii() or max(letters) <= self.LAST):
+            # While there is much room such words are stored, then put together.
+            known = letters in self
+            ids = self[letters] + self.pieces[word[len(letters):]]
             if not known or len(self) >= CACHE // 4:
                 return ids
-        elif word.isascii() and (ends := self.LINES.fullmatch(word)):
-            # The end of a line and the next one's start: pairs that hardly come again are not stored.
-            return b"".join([self[ends[1]], *map(self.pieces.__getitem__, filter(None, ends.groups()[1:]))])
         elif not word or word[0].isspace():
             raise Uncut
-        elif self.PLAIN.fullmatch(word):
-            first, *rest = [" " + word] if word.isalpha() else self.CUT.findall(" " + word)
+        elif not self.PLAIN.fullmatch(word):
+            ids = _bytes(self.whole(" " + word))
+        elif "\n" in word and not self.BLANK.search(word):
+            # No piece crosses a line's end between two visible characters. Such pairs hardly come again and are not stored.
+            first, *lines = word.split("\n")
+            return self[first] + b"".join(map(self.line, lines))
+        else:
+            first, *rest = self.CUT.findall(" " + word)
             if not rest:
                 ids = self.pieces.encode(first)
             else:
@@ -130,19 +136,27 @@ class Encoder(dict):
                 ids = b"".join([self[first[1:]], *map(self.pieces.__getitem__, rest)])
                 if not known or len(self) >= CACHE // 2:  # a word seen for the first time is not worth a second entry
                     return ids
-        else:
-            ids = _bytes(self.whole(" " + word))
         if len(self) < CACHE:
             self[word] = ids
         return ids
 
+    def line(self, start: str) -> bytes:
+        """Ids of a line's end and what starts the next line, up to its first space."""
+        pieces = self.pieces
+        if start.isalpha():
+            return pieces["\n"] + pieces[start]
+        if (letters := start.rstrip(self.MARKS)).isalpha():
+            return pieces["\n"] + pieces[letters] + pieces[start[len(letters):]]
+        return pieces["\n"] + b"".join(map(pieces.__getitem__, self.CUT.findall(start)))
+
     def ids(self, text: str) -> np.ndarray:
         """Ids of a text, the end id last."""
         first, *words = text.split(" ")
         try:
             if self.SPECIAL in text:
                 raise Uncut
-            data = b"".join([_bytes(self.whole(first)), *map(self.__getitem__, words), _bytes([END_ID])])
+            start = self.pieces[first] if first.isascii() and first.isalpha() else _bytes(self.whole(first))
+            data = b"".join([start, *map(self.__getitem__, words), _bytes([END_ID])])
         except Uncut:
             data = _bytes([*self.whole(text), END_ID])
         return np.frombuffer(data, dtype="<u4")

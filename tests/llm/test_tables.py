@@ -150,6 +150,21 @@ def test_encoder_keeps_no_pairs_of_lines():
     assert "word.\nNext," not in e and "Line\nTwo!" not in e and "word" in e
 
 
+def test_encoder_keeps_no_words_with_runs_of_signs_once_full(monkeypatch):
+    """Letters with signs after them, and words over line ends, are put together from their parts in any Latin script."""
+    monkeypatch.setattr(K, "CACHE", 12)
+    e, asked = K.Encoder(), []
+    for text in ("a THREHA!! È.!! hesh,### os.\nÓími", "ñ fue.\"\nÑes.\nIs, x", "a d'or.'s l'\n's ***\n*a", "Zé!!\nB\n\nC y\t\nz \nw",
+                 "ªº ǅa. don't!! 'll've a\u0345. x\u0301!"):
+        assert list(e.ids(text)[:-1]) == e.whole(text), text
+    monkeypatch.setattr(K, "CACHE", 500_000)
+    e = K.Encoder()
+    e.CUT = type("Cut", (), {"findall": lambda self, t: asked.append(t) or K.Encoder.CUT.findall(t)})()
+    e.ids("a THREHA!! È.!! hesh,### os.\nÓími Ñes.\nIs, oferhaouti.***")
+    assert not asked  # the pattern was asked for each of these words before
+    assert "os.\nÓími" not in e and "THREHA" in e and "Ñes" in e
+
+
 def test_encoder_cuts_as_the_library_does():
     e, rng = K.Encoder(), random.Random(5)
     texts = [t for c in map(chr, range(0x260))

@@ -194,3 +194,83 @@ def test_landed_text_is_compressed(spark):
     L.land(spark.createDataFrame([("a", 1)], "id string, n int"), path)
     assert all(f.endswith(".gz") for f in spark.read.text(path).inputFiles())
     assert [r.value for r in spark.read.text(path).collect()] == ['{"id":"a","n":1}']
+
+
+RECORDS = [("shop_order", "shop_order_1", 0, "shop_order_1", "1", '{"id": 1, "page": 0}'), ("refund", "R1", 0, "shop_order_1", "2", '{"id": "R1"}'),
+           ("payment", "P1", 0, "pos_order_Q", "2", '{"id": "P1", "orderId": "Q"}'), ("booking", "booking_B", 0, "booking_B", "1", '{"id": "B"}'),
+           ("completion", "booking_C", 0, "booking_C", "1", '{"id": "C", "guests_count": 3}'),
+           ("cancellation", "booking_D", 0, "booking_D", "1", '{"id": "D"}')]
+
+
+def records(spark):
+    df = spark.createDataFrame(RECORDS, "kind string, key string, page bigint, owner string, updated_at string, body string")
+    return df.withColumn("received_at", F.lit("2024-02-02").cast("timestamp")).withColumn("delivery", F.col("key"))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_staged_rows_are_written_where_they_lie(spark):
+    """No shuffle by bucket: every task writes its own rows, in the order that readers filter by."""
+    base = ST.run_dir(spark, "test-stage")
+    rows = spark.range(400).selectExpr("cast(id as string) AS id", "cast(400 - id as string) AS kind").repartition(3)
+    staged = snapshots.stage(spark, base, "t", 0, rows, F.col("id"), [0, 1], 2, ("kind",))
+    stored = spark.read.parquet(staged.folder)
+    assert sorted((r.id, r.kind) for r in stored.collect()) == sorted((r.id, r.kind) for r in rows.collect())
+    files = stored.inputFiles()
+    assert len(files) == 6 and sum("bucket=0/" in f for f in files) == 3
+    for f in files:
+        kinds = [r.kind for r in spark.read.parquet(f).collect()]
+        assert kinds == sorted(kinds)
+
+
+def test_shuffle_files_end_with_their_query(spark):
+    import time
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {n.rsplit("/", 1)[-1] for n in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in n}
+
+    before, setting = shuffles(), spark.conf.get(jobs._RELEASE, "false")
+    with jobs.released_shuffles(spark):
+        path = ST.run_dir(spark, "test-release")
+        spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(path)
+    for _ in range(100):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before and spark.read.parquet(path).count() == 7
+    with pytest.raises(RuntimeError), jobs.released_shuffles(spark):
+        raise RuntimeError("stop")
+    assert spark.conf.get(jobs._RELEASE) == setting
+
+
+def test_payloads_are_shuffled_once(spark):
+    """An order's payload goes to its order in one left join; an event's records are grouped once, without a join."""
+    tables = DI.order_tables(records(spark))
+    assert "FullOuter" not in plan_of(tables["orders"])
+    raw = {r.id: json.loads(r.raw_json) for r in tables["orders"].collect()}
+    assert raw == {"shop_order_1": {"id": 1, "page": 0, "lastRefund": {"id": "R1"}},
+                   "pos_order_Q": {"lastPaymentUpdate": {"id": "P1", "orderId": "Q"}}}
+    events = DI.event_table(records(spark))
+    assert "Join" not in plan_of(events) and plan_of(events).count("Exchange hashpartitioning") == 1
+    assert {(r.id, r.completed, r.cancelled, r.attendance) for r in events.collect()} == {
+        ("booking_B", False, False, 0), ("booking_C", True, False, 3)}
+
+
+def test_a_table_without_folders_costs_nothing(spark):
+    none = snapshots.read(spark, snapshots.Snapshot(-1, {}, []), "records", DI.RECORD)
+    assert none.count() == 0 and none.schema.names == spark.createDataFrame([], DI.RECORD).schema.names
+    rows = records(spark)
+    both = none.unionByName(rows.select(*none.columns)).join(none.select("delivery"), "delivery", "left_anti")
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "Join" not in plan and both.count() == len(RECORDS)
+
+
+def test_independent_jobs_run_at_once(spark):
+    import threading
+    meet = threading.Barrier(2, timeout=20)  # broken unless both run at the same time
+    assert sorted(jobs.at_once(spark, [lambda: meet.wait(), lambda: meet.wait()])) == [0, 1]
+    with pytest.raises(ValueError):
+        jobs.at_once(spark, [lambda: 1, lambda: int("x")])

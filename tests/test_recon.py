@@ -135,3 +135,21 @@ def test_the_shop_scan_is_parsed_once(spark, sf_small):
     assert "from_json" not in found._jdf.queryExecution().executedPlan().toString()
     times = [r.created_at for r in found.collect()]
     assert times and times == sorted(times)
+
+
+def test_the_shop_scan_counts_the_lines_of_every_page(spark, tmp_path):
+    """Orders of 3, 100 and 250 lines, the last one delivered as two equal rows, and one without lines or without a key."""
+    import datetime as dt
+
+    from omnitally.plans.q_normalize import q_scan_shop_orders
+    day = dt.datetime(1998, 2, 1)
+    orders = [(k, 7, "P", 10.0, day) for k in (1, 2, 3, 3, 4, None)]
+    lines = [(k, n % 7 + 1, 1, 1, 1.0, 5.0, "N", "O", day) for k, many in ((1, 3), (2, 100), (3, 250), (None, 150)) for n in range(many)]
+    for name, rows, ddl in [
+        ("orders", orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"),
+        ("lineitem", lines, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, "
+                            "l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+        ("part", [(1, "p", "T", "b", 5.0)], "p_partkey bigint, p_name string, p_type string, p_brand string, p_retailprice double")]:
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = sorted((str(r.id)[17:], r.n_lines, r.n_transactions) for r in q_scan_shop_orders(spark, str(tmp_path)).collect())
+    assert found == [("", 0, 2), ("1", 3, 2), ("2", 100, 2), ("3", 250, 2), ("3", 250, 2), ("4", 0, 2)]

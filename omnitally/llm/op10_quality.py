@@ -89,13 +89,14 @@ def base_failed(q: Column) -> Column:
 
 
 def _rates(q: Column) -> dict[str, Column]:
-    several = F.when(q["n_words"] > 1, F.log(q["n_distinct"].cast("double")) / F.log(q["n_words"].cast("double")))
-    return {"mark_rate": q["n_marks"] / q["word_chars"],
-            "upper_rate": q["n_upper"] / q["word_chars"],
-            "word_length": q["word_chars"] / q["n_words"],
+    # A text without words or lines has no rate: null, as rates are computed before the rules that such a text fails.
+    several = F.when(q["n_words"] > 1, F.try_divide(F.log(q["n_distinct"].cast("double")), F.log(q["n_words"].cast("double"))))
+    return {"mark_rate": F.try_divide(q["n_marks"], q["word_chars"]),
+            "upper_rate": F.try_divide(q["n_upper"], q["word_chars"]),
+            "word_length": F.try_divide(q["word_chars"], q["n_words"]),
             "distinct_rate": several,
-            "dup_line_rate": q["n_dup_lines"] / q["n_lines"],
-            "repeat_rate": q["n_repeat_words"] / q["n_words"]}
+            "dup_line_rate": F.try_divide(q["n_dup_lines"], q["n_lines"]),
+            "repeat_rate": F.try_divide(q["n_repeat_words"], q["n_words"])}
 
 
 def fences(measured: DataFrame, least_group: int = LEAST_GROUP, reach: float = REACH) -> DataFrame:

@@ -432,6 +432,17 @@ def test_fences_follow_the_data(spark):
     assert sum(clean) > 0.98 * len(clean)
 
 
+def test_quality_of_texts_without_words(spark, tmp_path):
+    """Texts without words or lines have no rates: they fail the base rule and stop nothing, also where a group has no other text."""
+    from omnitally.llm.catalog import QUERIES
+    words = " ".join(f"word{n}" for n in range(60))
+    rows = [(n, words + f" more{n}", "en", f"s{n % 3}") for n in range(30)] + [(100, "", "en", "s0"), (101, None, "fr", None), (102, " \n\t ", None, "s1")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    judged = {r.doc_id: (r.n_words, r.base_failed, r.kept) for r in QUERIES["op10_quality_fences"](spark, str(tmp_path)).collect()}
+    assert {n: judged[n] for n in (100, 101, 102)} == dict.fromkeys((100, 101, 102), (0, True, False))
+    assert all(judged[n] == (61, False, True) for n in range(30)) and len(judged) == 33
+
+
 def test_quality_odd_rows(odd_docs, no_docs):
     kept = Q.quality_filter(odd_docs)
     assert kept.columns == odd_docs.columns

@@ -102,6 +102,31 @@ def test_raw_payload_joins_fees_to_headers(spark, sf_small):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_raw_payload_stores_its_fees(spark, tmp_path):
+    """The lines are read for the payments, the line counts and the lists (both twice in the plan, whose shuffles are reused
+    when it runs), not for the fees, which stay right where an order row repeats (its payments come twice), has no
+    payment or no key."""
+    import datetime as dt
+    import json
+    day = dt.datetime(1998, 2, 1)
+    for name, rows, ddl in [
+        ("orders", [(k, 7, "P", 10.0, day) for k in (1, 2, 2, 3, None)],
+         "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"),
+        ("lineitem", [(k, n, 1, 1, 1.0, 100.0, "N", s, day) for k, n, s in ((1, 1, "F"), (1, 2, "F"), (1, 3, "O"), (2, 1, "F"), (9, 1, "F"), (None, 1, "F"))],
+         "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, "
+         "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+        ("part", [(1, "p", "T", "b", 5.0)], "p_partkey bigint, p_name string, p_type string, p_brand string, p_retailprice double"),
+        ("customer", [(7, 3)], "c_custkey bigint, c_nationkey bigint")]:
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    df = QUERIES["raw_payload"](spark, str(tmp_path))
+    scans = [x for x in plan(df, "simple").splitlines() if "FileScan" in x and "l_orderkey" in x]
+    assert len(scans) == 5, scans
+    got = df.collect()
+    fees = sorted((str(r.id), json.loads(r.raw_json)["fees"]) for r in got if r.record_type == "order")
+    assert fees == [("None", 0), ("SQ1", 6.4), ("SQ2", 6.4), ("SQ2", 6.4), ("SQ3", 0)]  # 2.9 % and 30 cents of 100.00, completed ones
+    assert sum(r.record_type == "payment" for r in got) == 7
+
+
 def test_latest_per_key_is_an_aggregate_not_a_window(spark, sf_small):
     for name in ["audit_latest", "latest_checkpoint", "recon_pos_net", "upsert_orders"]:
         p = plan(QUERIES[name](spark, sf_small))

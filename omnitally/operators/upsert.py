@@ -32,7 +32,13 @@ def upsert(current: DataFrame, batch: DataFrame, key: str | list[str],
     Both sides carry ``ingest_ts`` so a re-delivered identical version resolves
     deterministically (idempotent on retry).
     """
-    return latest_version(current.unionByName(batch, allowMissingColumns=True), key, list(order_cols))
+    both = current.unionByName(batch, allowMissingColumns=True)
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = [c for c in both.columns if c not in keys]
+    order = [c for c in dict.fromkeys(order_cols) if c not in keys]
+    # The version of latest_version, the whole row being the last tie-breaker here too.
+    version = F.struct(*order, *[c for c in cols if c not in order])
+    return both.groupBy(*keys).agg(F.max_by(F.struct(*cols), version).alias("_v")).select(*keys, "_v.*")
 
 
 def replace_children(current: DataFrame, batch: DataFrame, parent_key: str = "order_id",

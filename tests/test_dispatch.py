@@ -225,6 +225,25 @@ def test_staged_rows_are_written_where_they_lie(spark):
         assert kinds == sorted(kinds)
 
 
+def test_bodies_that_several_tables_read_are_parsed_once(spark):
+    """The fields of orders and payments are stored beside the batch's records; the tables read them, not the bodies."""
+    from omnitally.sources import landed as L
+    from pyspark.sql import types as T
+    feed = [(DI.TOPICS[source, topic], b) for source, topic, _, b in FEED if DI.TOPICS.get((source, topic)) in DI.PARSED]
+    rows = spark.createDataFrame([(k, f"{k}-{n}", 0, f"{k}-{n}", "1", json.dumps(b), "2024-02-02", str(n)) for n, (k, b) in enumerate(feed)]
+                                 + [("payment", "bad", 0, "bad", "1", '{"id":', "2024-02-02", "bad")],
+                                 "kind string, key string, page bigint, owner string, updated_at string, body string, at string, delivery string")
+    rows = rows.select("kind", "key", "page", "owner", "updated_at", F.col("at").cast("timestamp").alias("received_at"), "delivery", "body")
+    base = ST.run_dir(spark, "test-parsed")
+    staged = snapshots.stage(spark, base, "records", 0, rows, F.col("owner"), [0, 1], 2, ("kind", "owner"), DI.parsed_bodies())
+    fields = [T.StructField(f"_{kind}", L.schema(landed)) for kind, landed in DI.PARSED.items()]
+    stored = snapshots.read_staged(spark, staged, T.StructType([*T._parse_datatype_string(DI.RECORD).fields, *fields]))
+    plain, parsed = DI.order_tables(rows), DI.order_tables(stored)
+    for name in ("orders", "lines", "tenders"):
+        assert "from_json(StructField(id" in plan_of(plain[name]) and "from_json(StructField(id" not in plan_of(parsed[name])
+        assert sorted(map(str, parsed[name].collect())) == sorted(map(str, plain[name].collect()))
+
+
 def test_shuffle_files_end_with_their_query(spark):
     import time
     manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
